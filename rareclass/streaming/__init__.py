@@ -1,0 +1,6 @@
+"""Streaming: the reference has no stream processing (every run is batch).
+
+Nothing is built here on purpose.  A fitted scorer's ``transform`` is a plain
+DataFrame transformation, so it can be applied to a ``readStream`` DataFrame
+unchanged; no stateful operator is needed for any reference capability.
+"""
