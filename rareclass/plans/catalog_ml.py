@@ -1 +1,252 @@
-"""Feature, metric and scorer queries (registered into the catalog)."""
+"""Feature, metric, kNN and scorer queries (registered into the catalog).
+
+Metric fixture (FIXTURES.md): ``labels`` joined to ``documents``; label
+``toxic``; the stand-in score is ``n_chars`` (many ties).  Scorer fixture:
+``embeddings`` with class 0 as the rare positive class, split exactly
+(70/15/15, seed 13) on ``vec_id``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import metrics as M
+from ..operators import order as O
+from ..operators.features import FeatureBuilder
+from ..sources.io import table
+from . import products as PD
+from .catalog import _transformed, _with, query, rnd
+
+# --------------------------------------------------------------- metrics --
+
+
+def _scored_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return labels.join(docs, "doc_id", "inner").select("doc_id", "toxic", "quality", F.col("n_chars").cast("double").alias("score"))
+
+
+_SCORED_SQL = """
+d AS (SELECT l.doc_id, l.toxic AS y, l.quality, CAST(d.n_chars AS DOUBLE) AS sc
+      FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+
+def _curve_sql(src: str, by: str = "") -> str:
+    """Exact curve metrics by plain window sums (independent of the Spark operator)."""
+    pb = f"PARTITION BY {by} " if by else ""
+    gb = f"{by}, " if by else ""
+    join = f"USING ({by})" if by else "ON TRUE"
+    return f"""
+g AS (SELECT {gb}sc, SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS p, SUM(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS q
+      FROM {src} WHERE sc IS NOT NULL GROUP BY {gb}sc),
+c AS (SELECT g.*, SUM(p) OVER ({pb}ORDER BY sc DESC) AS tp, SUM(q) OVER ({pb}ORDER BY sc DESC) AS fp FROM g),
+t AS (SELECT {gb}SUM(p) AS PP, SUM(q) AS NN FROM g {'GROUP BY ' + by if by else ''}),
+pts AS (
+  SELECT c.*, t.PP, t.NN,
+    CAST(tp AS DOUBLE) / (tp + fp) AS prec,
+    CASE WHEN tp - p + fp - q = 0 THEN 1.0 ELSE CAST(tp - p AS DOUBLE) / (tp - p + fp - q) END AS prev_prec,
+    CAST(tp AS DOUBLE) / t.PP AS rec,
+    2.0 * tp / (tp + fp + t.PP) AS f1
+  FROM c JOIN t {join}),
+best AS (SELECT * FROM (SELECT pts.*, ROW_NUMBER() OVER ({pb}ORDER BY f1 DESC, sc DESC) AS rn FROM pts) WHERE rn = 1),
+agg AS (
+  SELECT {gb}SUM(q * (tp - p / 2.0)) / (MAX(PP) * MAX(NN)) AS roc_auc,
+    SUM(CAST(p AS DOUBLE) / PP * (prec + prev_prec) / 2) AS pr_auc
+  FROM pts {'GROUP BY ' + by if by else ''})"""
+
+
+@query(
+    "roc_pr_auc",
+    "WITH " + _SCORED_SQL + "," + _curve_sql("d") + """
+SELECT ROUND(agg.roc_auc, 6) AS roc_auc, ROUND(agg.pr_auc, 6) AS pr_auc,
+  ROUND(best.prec, 6) AS precision, ROUND(best.rec, 6) AS recall, ROUND(best.f1, 6) AS f1,
+  ROUND(best.sc, 6) AS threshold, CAST(best.PP AS BIGINT) AS positives, CAST(best.NN AS BIGINT) AS negatives
+FROM agg, best""",
+)
+def q_roc_pr_auc(spark, sf_dir):
+    """Exact tie-aware ROC-AUC, PR-AUC and best-F1 point."""
+    m = M.curve_metrics(_scored_docs(spark, sf_dir), "toxic", "score")
+    return m.select(*[rnd(c) for c in ["roc_auc", "pr_auc", "precision", "recall", "f1", "threshold"]], "positives", "negatives")
+
+
+@query(
+    "pr_curve",
+    "WITH " + _SCORED_SQL + "," + _curve_sql("d") + """
+SELECT ROUND(sc, 6) AS threshold, ROUND(prec, 6) AS precision, ROUND(rec, 6) AS recall FROM pts""",
+)
+def q_pr_curve(spark, sf_dir):
+    """precision/recall at every distinct threshold."""
+    c = M.pr_curve(_scored_docs(spark, sf_dir), "toxic", "score")
+    return c.select(rnd("threshold"), rnd("precision"), rnd("recall"))
+
+
+@query(
+    "confusion_at",
+    "WITH " + _SCORED_SQL + """
+SELECT COUNT(*) FILTER (WHERE y = 1 AND sc >= 2500) AS tp, COUNT(*) FILTER (WHERE y <> 1 AND sc >= 2500) AS fp,
+  COUNT(*) FILTER (WHERE y = 1 AND sc < 2500) AS fn, COUNT(*) FILTER (WHERE y <> 1 AND sc < 2500) AS tn
+FROM d""",
+)
+def q_confusion_at(spark, sf_dir):
+    """Confusion counts at a fixed threshold."""
+    c = M.confusion(_scored_docs(spark, sf_dir), "toxic", "score", threshold=2500.0)
+    return c.select("tp", "fp", "fn", "tn")
+
+
+@query(
+    "class_weights",
+    """
+SELECT toxic, COUNT(*) AS count,
+  ROUND(CAST(SUM(COUNT(*)) OVER () AS DOUBLE) / (COUNT(*) OVER () * COUNT(*)), 6) AS weight
+FROM labels GROUP BY toxic""",
+)
+def q_class_weights(spark, sf_dir):
+    """Balanced class weights of the toxic label."""
+    w = M.class_weights(table(spark, sf_dir, "labels"), "toxic")
+    return w.select("toxic", "count", rnd("weight"))
+
+
+_MODELS = {"n_chars": "sc", "neg_n_chars": "-sc", "quality": "CAST(quality AS DOUBLE)"}
+
+
+def _model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _scored_docs(spark, sf_dir)
+    exprs = {"n_chars": F.col("score"), "neg_n_chars": -F.col("score"), "quality": F.col("quality").cast("double")}
+    stacked = d.select(
+        "toxic",
+        F.explode(F.array(*[F.struct(F.lit(k).alias("model"), v.alias("sc")) for k, v in exprs.items()])).alias("m"),
+    )
+    return stacked.select("toxic", F.col("m.model").alias("model"), F.col("m.sc").alias("sc"))
+
+
+_MODEL_SCORES_SQL = _SCORED_SQL + ",\nms AS (" + " UNION ALL ".join(
+    f"SELECT '{k}' AS model, y, {v} AS sc FROM d" for k, v in _MODELS.items()
+) + ")"
+
+
+@query(
+    "model_metrics",
+    "WITH " + _MODEL_SCORES_SQL + "," + _curve_sql("ms", "model") + """
+SELECT agg.model, ROUND(agg.roc_auc, 6) AS roc_auc, ROUND(agg.pr_auc, 6) AS pr_auc,
+  ROUND(best.prec, 6) AS precision, ROUND(best.rec, 6) AS recall, ROUND(best.f1, 6) AS f1, ROUND(best.sc, 6) AS threshold
+FROM agg JOIN best USING (model)""",
+)
+def q_model_metrics(spark, sf_dir):
+    """Metrics of several scorers in one grouped pass (the comparison table)."""
+    m = M.curve_metrics(_model_scores(spark, sf_dir), "toxic", "sc", by="model")
+    return m.select("model", *[rnd(c) for c in ["roc_auc", "pr_auc", "precision", "recall", "f1", "threshold"]])
+
+
+@query(
+    "best_model",
+    "WITH " + _MODEL_SCORES_SQL + "," + _curve_sql("ms", "model") + """
+SELECT model AS best_model, ROUND(f1, 6) AS f1 FROM best ORDER BY f1 DESC, model LIMIT 1""",
+)
+def q_best_model(spark, sf_dir):
+    """The scorer with the highest F1."""
+    m = M.curve_metrics(_model_scores(spark, sf_dir), "toxic", "sc", by="model")
+    b = M.best_model(m, "f1")
+    return b.select("best_model", rnd("f1"))
+
+
+# -------------------------------------------------------------- features --
+
+NUMERIC_FEATURES = ["stars", "reviews", "price", "listPrice", "boughtInLastMonth", "rating_weighted_reviews",
+                    "percent_rank", "price_log", "title_length"]
+CATEGORICAL_FEATURES = ["has_listPrice", "category_name", "isPopular"]
+TARGET = "isBestSeller"
+
+
+def _impute_scale_sql() -> str:
+    cols = NUMERIC_FEATURES
+    med = ", ".join(f"QUANTILE_CONT({c}, 0.5) AS {c}" for c in cols)
+    imp = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), (SELECT {c} FROM med)) AS {c}" for c in cols)
+    st = ", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in cols)
+    out = ", ".join(
+        f"ROUND(({c} - m_{c}) / CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}" for c in cols
+    )
+    return _with(
+        f""",
+med AS (SELECT {med} FROM transformed),
+imp AS (SELECT asin, {imp} FROM transformed),
+st AS (SELECT {st} FROM imp)
+SELECT asin, {out} FROM imp, st"""
+    )
+
+
+@query("impute_scale", _impute_scale_sql())
+def q_impute_scale(spark, sf_dir):
+    """Interpolated-median imputation and population-std scaling (fitted on all rows, as the reference)."""
+    df = _transformed(spark, sf_dir)
+    model = FeatureBuilder(NUMERIC_FEATURES).fit(df)
+    return df.select("asin", *model.scaled_columns(df)).select("asin", *[rnd(c) for c in NUMERIC_FEATURES])
+
+
+def _onehot_sql() -> str:
+    cats = "".join(
+        f""",
+cats_{c} AS (SELECT v, CAST(ROW_NUMBER() OVER (ORDER BY v) - 1 AS INTEGER) AS idx
+  FROM (SELECT DISTINCT COALESCE(CAST({c} AS VARCHAR), 'missing') AS v FROM train))"""
+        for c in CATEGORICAL_FEATURES
+    )
+    joins = " ".join(
+        f"LEFT JOIN cats_{c} ON COALESCE(CAST(t.{c} AS VARCHAR), 'missing') = cats_{c}.v" for c in CATEGORICAL_FEATURES
+    )
+    sel = ", ".join(f"cats_{c}.idx AS {c}_idx" for c in CATEGORICAL_FEATURES)
+    return _with(
+        f""",
+pos AS (SELECT asin, ROW_NUMBER() OVER (ORDER BY md5(asin || '#13'), asin) AS pos, COUNT(*) OVER () AS n FROM transformed),
+train AS (SELECT t.* FROM transformed t JOIN pos USING (asin) WHERE pos.pos <= FLOOR(CAST(0.7 AS DOUBLE) * pos.n)){cats}
+SELECT t.asin, {sel} FROM transformed t {joins}"""
+    )
+
+
+@query("onehot", _onehot_sql())
+def q_onehot(spark, sf_dir):
+    """E2, E3 (+O5): categories fitted on the training split; unseen -> NULL index (all-zero block)."""
+    df = _transformed(spark, sf_dir)
+    split = O.split_exact(df.select("asin"), "asin", seed=13)
+    train = df.join(split.where(F.col("split") == "train"), "asin", "left_semi")
+    model = FeatureBuilder([], CATEGORICAL_FEATURES).fit(train)
+    return df.select("asin", *[model.category_index(c).cast("int").alias(f"{c}_idx") for c in CATEGORICAL_FEATURES])
+
+
+# ------------------------------------------------------------------- kNN --
+
+POSITIVE_CLASS = 0
+
+
+def embeddings_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vec_id, vec, y, split`` - class 0 is the rare positive class."""
+    e = table(spark, sf_dir, "embeddings")
+    sp = O.split_exact(e.select("vec_id"), "vec_id", seed=13)
+    return e.join(sp, "vec_id").select(
+        "vec_id", F.col("embedding").alias("vec"), (F.col("label") == POSITIVE_CLASS).cast("int").alias("y"), "split"
+    )
+
+
+@query(
+    "knn_vote",
+    f"""
+WITH pos AS (SELECT vec_id, ROW_NUMBER() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR) || '#13'), vec_id) AS pos,
+                    COUNT(*) OVER () AS n FROM embeddings),
+e AS (SELECT e.vec_id, list_transform(e.embedding, lambda x: CAST(x AS DOUBLE)) AS v,
+        CASE WHEN e.label = {POSITIVE_CLASS} THEN 1 ELSE 0 END AS y,
+        p.pos <= FLOOR(CAST(0.7 AS DOUBLE) * p.n) AS is_train
+      FROM embeddings e JOIN pos p USING (vec_id)),
+pairs AS (SELECT q.vec_id AS qid, t.vec_id AS tid, t.y,
+            list_sum(list_transform(list_zip(q.v, t.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS dp
+          FROM e q JOIN e t ON (NOT q.is_train) AND t.is_train),
+r AS (SELECT qid, y, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY dp, tid) AS rn FROM pairs)
+SELECT qid AS vec_id, ROUND(AVG(CAST(y AS DOUBLE)), 6) AS score FROM r WHERE rn <= 5 GROUP BY qid""",
+)
+def q_knn_vote(spark, sf_dir):
+    """Exact 5-NN vote of every validation/test vector against all training vectors."""
+    e = embeddings_split(spark, sf_dir)
+    from ..scorers.knn import knn_vote
+
+    train = e.where(F.col("split") == "train")
+    qs = e.where(F.col("split") != "train")
+    res = knn_vote(train, qs, k=5, id_col="vec_id", vec_col="vec", label_col="y")
+    return res.select("vec_id", rnd("score"))
