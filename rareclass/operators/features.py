@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,34 +57,28 @@ class FeatureModel:
             return F.lit(None).cast("int")
         return m[category_value(c)]
 
+    def onehot_block(self, c: str) -> Column:
+        """Dense one-hot array over the sorted fitted categories; unseen -> all zeros."""
+        k = len(self.categories[c])
+        idx = self.category_index(c)
+        return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce((idx == i).cast("double"), F.lit(0.0)))
+
     def transform(self, df: DataFrame, label: str | None = None, keep: Sequence[str] = (), out: str = "features") -> DataFrame:
-        """E5: ``keep..., label, features`` - numeric block then one one-hot block per categorical."""
-        base = df.select(
+        """E5: ``keep..., label, features`` - numeric block then one one-hot block per categorical.
+
+        The vector is assembled from JVM array expressions (dense, like the
+        reference's encoder output), so the whole transform is one projection.
+        """
+        blocks = []
+        if self.numeric:
+            blocks.append(F.array(*self.scaled_columns(df)))
+        blocks += [self.onehot_block(c) for c in self.categorical if self.categories[c]]
+        vec = F.concat(*blocks) if len(blocks) > 1 else blocks[0]
+        return df.select(
             *keep,
             *([F.col(label).cast("double").alias("label")] if label else []),
-            *self.scaled_columns(df),
-            *[category_value(c).alias(f"__cat_{c}") for c in self.categorical],
+            array_to_vector(vec).alias(out),
         )
-        inputs = list(self.numeric)
-        if self.categorical:
-            idx = StringIndexerModel.from_arrays_of_labels(
-                [self.categories[c] for c in self.categorical],
-                inputCols=[f"__cat_{c}" for c in self.categorical],
-                outputCols=[f"__idx_{c}" for c in self.categorical],
-                handleInvalid="keep",
-            )
-            base = idx.transform(base)
-            # dropLast drops the extra "unseen" slot: unseen -> all zeros, every known category kept
-            enc = OneHotEncoder(
-                inputCols=[f"__idx_{c}" for c in self.categorical],
-                outputCols=[f"__oh_{c}" for c in self.categorical],
-                dropLast=True,
-                handleInvalid="keep",
-            ).fit(base)
-            base = enc.transform(base)
-            inputs += [f"__oh_{c}" for c in self.categorical]
-        assembled = VectorAssembler(inputCols=inputs, outputCol=out).transform(base)
-        return assembled.select(*keep, *(["label"] if label else []), out)
 
     @property
     def n_features(self) -> int:

@@ -58,15 +58,15 @@ def _attach_scalar_totals(cum: DataFrame, totals: DataFrame) -> DataFrame:
 def _points(ct: DataFrame) -> DataFrame:
     tp, fp, p, q = F.col("tp"), F.col("fp"), F.col("p"), F.col("q")
     prev_tp, prev_fp = tp - p, fp - q
-    precision = tp / (tp + fp)
-    prev_precision = F.when(prev_tp + prev_fp == 0, F.lit(1.0)).otherwise(prev_tp / (prev_tp + prev_fp))
-    recall = tp / F.col("n_pos")
+    precision = F.try_divide(tp, tp + fp)
+    prev_precision = F.when(prev_tp + prev_fp == 0, F.lit(1.0)).otherwise(F.try_divide(prev_tp, prev_tp + prev_fp))
+    recall = F.try_divide(tp, F.col("n_pos"))
     return ct.select(
         "*",
         precision.alias("precision"),
         recall.alias("recall"),
         prev_precision.alias("prev_precision"),
-        (2 * tp / (tp + fp + F.col("n_pos"))).alias("f1"),
+        F.try_divide(2 * tp, tp + fp + F.col("n_pos")).alias("f1"),
     )
 
 
@@ -82,8 +82,8 @@ def curve_metrics(df: DataFrame, label: str, score: str, by: str | Sequence[str]
     P, N = F.first("n_pos"), F.first("n_neg")
     best = F.max(F.struct(F.col("f1"), F.col("score"), F.col("precision"), F.col("recall")))
     agg = pts.groupBy(*parts).agg(
-        (F.sum(F.col("q") * (F.col("tp") - F.col("p") / 2)) / (P * N)).alias("roc_auc"),
-        F.sum(F.col("p") / F.col("n_pos") * (F.col("precision") + F.col("prev_precision")) / 2).alias("pr_auc"),
+        F.try_divide(F.sum(F.col("q") * (F.col("tp") - F.col("p") / 2)), P * N).alias("roc_auc"),
+        F.sum(F.try_divide(F.col("p"), F.col("n_pos")) * (F.col("precision") + F.col("prev_precision")) / 2).alias("pr_auc"),
         best.alias("__best"),
         P.alias("positives"),
         N.alias("negatives"),

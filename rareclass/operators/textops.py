@@ -69,3 +69,27 @@ def count_vectors(df: DataFrame, text_col: str, key: str, vocab_size: int = 100,
     toks = df.select(key, TX.drop_stop_words(TX.tokens(text_col), stop_words).alias("__toks"))
     model = CountVectorizerModel.from_vocabulary(terms, inputCol="__toks", outputCol=out)
     return model.transform(toks).select(key, out)
+
+
+def embed(df: DataFrame, text_col: str, key: str, make_predict_fn=None, batch_size: int = 128,
+          dim: int = 768, num_features: int = 1 << 18, out: str = "embedding") -> DataFrame:
+    """A text embedding column.
+
+    With ``make_predict_fn`` (a factory returning ``fn(texts: np.ndarray) ->
+    np.ndarray[batch, dim]``, e.g. a transformer's first-token vector), the
+    model runs batched on the executors through ``predict_batch_udf``.  The
+    built-in default is ``HashingTF`` + ``IDF`` over the F5/F6 tokens (a sparse
+    vector; the IDF fit is one distributed pass).
+    """
+    if make_predict_fn is not None:
+        from pyspark.ml.functions import predict_batch_udf
+        from pyspark.sql import types as T
+
+        udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+        return df.select(key, udf(F.col(text_col)).alias(out))
+    from pyspark.ml.feature import IDF, HashingTF
+
+    toks = df.select(key, TX.drop_stop_words(TX.tokens(text_col)).alias("__toks"))
+    tf = HashingTF(inputCol="__toks", outputCol="__tf", numFeatures=num_features).transform(toks)
+    idf = IDF(inputCol="__tf", outputCol=out).fit(tf)
+    return idf.transform(tf).select(key, out)

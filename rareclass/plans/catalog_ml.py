@@ -250,3 +250,145 @@ def q_knn_vote(spark, sf_dir):
     qs = e.where(F.col("split") != "train")
     res = knn_vote(train, qs, k=5, id_col="vec_id", vec_col="vec", label_col="y")
     return res.select("vec_id", rnd("score"))
+
+
+# ----------------------------------------------- scorers (rows-only checks) --
+
+
+def _split(df: DataFrame, *names: str) -> DataFrame:
+    return df.where(F.col("split").isin(*names))
+
+
+def _fit_score(scorer, train: DataFrame, score_on: DataFrame, id_needed: bool = False) -> DataFrame:
+    from ..operators.tune import score_frame
+
+    model = scorer.fit(train, "id") if id_needed else scorer.fit(train)
+    return score_frame(model, score_on, "id").select("id", rnd("score"))
+
+
+@query("features")
+def q_features(spark, sf_dir):
+    """Label + assembled feature vector per product (fitted on the training split)."""
+    from ..plans.training import product_features
+    from pyspark.ml.functions import vector_to_array
+
+    f = product_features(spark, sf_dir)
+    return f.select("id", "split", "label", vector_to_array("features").alias("features"))
+
+
+@query("logit")
+def q_logit(spark, sf_dir):
+    """M1: balanced logistic regression, validation scores."""
+    from ..plans.training import product_features
+    from ..scorers import LogitScorer
+
+    f = product_features(spark, sf_dir).persist()
+    return _fit_score(LogitScorer(), _split(f, "train"), _split(f, "validation"))
+
+
+@query("forest")
+def q_forest(spark, sf_dir):
+    """M2: balanced random forest (100 trees), validation scores."""
+    from ..plans.training import product_features
+    from ..scorers import ForestScorer
+
+    f = product_features(spark, sf_dir).persist()
+    return _fit_score(ForestScorer(), _split(f, "train"), _split(f, "validation"))
+
+
+@query("boosted")
+def q_boosted(spark, sf_dir):
+    """M3: boosted trees with the reference's default settings, validation scores."""
+    from ..plans.training import product_features
+    from ..scorers import BoostedScorer
+
+    f = product_features(spark, sf_dir).persist()
+    return _fit_score(BoostedScorer(), _split(f, "train"), _split(f, "validation"))
+
+
+@query("svm")
+def q_svm(spark, sf_dir):
+    """M4: RBF-kernel SVM (random Fourier features + Platt), validation scores."""
+    from ..plans.training import product_features
+    from ..scorers import KernelSVMScorer
+
+    f = product_features(spark, sf_dir).persist()
+    return _fit_score(KernelSVMScorer(), _split(f, "train"), _split(f, "validation"))
+
+
+@query("iforest")
+def q_iforest(spark, sf_dir):
+    """M6: isolation forest fitted on normal training embeddings (all rows per tree), held-out scores."""
+    from ..plans.training import embedding_features
+    from ..scorers import IsolationForestScorer
+
+    f = embedding_features(spark, sf_dir).persist()
+    return _fit_score(IsolationForestScorer(), _split(f, "train"), _split(f, "validation", "test"), id_needed=True)
+
+
+@query("ocsvm")
+def q_ocsvm(spark, sf_dir):
+    """M7: one-class SVM on normal training embeddings, held-out scores."""
+    from ..plans.training import embedding_features
+    from ..scorers import OneClassSVMScorer
+
+    f = embedding_features(spark, sf_dir).persist()
+    return _fit_score(OneClassSVMScorer(), _split(f, "train"), _split(f, "validation", "test"))
+
+
+@query("recon_error")
+def q_recon_error(spark, sf_dir):
+    """PCA reconstruction error (encoding_dim 32) on held-out embeddings."""
+    from ..plans.training import embedding_features
+    from ..scorers import ReconstructionScorer
+
+    f = embedding_features(spark, sf_dir).persist()
+    return _fit_score(ReconstructionScorer(32), _split(f, "train"), _split(f, "validation", "test"))
+
+
+@query("tune")
+def q_tune(spark, sf_dir):
+    """M9: 5 seeded trials (2 at a time) of logistic regression over the reference's ranges."""
+    from ..operators.tune import Categorical, Continuous, search
+    from ..plans.training import product_features
+    from ..scorers import LogitScorer
+
+    f = product_features(spark, sf_dir, stratify=True).persist()
+    ranges = {"C": Continuous(0.01, 10.0), "penalty": Categorical(("l1", "l2", "elasticnet")),
+              "class_weight": Categorical(("balanced", None))}
+    trials, _ = search(_split(f, "train"), _split(f, "validation"), LogitScorer, ranges, n_trials=5, parallelism=2)
+    return trials.select("trial", "params", rnd("roc_auc"), rnd("pr_auc"), rnd("f1"))
+
+
+@query("evaluate_compare")
+def q_evaluate_compare(spark, sf_dir):
+    """Fit three scorers, evaluate on the test split, metrics table with the best-F1 flag."""
+    from ..operators.tune import compare, evaluate
+    from ..plans.training import embedding_features
+    from ..scorers import LogitScorer, ReconstructionScorer
+
+    f = embedding_features(spark, sf_dir).persist()
+    train, test = _split(f, "train"), _split(f, "test")
+    models = {"logit": LogitScorer().fit(train), "recon_error": ReconstructionScorer(32).fit(train)}
+    metrics, best = compare(evaluate(models, test))
+    return metrics.select("model", *[rnd(c) for c in ["roc_auc", "pr_auc", "precision", "recall", "f1", "threshold"]],
+                          (F.col("model") == F.lit(best)).alias("is_best"))
+
+
+@query("embed")
+def q_embed(spark, sf_dir):
+    """Built-in HashingTF + IDF text embedding of every document (non-zeros per row)."""
+    from pyspark.ml.functions import vector_to_array  # noqa: F401
+    from ..operators.textops import embed
+
+    e = embed(table(spark, sf_dir, "documents"), "text", "doc_id")
+    nnz = F.udf(lambda v: int(v.numNonzeros()) if v is not None else 0, "int")  # tiny per-row helper
+    return e.select("doc_id", nnz("embedding").alias("nnz"))
+
+
+@query("pair_sample")
+def q_pair_sample(spark, sf_dir):
+    """Seeded sample of at most 1000 rows of the four numeric lineitem columns."""
+    from ..operators.profile import pair_sample
+
+    return pair_sample(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], 1000, 42)
