@@ -93,10 +93,21 @@ class FeatureBuilder:
         self.categorical = list(categorical)
 
     def fit(self, df: DataFrame) -> FeatureModel:
-        medians = {}
-        for c in self.numeric:
+        """Fit constants; the input is persisted for the duration (it is read
+        once per median, once for mean/std and once per categorical), and the
+        independent medians run as concurrent Spark jobs."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        from pyspark import inheritable_thread_target
+
+        df = df.persist()
+
+        def med(c: str) -> float:
             m = exact_quantile_values(df, c, [0.5], interpolate=True)[0]
-            medians[c] = float(m) if m is not None else 0.0
+            return float(m) if m is not None else 0.0
+
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            medians = dict(zip(self.numeric, pool.map(inheritable_thread_target(med), self.numeric)))
         imputed = [F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in self.numeric]
         row = None
         if imputed:
@@ -117,4 +128,5 @@ class FeatureBuilder:
             if n > MAX_CATEGORIES:
                 raise ValueError(f"{c}: {n} categories exceed {MAX_CATEGORIES}; hash or bucket it first")
             cats[c] = sorted(r["v"] for r in d.collect())  # counted bound
+        df.unpersist()
         return FeatureModel(self.numeric, self.categorical, medians, means, scales, cats)

@@ -268,7 +268,9 @@ def _rank_values(v: DataFrame, ranks: list[int], n_buckets: int, depth: int = 0)
     if not ranks:
         return out
     distinct = v.groupBy("__v").agg(F.count(F.lit(1)).alias("n"))
-    n_distinct = distinct.count()
+    # a cheap sketch decides the path; the exact count is only taken near the limit
+    approx = v.agg(F.approx_count_distinct("__v", 0.05).alias("d")).first()["d"] or 0
+    n_distinct = approx if approx <= SELECT_LIMIT // 4 else distinct.count()
     if n_distinct <= SELECT_LIMIT or depth >= 6:
         if n_distinct > SELECT_LIMIT:  # pragma: no cover - pathological sketch
             cum = value_counts_prefix(v, "__v")

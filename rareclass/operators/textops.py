@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 from ..functions import text as TX
 
 
+def filtered_tokens(df: DataFrame, text_col: str, key: str, stop_words: list[str] | None = None,
+                    out: str = "tokens") -> DataFrame:
+    """``key, tokens``: F5 tokens minus F6 stop words (hash-set lookup in the JVM)."""
+    toks = df.select(key, TX.tokens(text_col).alias("__raw"))
+    return TX.remove_stop_words(toks, "__raw", out, stop_words).select(key, out)
+
+
 def token_table(df: DataFrame, text_col: str, key: str, stop_words: list[str] | None = None) -> DataFrame:
     """One row per (document, token occurrence): F5 tokens minus F6 stop words."""
-    toks = TX.drop_stop_words(TX.tokens(text_col), stop_words)
-    return df.select(key, F.explode(toks).alias("token"))
+    return filtered_tokens(df, text_col, key, stop_words).select(key, F.explode("tokens").alias("token"))
 
 
 def term_stats(df: DataFrame, text_col: str, key: str, stop_words: list[str] | None = None) -> DataFrame:
@@ -66,7 +72,7 @@ def count_vectors(df: DataFrame, text_col: str, key: str, vocab_size: int = 100,
 
     vocab_rows = vocabulary(df, text_col, key, vocab_size, min_df, stop_words).collect()  # <= vocab_size rows
     terms = [r["token"] for r in vocab_rows]
-    toks = df.select(key, TX.drop_stop_words(TX.tokens(text_col), stop_words).alias("__toks"))
+    toks = filtered_tokens(df, text_col, key, stop_words, out="__toks")
     model = CountVectorizerModel.from_vocabulary(terms, inputCol="__toks", outputCol=out)
     return model.transform(toks).select(key, out)
 
@@ -89,7 +95,7 @@ def embed(df: DataFrame, text_col: str, key: str, make_predict_fn=None, batch_si
         return df.select(key, udf(F.col(text_col)).alias(out))
     from pyspark.ml.feature import IDF, HashingTF
 
-    toks = df.select(key, TX.drop_stop_words(TX.tokens(text_col)).alias("__toks"))
+    toks = filtered_tokens(df, text_col, key, out="__toks")
     tf = HashingTF(inputCol="__toks", outputCol="__tf", numFeatures=num_features).transform(toks)
     idf = IDF(inputCol="__tf", outputCol=out).fit(tf)
     return idf.transform(tf).select(key, out)

@@ -415,9 +415,10 @@ def q_top_tokens(spark, sf_dir):
 )
 def q_token_counts(spark, sf_dir):
     """tokens per document after stop-word removal."""
-    docs = table(spark, sf_dir, "documents")
-    toks = TX.drop_stop_words(TX.tokens("text"))
-    return docs.select("doc_id", F.size(toks).cast("long").alias("n_tokens")).where(F.col("n_tokens") > 0)
+    from ..operators.textops import filtered_tokens
+
+    toks = filtered_tokens(table(spark, sf_dir, "documents"), "text", "doc_id")
+    return toks.select("doc_id", F.size("tokens").cast("long").alias("n_tokens")).where(F.col("n_tokens") > 0)
 
 
 def queries() -> dict[str, QueryFn]:

@@ -30,7 +30,7 @@ def product_features(spark: SparkSession, sf_dir: str, fit_on: str = "train", se
     t = _transformed(spark, sf_dir).persist()
     keyed = t.select("asin", F.col(TARGET).alias("__y")) if stratify else t.select("asin")
     sp = O.split_exact(keyed, "asin", seed=seed, stratify="__y" if stratify else None).select("asin", "split")
-    joined = t.join(sp, "asin")
+    joined = t.join(sp, "asin").persist()
     fit_rows = joined.where(F.col("split") == "train") if fit_on == "train" else joined
     model = FeatureBuilder(NUMERIC_FEATURES, CATEGORICAL_FEATURES).fit(fit_rows)
     out = model.transform(joined, label=TARGET, keep=["asin", "split"])

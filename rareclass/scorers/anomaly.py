@@ -59,34 +59,40 @@ def _uniform(seed: int, *cols) -> F.Column:
 
 
 class IsolationForestModel:
-    def __init__(self, levels: list[DataFrame], depth: int, psi: float, threshold: float | None, n_trees: int,
-                 cand: int, seed: int, feats_lit):
-        self.levels, self.depth, self.psi, self.threshold = levels, depth, psi, threshold
-        self.n_trees, self.cand, self.seed, self._feats = n_trees, cand, seed, feats_lit
+    def __init__(self, levels: list[DataFrame], level_rows: list[int], depth: int, psi: float, n_trees: int,
+                 train: DataFrame, id_col: str, contamination: float):
+        self.levels, self.level_rows, self.depth, self.psi, self.n_trees = levels, level_rows, depth, psi, n_trees
+        self._train, self._id, self._cont, self._threshold = train, id_col, contamination, None
+
+    @property
+    def threshold(self) -> float | None:
+        """Score above which a row is flagged (the ``1 - contamination`` quantile of
+        the training scores); computed on first use - it needs a full traversal."""
+        if self._threshold is None:
+            scored = self.transform(self._train.select(self._id, "features"), self._id)
+            self._threshold = exact_quantile_values(scored, SCORE, [1.0 - self._cont], interpolate=True)[0]
+        return self._threshold
 
     def path_lengths(self, df: DataFrame, id_col: str) -> DataFrame:
-        """``id, path`` averaged over trees (depth reached + c(leaf size))."""
+        """``id, path`` averaged over trees (depth reached + c(leaf size)).
+
+        One linear chain of joins, one per level; each level table is broadcast
+        when its counted size is small, so the whole traversal is then a single
+        pipelined stage followed by one aggregate.
+        """
         x = vector_to_array(F.col("features"))
         cur = df.select(F.col(id_col).alias("__rid"), x.alias("__x")).select(
             "__rid", "__x", F.explode(F.sequence(F.lit(0), F.lit(self.n_trees - 1))).alias("t")
-        ).withColumn("node", F.lit(1).cast("long"))
-        done = []
-        for lvl, table in enumerate(self.levels):
-            j = cur.join(table, ["t", "node"], "left")
-            # stop at a leaf (or a node the training data never reached: size 0)
-            finished = j.where(F.col("f").isNull()).select(
-                "__rid", (F.lit(float(lvl)) + c_factor_col(F.coalesce(F.col("n"), F.lit(0)).cast("double"))).alias("path")
-            )
-            done.append(finished)
+        ).select("__rid", "__x", "t", F.lit(1).cast("long").alias("node"), F.lit(None).cast("double").alias("path"))
+        for lvl, (table, rows) in enumerate(zip(self.levels, self.level_rows)):
+            j = cur.join(broadcast_if_small(table, rows), ["t", "node"], "left")
+            # a leaf (or a node the training data never reached) ends the walk here
+            ends = F.col("path").isNull() & F.col("f").isNull()
+            path = F.when(ends, F.lit(float(lvl)) + c_factor_col(F.coalesce(F.col("n"), F.lit(0)).cast("double"))).otherwise(F.col("path"))
             go_right = F.element_at(F.col("__x"), F.col("f") + 1) >= F.col("v")
-            cur = j.where(F.col("f").isNotNull()).select(
-                "__rid", "__x", "t", (F.col("node") * 2 + go_right.cast("long")).alias("node")
-            )
-        # rows still moving after the last level (cannot happen: the last level is all leaves)
-        out = done[0]
-        for d in done[1:]:
-            out = out.unionByName(d)
-        return out.groupBy("__rid").agg(F.avg("path").alias("path")).withColumnRenamed("__rid", id_col)
+            node = F.when(F.col("f").isNotNull(), F.col("node") * 2 + go_right.cast("long")).otherwise(F.lit(-1).cast("long"))
+            cur = j.select("__rid", "__x", "t", node.alias("node"), path.alias("path"))
+        return cur.groupBy("__rid").agg(F.avg("path").alias("path")).withColumnRenamed("__rid", id_col)
 
     def transform(self, df: DataFrame, id_col: str = "id") -> DataFrame:
         pl = self.path_lengths(df, id_col)
@@ -137,6 +143,7 @@ class IsolationForestScorer:
             return F.element_at(sub, (idx + 1).cast("int"))
 
         levels: list[DataFrame] = []
+        level_rows: list[int] = []
         for lvl in range(depth + 1):
             cur = cur.select("__rid", "__x", "t", "node", *[cand_feature(k).alias(f"f{k}") for k in range(self.K)])
             vals = [F.element_at(F.col("__x"), F.col(f"f{k}") + 1) for k in range(self.K)]
@@ -159,24 +166,22 @@ class IsolationForestScorer:
                 F.when(splittable, pick_f).alias("f"),  # 0-based feature index
                 F.when(splittable, pick_lo + u * (pick_hi - pick_lo)).alias("v"),
             )
-            table = cut_lineage(table)
+            table = cut_lineage(table)  # small: (tree, node) rows of this level
+            row = table.agg(F.count(F.lit(1)).alias("n"), F.count("f").alias("s")).first()
             levels.append(table)
-            if lvl == depth:
+            level_rows.append(int(row["n"]))
+            if lvl == depth or int(row["s"]) == 0:
                 break
-            n_nodes = table.count()
-            splits = broadcast_if_small(table.where(F.col("f").isNotNull()), n_nodes)
+            splits = broadcast_if_small(table.where(F.col("f").isNotNull()), int(row["s"]))
             go_right = F.element_at(F.col("__x"), F.col("f") + 1) >= F.col("v")
             cur = cur.join(splits, ["t", "node"], "inner").select(
                 "__rid", "__x", "t", (F.col("node") * 2 + go_right.cast("long")).alias("node")
             )
-            cur = cut_lineage(cur)
-            if cur.isEmpty():
-                break
+            if lvl % 3 == 2:
+                cur = cut_lineage(cur)  # bound the lineage of the replicated rows
         base.unpersist()
-        model = IsolationForestModel(levels, depth, psi, None, self.T, self.K, self.seed, feats)
-        scored = model.transform(normals.select(id_col, "features"), id_col)
-        model.threshold = exact_quantile_values(scored, SCORE, [1.0 - self.cont], interpolate=True)[0]
-        return model
+        return IsolationForestModel(levels, level_rows, depth, psi, self.T, normals.select(id_col, "features"), id_col,
+                                    self.cont)
 
 
 class OneClassSVMModel:
