@@ -9,7 +9,9 @@ operator here instead uses a *distributed prefix sum*:
    re-execution - e.g. after an executor is lost - assigns the same bucket);
 2. a running sum inside each bucket (a window partitioned by bucket: ``B``
    parallel tasks of about ``rows / B`` rows each);
-3. bucket totals (``B`` rows) turned into exclusive offsets and broadcast back.
+3. bucket totals (at most ``B + 1`` rows, collected) turned into exclusive
+   offsets applied as literals indexed by bucket (grouped sums: a table of
+   offsets per group, broadcast only behind a count).
 
 Callers pre-aggregate duplicate keys first (``groupBy(key).count()``), so a key
 that holds a third of all rows is still one row here and cannot skew a bucket.
@@ -122,18 +124,28 @@ def prefix_sum(
     )
 
     totals = bucketed.groupBy(*parts, _BUCKET).agg(*[F.sum(F.col(v)).alias(f"__tot_{v}") for v in values])
+    if not parts:
+        # at most len(bounds) + 2 rows (a proven bound): offsets become literals
+        # indexed by bucket - no single-partition window, no join
+        tot = {r[_BUCKET]: r for r in totals.collect()}
+        n_b = len(bounds) + 1
+        offs_exprs = []
+        for v in values:
+            acc, offs = 0, []
+            for b in range(-1, n_b):
+                offs.append(acc)
+                row = tot.get(b)
+                acc += (row[f"__tot_{v}"] or 0) if row is not None else 0
+            arr = F.array(*[F.lit(o) for o in offs])
+            offs_exprs.append((F.col(f"__loc_{v}") + F.element_at(arr, F.col(_BUCKET) + 2)).alias(f"{v}{suffix}"))
+        return local.select(*[c for c in df.columns], *offs_exprs)
     w_off = Window.partitionBy(*parts).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *parts,
         _BUCKET,
         *[F.coalesce(F.sum(f"__tot_{v}").over(w_off), F.lit(0)).alias(f"__off_{v}") for v in values],
     )
-    if parts:
-        n_off = offsets.count()
-        offsets = broadcast_if_small(offsets, n_off)
-    else:
-        # at most len(bounds) + 2 rows: a proven bound
-        offsets = F.broadcast(offsets)
+    offsets = broadcast_if_small(offsets, offsets.count())
     joined = local.join(offsets, on=[*parts, _BUCKET], how="inner")
     out = joined.select(
         *[c for c in df.columns],
