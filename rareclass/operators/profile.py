@@ -209,3 +209,10 @@ def pair_sample(df: DataFrame, cols: Sequence[str], n: int = 1000, seed: int = 4
         return df.select(*cols)
     frac = min(1.0, 1.2 * n / total)
     return df.select(*cols).sample(fraction=frac, seed=seed).limit(n)
+
+
+def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
+    """O2: the first ``n`` rows under a total order (``TakeOrderedAndProject``:
+    each task keeps its own ``n`` rows), so the preview is deterministic."""
+    keys = list(order_by) if order_by else list(df.columns)
+    return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)

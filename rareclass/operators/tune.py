@@ -37,6 +37,60 @@ class Categorical:
     values: tuple
 
 
+# ---------------------------------------------------------------------------
+# The reference's search ranges per tuner (M9).
+RANGES: dict[str, dict[str, object]] = {
+    "boosted": {
+        "eta": Continuous(0.01, 0.3),
+        "min_child_weight": Integer(1, 5),
+        "max_depth": Integer(3, 10),
+        "num_round": Integer(50, 200),
+        "scale_pos_weight": Continuous(1, 20),
+    },
+    "logit": {
+        "C": Continuous(0.01, 10.0),
+        "penalty": Categorical(("l1", "l2", "elasticnet")),
+        "class_weight": Categorical(("balanced", "None")),
+    },
+    "forest": {
+        "n_estimators": Integer(50, 300),
+        "max_depth": Integer(3, 15),
+        "min_samples_split": Integer(2, 20),
+        "min_samples_leaf": Integer(1, 10),
+        "class_weight": Categorical(("balanced", "balanced_subsample")),
+    },
+    "kernel_svm": {
+        "C": Continuous(0.01, 100.0),
+        "kernel": Categorical(("linear", "rbf", "poly")),
+        "gamma": Categorical(("scale", "auto")),
+        "class_weight": Categorical(("balanced", "None")),
+    },
+    "iforest": {
+        "n_estimators": Integer(50, 300),
+        "max_samples": Continuous(0.1, 1.0),
+        "contamination": Continuous(0.01, 0.3),
+        "max_features": Continuous(0.1, 1.0),
+    },
+    "one_class_svm": {
+        "nu": Continuous(0.01, 0.5),
+        "kernel": Categorical(("linear", "rbf", "poly")),
+        "gamma": Categorical(("scale", "auto")),
+    },
+    "knn": {
+        "n_neighbors": Integer(3, 20),
+        "weights": Categorical(("uniform", "distance")),
+        "p": Integer(1, 2),
+        "metric": Categorical(("euclidean", "manhattan", "minkowski")),
+    },
+    "recon_error": {
+        "encoding_dim": Integer(8, 64),
+    },
+}
+# The solver choice (liblinear/saga) and the network's learning rate, batch size,
+# epochs and dropout have no counterpart in the Spark scorers and are not drawn.
+# ---------------------------------------------------------------------------
+
+
 def draw(ranges: Mapping[str, object], rng: np.random.Generator) -> dict:
     out = {}
     for name, r in ranges.items():
@@ -45,7 +99,8 @@ def draw(ranges: Mapping[str, object], rng: np.random.Generator) -> dict:
         elif isinstance(r, Integer):
             out[name] = int(rng.integers(r.lo, r.hi + 1))
         elif isinstance(r, Categorical):
-            out[name] = r.values[int(rng.integers(0, len(r.values)))]
+            v = r.values[int(rng.integers(0, len(r.values)))]
+            out[name] = None if v == "None" else v
         else:
             out[name] = r
     return out

@@ -349,14 +349,12 @@ def q_recon_error(spark, sf_dir):
 @query("tune")
 def q_tune(spark, sf_dir):
     """M9: 5 seeded trials (2 at a time) of logistic regression over the reference's ranges."""
-    from ..operators.tune import Categorical, Continuous, search
+    from ..operators.tune import RANGES, search
     from ..plans.training import product_features
     from ..scorers import LogitScorer
 
     f = product_features(spark, sf_dir, stratify=True).persist()
-    ranges = {"C": Continuous(0.01, 10.0), "penalty": Categorical(("l1", "l2", "elasticnet")),
-              "class_weight": Categorical(("balanced", None))}
-    trials, _ = search(_split(f, "train"), _split(f, "validation"), LogitScorer, ranges, n_trials=5, parallelism=2)
+    trials, _ = search(_split(f, "train"), _split(f, "validation"), LogitScorer, RANGES["logit"], n_trials=5, parallelism=2)
     return trials.select("trial", "params", rnd("roc_auc"), rnd("pr_auc"), rnd("f1"))
 
 

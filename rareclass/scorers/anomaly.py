@@ -185,8 +185,13 @@ class IsolationForestScorer:
 
 
 class OneClassSVMModel:
-    def __init__(self, fmap, w: np.ndarray, rho: float):
+    def __init__(self, fmap, w: np.ndarray, rho: float, objective: list[float] | None = None):
         self.fmap, self.w, self.rho = fmap, w, rho
+        self.objective = objective or []
+
+    def history(self) -> list[float]:
+        """The nu-objective after each iteration."""
+        return list(self.objective)
 
     def transform(self, df: DataFrame) -> DataFrame:
         mapped = self.fmap(df)
@@ -216,7 +221,9 @@ class OneClassSVMScorer:
         dim = len(z.first()["z"]) if n else 0
         w = np.zeros(dim)
         rho = 0.0
-        part_schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("s", T.ArrayType(T.DoubleType()))])
+        part_schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("s", T.ArrayType(T.DoubleType())),
+                                    T.StructField("h", T.DoubleType())])
+        objective: list[float] = []
         for it in range(1, self.iters + 1):
             w_now, rho_now = w.copy(), rho
 
@@ -226,19 +233,23 @@ class OneClassSVMScorer:
                     if len(pdf) == 0:
                         continue
                     Z = np.stack([np.asarray(a, dtype=np.float64) for a in pdf["z"].to_numpy()])
-                    v = Z @ w_now < rho_now
-                    yield pd.DataFrame({"k": [int(v.sum())], "s": [Z[v].sum(axis=0).tolist()]})
+                    m = Z @ w_now
+                    v = m < rho_now
+                    yield pd.DataFrame({"k": [int(v.sum())], "s": [Z[v].sum(axis=0).tolist()],
+                                        "h": [float(np.maximum(0.0, rho_now - m).sum())]})
 
             parts = z.mapInPandas(partial, part_schema).collect()  # one row per batch: a bounded partial aggregate
             k = sum(int(r["k"]) for r in parts)
             s = np.sum([np.asarray(r["s"]) for r in parts], axis=0) if parts else np.zeros(dim)
+            hinge = sum(float(r["h"]) for r in parts)
+            objective.append(0.5 * float(w @ w) + hinge / (self.nu * n) - rho)
             gw = w - s / (self.nu * n)
             grho = k / (self.nu * n) - 1.0
             eta = 1.0 / math.sqrt(it)
             w = w - eta * gw
             rho = rho - eta * grho
         z.unpersist()
-        return OneClassSVMModel(fmap, w, rho)
+        return OneClassSVMModel(fmap, w, rho, objective)
 
 
 class ReconstructionModel:

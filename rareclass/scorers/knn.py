@@ -176,3 +176,34 @@ def knn_brute_force(train: DataFrame, queries: DataFrame, k: int = 5, id_col: st
 
 
 __all__ = ["knn_vote", "knn_brute_force", "broadcast_if_small"]
+
+
+class KNNModel:
+    """Fitted M5: keeps the training rows; scoring is :func:`knn_vote`."""
+
+    def __init__(self, train: DataFrame, k: int, weights: str, p: float, id_col: str):
+        self.train, self.k, self.weights, self.p, self.id_col = train, k, weights, p, id_col
+
+    def transform(self, df: DataFrame, id_col: str | None = None) -> DataFrame:
+        from pyspark.ml.functions import vector_to_array
+
+        idc = id_col or self.id_col
+        qs = df.select(F.col(idc).alias("id"), vector_to_array("features").alias("vec"))
+        s = knn_vote(self.train, qs, k=self.k, id_col="id", vec_col="vec", label_col="label",
+                     weights=self.weights, p=self.p)
+        return df.join(s.withColumnRenamed("id", idc), idc, "left")
+
+
+class KNNScorer:
+    """M5 in the common scorer contract: ``n_neighbors``, ``weights`` (uniform /
+    distance), Minkowski ``p``; ``metric`` euclidean = p 2, manhattan = p 1."""
+
+    def __init__(self, n_neighbors: int = 5, weights: str = "uniform", p: int = 2, metric: str = "minkowski"):
+        self.k, self.weights = n_neighbors, weights
+        self.p = {"euclidean": 2, "manhattan": 1}.get(metric, p)
+
+    def fit(self, train: DataFrame, id_col: str = "id") -> KNNModel:
+        from pyspark.ml.functions import vector_to_array
+
+        tr = train.select(F.col(id_col).alias("id"), vector_to_array("features").alias("vec"), "label")
+        return KNNModel(tr, self.k, self.weights, self.p, id_col)

@@ -40,11 +40,20 @@ def positive_probability(col: str = "probability") -> F.Column:
 
 
 class _Fitted:
-    def __init__(self, model, score_fn, prepare=None):
+    """A fitted MLlib classifier whose positive-class probability is the score."""
+
+    def __init__(self, model, score_fn=None, prepare=None):
         self.model = model
-        self._score = score_fn
+        self._score = score_fn or positive_probability
         self._prepare = prepare
 
+    def history(self):
+        """Objective per iteration when MLlib keeps it (logistic regression)."""
+        try:
+            return list(self.model.summary.objectiveHistory)
+        except Exception:  # noqa: BLE001 - models without a training summary
+            return []
+
     def transform(self, df: DataFrame) -> DataFrame:
         x = self._prepare(df) if self._prepare else df
         out = self.model.transform(x)
@@ -156,16 +165,49 @@ class FourierFeatures:
         return df.withColumn(out, array_to_vector(rff(vector_to_array(F.col(features)))))
 
 
-def kernel_map(train: DataFrame, kernel: str, gamma: str | float, n_components: int, degree: int, seed: int):
-    """Feature map for M4/M7: identity (linear), RFF (rbf), polynomial expansion (poly)."""
-    if kernel == "linear":
-        return lambda df: df.withColumn("kfeat", F.col("features"))
-    if kernel == "poly":
-        pe = PolynomialExpansion(degree=degree, inputCol="features", outputCol="kfeat")
-        return pe.transform
-    g, d = gamma_value(train, gamma)
-    ff = FourierFeatures(d, g, n_components, seed)
-    return lambda df: ff.transform(df, out="kfeat")
+class KernelMap:
+    """Feature map for M4/M7: identity (linear), random Fourier features (rbf),
+    polynomial expansion (poly).  Fully described by :meth:`spec`, so a saved
+    model rebuilds the same map (the RFF draws come from the seed)."""
+
+    def __init__(self, kernel: str, gamma: float | None = None, d: int | None = None, n_components: int = 256,
+                 degree: int = 3, seed: int = 42):
+        self.kernel, self.gamma, self.d, self.D, self.degree, self.seed = kernel, gamma, d, n_components, degree, seed
+        self._ff = FourierFeatures(d, gamma, n_components, seed) if kernel == "rbf" else None
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        if self.kernel == "linear":
+            return df.withColumn("kfeat", F.col("features"))
+        if self.kernel == "poly":
+            return PolynomialExpansion(degree=self.degree, inputCol="features", outputCol="kfeat").transform(df)
+        return self._ff.transform(df, out="kfeat")
+
+    def spec(self) -> dict:
+        return {"kernel": self.kernel, "gamma": self.gamma, "d": self.d, "n_components": self.D,
+                "degree": self.degree, "seed": self.seed}
+
+    @classmethod
+    def from_spec(cls, spec: dict) -> "KernelMap":
+        return cls(**spec)
+
+
+def kernel_map(train: DataFrame, kernel: str, gamma: str | float, n_components: int, degree: int, seed: int) -> KernelMap:
+    if kernel == "rbf":
+        g, d = gamma_value(train, gamma)
+        return KernelMap("rbf", g, d, n_components, degree, seed)
+    return KernelMap(kernel, None, None, n_components, degree, seed)
+
+
+class KernelSVMModel:
+    """Fitted M4: linear SVM on the feature map + Platt coefficients."""
+
+    def __init__(self, svc, fmap: KernelMap, coef: float, icpt: float):
+        self.svc, self.fmap, self.coef, self.icpt = svc, fmap, coef, icpt
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        m = vector_to_array("rawPrediction")[1]
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(self.coef) * m + F.lit(self.icpt))))
+        return self.svc.transform(self.fmap(df)).select(*df.columns, p.alias(SCORE))
 
 
 class KernelSVMScorer:
@@ -187,13 +229,4 @@ class KernelSVMScorer:
         platt_in = VectorAssembler(inputCols=["m"], outputCol="pf").transform(margin)
         platt = LogisticRegression(featuresCol="pf", weightCol="weight", regParam=0.0, maxIter=100).fit(platt_in)
         coef, icpt = float(platt.coefficients[0]), float(platt.intercept)
-
-        class _Model:
-            def transform(self_inner, x: DataFrame) -> DataFrame:
-                return svc.transform(fmap(x))
-
-        def score():
-            m = vector_to_array("rawPrediction")[1]
-            return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(coef) * m + F.lit(icpt))))
-
-        return _Fitted(_Model(), score)
+        return KernelSVMModel(svc, fmap, coef, icpt)
