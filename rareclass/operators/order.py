@@ -403,7 +403,7 @@ def split_exact(
     acc = 0.0
     for f in fractions[:-1]:
         acc += f
-        cum.append(acc)
+        cum.append(round(acc, 12))  # 0.1 + 0.2 is the cut 0.3, not 0.30000000000000004
     pos = shuffle_position(df, key, seed, out="__pos", partition_by=stratify)
     if stratify:
         n_by = df.groupBy(stratify).agg(F.count(F.lit(1)).alias("__n"))

@@ -431,3 +431,52 @@ def oracle_sql() -> dict[str, str]:
     from . import catalog_ml  # noqa: F401
 
     return dict(SQL)
+
+
+@query(
+    "null_profile_post_clean",
+    _with(
+        "SELECT "
+        + ", ".join(
+            f"ROUND(CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS DOUBLE) / (SELECT COUNT(*) FROM nulled) * 100, 6) AS {c}"
+            for c in _CLEANED_OUT
+        )
+        + " FROM cleaned"
+    ),
+)
+def q_null_profile_post_clean(spark, sf_dir):
+    """A4: NULL percent of the cleaned table against the pre-drop row count (as the reference divides)."""
+    cleaned, report = PD.clean_products(PD.products_raw(spark, sf_dir))
+    prof = PR.null_percent(cleaned.select(*_CLEANED_OUT), total=report.total_rows)
+    return prof.select(*[rnd(c) for c in prof.columns])
+
+
+_CLEAN_NUM = ["stars", "reviews", "price", "listPrice", "boughtInLastMonth"]
+
+
+@query(
+    "describe_products",
+    _with(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column, COUNT({c}) AS count, ROUND(AVG({c}), 6) AS mean, ROUND(STDDEV_SAMP({c}), 6) AS stddev, "
+            f"ROUND(CAST(MIN({c}) AS DOUBLE), 6) AS min, ROUND(CAST(MAX({c}) AS DOUBLE), 6) AS max FROM cleaned"
+            for c in _CLEAN_NUM
+        )
+    ),
+)
+def q_describe_products(spark, sf_dir):
+    """A3: typed describe of the cleaned listing's numeric columns."""
+    d = PR.describe_typed(_cleaned(spark, sf_dir), _CLEAN_NUM)
+    return d.select("column", "count", rnd("mean"), rnd("stddev"), rnd("min"), rnd("max"))
+
+
+@query(
+    "preview_orders",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, ROUND(o_totalprice, 6) AS o_totalprice FROM orders "
+    "ORDER BY o_totalprice DESC, o_orderkey LIMIT 10",
+)
+def q_preview_orders(spark, sf_dir):
+    """O2: first rows under a total order (a top-10 report - the limit is the feature)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    top = o.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey")).limit(10)
+    return top.select("o_orderkey", "o_custkey", "o_orderstatus", rnd("o_totalprice"))

@@ -390,3 +390,82 @@ def q_pair_sample(spark, sf_dir):
     from ..operators.profile import pair_sample
 
     return pair_sample(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], 1000, 42)
+
+
+# ------------------------------------------------------ more oracle checks --
+
+
+@query(
+    "count_vectors",
+    "WITH "
+    + __import__("rareclass.plans.catalog", fromlist=["_tokens_sql"])._tokens_sql()
+    + """,
+tf AS (SELECT tok AS token, COUNT(*) AS count, COUNT(DISTINCT doc_id) AS docs FROM kept GROUP BY tok),
+vocab AS (SELECT token FROM tf WHERE docs >= 5 ORDER BY count DESC, token LIMIT 100)
+SELECT k.doc_id, CAST(COUNT(*) AS DOUBLE) AS n_vocab_tokens, CAST(COUNT(DISTINCT k.tok) AS INTEGER) AS n_terms
+FROM kept k JOIN vocab v ON k.tok = v.token GROUP BY k.doc_id""",
+)
+def q_count_vectors(spark, sf_dir):
+    """Count vectors over the 100-term vocabulary (minDF 5): tokens and distinct terms per document."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ..operators.textops import count_vectors
+
+    cv = count_vectors(table(spark, sf_dir, "documents"), "text", "doc_id", vocab_size=100, min_df=5)
+    arr = vector_to_array("features")
+    out = cv.select(
+        "doc_id",
+        F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("n_vocab_tokens"),
+        F.size(F.filter(arr, lambda x: x > 0)).alias("n_terms"),
+    )
+    return out.where(F.col("n_terms") > 0)
+
+
+@query(
+    "stratified_split",
+    """
+WITH s AS (
+  SELECT doc_id, toxic,
+    ROW_NUMBER() OVER (PARTITION BY toxic ORDER BY md5(CAST(doc_id AS VARCHAR) || '#13'), doc_id) AS pos,
+    COUNT(*) OVER (PARTITION BY toxic) AS n
+  FROM labels)
+SELECT doc_id, toxic,
+  CASE WHEN pos <= FLOOR(CAST(0.7 AS DOUBLE) * n) THEN 'train'
+       WHEN pos <= FLOOR(CAST(0.85 AS DOUBLE) * n) THEN 'validation'
+       ELSE 'test' END AS split
+FROM s""",
+)
+def q_stratified_split(spark, sf_dir):
+    """O5 (stratified): the exact 70/15/15 cut applied within each class of the toxic label."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return O.split_exact(labels, "doc_id", seed=13, stratify="toxic").select("doc_id", "toxic", "split")
+
+
+@query(
+    "knn_vote_l1_distance",
+    f"""
+WITH pos AS (SELECT vec_id, ROW_NUMBER() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR) || '#13'), vec_id) AS pos,
+                    COUNT(*) OVER () AS n FROM embeddings),
+e AS (SELECT e.vec_id, list_transform(e.embedding, lambda x: CAST(x AS DOUBLE)) AS v,
+        CASE WHEN e.label = {POSITIVE_CLASS} THEN 1 ELSE 0 END AS y,
+        p.pos <= FLOOR(CAST(0.7 AS DOUBLE) * p.n) AS is_train
+      FROM embeddings e JOIN pos p USING (vec_id)),
+pairs AS (SELECT q.vec_id AS qid, t.vec_id AS tid, t.y,
+            list_sum(list_transform(list_zip(q.v, t.v), lambda z: abs(z[1] - z[2]))) AS dp
+          FROM e q JOIN e t ON (NOT q.is_train) AND t.is_train),
+r AS (SELECT qid, y, dp, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY dp, tid) AS rn FROM pairs),
+k AS (SELECT * FROM r WHERE rn <= 7)
+SELECT qid AS vec_id,
+  ROUND(CASE WHEN MAX(CASE WHEN dp = 0 THEN 1 ELSE 0 END) = 1
+             THEN SUM(CASE WHEN dp = 0 THEN CAST(y AS DOUBLE) ELSE 0 END) / SUM(CASE WHEN dp = 0 THEN 1.0 ELSE 0 END)
+             ELSE SUM(y / dp) / SUM(1.0 / dp) END, 6) AS score
+FROM k GROUP BY qid""",
+)
+def q_knn_vote_l1_distance(spark, sf_dir):
+    """M5 variant: 7 neighbours, Manhattan distance, 1/distance-weighted vote."""
+    from ..scorers.knn import knn_vote
+
+    e = embeddings_split(spark, sf_dir)
+    res = knn_vote(e.where(F.col("split") == "train"), e.where(F.col("split") != "train"), k=7, id_col="vec_id",
+                   vec_col="vec", label_col="y", weights="distance", p=1)
+    return res.select("vec_id", rnd("score"))

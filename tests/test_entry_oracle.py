@@ -9,7 +9,8 @@ FAST_ORACLE = [
     "category_counts", "melt_summary", "describe_typed", "histogram", "box_stats", "box_stats_by", "corr_matrix",
     "exact_median", "percent_rank_dist", "exact_split", "running_total", "text_clean", "top_tokens", "token_counts",
     "roc_pr_auc", "pr_curve", "confusion_at", "class_weights", "model_metrics", "best_model", "impute_scale",
-    "onehot", "knn_vote",
+    "onehot", "knn_vote", "null_profile_post_clean", "describe_products", "preview_orders", "count_vectors",
+    "stratified_split", "knn_vote_l1_distance",
 ]
 
 
