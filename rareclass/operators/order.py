@@ -40,9 +40,39 @@ def _cols(x: str | Sequence[str] | None) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _width(t) -> int:
+    """Rough bytes per value (Spark's own default sizes: 8 for numbers, 20 for text)."""
+    from pyspark.sql import types as T
+
+    if isinstance(t, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(t, (T.ShortType,)):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.DecimalType)):
+        return 8
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return 20
+    if isinstance(t, T.StructType):
+        return sum(_width(f.dataType) for f in t.fields)
+    return 64  # arrays, maps, vectors
+
+
 def broadcast_if_small(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a counted size bound."""
-    return F.broadcast(df) if n_rows <= max_rows else df
+    """Broadcast hint only behind a counted size bound.
+
+    Both the counted rows and the estimated bytes (rows x the schema's default
+    width) must be small; the byte budget is 4x the session's
+    ``spark.sql.autoBroadcastJoinThreshold`` (at least 32 MB).
+    """
+    width = sum(_width(f.dataType) for f in df.schema.fields) + 8
+    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760") or "10485760"
+    try:
+        budget = max(4 * int(str(conf).rstrip("bB")), 32 << 20)
+    except ValueError:
+        budget = 32 << 20
+    return F.broadcast(df) if (n_rows <= max_rows and n_rows * width <= budget) else df
 
 
 def range_boundaries(df: DataFrame, key: Column, n_buckets: int, accuracy: int = 20000) -> list[float]:

@@ -228,20 +228,28 @@ class OneClassSVMScorer:
             w_now, rho_now = w.copy(), rho
 
             def partial(batches, w_now=w_now, rho_now=rho_now):
-                # per Arrow batch: violators' count and vector sum (one row out)
+                # one row per partition: violators' count, vector sum and hinge sum
+                k, h, acc = 0, 0.0, np.zeros(dim)
                 for pdf in batches:
                     if len(pdf) == 0:
                         continue
                     Z = np.stack([np.asarray(a, dtype=np.float64) for a in pdf["z"].to_numpy()])
                     m = Z @ w_now
                     v = m < rho_now
-                    yield pd.DataFrame({"k": [int(v.sum())], "s": [Z[v].sum(axis=0).tolist()],
-                                        "h": [float(np.maximum(0.0, rho_now - m).sum())]})
-
-            parts = z.mapInPandas(partial, part_schema).collect()  # one row per batch: a bounded partial aggregate
-            k = sum(int(r["k"]) for r in parts)
-            s = np.sum([np.asarray(r["s"]) for r in parts], axis=0) if parts else np.zeros(dim)
-            hinge = sum(float(r["h"]) for r in parts)
+                    k += int(v.sum())
+                    acc += Z[v].sum(axis=0)
+                    h += float(np.maximum(0.0, rho_now - m).sum())
+                yield pd.DataFrame({"k": [k], "s": [acc.tolist()], "h": [h]})
+
+            parts = z.mapInPandas(partial, part_schema)
+            # element-wise sum on the executors: only dim + 1 numbers reach the driver
+            tot = parts.agg(F.sum("k").alias("k"), F.sum("h").alias("h")).first()
+            sums = parts.select(F.posexplode("s").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
+            k = int(tot["k"] or 0)
+            hinge = float(tot["h"] or 0.0)
+            s = np.zeros(dim)
+            for r in sums:
+                s[r["i"]] = r["x"]
             objective.append(0.5 * float(w @ w) + hinge / (self.nu * n) - rho)
             gw = w - s / (self.nu * n)
             grho = k / (self.nu * n) - 1.0
@@ -279,14 +287,15 @@ class ReconstructionScorer:
 
     def fit(self, train: DataFrame) -> ReconstructionModel:
         normals = train.where(F.col("label") == 0) if "label" in train.columns else train
+        from pyspark.ml.stat import Summarizer
+
         arr = vector_to_array(F.col("features"))
-        d = int(normals.select(F.size(arr).alias("d")).agg(F.max("d")).first()[0] or 1)
-        row = normals.select(arr.alias("a")).agg(
-            F.array(*[F.avg(F.col("a")[i]) for i in range(d)]).alias("m"),
-            F.array(*[F.stddev_pop(F.col("a")[i]) for i in range(d)]).alias("s"),
-        ).first()
-        mean = np.array([v or 0.0 for v in row["m"]])
-        scale = np.array([v if v and v > 1e-300 else 1.0 for v in row["s"]])
+        row = normals.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("features")).alias("s")).first()["s"]
+        mean = row["mean"].toArray()
+        n = float(row["count"] or 1)
+        var_pop = row["variance"].toArray() * ((n - 1.0) / n if n > 1 else 0.0)  # population variance
+        d = len(mean)
+        scale = np.array([math.sqrt(v) if v > 1e-300 else 1.0 for v in var_pop])
         ml = F.array(*[F.lit(float(v)) for v in mean])
         sl = F.array(*[F.lit(float(v)) for v in scale])
         scaled = normals.select(
