@@ -127,9 +127,12 @@ class IsolationForestScorer:
         depth = int(math.ceil(math.log2(psi)))
         rng = np.random.default_rng(self.seed)
         m = max(1, int(self.mf * d))
-        subsets = [sorted(rng.choice(d, size=m, replace=False).tolist()) if m < d else list(range(d)) for _ in range(self.T)]
-        feats = F.array(*[F.array(*[F.lit(int(i)) for i in s]) for s in subsets])
-
+        # Per-tree feature subset of size m without a (trees x features) literal:
+        # {(a_t * i + b_t) mod d : i < m} with a_t coprime to d - a seeded
+        # pseudo-random subset; with max_features=1.0 every feature is used.
+        coprime = [a for a in range(1, d + 1) if math.gcd(a, d) == 1] or [1]
+        a_lit = F.array(*[F.lit(int(rng.choice(coprime))) for _ in range(self.T)])
+        b_lit = F.array(*[F.lit(int(rng.integers(0, d))) for _ in range(self.T)])
         cur = base.select(
             "__rid", "__x", F.explode(F.sequence(F.lit(0), F.lit(self.T - 1))).alias("t")
         )
@@ -138,9 +141,12 @@ class IsolationForestScorer:
         cur = cur.withColumn("node", F.lit(1).cast("long"))
 
         def cand_feature(k: int) -> F.Column:
-            sub = F.element_at(feats, F.col("t") + 1)
-            idx = F.pmod(F.xxhash64(F.lit(self.seed), F.col("t"), F.col("node"), F.lit(k)), F.size(sub))
-            return F.element_at(sub, (idx + 1).cast("int"))
+            idx = F.pmod(F.xxhash64(F.lit(self.seed), F.col("t"), F.col("node"), F.lit(k)), F.lit(m))
+            if m >= d:
+                return idx.cast("int")
+            a = F.element_at(a_lit, F.col("t") + 1)
+            b = F.element_at(b_lit, F.col("t") + 1)
+            return F.pmod(a * idx + b, F.lit(d)).cast("int")
 
         levels: list[DataFrame] = []
         level_rows: list[int] = []
