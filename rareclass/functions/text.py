@@ -85,8 +85,9 @@ def clean_text(col: Column | str, keep_cjk: bool = False) -> Column:
     """drop emoji/symbol ranges, drop characters outside word/space/kept
     punctuation, collapse whitespace runs to one space (no trim, no lower)."""
     c = F.col(col) if isinstance(col, str) else col
-    c = F.regexp_replace(c, emoji_pattern(keep_cjk), "")
-    c = F.regexp_replace(c, special_char_pattern(), "")
+    # both deletion passes decide per character, so they commute: one scan
+    # deletes the union; only the whitespace collapse needs the result
+    c = F.regexp_replace(c, emoji_pattern(keep_cjk) + "|" + special_char_pattern(), "")
     return F.regexp_replace(c, space_run_pattern(), " ")
 
 
