@@ -462,3 +462,8 @@ def running_total(df: DataFrame, order_col: str, value_col: str, out: str | None
     agg = df.groupBy(order_col).agg(F.sum(value_col).alias(value_col))
     res = prefix_sum(agg, [F.col(order_col).asc_nulls_first()], F.col(order_col), [value_col])
     return res.withColumnRenamed(f"{value_col}_cum", out or f"{value_col}_cum")
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, interpolate: bool = False) -> float | None:
+    """A5 in the signature of SURVEY §2.13: one exact quantile as a scalar."""
+    return exact_quantile_values(df, col, [q], interpolate)[0]
