@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .order import exact_quantile_values
+from .order import exact_quantile_values, exact_quantiles_by_column
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -90,12 +90,14 @@ def median_of(df: DataFrame, col: str, interpolate: bool = False, exclude: float
 
 
 def fill_median(df: DataFrame, cols: Sequence[str], interpolate: bool = False, exclude_sentinel: float | None = None) -> DataFrame:
-    """Fill NULLs of each column with its exact median."""
-    fills = {}
-    for c in cols:
-        m = median_of(df, c, interpolate, exclude_sentinel)
-        if m is not None:
-            fills[c] = m
+    """Fill NULLs of each column with its exact median (all medians share one plan)."""
+    src = df
+    if exclude_sentinel is not None:
+        fills = {c: median_of(df, c, interpolate, exclude_sentinel) for c in cols}
+    else:
+        meds = exact_quantiles_by_column(src, list(cols), [0.5], interpolate)
+        fills = {c: meds[c][0] for c in cols}
+    fills = {c: v for c, v in fills.items() if v is not None}
     return df.na.fill(fills) if fills else df
 
 

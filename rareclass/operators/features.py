@@ -21,7 +21,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .order import exact_quantile_values
+from .order import exact_quantiles_by_column
 
 MISSING = "missing"
 MAX_CATEGORIES = 100_000
@@ -93,21 +93,12 @@ class FeatureBuilder:
         self.categorical = list(categorical)
 
     def fit(self, df: DataFrame) -> FeatureModel:
-        """Fit constants; the input is persisted for the duration (it is read
-        once per median, once for mean/std and once per categorical), and the
-        independent medians run as concurrent Spark jobs."""
-        from concurrent.futures import ThreadPoolExecutor
-
-        from pyspark import inheritable_thread_target
-
+        """Fit constants from a few aggregate jobs over the (persisted) input:
+        all medians share one unpivoted plan, mean/std are one pass, all
+        category lists one distinct pass."""
         df = df.persist()
-
-        def med(c: str) -> float:
-            m = exact_quantile_values(df, c, [0.5], interpolate=True)[0]
-            return float(m) if m is not None else 0.0
-
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            medians = dict(zip(self.numeric, pool.map(inheritable_thread_target(med), self.numeric)))
+        meds = exact_quantiles_by_column(df, self.numeric, [0.5], interpolate=True)
+        medians = {c: float(meds[c][0]) if meds[c][0] is not None else 0.0 for c in self.numeric}
         imputed = [F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in self.numeric]
         row = None
         if imputed:
@@ -121,12 +112,18 @@ class FeatureBuilder:
             s = row[f"s{i}"]
             # zero-variance column keeps scale 1 (as sklearn's StandardScaler)
             scales[c] = float(s) if s not in (None, 0.0) and s > 1e-300 else 1.0
-        cats = {}
-        for c in self.categorical:
-            d = df.select(category_value(c).alias("v")).distinct()
-            n = d.count()
-            if n > MAX_CATEGORIES:
-                raise ValueError(f"{c}: {n} categories exceed {MAX_CATEGORIES}; hash or bucket it first")
-            cats[c] = sorted(r["v"] for r in d.collect())  # counted bound
+        cats: dict[str, list[str]] = {c: [] for c in self.categorical}
+        if self.categorical:
+            pairs = F.explode(F.array(*[
+                F.struct(F.lit(c).alias("c"), category_value(c).alias("v")) for c in self.categorical
+            ]))
+            distinct = df.select(pairs.alias("p")).select("p.c", "p.v").distinct()
+            sizes = {r["c"]: r["n"] for r in distinct.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+            for c, n in sizes.items():
+                if n > MAX_CATEGORIES:
+                    raise ValueError(f"{c}: {n} categories exceed {MAX_CATEGORIES}; hash or bucket it first")
+            for r in distinct.collect():  # counted bound: at most MAX_CATEGORIES per column
+                cats[r["c"]].append(r["v"])
+            cats = {c: sorted(v) for c, v in cats.items()}
         df.unpersist()
         return FeatureModel(self.numeric, self.categorical, medians, means, scales, cats)

@@ -467,3 +467,67 @@ def running_total(df: DataFrame, order_col: str, value_col: str, out: str | None
 def exact_quantile(df: DataFrame, col: str, q: float, interpolate: bool = False) -> float | None:
     """A5 in the signature of SURVEY §2.13: one exact quantile as a scalar."""
     return exact_quantile_values(df, col, [q], interpolate)[0]
+
+
+def exact_quantiles_by_column(
+    df: DataFrame, cols: Sequence[str], qs: Sequence[float], interpolate: bool = False
+) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns with a shared plan.
+
+    The columns are unpivoted to ``(column, value)``; one aggregate gives each
+    column's count and a distinct-count sketch; every column with few distinct
+    values is resolved from one grouped ``(column, value, count)`` collect (at
+    most ``SELECT_LIMIT`` rows per column - a counted bound); wider columns go
+    through :func:`exact_quantile_values` (distributed selection).
+    """
+    cols = list(cols)
+    if not cols:
+        return {}
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)
+    ]))
+    long = df.select(pairs.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    stats = {
+        r["c"]: (int(r["n"]), int(r["d"]))
+        for r in long.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v", 0.05).alias("d")).collect()
+    }
+    small = [i for i, (_, d) in stats.items() if d <= SELECT_LIMIT // 4]
+    counts: dict[int, list[tuple[float, int]]] = {i: [] for i in small}
+    if small:
+        grouped = long.where(F.col("c").isin(small)).groupBy("c", "v").agg(F.count(F.lit(1)).alias("k"))
+        for r in grouped.collect():
+            counts[r["c"]].append((r["v"], r["k"]))
+
+    def resolve(vals: list[tuple[float, int]], n: int) -> list[float | None]:
+        vals.sort()
+        cum, acc = [], 0
+        for v, k in vals:
+            acc += k
+            cum.append((acc, v))
+
+        def at(rank: int) -> float:
+            for c, v in cum:
+                if c >= rank:
+                    return v
+            return cum[-1][1]
+
+        out: list[float | None] = []
+        for q in qs:
+            if not interpolate:
+                out.append(at(max(1, math.ceil(q * n))))
+            else:
+                h = (n - 1) * q
+                lo, hi = at(math.floor(h) + 1), at(math.ceil(h) + 1)
+                out.append(lo + (h - math.floor(h)) * (hi - lo))
+        return out
+
+    res: dict[str, list[float | None]] = {}
+    for i, c in enumerate(cols):
+        n = stats.get(i, (0, 0))[0]
+        if n == 0:
+            res[c] = [None] * len(qs)
+        elif i in counts:
+            res[c] = resolve(counts[i], n)
+        else:
+            res[c] = exact_quantile_values(df, c, qs, interpolate)
+    return res

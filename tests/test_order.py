@@ -67,3 +67,18 @@ def test_split_stratified_keeps_rare_class(spark):
     s = O.split_exact(df, "key", stratify="y")
     pos = {r["split"]: r["count"] for r in s.where("y = 1").groupBy("split").count().collect()}
     assert pos == {"train": 14, "validation": 3, "test": 3}
+
+
+def test_quantiles_by_column_small_and_wide(spark):
+    df = spark.range(60_000).select(
+        (F.col("id") % 17).cast("double").alias("few"),
+        ((F.col("id") * 7919) % 60_013).cast("double").alias("wide"),  # > 25k distinct: selection fallback
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id") % 101).alias("nulls"),
+    )
+    qs = [0.1, 0.5, 0.9]
+    got = O.exact_quantiles_by_column(df, ["few", "wide", "nulls"], qs)
+    for c in ["few", "wide", "nulls"]:
+        assert got[c] == df.approxQuantile(c, qs, 0.0), c
+    interp = O.exact_quantiles_by_column(df, ["few", "nulls"], [0.5], interpolate=True)
+    want = df.select(F.percentile("few", 0.5).alias("a"), F.percentile("nulls", 0.5).alias("b")).first()
+    assert interp["few"][0] == want["a"] and interp["nulls"][0] == want["b"]
