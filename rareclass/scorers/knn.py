@@ -41,8 +41,24 @@ def _as_double_array(col: str):
     return F.transform(F.col(col), lambda x: x.cast("double"))
 
 
-def minkowski_power(a, b, p: float):
-    """sum |a_i - b_i|^p as a Spark expression (no root: same order, cheaper)."""
+UNROLL_MAX_DIM = 256
+
+
+def minkowski_power(a, b, p: float, dim: int | None = None):
+    """sum |a_i - b_i|^p as a Spark expression (no root: same order, cheaper).
+
+    With a known dimension up to ``UNROLL_MAX_DIM`` the sum is written out term
+    by term (left to right, the same order as the fold), so it compiles into
+    whole-stage codegen; higher-order functions (``aggregate``/``zip_with``)
+    are interpreted row by row.
+    """
+    if dim is not None and dim <= UNROLL_MAX_DIM:
+        acc = F.lit(0.0)
+        for i in range(dim):
+            d = a[i] - b[i]
+            term = d * d if p == 2 else (F.abs(d) if p == 1 else F.pow(F.abs(d), F.lit(float(p))))
+            acc = acc + term
+        return acc
     if p == 2:
         return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
     if p == 1:
@@ -141,7 +157,7 @@ def knn_vote(
     )
     q_keyed = qs.select("qid", "qv", F.explode(candidate_keys("qv")).alias("key"))
     pairs = q_keyed.join(tr_keyed, "key", "inner").select(
-        "qid", "tid", "ty", minkowski_power(F.col("qv"), F.col("tv"), p).alias("dp")
+        "qid", "tid", "ty", minkowski_power(F.col("qv"), F.col("tv"), p, dim).alias("dp")
     )
     w = Window.partitionBy("qid").orderBy("dp", "tid")
     top = pairs.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= kk)
