@@ -298,38 +298,41 @@ def exact_quantiles(
 SELECT_LIMIT = 100_000
 
 
-def _rank_values(v: DataFrame, ranks: list[int], n_buckets: int, depth: int = 0) -> dict[int, float]:
+def _resolve_from_counts(rows: list[tuple[float, int]], ranks: list[int]) -> dict[int, float]:
+    """Element at each 1-based rank from (value, count) pairs (a bounded list)."""
+    out: dict[int, float] = {}
+    acc = 0
+    it = iter(sorted(set(ranks)))
+    r = next(it, None)
+    for val, cnt in sorted(rows):
+        acc += cnt
+        while r is not None and r <= acc:
+            out[r] = val
+            r = next(it, None)
+    return out
+
+
+def _rank_values(v: DataFrame, ranks: list[int], n_buckets: int, depth: int = 0,
+                 approx_distinct: int | None = None) -> dict[int, float]:
     """Element at each 1-based rank of the single double column ``__v``.
 
     Selection, not sorting: boundaries from a bounded sketch, a count per bucket
-    (a tiny aggregate), then only the bucket holding a wanted rank is narrowed
-    further.  A bucket is resolved on the driver once it has at most
-    ``SELECT_LIMIT`` distinct values (a counted bound).
+    (a tiny aggregate), then only the buckets holding a wanted rank are sized
+    (one aggregate) and resolved together from one grouped collect when each
+    has at most ``SELECT_LIMIT / 4`` distinct values (sketch-checked, with the
+    collect itself bounded by ``SELECT_LIMIT`` rows per bucket); wider buckets
+    are narrowed again.
     """
-    out: dict[int, float] = {}
     if not ranks:
-        return out
-    distinct = v.groupBy("__v").agg(F.count(F.lit(1)).alias("n"))
-    # a cheap sketch decides the path; the exact count is only taken near the limit
-    approx = v.agg(F.approx_count_distinct("__v", 0.05).alias("d")).first()["d"] or 0
-    n_distinct = approx if approx <= SELECT_LIMIT // 4 else distinct.count()
-    if n_distinct <= SELECT_LIMIT or depth >= 6:
-        if n_distinct > SELECT_LIMIT:  # pragma: no cover - pathological sketch
+        return {}
+    if approx_distinct is None:
+        approx_distinct = v.agg(F.approx_count_distinct("__v", 0.05).alias("d")).first()["d"] or 0
+    if approx_distinct <= SELECT_LIMIT // 4 or depth >= 6:
+        if depth >= 6 and approx_distinct > SELECT_LIMIT // 4:  # pragma: no cover - pathological sketch
             cum = value_counts_prefix(v, "__v")
-            for r in ranks:
-                row = cum.where(F.col("n_cum") >= F.lit(r)).agg(F.min("__v").alias("x")).first()
-                out[r] = row["x"]
-            return out
-        rows = sorted((row["__v"], row["n"]) for row in distinct.collect())
-        acc = 0
-        it = iter(sorted(set(ranks)))
-        r = next(it, None)
-        for val, cnt in rows:
-            acc += cnt
-            while r is not None and r <= acc:
-                out[r] = val
-                r = next(it, None)
-        return out
+            return {r: cum.where(F.col("n_cum") >= F.lit(r)).agg(F.min("__v").alias("x")).first()["x"] for r in ranks}
+        rows = v.groupBy("__v").agg(F.count(F.lit(1)).alias("n")).collect()
+        return _resolve_from_counts([(r["__v"], r["n"]) for r in rows], ranks)
     bounds = range_boundaries(v, F.col("__v"), n_buckets)
     splits = [-math.inf] + bounds + [math.inf]
     bucketed = with_range_bucket(v, F.col("__v"), bounds)
@@ -344,16 +347,31 @@ def _rank_values(v: DataFrame, ranks: list[int], n_buckets: int, depth: int = 0)
             if offsets[b] < r <= offsets[b] + counts[b]:
                 wanted.setdefault(b, []).append(r)
                 break
-    for b, rs in wanted.items():
+    in_wanted = bucketed.where(F.col(_BUCKET).isin(list(wanted)))
+    widths = {row[_BUCKET]: row["d"] for row in
+              in_wanted.groupBy(_BUCKET).agg(F.approx_count_distinct("__v", 0.05).alias("d")).collect()}
+    narrow = [b for b in wanted if widths.get(b, 0) <= SELECT_LIMIT // 4]
+    out: dict[int, float] = {}
+    if narrow:
+        grouped: dict[int, list[tuple[float, int]]] = {b: [] for b in narrow}
+        for row in (in_wanted.where(F.col(_BUCKET).isin(narrow)).groupBy(_BUCKET, "__v")
+                    .agg(F.count(F.lit(1)).alias("n")).collect()):
+            grouped[row[_BUCKET]].append((row["__v"], row["n"]))
+        for b in narrow:
+            local = _resolve_from_counts(grouped[b], [r - offsets[b] for r in wanted[b]])
+            for r in wanted[b]:
+                out[r] = local[r - offsets[b]]
+    for b in wanted:
+        if b in narrow:
+            continue
         lo, hi = splits[b], splits[b + 1]
         cond = F.lit(True)
         if lo != -math.inf:
             cond = cond & (F.col("__v") >= F.lit(lo))
         if hi != math.inf:
             cond = cond & (F.col("__v") < F.lit(hi))
-        sub = v.where(cond)
-        local = _rank_values(sub, [r - offsets[b] for r in rs], n_buckets, depth + 1)
-        for r in rs:
+        local = _rank_values(v.where(cond), [r - offsets[b] for r in wanted[b]], n_buckets, depth + 1, widths.get(b))
+        for r in wanted[b]:
             out[r] = local[r - offsets[b]]
     return out
 
@@ -365,7 +383,8 @@ def exact_quantile_values(df: DataFrame, col: str, qs: Sequence[float], interpol
     selection so no task ever holds more than one bucket of distinct values.
     """
     v = df.select(F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan(F.col("__v")))
-    n = v.count()
+    st = v.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("__v", 0.05).alias("d")).first()
+    n = int(st["n"] or 0)
     if n == 0:
         return [None] * len(qs)
     plan = []
@@ -377,7 +396,7 @@ def exact_quantile_values(df: DataFrame, col: str, qs: Sequence[float], interpol
             plan.append((math.floor(h) + 1, math.ceil(h) + 1, h - math.floor(h)))
     ranks = sorted({r for a, b, _ in plan for r in (a, b) if r is not None})
     nb = max(2, shuffle_partitions(df.sparkSession))
-    vals = _rank_values(v, ranks, nb)
+    vals = _rank_values(v, ranks, nb, approx_distinct=int(st["d"] or 0))
     res: list[float | None] = []
     for a, b, fr in plan:
         if b is None:
