@@ -98,12 +98,15 @@ def tokens(col: Column | str) -> Column:
     spaces are kept, trailing empty tokens are dropped.
     """
     c = F.col(col) if isinstance(col, str) else col
-    parts = F.split(F.lower(c), TOKEN_SPLIT, -1)
-    # drop trailing empty strings (Java String.split with limit 0)
-    last_non_empty = F.array_max(
-        F.transform(parts, lambda x, i: F.when(x != F.lit(""), i + 1).otherwise(F.lit(0)))
+    # Trailing empty tokens come only from trailing whitespace: trim it, then
+    # keep every split part (no per-token lambda).  Whitespace-only text gives
+    # no token at all; the empty text gives one empty token (Java's split).
+    trimmed = F.regexp_replace(c, TOKEN_SPLIT + "+$", "")
+    return (
+        F.when(c.isNull(), F.lit(None))
+        .when((trimmed == F.lit("")) & (c != F.lit("")), F.array().cast("array<string>"))
+        .otherwise(F.split(F.lower(trimmed), TOKEN_SPLIT, -1))
     )
-    return F.when(c.isNull(), F.lit(None)).otherwise(F.slice(parts, 1, F.coalesce(last_non_empty, F.lit(0))))
 
 
 @functools.lru_cache(maxsize=None)

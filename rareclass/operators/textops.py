@@ -23,13 +23,25 @@ def token_table(df: DataFrame, text_col: str, key: str, stop_words: list[str] |
 def term_stats(df: DataFrame, text_col: str, key: str, stop_words: list[str] | None = None) -> DataFrame:
     """``token, count, docs``: term frequency and document frequency.
 
-    Two aggregations: per (document, token) - combined map-side, so a very
-    long document or a very common word never becomes one huge group - then
-    per token.
+    One shuffle: every token occurrence contributes ``count`` 1 and every
+    distinct token of a document (``array_distinct``, computed inside the row)
+    contributes ``docs`` 1; the grouped sum is combined map-side first, so each
+    task ships at most one row per distinct token - a word found in every
+    document, or a 20,000-word document, never becomes one huge group.
     """
-    per_doc = token_table(df, text_col, key, stop_words).groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
-    return per_doc.groupBy("token").agg(
-        F.sum("tf").cast("long").alias("count"), F.count(F.lit(1)).cast("long").alias("docs")
+    toks = filtered_tokens(df, text_col, key, stop_words)
+    kind = "array<struct<token:string,tf:int,df:int>>"
+
+    def tagged(arr, tf: int, dfc: int):
+        n = F.size(arr)
+        return F.arrays_zip(arr, F.array_repeat(F.lit(tf), n), F.array_repeat(F.lit(dfc), n)).cast(kind)
+
+    # one tokenisation, one explode: occurrences tagged (1, 0), distinct tokens (0, 1)
+    both = F.concat(tagged(F.col("tokens"), 1, 0), tagged(F.array_distinct("tokens"), 0, 1))
+    return (
+        toks.select(F.explode(both).alias("e"))
+        .groupBy(F.col("e.token").alias("token"))
+        .agg(F.sum("e.tf").cast("long").alias("count"), F.sum("e.df").cast("long").alias("docs"))
     )
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rareclass.functions import text as TX
 
-SAMPLES = ["I love it~! \U0001F60D", "½ ² 中文 – x\x1cz", "a  b\tc\n\nd  ", "", "Café -- ok|no; yes?",
+SAMPLES = ["   ", "\t\n", "x \n\n ", "I love it~! \U0001F60D", "½ ² 中文 – x\x1cz", "a  b\tc\n\nd  ", "", "Café -- ok|no; yes?",
            "  lead", "emoji‍️join ☀ sun"]
 
 
@@ -24,7 +24,7 @@ def test_clean_text_matches_python_semantics(spark):
 
 
 def test_tokens_match_ml_tokenizer(spark):
-    df = spark.createDataFrame([(s,) for s in SAMPLES if s], "t string")
+    df = spark.createDataFrame([(s,) for s in SAMPLES], "t string")
     ours = [r["x"] for r in df.select(TX.tokens("t").alias("x")).collect()]
     ml = [r["x"] for r in Tokenizer(inputCol="t", outputCol="x").transform(df).collect()]
     assert ours == ml
