@@ -102,7 +102,8 @@ def write_label_first(df: DataFrame, path: str, fmt: str = "csv", label: str = "
     from pyspark.ml.functions import vector_to_array
 
     arr = vector_to_array(F.col(features))
-    n = len(df.select(features).first()[0]) if df.select(features).first() is not None else 0
+    first = df.select(features).first()  # one row: the vector width
+    n = len(first[0]) if first is not None else 0
     out = df.select(F.col(label).cast("double").alias("label"), *[arr[i].alias(f"f{i}") for i in range(n)])
     writer = out.write.mode("overwrite")
     if fmt == "csv":
