@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,27 +58,45 @@ class FeatureModel:
         return m[category_value(c)]
 
     def onehot_block(self, c: str) -> Column:
-        """Dense one-hot array over the sorted fitted categories; unseen -> all zeros."""
+        """E3 as a dense array over the sorted fitted categories (unseen -> all zeros)."""
         k = len(self.categories[c])
         idx = self.category_index(c)
         return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce((idx == i).cast("double"), F.lit(0.0)))
 
+    def _index_with_size(self, c: str) -> Column:
+        """Category index as double, unseen -> ``k``, carrying nominal ML
+        metadata with ``k`` values, so the encoder knows the width without a
+        data pass."""
+        k = len(self.categories[c])
+        idx = F.coalesce(self.category_index(c).cast("double"), F.lit(float(k)))
+        return idx.alias(f"__idx_{c}", metadata={"ml_attr": {"type": "nominal", "num_vals": k, "name": f"__idx_{c}"}})
+
     def transform(self, df: DataFrame, label: str | None = None, keep: Sequence[str] = (), out: str = "features") -> DataFrame:
         """E5: ``keep..., label, features`` - numeric block then one one-hot block per categorical.
 
-        The vector is assembled from JVM array expressions (dense, like the
-        reference's encoder output), so the whole transform is one projection.
+        One-hot blocks come from MLlib's encoder on an index column that
+        carries its width as metadata, so they are sparse: a categorical with
+        many values does not make every row that wide.
         """
-        blocks = []
-        if self.numeric:
-            blocks.append(F.array(*self.scaled_columns(df)))
-        blocks += [self.onehot_block(c) for c in self.categorical if self.categories[c]]
-        vec = F.concat(*blocks) if len(blocks) > 1 else blocks[0]
-        return df.select(
+        cats = [c for c in self.categorical if self.categories[c]]
+        base = df.select(
             *keep,
             *([F.col(label).cast("double").alias("label")] if label else []),
-            array_to_vector(vec).alias(out),
+            *self.scaled_columns(df),
+            *[self._index_with_size(c) for c in cats],
         )
+        inputs = list(self.numeric)
+        if cats:
+            enc = OneHotEncoder(
+                inputCols=[f"__idx_{c}" for c in cats],
+                outputCols=[f"__oh_{c}" for c in cats],
+                dropLast=True,  # drops the extra "unseen" slot: unseen -> all zeros
+                handleInvalid="keep",
+            ).fit(base)
+            base = enc.transform(base)
+            inputs += [f"__oh_{c}" for c in cats]
+        assembled = VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep").transform(base)
+        return assembled.select(*keep, *(["label"] if label else []), out)
 
     @property
     def n_features(self) -> int:

@@ -22,7 +22,6 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -308,6 +307,17 @@ class ReconstructionScorer:
             array_to_vector(F.zip_with(F.zip_with(arr, ml, lambda a, b: a - b), sl, lambda a, b: a / b)).alias("x")
         )
         k = min(self.k, d)
-        pca = PCA(k=k, inputCol="x", outputCol="p").fit(scaled)
-        P = pca.pc.toArray()  # d x k, bounded by the feature count
+        # Principal axes of the standardised rows = eigenvectors of their
+        # correlation matrix: one distributed pass builds the d x d matrix
+        # (bounded by the feature count); a symmetric eigen-solver is robust to
+        # the rank deficiency one-hot blocks bring.  Constant columns have no
+        # correlation and get 0 off the diagonal.
+        from pyspark.ml.stat import Correlation
+
+        C = Correlation.corr(scaled, "x", "pearson").first()[0].toArray()
+        varies = np.isfinite(np.diag(C))  # constant columns: NaN correlation, zero variance
+        C = np.where(np.isfinite(C), C, 0.0)
+        np.fill_diagonal(C, np.where(varies, 1.0, 0.0))
+        vals, vecs = np.linalg.eigh((C + C.T) / 2.0)
+        P = vecs[:, np.argsort(vals)[::-1][:k]]  # d x k
         return ReconstructionModel(mean, scale, P)
