@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
+from ..sources.io import spread
 
 
 def filtered_tokens(df: DataFrame, text_col: str, key: str, stop_words: list[str] | None = None,
                     out: str = "tokens") -> DataFrame:
     """``key, tokens``: F5 tokens minus F6 stop words (hash-set lookup in the JVM)."""
-    toks = df.select(key, TX.tokens(text_col).alias("__raw"))
+    toks = spread(df.select(key, text_col), key).select(key, TX.tokens(text_col).alias("__raw"))
     return TX.remove_stop_words(toks, "__raw", out, stop_words).select(key, out)
 
 

@@ -16,7 +16,7 @@ from ..functions import text as TX
 from ..operators import enrich as E
 from ..operators import order as O
 from ..operators import profile as PR
-from ..sources.io import table
+from ..sources.io import spread, table
 from . import products as PD
 from .oracle import products_ctes, r6
 
@@ -375,7 +375,7 @@ def _ws() -> str:
 )
 def q_text_clean(spark, sf_dir):
     """text cleaning of every document, whole texts."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", TX.clean_text("text").alias("clean"))
 
 

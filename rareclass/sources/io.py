@@ -158,3 +158,19 @@ def register_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = TAB
     """Register the given parquet tables as temp views."""
     for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-distribute ``df`` over the cluster's cores before CPU-heavy row work
+    (regex cleaning, tokenising) when the scan yields fewer tasks than cores.
+
+    A Parquet file with one large row group is read by one task however many
+    byte splits it has; its text would then be cleaned on one core.  On a large
+    input the scan already has far more splits than cores and this is a no-op
+    (no extra shuffle).  Hashing on ``keys`` keeps the layout deterministic
+    when a lost task is recomputed.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)
