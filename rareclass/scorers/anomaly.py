@@ -226,8 +226,8 @@ class OneClassSVMScorer:
         dim = len(z.first()["z"]) if n else 0
         w = np.zeros(dim)
         rho = 0.0
-        part_schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("s", T.ArrayType(T.DoubleType())),
-                                    T.StructField("h", T.DoubleType())])
+        # one row per partition: the violators' vector sum, then their count and the hinge sum
+        part_schema = T.StructType([T.StructField("s", T.ArrayType(T.DoubleType()))])
         objective: list[float] = []
         for it in range(1, self.iters + 1):
             w_now, rho_now = w.copy(), rho
@@ -244,17 +244,16 @@ class OneClassSVMScorer:
                     k += int(v.sum())
                     acc += Z[v].sum(axis=0)
                     h += float(np.maximum(0.0, rho_now - m).sum())
-                yield pd.DataFrame({"k": [k], "s": [acc.tolist()], "h": [h]})
+                yield pd.DataFrame({"s": [acc.tolist() + [float(k), h]]})
 
             parts = z.mapInPandas(partial, part_schema)
-            # element-wise sum on the executors: only dim + 1 numbers reach the driver
-            tot = parts.agg(F.sum("k").alias("k"), F.sum("h").alias("h")).first()
+            # element-wise sum on the executors in one job: only dim + 2 numbers
+            # reach the driver (counts stay exact as doubles below 2^53)
             sums = parts.select(F.posexplode("s").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
-            k = int(tot["k"] or 0)
-            hinge = float(tot["h"] or 0.0)
-            s = np.zeros(dim)
+            tot = np.zeros(dim + 2)
             for r in sums:
-                s[r["i"]] = r["x"]
+                tot[r["i"]] = r["x"]
+            s, k, hinge = tot[:dim], int(round(tot[dim])), float(tot[dim + 1])
             objective.append(0.5 * float(w @ w) + hinge / (self.nu * n) - rho)
             gw = w - s / (self.nu * n)
             grho = k / (self.nu * n) - 1.0
