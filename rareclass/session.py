@@ -52,3 +52,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers (pandas UDFs,
+    ``mapInPandas``) wherever the driver was started from.
+
+    The package folder is added with ``addFile(recursive=True)``; workers put
+    the SparkFiles root on ``sys.path``, so ``import rareclass`` resolves on
+    every executor - the same as ``--py-files`` on a cluster.  Once per context.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_rareclass_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    sc.addFile(pkg, recursive=True)
+    sc._rareclass_shipped = True
