@@ -75,6 +75,13 @@ def broadcast_if_small(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_ROW
     return F.broadcast(df) if (n_rows <= max_rows and n_rows * width <= budget) else df
 
 
+def boundary_sketch(key: Column, n_buckets: int, accuracy: int = 20000) -> Column:
+    """Aggregate expression: the ``n_buckets - 1`` equi-depth split points of ``key``
+    (a bounded sketch per partition); combine with other aggregates in one pass."""
+    qs = [i / n_buckets for i in range(1, max(2, n_buckets))]
+    return F.percentile_approx(key.cast("double"), qs, accuracy)
+
+
 def range_boundaries(df: DataFrame, key: Column, n_buckets: int, accuracy: int = 20000) -> list[float]:
     """Up to ``n_buckets - 1`` increasing split points of ``key`` (as double).
 
@@ -83,9 +90,12 @@ def range_boundaries(df: DataFrame, key: Column, n_buckets: int, accuracy: int =
     """
     if n_buckets <= 1:
         return []
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.select(F.percentile_approx(key.cast("double"), qs, accuracy).alias("q")).first()
-    pts = row["q"] if row is not None else None
+    row = df.select(boundary_sketch(key, n_buckets, accuracy).alias("q")).first()
+    return increasing_points(row["q"] if row is not None else None)
+
+
+def increasing_points(pts) -> list[float]:
+    """Strictly increasing, non-NULL, non-NaN split points from a sketch result."""
     if not pts:
         return []
     out: list[float] = []
@@ -313,7 +323,7 @@ def _resolve_from_counts(rows: list[tuple[float, int]], ranks: list[int]) -> dic
 
 
 def _rank_values(v: DataFrame, ranks: list[int], n_buckets: int, depth: int = 0,
-                 approx_distinct: int | None = None) -> dict[int, float]:
+                 approx_distinct: int | None = None, bounds: list[float] | None = None) -> dict[int, float]:
     """Element at each 1-based rank of the single double column ``__v``.
 
     Selection, not sorting: boundaries from a bounded sketch, a count per bucket
@@ -333,10 +343,16 @@ def _rank_values(v: DataFrame, ranks: list[int], n_buckets: int, depth: int = 0,
             return {r: cum.where(F.col("n_cum") >= F.lit(r)).agg(F.min("__v").alias("x")).first()["x"] for r in ranks}
         rows = v.groupBy("__v").agg(F.count(F.lit(1)).alias("n")).collect()
         return _resolve_from_counts([(r["__v"], r["n"]) for r in rows], ranks)
-    bounds = range_boundaries(v, F.col("__v"), n_buckets)
+    if bounds is None:
+        bounds = range_boundaries(v, F.col("__v"), n_buckets)
     splits = [-math.inf] + bounds + [math.inf]
     bucketed = with_range_bucket(v, F.col("__v"), bounds)
-    counts = {row[_BUCKET]: row["n"] for row in bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}
+    # size and distinct-count sketch of every bucket in one pass (<= n_buckets + 1 rows)
+    per_bucket = bucketed.groupBy(_BUCKET).agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("__v", 0.05).alias("d")
+    ).collect()
+    counts = {row[_BUCKET]: row["n"] for row in per_bucket}
+    widths = {row[_BUCKET]: row["d"] for row in per_bucket}
     offsets, acc = {}, 0
     for b in sorted(counts):
         offsets[b] = acc
@@ -348,8 +364,6 @@ def _rank_values(v: DataFrame, ranks: list[int], n_buckets: int, depth: int = 0,
                 wanted.setdefault(b, []).append(r)
                 break
     in_wanted = bucketed.where(F.col(_BUCKET).isin(list(wanted)))
-    widths = {row[_BUCKET]: row["d"] for row in
-              in_wanted.groupBy(_BUCKET).agg(F.approx_count_distinct("__v", 0.05).alias("d")).collect()}
     narrow = [b for b in wanted if widths.get(b, 0) <= SELECT_LIMIT // 4]
     out: dict[int, float] = {}
     if narrow:
@@ -383,7 +397,13 @@ def exact_quantile_values(df: DataFrame, col: str, qs: Sequence[float], interpol
     selection so no task ever holds more than one bucket of distinct values.
     """
     v = df.select(F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan(F.col("__v")))
-    st = v.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("__v", 0.05).alias("d")).first()
+    nb = max(2, shuffle_partitions(df.sparkSession))
+    # count, distinct sketch and bucket boundaries share one scan
+    st = v.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.approx_count_distinct("__v", 0.05).alias("d"),
+        boundary_sketch(F.col("__v"), nb).alias("b"),
+    ).first()
     n = int(st["n"] or 0)
     if n == 0:
         return [None] * len(qs)
@@ -395,8 +415,7 @@ def exact_quantile_values(df: DataFrame, col: str, qs: Sequence[float], interpol
             h = (n - 1) * q
             plan.append((math.floor(h) + 1, math.ceil(h) + 1, h - math.floor(h)))
     ranks = sorted({r for a, b, _ in plan for r in (a, b) if r is not None})
-    nb = max(2, shuffle_partitions(df.sparkSession))
-    vals = _rank_values(v, ranks, nb, approx_distinct=int(st["d"] or 0))
+    vals = _rank_values(v, ranks, nb, approx_distinct=int(st["d"] or 0), bounds=increasing_points(st["b"]))
     res: list[float | None] = []
     for a, b, fr in plan:
         if b is None:
