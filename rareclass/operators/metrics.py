@@ -39,20 +39,16 @@ def curve_table(df: DataFrame, label: str, score: str, by: str | Sequence[str] |
     """Per distinct score (descending): ``p, q, tp, fp, n_pos, n_neg`` (+ ``by`` columns)."""
     parts = _cols(by)
     sc = score_counts(df, label, score, parts, positive)
-    cum = prefix_sum(sc, [F.col("score").desc()], F.col("score"), ["p", "q"], partition_by=parts, descending=True)
+    grand: dict = {}
+    cum = prefix_sum(sc, [F.col("score").desc()], F.col("score"), ["p", "q"], partition_by=parts, descending=True,
+                     grand=grand)
     cum = cum.withColumnRenamed("p_cum", "tp").withColumnRenamed("q_cum", "fp")
-    totals = sc.groupBy(*parts).agg(F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"))
     if parts:
+        totals = sc.groupBy(*parts).agg(F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"))
         totals = broadcast_if_small(totals, totals.count())
         return cum.join(totals, on=parts, how="inner")
-    return _attach_scalar_totals(cum, totals)
-
-
-def _attach_scalar_totals(cum: DataFrame, totals: DataFrame) -> DataFrame:
-    row = totals.first()  # one aggregate row
-    n_pos = int(row["n_pos"] or 0) if row else 0
-    n_neg = int(row["n_neg"] or 0) if row else 0
-    return cum.withColumn("n_pos", F.lit(n_pos)).withColumn("n_neg", F.lit(n_neg))
+    # class totals come with the prefix sums' bucket totals (no extra job)
+    return cum.withColumn("n_pos", F.lit(int(grand.get("p") or 0))).withColumn("n_neg", F.lit(int(grand.get("q") or 0)))
 
 
 def _points(ct: DataFrame) -> DataFrame:

@@ -140,6 +140,7 @@ def prefix_sum(
     descending: bool = False,
     n_buckets: int | None = None,
     suffix: str = "_cum",
+    grand: dict | None = None,
 ) -> DataFrame:
     """Inclusive running sums of ``values`` in the total order ``order_by``.
 
@@ -147,6 +148,10 @@ def prefix_sum(
     ``bucket_key`` is a numeric expression that is monotone (non-decreasing,
     or non-increasing when ``descending``) in that order.  NULL keys sort first.
     Adds one ``<value><suffix>`` column per value.
+
+    Without ``partition_by``, a dict passed as ``grand`` receives each value's
+    grand total and the input's row count (key ``"rows"``) - read from the
+    bucket totals this operator collects anyway, so callers need no extra job.
     """
     parts = _cols(partition_by)
     spark = df.sparkSession
@@ -163,11 +168,17 @@ def prefix_sum(
         "*", *[F.sum(F.col(v)).over(w_in).alias(f"__loc_{v}") for v in values]
     )
 
-    totals = bucketed.groupBy(*parts, _BUCKET).agg(*[F.sum(F.col(v)).alias(f"__tot_{v}") for v in values])
+    totals = bucketed.groupBy(*parts, _BUCKET).agg(
+        *[F.sum(F.col(v)).alias(f"__tot_{v}") for v in values], F.count(F.lit(1)).alias("__rows")
+    )
     if not parts:
         # at most len(bounds) + 2 rows (a proven bound): offsets become literals
         # indexed by bucket - no single-partition window, no join
         tot = {r[_BUCKET]: r for r in totals.collect()}
+        if grand is not None:
+            grand["rows"] = sum(int(r["__rows"]) for r in tot.values())
+            for v in values:
+                grand[v] = sum((r[f"__tot_{v}"] or 0) for r in tot.values())
         n_b = len(bounds) + 1
         offs_exprs = []
         for v in values:
@@ -200,6 +211,7 @@ def value_counts_prefix(
     partition_by: str | Sequence[str] | None = None,
     descending: bool = False,
     extra_sums: dict[str, Column] | None = None,
+    grand: dict | None = None,
 ) -> DataFrame:
     """Distinct values of ``col`` with counts and inclusive cumulative counts.
 
@@ -220,7 +232,8 @@ def value_counts_prefix(
     bucket_key = key
     if dict(counts.dtypes)[col] in ("string",):
         raise TypeError("value_counts_prefix needs a numeric/orderable-as-number column")
-    return prefix_sum(counts, order, bucket_key, ["n", *extra.keys()], partition_by=parts, descending=descending)
+    return prefix_sum(counts, order, bucket_key, ["n", *extra.keys()], partition_by=parts, descending=descending,
+                      grand=grand)
 
 
 def percent_rank_global(df: DataFrame, col: str, out: str = "percent_rank") -> DataFrame:
@@ -232,10 +245,9 @@ def percent_rank_global(df: DataFrame, col: str, out: str = "percent_rank") -> D
     table is broadcast only when its counted size is small; otherwise the
     shuffle join relies on AQE skew-join splitting for hot keys.
     """
-    vc = value_counts_prefix(df, col)
-    vc = vc.persist()
-    stats = vc.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
-    total, distinct = int(stats["total"] or 0), int(stats["distinct"] or 0)
+    grand: dict = {}
+    vc = value_counts_prefix(df, col, grand=grand)  # fills the totals while planning
+    total, distinct = int(grand.get("n") or 0), int(grand.get("rows") or 0)
     denom = F.lit(float(max(total - 1, 1)))
     ranks = vc.select(
         F.col(col).alias("__rk_key"),
@@ -438,6 +450,7 @@ def shuffle_position(
     seed: int = 13,
     out: str = "position",
     partition_by: str | Sequence[str] | None = None,
+    grand: dict | None = None,
 ) -> DataFrame:
     """Seeded global shuffle as a 1-based position per row.
 
@@ -449,7 +462,7 @@ def shuffle_position(
     h, num = _hash_order_key(keys, seed)
     keyed = df.withColumn("__h", h).withColumn("__hn", num).withColumn("__one", F.lit(1))
     order = [F.col("__h")] + [F.col(k) for k in keys]
-    pos = prefix_sum(keyed, order, F.col("__hn"), ["__one"], partition_by=partition_by)
+    pos = prefix_sum(keyed, order, F.col("__hn"), ["__one"], partition_by=partition_by, grand=grand)
     return pos.withColumnRenamed("__one_cum", out).drop("__h", "__hn", "__one")
 
 
@@ -472,14 +485,15 @@ def split_exact(
     for f in fractions[:-1]:
         acc += f
         cum.append(round(acc, 12))  # 0.1 + 0.2 is the cut 0.3, not 0.30000000000000004
-    pos = shuffle_position(df, key, seed, out="__pos", partition_by=stratify)
+    grand: dict = {}
+    pos = shuffle_position(df, key, seed, out="__pos", partition_by=stratify, grand=grand)
     if stratify:
         n_by = df.groupBy(stratify).agg(F.count(F.lit(1)).alias("__n"))
         pos = pos.join(broadcast_if_small(n_by, n_by.count()), on=stratify, how="inner")
         n_col = F.col("__n")
         cuts = [F.floor(F.lit(c) * n_col) for c in cum]
     else:
-        n = df.count()
+        n = int(grand.get("rows") or 0)  # the row count, from the position totals
         cuts = [F.lit(int(c * n)) for c in cum]
     expr = None
     for cut, name in zip(cuts, names):
