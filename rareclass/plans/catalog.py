@@ -375,8 +375,13 @@ def _ws() -> str:
 )
 def q_text_clean(spark, sf_dir):
     """text cleaning of every document, whole texts."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return docs.select("doc_id", TX.clean_text("text").alias("clean"))
+    return documents_text(spark, sf_dir).select("doc_id", TX.clean_text("text").alias("clean"))
+
+
+def documents_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, text`` of every document, spread over the cores when the scan is
+    narrower than the cluster (regex cleaning and tokenising are CPU-bound)."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def _tokens_sql() -> str:
@@ -403,8 +408,7 @@ def q_top_tokens(spark, sf_dir):
     """Vocabulary of 100 (minDF 5), top 50 by count."""
     from ..operators.textops import top_tokens
 
-    docs = table(spark, sf_dir, "documents")
-    return top_tokens(docs, "text", "doc_id", vocab_size=100, min_df=5, top=50)
+    return top_tokens(documents_text(spark, sf_dir), "text", "doc_id", vocab_size=100, min_df=5, top=50)
 
 
 @query(
@@ -417,7 +421,7 @@ def q_token_counts(spark, sf_dir):
     """tokens per document after stop-word removal."""
     from ..operators.textops import filtered_tokens
 
-    toks = filtered_tokens(table(spark, sf_dir, "documents"), "text", "doc_id")
+    toks = filtered_tokens(documents_text(spark, sf_dir), "text", "doc_id")
     return toks.select("doc_id", F.size("tokens").cast("long").alias("n_tokens")).where(F.col("n_tokens") > 0)
 
 

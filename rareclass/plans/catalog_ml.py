@@ -16,7 +16,7 @@ from ..operators import order as O
 from ..operators.features import FeatureBuilder
 from ..sources.io import table
 from . import products as PD
-from .catalog import _transformed, _with, query, rnd
+from .catalog import _transformed, _with, documents_text, query, rnd
 
 # --------------------------------------------------------------- metrics --
 
@@ -379,7 +379,7 @@ def q_embed(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array  # noqa: F401
     from ..operators.textops import embed
 
-    e = embed(table(spark, sf_dir, "documents"), "text", "doc_id")
+    e = embed(documents_text(spark, sf_dir), "text", "doc_id")
     nnz = F.udf(lambda v: int(v.numNonzeros()) if v is not None else 0, "int")  # tiny per-row helper
     return e.select("doc_id", nnz("embedding").alias("nnz"))
 
@@ -411,7 +411,7 @@ def q_count_vectors(spark, sf_dir):
 
     from ..operators.textops import count_vectors
 
-    cv = count_vectors(table(spark, sf_dir, "documents"), "text", "doc_id", vocab_size=100, min_df=5)
+    cv = count_vectors(documents_text(spark, sf_dir), "text", "doc_id", vocab_size=100, min_df=5)
     arr = vector_to_array("features")
     out = cv.select(
         "doc_id",

@@ -149,6 +149,8 @@ class IsolationForestScorer:
 
         levels: list[DataFrame] = []
         level_rows: list[int] = []
+        held: DataFrame | None = None
+        stale: DataFrame | None = None
         for lvl in range(depth + 1):
             cur = cur.select("__rid", "__x", "t", "node", *[cand_feature(k).alias(f"f{k}") for k in range(self.K)])
             vals = [F.element_at(F.col("__x"), F.col(f"f{k}") + 1) for k in range(self.K)]
@@ -172,6 +174,9 @@ class IsolationForestScorer:
                 F.when(splittable, pick_lo + u * (pick_hi - pick_lo)).alias("v"),
             )
             table = cut_lineage(table)  # small: (tree, node) rows of this level
+            if stale is not None:  # the level before is no longer read
+                stale.unpersist()
+                stale = None
             row = table.agg(F.count(F.lit(1)).alias("n"), F.count("f").alias("s")).first()
             levels.append(table)
             level_rows.append(int(row["n"]))
@@ -184,6 +189,17 @@ class IsolationForestScorer:
             )
             if lvl % 3 == 2:
                 cur = cut_lineage(cur)  # bound the lineage of the replicated rows
+                if held is not None:
+                    held.unpersist()
+                    held = None
+            else:
+                # kept for the next level's aggregate and join (recomputed from
+                # the last checkpoint only if an executor is lost)
+                stale, held = held, cur.persist()
+                cur = held
+        for df in (held, stale):
+            if df is not None:
+                df.unpersist()
         base.unpersist()
         return IsolationForestModel(levels, level_rows, depth, psi, self.T, normals.select(id_col, "features"), id_col,
                                     self.cont)

@@ -42,3 +42,24 @@ def test_partitioned_split_sink(spark):
     io.write_table(df, os.path.join(d, "s"), partition_by="split")
     parts = sorted(x for x in os.listdir(os.path.join(d, "s")) if x.startswith("split="))
     assert parts == ["split=test", "split=train", "split=validation"]
+
+
+def test_spread_only_when_scan_is_narrower_than_the_cores(spark):
+    from pyspark.sql import functions as F
+
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.range(0, 1000, numPartitions=1).select(F.col("id"), (F.col("id") * 3).alias("x"))
+    out = io.spread(narrow, "id")
+    if cores > 1:
+        assert out.rdd.getNumPartitions() == cores
+    assert sorted(r["x"] for r in out.collect()) == [3 * i for i in range(1000)]
+    wide = spark.range(0, 1000, numPartitions=max(cores, 2))
+    assert io.spread(wide, "id") is wide  # enough scan tasks already: no extra shuffle
+
+
+def test_ship_package_once(spark):
+    from rareclass.session import ship_package
+
+    ship_package(spark)
+    ship_package(spark)  # a second call is a no-op
+    assert getattr(spark.sparkContext, "_rareclass_shipped", False)
