@@ -243,7 +243,7 @@ SELECT qid AS vec_id, ROUND(AVG(CAST(y AS DOUBLE)), 6) AS score FROM r WHERE rn
 )
 def q_knn_vote(spark, sf_dir):
     """Exact 5-NN vote of every validation/test vector against all training vectors."""
-    e = embeddings_split(spark, sf_dir)
+    e = embeddings_split(spark, sf_dir).persist()  # both sides and the pivot passes read it
     from ..scorers.knn import knn_vote
 
     train = e.where(F.col("split") == "train")
@@ -465,7 +465,7 @@ def q_knn_vote_l1_distance(spark, sf_dir):
     """M5 variant: 7 neighbours, Manhattan distance, 1/distance-weighted vote."""
     from ..scorers.knn import knn_vote
 
-    e = embeddings_split(spark, sf_dir)
+    e = embeddings_split(spark, sf_dir).persist()  # both sides and the pivot passes read it
     res = knn_vote(e.where(F.col("split") == "train"), e.where(F.col("split") != "train"), k=7, id_col="vec_id",
                    vec_col="vec", label_col="y", weights="distance", p=1)
     return res.select("vec_id", rnd("score"))
