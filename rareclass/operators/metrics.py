@@ -136,18 +136,23 @@ def confusion(df: DataFrame, label: str, score: str, threshold: float = 0.5, by:
     )
 
 
-def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Balanced class weights ``n / (n_classes * n_c)`` per class."""
+def counted_class_weights(df: DataFrame, label: str, out: str = "weight") -> tuple[DataFrame, int]:
+    """A17 with its size: ``(label, count, weight)`` rows and the counted number of classes."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
     tot = counts.agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("k")).first()
     n, k = int(tot["n"] or 0), int(tot["k"] or 0)
-    return counts.withColumn(out, F.lit(float(n)) / (F.lit(float(k)) * F.col("count")))
+    return counts.withColumn(out, F.lit(float(n)) / (F.lit(float(k)) * F.col("count"))), k
+
+
+def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+    """Balanced class weights ``n / (n_classes * n_c)`` per class."""
+    return counted_class_weights(df, label, out)[0]
 
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Attach balanced weights as a column (the class table is tiny: broadcast)."""
-    w = class_weights(df, label, out).select(label, out)
-    return df.join(F.broadcast(w), on=label, how="left")
+    """Attach balanced weights as a column; the class table is broadcast behind its counted size."""
+    w, k = counted_class_weights(df, label, out)
+    return df.join(broadcast_if_small(w.select(label, out), k), on=label, how="left")
 
 
 def best_model(metrics: DataFrame, by: str = "f1", model: str = "model") -> DataFrame:

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.metrics import class_weights
+from ..operators.metrics import counted_class_weights
+from ..operators.order import broadcast_if_small
 
 SCORE = "score"
 
@@ -27,8 +28,8 @@ SCORE = "score"
 def weighted(df: DataFrame, class_weight: str | None, label: str = "label") -> tuple[DataFrame, float]:
     """Attach ``weight`` (balanced, or 1.0) and return the total weight."""
     if class_weight in ("balanced", "balanced_subsample"):
-        w = class_weights(df, label).select(label, "weight")
-        out = df.join(F.broadcast(w), on=label, how="left")  # one row per class: bounded
+        w, k = counted_class_weights(df, label)
+        out = df.join(broadcast_if_small(w.select(label, "weight"), k), on=label, how="left")  # k counted classes
     else:
         out = df.withColumn("weight", F.lit(1.0))
     total = out.agg(F.sum("weight").alias("w")).first()["w"] or 0.0
