@@ -114,7 +114,10 @@ class FeatureBuilder:
         """Fit constants from a few aggregate jobs over the (persisted) input:
         all medians share one unpivoted plan, mean/std are one pass, all
         category lists one distinct pass."""
-        df = df.persist()
+        level = df.storageLevel
+        owned = not (level.useMemory or level.useDisk)  # release only a cache this fit created
+        if owned:
+            df = df.persist()
         meds = exact_quantiles_by_column(df, self.numeric, [0.5], interpolate=True)
         medians = {c: float(meds[c][0]) if meds[c][0] is not None else 0.0 for c in self.numeric}
         imputed = [F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in self.numeric]
@@ -143,5 +146,6 @@ class FeatureBuilder:
             for r in distinct.collect():  # counted bound: at most MAX_CATEGORIES per column
                 cats[r["c"]].append(r["v"])
             cats = {c: sorted(v) for c, v in cats.items()}
-        df.unpersist()
+        if owned:
+            df.unpersist()
         return FeatureModel(self.numeric, self.categorical, medians, means, scales, cats)
