@@ -5,11 +5,6 @@ Every function returns a ``Column`` so it stays inside whole-stage codegen.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -109,22 +104,29 @@ def tokens(col: Column | str) -> Column:
     )
 
 
-@functools.lru_cache(maxsize=None)
-def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark's built-in stop-word list (read from the ML jar, no JVM needed)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split("\n") if w)
-    raise FileNotFoundError(f"stop words for {language} not found")
+# Spark's public English stop-word list (``StopWordsRemover.loadDefaultStopWords("english")``),
+# in its own order; tests/test_text.py compares the two.
+ENGLISH_STOP_WORDS = (
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself",
+    "yourselves", "he", "him", "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself",
+    "they", "them", "their", "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "these",
+    "those", "am", "is", "are", "was", "were", "be", "been", "being", "have", "has", "had", "having", "do",
+    "does", "did", "doing", "a", "an", "the", "and", "but", "if", "or", "because", "as", "until", "while",
+    "of", "at", "by", "for", "with", "about", "against", "between", "into", "through", "during", "before",
+    "after", "above", "below", "to", "from", "up", "down", "in", "out", "on", "off", "over", "under", "again",
+    "further", "then", "once", "here", "there", "when", "where", "why", "how", "all", "any", "both", "each",
+    "few", "more", "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so", "than",
+    "too", "very", "s", "t", "can", "will", "just", "don", "should", "now", "i'll", "you'll", "he'll",
+    "she'll", "we'll", "they'll", "i'd", "you'd", "he'd", "she'd", "we'd", "they'd", "i'm", "you're", "he's",
+    "she's", "it's", "we're", "they're", "i've", "we've", "you've", "they've", "isn't", "aren't", "wasn't",
+    "weren't", "haven't", "hasn't", "hadn't", "don't", "doesn't", "didn't", "won't", "wouldn't", "shan't",
+    "shouldn't", "mustn't", "can't", "couldn't", "cannot", "could", "here's", "how's", "let's", "ought",
+    "that's", "there's", "what's", "when's", "where's", "who's", "why's", "would",
+)
 
 
 def stop_words(extra: bool = True) -> list[str]:
-    words = list(default_stop_words("english"))
+    words = list(ENGLISH_STOP_WORDS)
     return words + EXTRA_STOP_WORDS if extra else words
 
 

@@ -415,14 +415,14 @@ def q_top_tokens(spark, sf_dir):
     "token_counts",
     "WITH "
     + _tokens_sql()
-    + " SELECT doc_id, CAST(COUNT(*) AS BIGINT) AS n_tokens FROM kept GROUP BY doc_id",
+    + " SELECT d.doc_id, CAST(COUNT(k.tok) AS BIGINT) AS n_tokens FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id GROUP BY d.doc_id",
 )
 def q_token_counts(spark, sf_dir):
     """tokens per document after stop-word removal."""
     from ..operators.textops import filtered_tokens
 
     toks = filtered_tokens(documents_text(spark, sf_dir), "text", "doc_id")
-    return toks.select("doc_id", F.size("tokens").cast("long").alias("n_tokens")).where(F.col("n_tokens") > 0)
+    return toks.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"))
 
 
 def queries() -> dict[str, QueryFn]:

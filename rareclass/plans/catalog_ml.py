@@ -16,7 +16,7 @@ from ..operators import order as O
 from ..operators.features import FeatureBuilder
 from ..sources.io import table
 from . import products as PD
-from .catalog import _transformed, _with, documents_text, query, rnd
+from .catalog import _tokens_sql, _transformed, _with, documents_text, query, rnd
 
 # --------------------------------------------------------------- metrics --
 
@@ -398,12 +398,13 @@ def q_pair_sample(spark, sf_dir):
 @query(
     "count_vectors",
     "WITH "
-    + __import__("rareclass.plans.catalog", fromlist=["_tokens_sql"])._tokens_sql()
+    + _tokens_sql()
     + """,
 tf AS (SELECT tok AS token, COUNT(*) AS count, COUNT(DISTINCT doc_id) AS docs FROM kept GROUP BY tok),
-vocab AS (SELECT token FROM tf WHERE docs >= 5 ORDER BY count DESC, token LIMIT 100)
-SELECT k.doc_id, CAST(COUNT(*) AS DOUBLE) AS n_vocab_tokens, CAST(COUNT(DISTINCT k.tok) AS INTEGER) AS n_terms
-FROM kept k JOIN vocab v ON k.tok = v.token GROUP BY k.doc_id""",
+vocab AS (SELECT token FROM tf WHERE docs >= 5 ORDER BY count DESC, token LIMIT 100),
+hits AS (SELECT k.doc_id, k.tok FROM kept k JOIN vocab v ON k.tok = v.token)
+SELECT d.doc_id, CAST(COUNT(h.tok) AS DOUBLE) AS n_vocab_tokens, CAST(COUNT(DISTINCT h.tok) AS INTEGER) AS n_terms
+FROM documents d LEFT JOIN hits h ON h.doc_id = d.doc_id GROUP BY d.doc_id""",
 )
 def q_count_vectors(spark, sf_dir):
     """Count vectors over the 100-term vocabulary (minDF 5): tokens and distinct terms per document."""
@@ -413,12 +414,11 @@ def q_count_vectors(spark, sf_dir):
 
     cv = count_vectors(documents_text(spark, sf_dir), "text", "doc_id", vocab_size=100, min_df=5)
     arr = vector_to_array("features")
-    out = cv.select(
+    return cv.select(
         "doc_id",
         F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("n_vocab_tokens"),
         F.size(F.filter(arr, lambda x: x > 0)).alias("n_terms"),
     )
-    return out.where(F.col("n_terms") > 0)
 
 
 @query(
