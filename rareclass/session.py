@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,8 +31,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) is a private folder created and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  Where it is unset, a
+    private folder is created in local mode only (tests); on a cluster, whose
+    executors could not see it, that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -39,6 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="rareclass-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -58,13 +62,21 @@ def ship_package(spark: SparkSession) -> None:
     """Make this package importable by the Python workers (pandas UDFs,
     ``mapInPandas``) wherever the driver was started from.
 
-    The package folder is added with ``addFile(recursive=True)``; workers put
-    the SparkFiles root on ``sys.path``, so ``import rareclass`` resolves on
-    every executor - the same as ``--py-files`` on a cluster.  Once per context.
+    The package's sources go out as one zip through ``addPyFile`` - the same as
+    ``--py-files``, on any cluster (a plain folder could only be added in local
+    mode).  The zip is only the upload's source on the driver; every executor
+    gets its own copy.  Once per context.
     """
     sc = spark.sparkContext
     if getattr(sc, "_rareclass_shipped", False):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    sc.addFile(pkg, recursive=True)
+    path = os.path.join(tempfile.mkdtemp(prefix="rareclass-"), "rareclass.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(pkg):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
     sc._rareclass_shipped = True
