@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, sharding, simhash, tokens, toxicity
+from . import decontam, html, mixing, sharding, simhash, tokens, toxicity
 from .common import table
 
 # The mix of the contract: sources take these weights in turn and share 150 % of all sizes; no source beyond twice.
@@ -35,12 +35,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_digest(table(spark, sf_dir, "pages"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mix_sources, op4_shuffle_shards, op5_toxicity, op6_decontaminate, op7_simhash, op9_token_counts)}
+    return {f.__name__: f for f in (op3_mix_sources, op4_shuffle_shards, op5_toxicity, op6_decontaminate, op7_simhash, op8_extract_pages, op9_token_counts)}
 
 
 OP3_SQL = r"""
