@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html, mixing, sharding, simhash, tokens, toxicity
+from . import decontam, html, mixing, repeats, sharding, simhash, tokens, toxicity, warc
 from .common import table
 
 # The mix of the contract: sources take these weights in turn and share 150 % of all sizes; no source beyond twice.
@@ -14,6 +14,10 @@ MIX = {"weights": [3, 1, 2], "share": 1.5, "max_repeat": 2.0}
 SHARDS = 24
 
 
+def op1_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"), **MIX)
 
@@ -43,8 +47,15 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mix_sources, op4_shuffle_shards, op5_toxicity, op6_decontaminate, op7_simhash, op8_extract_pages, op9_token_counts)}
+    found = (
+        op1_remove_repeats, op3_mix_sources, op4_shuffle_shards, op5_toxicity, op6_decontaminate, op7_simhash, op8_extract_pages, op9_token_counts, op10_warc_round_trip,
+    )
+    return {f.__name__: f for f in found}
 
 
 OP3_SQL = r"""
@@ -74,5 +85,16 @@ SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken
 """
 
 
+OP10_SQL = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, url, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to, url
+FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": OP3_SQL}
+    return {"op3_mix_sources": OP3_SQL, "op10_warc_round_trip": OP10_SQL}

@@ -85,8 +85,19 @@ class SeedIndex:
         at = int(counts.argmax())
         return (int(counts[at]), window, shift + at) if counts[at] >= SIMILARITY * window - 1e-9 else None
 
-    def hits(self, texts: list[str | None]) -> list[list[dict]]:
-        """Per text, the best overlap with each item it overlaps, by item."""
+    def hits(self, texts: list[str | None], slice_chars: int = 2_000_000) -> list[list[dict]]:
+        """Per text, the best overlap with each item it overlaps, by item.  Whole texts, some at a time, so that memory
+        does not follow the number of rows in a batch."""
+        out, part, chars = [], [], 0
+        for text in texts:
+            part.append(text)
+            chars += len(text or "") + 1
+            if chars >= slice_chars:
+                out += self._hits(part)
+                part, chars = [], 0
+        return out + self._hits(part)
+
+    def _hits(self, texts: list[str | None]) -> list[list[dict]]:
         split = [words_of(t) for t in texts]
         gap = max((len(m) for m in self.tables), default=1)
         sizes = [len(w) for w in split]
