@@ -30,7 +30,7 @@ def _norm(v):
         return None
     if isinstance(v, float):
         if math.isnan(v):
-            return "nan"
+            return None  # pandas shows a null of a number column as NaN
         return round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
