@@ -209,7 +209,7 @@ class Page:
             while top and self.tag[top] not in ("article", "main"):
                 top = self.parent[top]
             e = top or e
-            words = set(re.findall(r"[a-z]+", self.label[e]))
+            words = set(re.findall(r"[a-z]+", self.label[e].partition(".")[2]))
             bonus = 2.0 if self.tag[e] in ("article", "main") else 1.5 if words & GOOD_WORDS else 1.0
             out[self.path(e)] = max(out.get(self.path(e), 0.0), 0.0) + s * bonus
         return {p: s for p, s in out.items() if s > 0}

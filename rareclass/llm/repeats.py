@@ -228,22 +228,26 @@ def _unblob(data: bytes, n: int, *types) -> list[np.ndarray]:
     return [*out, raw[at:]]
 
 
-def to_packs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents -> packs of about PACK_BYTES."""
-    ids, texts, size = [], [], 0
-    for batch in batches:
-        rows = []
-        for doc, text in zip(batch["doc_id"], batch["text"]):
-            ids.append(_NO_ID if pd.isna(doc) else int(doc))
-            texts.append((text or "").encode("utf-8", "surrogatepass"))
-            size += len(texts[-1]) + 16
-            if size >= PACK_BYTES:
-                rows.append(Pack.pack(ids, texts))
-                ids, texts, size = [], [], 0
-        if rows:
-            yield pd.DataFrame(rows)
-    if ids:
-        yield pd.DataFrame([Pack.pack(ids, texts)])
+def to_packs(pack_bytes: int):
+    """Documents -> packs of about ``pack_bytes``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, texts, size = [], [], 0
+        for batch in batches:
+            rows = []
+            for doc, text in zip(batch["doc_id"], batch["text"]):
+                ids.append(_NO_ID if pd.isna(doc) else int(doc))
+                texts.append((text or "").encode("utf-8", "surrogatepass"))
+                size += len(texts[-1]) + 16
+                if size >= pack_bytes:
+                    rows.append(Pack.pack(ids, texts))
+                    ids, texts, size = [], [], 0
+            if rows:
+                yield pd.DataFrame(rows)
+        if ids:
+            yield pd.DataFrame([Pack.pack(ids, texts)])
+
+    return run
 
 
 PACKS = "pack long, ids binary, sizes binary, n_bytes long, body binary"
@@ -292,26 +296,30 @@ def anchor_rows(n_buckets: int):
 BUCKET_ROWS = "bucket long, pack long, n int, data binary"
 
 
-def live_anchors(group: pd.DataFrame) -> pd.DataFrame:
+def live_anchors(hot_pieces: int):
     """A bucket's anchors -> for each pack those that two ids hold, the hot ones apart."""
-    parts = [_unblob(d, n, np.uint32, np.uint8) for d, n in zip(group["data"], group["n"])]
-    low = np.concatenate([p[0] for p in parts])
-    note = np.concatenate([p[1] for p in parts])
-    row = np.repeat(np.arange(len(group)), group["n"].to_numpy())
-    by = np.argsort(low, kind="stable")
-    low, note, row = low[by], note[by], row[by]
-    cut = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
-    size = np.diff(np.concatenate([cut, [len(low)]]))
-    live = (size > 1) | (np.maximum.reduceat(note & 1, cut) > 0)
-    hot = live & (np.add.reduceat((note >> 1).astype(np.int64), cut) >= HOT_PIECES)
-    kind = np.repeat(live.astype(np.uint8) + hot.astype(np.uint8), size)
-    keep = kind > 0
-    low, kind, row = low[keep], kind[keep], row[keep]
-    by = np.lexsort((low, row))
-    low, kind, row = low[by], kind[by], row[by]
-    out = [{"bucket": int(group["bucket"].iloc[0]), "pack": int(group["pack"].iloc[r]), "n": s.stop - s.start, "data": _blob(low[s], kind[s])}
-           for r, s in _by_bucket(row)]
-    return pd.DataFrame(out, columns=["bucket", "pack", "n", "data"])
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        parts = [_unblob(d, n, np.uint32, np.uint8) for d, n in zip(group["data"], group["n"])]
+        low = np.concatenate([p[0] for p in parts])
+        note = np.concatenate([p[1] for p in parts])
+        row = np.repeat(np.arange(len(group)), group["n"].to_numpy())
+        by = np.argsort(low, kind="stable")
+        low, note, row = low[by], note[by], row[by]
+        cut = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
+        size = np.diff(np.concatenate([cut, [len(low)]]))
+        live = (size > 1) | (np.maximum.reduceat(note & 1, cut) > 0)
+        hot = live & (np.add.reduceat((note >> 1).astype(np.int64), cut) >= hot_pieces)
+        kind = np.repeat(live.astype(np.uint8) + hot.astype(np.uint8), size)
+        keep = kind > 0
+        low, kind, row = low[keep], kind[keep], row[keep]
+        by = np.lexsort((low, row))
+        low, kind, row = low[by], kind[by], row[by]
+        out = [{"bucket": int(group["bucket"].iloc[0]), "pack": int(group["pack"].iloc[r]), "n": s.stop - s.start, "data": _blob(low[s], kind[s])}
+               for r, s in _by_bucket(row)]
+        return pd.DataFrame(out, columns=["bucket", "pack", "n", "data"])
+
+    return run
 
 
 def _known(replies: pd.DataFrame, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -463,7 +471,8 @@ def cut_repeats(n_buckets: int, with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = True,
+                   pack_bytes: int = PACK_BYTES, hot_pieces: int = HOT_PIECES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept``: every byte goes that is covered by a string of 50
     bytes which also starts in a document with a smaller id; strings are judged on the input.
 
@@ -483,12 +492,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     """
     spark = docs.sparkSession
     base = rename_clashes(docs, [key, text]).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    packed = base.mapInPandas(to_packs, PACKS)
+    packed = base.mapInPandas(to_packs(pack_bytes), PACKS)
     packs = cut_lineage(packed.repartition(shuffle_partitions(spark), "pack"))
     total = packs.agg(F.sum("n_bytes").alias("b")).first()["b"] or 0
     n_buckets = max(shuffle_partitions(spark), -(-total // BUCKET_TEXT))
     reported = packs.mapInPandas(anchor_rows(n_buckets), BUCKET_ROWS)
-    live = cut_lineage(reported.groupBy("bucket").applyInPandas(live_anchors, BUCKET_ROWS))
+    live = cut_lineage(reported.groupBy("bucket").applyInPandas(live_anchors(hot_pieces), BUCKET_ROWS))
     pieces = packs.groupBy("pack").cogroup(live.groupBy("pack")).applyInPandas(piece_rows(n_buckets), BUCKET_ROWS)
     shown = pieces.groupBy("bucket").applyInPandas(show_repeats, BUCKET_ROWS)
     answers = live.unionByName(shown)

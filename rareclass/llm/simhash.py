@@ -43,12 +43,15 @@ def covering_masks(radius: int, free: int = (1 << 64) - 1, seed: int = 7) -> lis
 
     Each free bit gets a non-zero vector of ``radius + 1`` bits; the mask of a non-zero vector v keeps the bits whose
     vector has odd overlap with v.  Any ``radius`` vectors span less than the whole space, so some v is orthogonal to
-    all of them, and its mask leaves out every differing bit.
+    all of them, and its mask leaves out every differing bit.  Unit vectors come first, so no mask is empty while there
+    are more free bits than the radius.
     """
     bits = [i for i in range(64) if free >> i & 1]
-    order = np.random.default_rng(seed).permutation(len(bits))
+    rng = np.random.default_rng(seed)
     top = (1 << radius + 1) - 1
-    vector = {bits[int(j)]: 1 + n % top for n, j in enumerate(order)}
+    units = [1 << i for i in range(radius + 1)]
+    vectors = units + [int(v) for v in rng.permutation(np.arange(1, top + 1)) if int(v) not in units]
+    vector = {bits[int(j)]: vectors[n % top] for n, j in enumerate(rng.permutation(len(bits)))}
     return [sum(1 << i for i in bits if (vector[i] & v).bit_count() & 1) for v in range(1, top + 1)]
 
 
@@ -132,7 +135,7 @@ def near_links(prints: DataFrame, radius: int = 4, bucket_limit: int = BUCKET_LI
     masks = [(_signed(m), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for m in covering_masks(radius)]
     rows = prints.select("fp", F.explode(F.array(*[F.struct(F.lit(m).alias("mask"), k.alias("key")) for m, k in masks])).alias("t")).select("fp", "t.mask", "t.key")
     found = None
-    for level in range(1, 9):
+    for level in range(1, 64):
         full = cut_lineage(rows.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_limit).select("mask", "key"))
         n_full = full.count()
         open_masks = [r["mask"] for r in full.select("mask").distinct().collect()] if n_full else []  # masks, not documents
@@ -151,6 +154,7 @@ def near_links(prints: DataFrame, radius: int = 4, bucket_limit: int = BUCKET_LI
         choice = F.when(F.lit(False), F.array().cast("array<long>"))
         for m, finer in parts:
             choice = choice.when(F.col("mask") == m, finer)
+        # several masks may lead to one finer bucket: its rows come once
         rows = hot.select("fp", F.explode(choice).alias("mask")).withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))).distinct()
     raise RuntimeError("buckets could not be divided")
 
