@@ -22,7 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .order import _cols, broadcast_if_small, prefix_sum
+from ..session import cut_lineage
+from .order import _cols, broadcast_if_small, join_null_safe, prefix_sum
 
 
 def score_counts(df: DataFrame, label: str, score: str, by: str | Sequence[str] | None = None, positive=1) -> DataFrame:
@@ -38,7 +39,8 @@ def score_counts(df: DataFrame, label: str, score: str, by: str | Sequence[str]
 def curve_table(df: DataFrame, label: str, score: str, by: str | Sequence[str] | None = None, positive=1) -> DataFrame:
     """Per distinct score (descending): ``p, q, tp, fp, n_pos, n_neg`` (+ ``by`` columns)."""
     parts = _cols(by)
-    sc = score_counts(df, label, score, parts, positive)
+    # written once: the scored frame behind it (a model, a kNN join) is evaluated a single time
+    sc = cut_lineage(score_counts(df, label, score, parts, positive))
     grand: dict = {}
     cum = prefix_sum(sc, [F.col("score").desc()], F.col("score"), ["p", "q"], partition_by=parts, descending=True,
                      grand=grand)
@@ -46,7 +48,7 @@ def curve_table(df: DataFrame, label: str, score: str, by: str | Sequence[str] |
     if parts:
         totals = sc.groupBy(*parts).agg(F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"))
         totals = broadcast_if_small(totals, totals.count())
-        return cum.join(totals, on=parts, how="inner")
+        return join_null_safe(cum, totals, parts)
     # class totals come with the prefix sums' bucket totals (no extra job)
     return cum.withColumn("n_pos", F.lit(int(grand.get("p") or 0))).withColumn("n_neg", F.lit(int(grand.get("q") or 0)))
 

@@ -26,7 +26,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
+from ..session import cut_lineage, shuffle_partitions
 
 # Largest table (rows) that is broadcast after its size was counted.
 BROADCAST_ROWS = 2_000_000
@@ -56,7 +56,7 @@ def _width(t) -> int:
         return 20
     if isinstance(t, T.StructType):
         return sum(_width(f.dataType) for f in t.fields)
-    return 64  # arrays, maps, vectors
+    return 1024  # arrays, maps, vectors: about 128 doubles
 
 
 def broadcast_if_small(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -64,17 +64,29 @@ def broadcast_if_small(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_ROW
 
     Both the counted rows and the estimated bytes (rows x the schema's default
     width) must be small; the byte budget is 4x the session's
-    ``spark.sql.autoBroadcastJoinThreshold`` (at least 32 MB).
+    ``spark.sql.autoBroadcastJoinThreshold`` (at least 32 MB); a threshold of
+    -1 switches the hint off.
     """
+    conf = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760") or "10485760")
+    if conf.strip() == "-1":
+        return df  # broadcasts are switched off
     width = sum(_width(f.dataType) for f in df.schema.fields) + 8
-    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760") or "10485760"
-    try:
-        budget = max(4 * int(str(conf).rstrip("bB")), 32 << 20)
-    except ValueError:
-        budget = 32 << 20
+    plain = conf.strip().rstrip("bB")
+    budget = max(4 * int(plain), 32 << 20) if plain.isdigit() else 32 << 20
     return F.broadcast(df) if (n_rows <= max_rows and n_rows * width <= budget) else df
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` in which NULL matches NULL; the keys come from ``left`` (once)."""
+    keys = _cols(on)
+    renamed = right.select(*[F.col(k).alias(f"__ns_{k}") for k in keys], *[F.col(c) for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(F.col(f"__ns_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"__ns_{k}" for k in keys])
+
+
 def boundary_sketch(key: Column, n_buckets: int, accuracy: int = 20000) -> Column:
     """Aggregate expression: the ``n_buckets - 1`` equi-depth split points of ``key``
     (a bounded sketch per partition); combine with other aggregates in one pass."""
@@ -197,7 +209,7 @@ def prefix_sum(
         *[F.coalesce(F.sum(f"__tot_{v}").over(w_off), F.lit(0)).alias(f"__off_{v}") for v in values],
     )
     offsets = broadcast_if_small(offsets, offsets.count())
-    joined = local.join(offsets, on=[*parts, _BUCKET], how="inner")
+    joined = join_null_safe(local, offsets, [*parts, _BUCKET])
     out = joined.select(
         *[c for c in df.columns],
         *[(F.col(f"__loc_{v}") + F.col(f"__off_{v}")).alias(f"{v}{suffix}") for v in values],
@@ -276,16 +288,33 @@ def exact_quantiles(
     Distributed: value counts + prefix sums; no per-value map in one task.
     """
     parts = _cols(partition_by)
+    return quantiles_from_counts(grouped_value_counts(df, col, parts), qs, interpolate, parts)
+
+
+def grouped_value_counts(df: DataFrame, col: str, partition_by: str | Sequence[str] | None = None) -> DataFrame:
+    """``partition..., __v, n``: rows per value (NULL and NaN values left out), written once.
+
+    Everything that follows (totals, boundaries, prefix sums, whiskers) reads
+    this table, so the input is evaluated exactly once.
+    """
+    parts = _cols(partition_by)
     clean = df.select(*parts, F.col(col).cast("double").alias("__v")).where(
         F.col("__v").isNotNull() & ~F.isnan(F.col("__v"))
     )
-    vc = value_counts_prefix(clean, "__v", partition_by=parts)
+    return cut_lineage(clean.groupBy(*parts, "__v").agg(F.count(F.lit(1)).alias("n")))
+
+
+def quantiles_from_counts(vc: DataFrame, qs: Sequence[float], interpolate: bool = False,
+                          partition_by: str | Sequence[str] | None = None) -> DataFrame:
+    """The quantiles of :func:`exact_quantiles` from a :func:`grouped_value_counts` table."""
+    parts = _cols(partition_by)
+    cum = prefix_sum(vc, [F.col("__v").asc_nulls_first()], F.col("__v"), ["n"], partition_by=parts)
     if parts:
-        n_by = clean.groupBy(*parts).agg(F.count(F.lit(1)).alias("__N"))
-        with_n = vc.join(broadcast_if_small(n_by, n_by.count()), on=parts, how="inner")
+        n_by = vc.groupBy(*parts).agg(F.sum("n").alias("__N"))
+        with_n = join_null_safe(cum, broadcast_if_small(n_by, n_by.count()), parts)
     else:
-        total = int(clean.count())
-        with_n = vc.withColumn("__N", F.lit(total))
+        total = int(vc.agg(F.sum("n").alias("n")).first()["n"] or 0)
+        with_n = cum.withColumn("__N", F.lit(total))
 
     def element_at_rank(r: Column) -> Column:
         # smallest value whose inclusive cumulative count reaches rank r (1-indexed)
@@ -316,6 +345,29 @@ def exact_quantiles(
     return res
 
 
+def row_index(df: DataFrame, order_by: Sequence[str], out: str = "index") -> DataFrame:
+    """``df`` with the 0-based position of each row in the order of ``order_by`` (any orderable types).
+
+    Rows are range-partitioned and sorted once, written with their partition and
+    running id, and numbered after the (few) partitions before them: no
+    single-partition window.
+    """
+    keys = list(order_by)
+    spark = df.sparkSession
+    ranged = cut_lineage(
+        df.repartitionByRange(max(2, shuffle_partitions(spark)), *keys).sortWithinPartitions(*keys)
+        .select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__line"))
+    )
+    parts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("n"), F.min("__line").alias("first")).collect()  # one row per partition
+    ahead, shift = 0, {}
+    for r in sorted(parts, key=lambda r: r["__part"]):
+        shift[r["__part"]] = ahead - r["first"]
+        ahead += r["n"]
+    top = max(shift, default=-1)
+    table = F.array(*[F.lit(shift.get(i, 0)).cast("long") for i in range(top + 1)]) if shift else F.array(F.lit(0).cast("long"))
+    return ranged.select(*df.columns, (F.col("__line") + F.element_at(table, F.col("__part") + 1)).alias(out))
+
+
 # Largest (value, count) table resolved on the driver during quantile selection.
 SELECT_LIMIT = 100_000
 
@@ -341,9 +393,8 @@ def _rank_values(v: DataFrame, ranks: list[int], n_buckets: int, depth: int = 0,
     Selection, not sorting: boundaries from a bounded sketch, a count per bucket
     (a tiny aggregate), then only the buckets holding a wanted rank are sized
     (one aggregate) and resolved together from one grouped collect when each
-    has at most ``SELECT_LIMIT / 4`` distinct values (sketch-checked, with the
-    collect itself bounded by ``SELECT_LIMIT`` rows per bucket); wider buckets
-    are narrowed again.
+    has about ``SELECT_LIMIT / 4`` distinct values at most (by a sketch within
+    5 %); wider buckets are narrowed again.
     """
     if not ranks:
         return {}
@@ -477,8 +528,8 @@ def split_exact(
 ) -> DataFrame:
     """Exact split at ``int(f1*n)``, ``int((f1+f2)*n)``, ... after the O4 shuffle.
 
-    With ``stratify`` the cut points are applied per class, so a <1 % class is
-    split in the same proportions.  Sizes are exact (``randomSplit`` is not).
+    With ``stratify`` the cut points are applied per class (NULL is a class of
+    its own), so a <1 % class is split in the same proportions.  Sizes are exact (``randomSplit`` is not).
     """
     cum = []
     acc = 0.0
@@ -489,7 +540,7 @@ def split_exact(
     pos = shuffle_position(df, key, seed, out="__pos", partition_by=stratify, grand=grand)
     if stratify:
         n_by = df.groupBy(stratify).agg(F.count(F.lit(1)).alias("__n"))
-        pos = pos.join(broadcast_if_small(n_by, n_by.count()), on=stratify, how="inner")
+        pos = join_null_safe(pos, broadcast_if_small(n_by, n_by.count()), stratify)
         n_col = F.col("__n")
         cuts = [F.floor(F.lit(c) * n_col) for c in cum]
     else:

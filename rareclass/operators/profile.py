@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .order import broadcast_if_small, exact_quantile_values, exact_quantiles
+from ..session import cut_lineage
+from .order import broadcast_if_small, exact_quantile_values, grouped_value_counts, join_null_safe, quantiles_from_counts
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -142,8 +143,9 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, whisker: float = 1
     """Quartiles (linear interpolation), whiskers at 1.5 IQR, outlier count.
 
     Ungrouped: quartiles by distributed selection (three scalars), then one
-    aggregate pass.  Grouped: per-group quartiles from prefix sums, joined back
-    to the rows (broadcast when the counted group table is small).
+    aggregate pass.  Grouped: one table of value counts per group (the input is
+    read once); quartiles, whiskers and outliers all come from it.  A NULL
+    group is a group.
     """
     x = F.col(col).cast("double")
     if by is None:
@@ -164,21 +166,20 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, whisker: float = 1
             F.max(F.when(inside, x)).alias("upper_whisker"),
             F.count_if(~inside).alias("n_outliers"),
         )
-    qs = exact_quantiles(df, col, [0.25, 0.5, 0.75], interpolate=True, partition_by=by)
-    qs = qs.select(by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
-    qs = broadcast_if_small(qs, qs.count())
-    rows = df.select(by, x.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
-    j = rows.join(qs, by, "inner")
-    iqr = F.col("q3") - F.col("q1")
-    inside = (F.col("__x") >= F.col("q1") - whisker * iqr) & (F.col("__x") <= F.col("q3") + whisker * iqr)
+    counts_ = grouped_value_counts(df, col, by)
+    qs = quantiles_from_counts(counts_, [0.25, 0.5, 0.75], interpolate=True, partition_by=by)
+    qs = cut_lineage(qs.select(by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")))
+    j = join_null_safe(counts_, broadcast_if_small(qs, qs.count()), by)
+    v, iqr = F.col("__v"), F.col("q3") - F.col("q1")
+    inside = (v >= F.col("q1") - whisker * iqr) & (v <= F.col("q3") + whisker * iqr)
     return j.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("n").alias("n"),
         F.first("q1").alias("q1"),
         F.first("median").alias("median"),
         F.first("q3").alias("q3"),
-        F.min(F.when(inside, F.col("__x"))).alias("lower_whisker"),
-        F.max(F.when(inside, F.col("__x"))).alias("upper_whisker"),
-        F.count_if(~inside).alias("n_outliers"),
+        F.min(F.when(inside, v)).alias("lower_whisker"),
+        F.max(F.when(inside, v)).alias("upper_whisker"),
+        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("n_outliers"),
     )
 
 
@@ -198,17 +199,17 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(pairs)}, {stack}) as (col_a, col_b, corr)")
 
 
-def pair_sample(df: DataFrame, cols: Sequence[str], n: int = 1000, seed: int = 42) -> DataFrame:
-    """A seeded sample of at most ``n`` rows of ``cols`` (data under a scatter matrix).
+def pair_sample(df: DataFrame, cols: Sequence[str], n: int = 1000, seed: int = 42, key: str | Sequence[str] | None = None) -> DataFrame:
+    """A seeded sample of ``n`` rows of ``cols`` (data under a scatter matrix); sampling is the feature.
 
-    Sampling is the feature here; the fraction is set from the row count so
-    the limit rarely cuts.
+    The ``n`` rows with the smallest ``md5(key || '#' || seed)``: every row of
+    the table is as likely as any other, the size is exact, and the result does
+    not depend on the layout.  ``key`` identifies a row (default: all columns).
     """
-    total = df.count()
-    if total == 0:
-        return df.select(*cols)
-    frac = min(1.0, 1.2 * n / total)
-    return df.select(*cols).sample(fraction=frac, seed=seed).limit(n)
+    keys = [key] if isinstance(key, str) else list(key or df.columns)
+    h = F.md5(F.concat_ws("#", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return df.select(*cols, h.alias("__h"), *[F.col(k).alias(f"__k_{k}") for k in keys]).orderBy(
+        "__h", *[f"__k_{k}" for k in keys]).limit(n).select(*cols)
 
 
 def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:

@@ -384,12 +384,18 @@ def q_embed(spark, sf_dir):
     return e.select("doc_id", nnz("embedding").alias("nnz"))
 
 
-@query("pair_sample")
+@query(
+    "pair_sample",
+    """SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem
+ORDER BY md5(CAST(l_orderkey AS VARCHAR) || '#' || CAST(l_linenumber AS VARCHAR) || '#42'), l_orderkey, l_linenumber LIMIT 1000""",
+)
 def q_pair_sample(spark, sf_dir):
-    """Seeded sample of at most 1000 rows of the four numeric lineitem columns."""
+    """Seeded sample of 1000 rows of the four numeric lineitem columns (with their keys)."""
     from ..operators.profile import pair_sample
 
-    return pair_sample(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], 1000, 42)
+    keys = ["l_orderkey", "l_linenumber"]
+    cols = [*keys, "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    return pair_sample(table(spark, sf_dir, "lineitem").select(*cols), cols, 1000, 42, keys)
 
 
 # ------------------------------------------------------ more oracle checks --

@@ -1,84 +1,105 @@
-"""Exact k-nearest-neighbour vote (M5, J3, O6) without a cross join.
+"""Exact k-nearest-neighbour vote (M5, J3, O6) by blocked matrix distances.
 
 Plan:
 
-1. ``C`` pivots: the training rows with the smallest ``xxhash64(id, seed)``
-   (a top-C, so at most ``C`` vectors reach the driver).
-2. Every training row is assigned to its nearest pivot (a vectorised Arrow
-   UDF against the ``C`` pivots) -> ``cell``; per cell its size and radius.
-3. For a query ``q`` with pivot distances ``d_c``: every point of cell ``c`` is
-   within ``d_c + r_c``, so walking cells by that bound until ``k`` points are
-   covered gives an upper bound ``tau`` on the k-th neighbour distance; a cell
-   can only hold a neighbour if ``d_c - r_c <= tau`` (triangle inequality).
-4. Queries are exploded to their candidate cells and **equi-joined** on the
-   cell id.  Cells larger than a target size are salted: training rows carry
-   ``hash(id) % s``, queries are replicated over the ``s`` salts, so a cell with
-   a third of all rows is spread over many tasks.
-5. ``row_number() over (partition by query order by dist, id) <= k`` -
-   Spark's window-group-limit keeps only ``k`` rows per query before the shuffle.
-
-The result is exact (the bound only prunes cells that cannot contain a
-neighbour).  Distances: Minkowski ``p`` (1 or 2 shown in the reference);
-ties broken by training id.
+1. The training rows (``id, vector, label``) are written once.
+2. Queries go out in chunks of a bounded size; a larger query set takes more
+   passes over the training rows.
+3. In a pass, each task reads its share of the training rows block by block,
+   computes one ``queries x rows`` distance matrix at a time (a matrix product
+   for L2, one term per dimension otherwise) and keeps, per query, its local
+   top ``k``.  No row per pair is ever made: a task returns at most ``k`` rows
+   per query.
+4. ``row_number() over (partition by query order by distance, id) <= k`` merges
+   the tasks' rows.
+
+The result is exact.  The matrix only preselects; the distances that decide are
+summed term by term in dimension order.  Distances: Minkowski ``p`` (1 or 2
+shown in the reference); ties broken by training id.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..operators.order import broadcast_if_small
+from ..session import cut_lineage
 
-TARGET_CELL_ROWS = 50_000
+# Queries (their vectors' bytes) that one pass carries, and the cells of one distance matrix.
+QUERY_BYTES = 8 << 20
+MATRIX_CELLS = 1 << 20
 
 
 def _as_double_array(col: str):
     return F.transform(F.col(col), lambda x: x.cast("double"))
 
 
-UNROLL_MAX_DIM = 256
+def _stack(rows, dim: int) -> np.ndarray:
+    out = np.zeros((len(rows), dim))
+    for i, v in enumerate(rows):
+        out[i] = v
+    return out
 
 
-def minkowski_power(a, b, p: float, dim: int | None = None):
-    """sum |a_i - b_i|^p as a Spark expression (no root: same order, cheaper).
-
-    With a known dimension up to ``UNROLL_MAX_DIM`` the sum is written out term
-    by term (left to right, the same order as the fold), so it compiles into
-    whole-stage codegen; higher-order functions (``aggregate``/``zip_with``)
-    are interpreted row by row.
-    """
-    if dim is not None and dim <= UNROLL_MAX_DIM:
-        acc = F.lit(0.0)
-        for i in range(dim):
-            d = a[i] - b[i]
-            term = d * d if p == 2 else (F.abs(d) if p == 1 else F.pow(F.abs(d), F.lit(float(p))))
-            acc = acc + term
-        return acc
-    if p == 2:
-        return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
-    if p == 1:
-        return F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0.0), lambda acc, v: acc + v)
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.pow(F.abs(x - y), F.lit(float(p)))), F.lit(0.0), lambda acc, v: acc + v)
+def pair_terms(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
+    """sum |a_i - b_i|^p of paired rows, summed in dimension order (no root: same order, cheaper)."""
+    total = np.zeros(len(a))
+    for i in range(a.shape[1]):
+        d = a[:, i] - b[:, i]
+        total = total + (d * d if p == 2 else np.abs(d) if p == 1 else np.abs(d) ** p)
+    return total
 
 
-def _np_dist(X: np.ndarray, P: np.ndarray, p: float) -> np.ndarray:
-    diff = np.abs(X[:, None, :] - P[None, :, :])
+def distance_matrix(queries: np.ndarray, rows: np.ndarray, p: float) -> np.ndarray:
+    """``queries x rows`` Minkowski sums, up to rounding; memory is one or two matrices of that shape."""
     if p == 2:
-        return np.sqrt((diff * diff).sum(axis=2))
-    if p == 1:
-        return diff.sum(axis=2)
-    return (diff ** p).sum(axis=2) ** (1.0 / p)
-
-
-def _stack(s: pd.Series, dim: int) -> np.ndarray:
-    if len(s) == 0:
-        return np.zeros((0, dim))
-    return np.stack([np.asarray(v, dtype=np.float64) for v in s.to_numpy()])
+        return (queries * queries).sum(axis=1)[:, None] + (rows * rows).sum(axis=1)[None] - 2 * (queries @ rows.T)
+    total = np.zeros((len(queries), len(rows)))
+    for i in range(queries.shape[1]):
+        d = np.abs(queries[:, i][:, None] - rows[:, i][None])
+        total += d if p == 1 else d ** p
+    return total
+
+
+class NearestRows:
+    """Per query, the ``k`` nearest rows seen so far: ``query, dp, id, label`` sorted by query, distance and id."""
+
+    def __init__(self, queries: np.ndarray, k: int, p: float):
+        self.queries, self.k, self.p = queries, k, p
+        self.query, self.dp = np.zeros(0, np.int64), np.zeros(0)
+        self.id, self.label = np.zeros(0, object), np.zeros(0)
+        self.reach = np.full(len(queries), np.inf)
+
+    def add(self, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> None:
+        step = max(1, MATRIX_CELLS // max(1, len(rows)))
+        for at in range(0, len(self.queries), step):
+            part = self.queries[at:at + step]
+            near = distance_matrix(part, rows, self.p)
+            reach = self.reach[at:at + step]
+            if len(rows) >= self.k:
+                reach = np.minimum(reach, np.partition(near, self.k - 1, axis=1)[:, self.k - 1])
+            # the slack covers the rounding of the matrix form
+            slack = 1e-9 * (np.abs(reach, where=np.isfinite(reach), out=np.zeros_like(reach)) + (part * part).sum(axis=1) + (rows * rows).sum(axis=1).max(initial=0.0)) + 1e-12
+            q, r = np.nonzero(near <= (reach + slack)[:, None])
+            if len(q):
+                self._merge(q + at, pair_terms(part[q], rows[r], self.p), ids[r], labels[r])
+
+    def _merge(self, query, dp, ids, labels) -> None:
+        query, dp = np.concatenate([self.query, query]), np.concatenate([self.dp, dp])
+        ids, labels = np.concatenate([self.id, ids]), np.concatenate([self.label, labels])
+        place = np.unique(ids, return_inverse=True)[1]  # ids of any kind, in order
+        by = np.lexsort((place, dp, query))
+        query, dp, ids, labels = query[by], dp[by], ids[by], labels[by]
+        first = np.searchsorted(query, query, "left")
+        keep = np.arange(len(query)) - first < self.k
+        self.query, self.dp, self.id, self.label = query[keep], dp[keep], ids[keep], labels[keep]
+        full = np.flatnonzero(np.bincount(self.query, minlength=len(self.queries)) == self.k)
+        last = np.searchsorted(self.query, full, "right") - 1
+        self.reach[full] = self.dp[last]
 
 
 def knn_vote(
@@ -90,8 +111,7 @@ def knn_vote(
     label_col: str = "label",
     weights: str = "uniform",
     p: float = 2,
-    n_pivots: int | None = None,
-    seed: int = 42,
+    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
     """Score each query by its ``k`` nearest training rows: ``id, score``.
 
@@ -99,101 +119,52 @@ def knn_vote(
     ``1/distance``-weighted share with ``weights='distance'`` (a zero distance
     wins outright, as in scikit-learn).
     """
-    tr = train.select(F.col(id_col).alias("tid"), _as_double_array(vec_col).alias("tv"), F.col(label_col).cast("double").alias("ty"))
-    qs = queries.select(F.col(id_col).alias("qid"), _as_double_array(vec_col).alias("qv"))
-
-    n_train = tr.count()
-    if n_train == 0:
+    tr = cut_lineage(train.select(F.col(id_col).alias("tid"), _as_double_array(vec_col).alias("tv"), F.col(label_col).cast("double").alias("ty")))
+    qs = cut_lineage(queries.select(F.col(id_col).alias("qid"), _as_double_array(vec_col).alias("qv")))
+    facts = tr.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("tv")).alias("d")).first()
+    n_train, dim = int(facts["n"]), int(facts["d"] or 1)
+    n_queries = qs.count()
+    if n_train == 0 or n_queries == 0:
         return qs.select(F.col("qid").alias(id_col), F.lit(None).cast("double").alias("score"))
-    C = n_pivots or int(min(256, max(1, math.isqrt(n_train))))
-    piv_rows = tr.orderBy(F.xxhash64("tid", F.lit(seed)), "tid").limit(C).select("tv").collect()  # <= C rows
-    P = np.array([r["tv"] for r in piv_rows], dtype=np.float64)
-    dim = P.shape[1]
-
-    @F.pandas_udf(T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("d", T.DoubleType())]))
-    def nearest_pivot(v: pd.Series) -> pd.DataFrame:
-        X = _stack(v, dim)
-        if len(X) == 0:
-            return pd.DataFrame({"cell": pd.Series([], dtype="int32"), "d": pd.Series([], dtype="float64")})
-        D = _np_dist(X, P, p)
-        c = D.argmin(axis=1)
-        return pd.DataFrame({"cell": c.astype("int32"), "d": D[np.arange(len(X)), c]})
-
-    tr_cells = tr.withColumn("__a", nearest_pivot("tv")).select("tid", "tv", "ty", F.col("__a.cell").alias("cell"), F.col("__a.d").alias("pd"))
-    tr_cells = tr_cells.persist()
-    stats = tr_cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("pd").alias("r")).collect()  # <= C rows
-    sizes = np.zeros(C, dtype=np.int64)
-    radius = np.zeros(C, dtype=np.float64)
-    for r in stats:
-        sizes[r["cell"]] = r["n"]
-        radius[r["cell"]] = r["r"]
-    salts = np.maximum(1, np.ceil(sizes / TARGET_CELL_ROWS)).astype(np.int64)
     kk = min(k, n_train)
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def candidate_keys(v: pd.Series) -> pd.Series:
-        X = _stack(v, dim)
-        if len(X) == 0:
-            return pd.Series([], dtype=object)
-        D = _np_dist(X, P, p)
-        ub = D + radius[None, :]
-        lb = np.maximum(0.0, D - radius[None, :])
-        out = []
-        for i in range(len(X)):
-            order = np.argsort(ub[i], kind="stable")
-            cum = np.cumsum(sizes[order])
-            j = int(np.searchsorted(cum, kk))  # first cell where >= k points are covered
-            tau = ub[i][order[min(j, len(order) - 1)]]
-            cells = np.nonzero(lb[i] <= tau * (1 + 1e-9) + 1e-12)[0]
-            cells = cells[sizes[cells] > 0]
-            keys = [int(c) * 1_000_000 + s for c in cells for s in range(int(salts[c]))]
-            out.append(keys)
-        return pd.Series(out)
-
-    salt_of = F.create_map(*[x for c in range(C) for x in (F.lit(c), F.lit(int(salts[c])))])
-    tr_keyed = tr_cells.select(
-        "tid", "tv", "ty",
-        (F.col("cell").cast("long") * 1_000_000 + F.pmod(F.xxhash64("tid"), salt_of[F.col("cell")])).alias("key"),
-    )
-    q_keyed = qs.select("qid", "qv", F.explode(candidate_keys("qv")).alias("key"))
-    pairs = q_keyed.join(tr_keyed, "key", "inner").select(
-        "qid", "tid", "ty", minkowski_power(F.col("qv"), F.col("tv"), p, dim).alias("dp")
-    )
+    kinds = dict(qs.dtypes)["qid"], dict(tr.dtypes)["tid"]
+    schema = f"qid {kinds[0]}, tid {kinds[1]}, ty double, dp double"
+    block = max(1, min(MATRIX_CELLS // 64, (8 << 20) // (dim * 8)))
+
+    def searcher(ids: list, vectors: np.ndarray):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = NearestRows(vectors, kk, p)
+            for batch in batches:
+                for at in range(0, len(batch), block):
+                    part = batch.iloc[at:at + block]
+                    best.add(_stack(part["tv"].tolist(), dim), part["tid"].to_numpy(object), part["ty"].to_numpy(float))
+            yield pd.DataFrame({"qid": [ids[i] for i in best.query.tolist()], "tid": best.id.tolist(), "ty": best.label, "dp": best.dp})
+
+        return run
+
+    passes = max(1, -(-n_queries * dim * 8 // query_bytes))
+    found = None
+    for i in range(passes):
+        chunk = qs.where(F.pmod(F.xxhash64("qid"), F.lit(passes)) == i).collect()  # about query_bytes
+        if chunk:
+            here = tr.mapInPandas(searcher([r["qid"] for r in chunk], _stack([r["qv"] for r in chunk], dim)), schema)
+            found = here if found is None else found.unionByName(here)
     w = Window.partitionBy("qid").orderBy("dp", "tid")
-    top = pairs.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= kk)
+    top = found.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= kk)
     pos = (F.col("ty") == 1).cast("double")
     if weights == "distance":
         dist = F.pow(F.col("dp"), F.lit(1.0 / p))
         has_zero = F.max((F.col("dp") == 0).cast("int"))
         score = F.when(
             has_zero == 1,
-            F.sum(F.when(F.col("dp") == 0, pos).otherwise(0.0)) / F.sum(F.when(F.col("dp") == 0, 1.0).otherwise(0.0)),
-        ).otherwise(F.sum(pos / dist) / F.sum(1.0 / dist))
+            F.try_divide(F.sum(F.when(F.col("dp") == 0, pos).otherwise(0.0)), F.sum(F.when(F.col("dp") == 0, 1.0).otherwise(0.0))),
+        ).otherwise(F.try_divide(F.sum(F.try_divide(pos, dist)), F.sum(F.try_divide(F.lit(1.0), dist))))
     else:
         score = F.avg(pos)
     res = top.groupBy("qid").agg(score.alias("score"))
     return res.select(F.col("qid").alias(id_col), "score")
 
 
-def knn_brute_force(train: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
-                    label_col: str = "label") -> pd.DataFrame:
-    """Test helper: exact kNN on the driver for small fixtures only."""
-    tr = train.select(id_col, vec_col, label_col).toPandas()
-    qs = queries.select(id_col, vec_col).toPandas()
-    X = _stack(tr[vec_col], len(tr[vec_col].iloc[0]))
-    y = tr[label_col].to_numpy()
-    ids = tr[id_col].to_numpy()
-    out = []
-    for qid, qv in zip(qs[id_col], qs[vec_col]):
-        d = ((X - np.asarray(qv, dtype=np.float64)) ** 2).sum(axis=1)
-        order = np.lexsort((ids, d))[:k]
-        out.append((qid, float((y[order] == 1).mean())))
-    return pd.DataFrame(out, columns=[id_col, "score"])
-
-
-__all__ = ["knn_vote", "knn_brute_force", "broadcast_if_small"]
-
-
 class KNNModel:
     """Fitted M5: keeps the training rows; scoring is :func:`knn_vote`."""
 

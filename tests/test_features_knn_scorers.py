@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -29,18 +30,55 @@ def test_population_std_and_interpolated_median(spark):
     assert FeatureBuilder(["x"]).fit(df2).medians["x"] == 2.5
 
 
-def test_knn_vote_matches_brute_force(spark):
-    from rareclass.scorers.knn import knn_brute_force, knn_vote
+def knn_brute_force(train, queries, k, p, weights="uniform"):
+    """Exact vote by all distances, on the driver, for small fixtures only."""
+    tr = [(r["id"], np.array(r["vec"], float), r["label"]) for r in train.collect()]
+    out = {}
+    for r in queries.collect():
+        q = np.array(r["vec"], float)
+        near = sorted((float((np.abs(v - q) ** p).sum()), i, y) for i, v, y in tr)[:k]
+        if weights == "distance":
+            zero = [y == 1 for d, _, y in near if d == 0]
+            w = [1 / d ** (1 / p) for d, _, _ in near] if not zero else []
+            out[r["id"]] = sum(zero) / len(zero) if zero else sum(x for x, (_, _, y) in zip(w, near) if y == 1) / sum(w)
+        else:
+            out[r["id"]] = sum(y == 1 for *_, y in near) / len(near)
+    return out
+
+
+@pytest.mark.parametrize("p,weights,query_bytes", [(2, "uniform", 8 << 20), (1, "distance", 8 << 20), (2, "distance", 2_000), (3, "uniform", 8 << 20)])
+def test_knn_vote_matches_brute_force(spark, p, weights, query_bytes):
+    from rareclass.scorers.knn import knn_vote
 
     e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     e = e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), (F.col("label") == 0).cast("int").alias("label"))
-    train = e.where(F.pmod(F.xxhash64("id"), F.lit(4)) != 0)
-    qs = e.where(F.pmod(F.xxhash64("id"), F.lit(4)) == 0)
-    got = {r["id"]: r["score"] for r in knn_vote(train, qs, k=5, n_pivots=6).collect()}
-    want = knn_brute_force(train, qs, k=5)
-    assert len(got) == len(want)
-    for qid, s in zip(want["id"], want["score"]):
-        assert math.isclose(got[qid], s)
+    train = e.where(F.pmod(F.xxhash64("id"), F.lit(4)) != 0).repartition(5)
+    qs = e.where(F.pmod(F.xxhash64("id"), F.lit(4)) != 1)  # some queries are training rows: distance zero
+    got = {r["id"]: r["score"] for r in knn_vote(train, qs, k=5, p=p, weights=weights, query_bytes=query_bytes).collect()}
+    want = knn_brute_force(train, qs, 5, p, weights)
+    assert set(got) == set(want) and all(math.isclose(got[i], want[i]) for i in got)
+
+
+def test_knn_memory_and_rows_are_bounded():
+    """A task keeps k rows a query, and its matrices stay below a fixed number of cells; ties go to the smaller id."""
+    import tracemalloc
+
+    from rareclass.scorers.knn import MATRIX_CELLS, NearestRows
+
+    rng = np.random.default_rng(0)
+    best = NearestRows(rng.normal(size=(500, 16)), 5, 2)
+    ids = np.arange(20_000)
+    rows = rng.normal(size=(20_000, 16))
+    rows[1000:1400] = rows[0]
+    tracemalloc.start()
+    for at in range(0, 20_000, 4000):
+        best.add(rows[at:at + 4000], ids[at:at + 4000].astype(object), np.ones(4000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(best.query) == 500 * 5 and peak < 8 * 8 * MATRIX_CELLS
+    for q in (0, 17):
+        d = ((rows - best.queries[q]) ** 2).sum(axis=1)
+        assert best.id[best.query == q].tolist() == np.lexsort((ids, d))[:5].tolist()
 
 
 def _planted(spark, n=400, n_out=12, d=6, seed=1):
