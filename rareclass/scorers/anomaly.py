@@ -1,14 +1,14 @@
 """Anomaly detectors fitted on the normal class.
 
 * :class:`IsolationForestScorer` (Liu et al. 2008) built **level by level** as
-  Spark jobs: rows are replicated per tree (``(row, tree, node)``), one grouped
-  aggregate per level gives each node's size and the range of a few random
-  candidate features, the split table is joined back, rows move to a child.
-  Each tree sees its whole sample (``max_samples=1.0`` = every row, as in the
-  reference) - no node or tree is ever collected into one task.
+  Spark jobs: a record keeps its vector and its node in every tree; one grouped
+  aggregate per level gives each node's size and the range of a random feature
+  that varies in it, and the records move on in place.  Each tree sees its
+  whole sample (``max_samples=1.0`` = every row, as in the reference) - no node
+  or tree is ever collected into one task.
 * :class:`OneClassSVMScorer` (Schoelkopf et al. 2001): the linear nu-objective
-  on the M4 feature map, minimised by sub-gradient steps whose sums are one
-  Spark aggregate per iteration.
+  on the M4 feature map, minimised to a gradient tolerance; every evaluation is
+  one Spark aggregate.
 * :class:`ReconstructionScorer`: linear autoencoder = PCA (Baldi & Hornik
   1989); score = row mean squared reconstruction error (A21).
 
@@ -43,60 +43,130 @@ def c_factor(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + EULER) - 2.0 * (n - 1.0) / n
 
 
-def c_factor_col(n: F.Column) -> F.Column:
-    return (
-        F.when(n <= 1, F.lit(0.0))
-        .when(n <= 2, F.lit(1.0))
-        .otherwise(F.lit(2.0) * (F.log(n - F.lit(1.0)) + F.lit(EULER)) - F.lit(2.0) * (n - F.lit(1.0)) / n)
-    )
-
-
 def _uniform(seed: int, *cols) -> F.Column:
     """Deterministic U[0,1) from a hash of the given columns."""
     h = F.xxhash64(F.lit(seed), *cols)
     return F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
 
 
+# Rows of node tables that one step over the records carries.
+NODE_CHUNK = 500_000
+# Candidate features of a node's first try; later tries, for nodes where all were constant, take more.
+FIRST_TRY = 4
+MOST_TRIED = 32
+
+_NODE_BITS = 44  # key of a node: tree << 44 | node
+
+
+def _node_steps(levels: list[DataFrame], level_rows: list[int], most: int) -> list[tuple[list[int], int, int]]:
+    """How the node tables are read: ``(levels, first key, end key)`` per step, each of about ``most`` rows at most.
+
+    Small levels share a step; a level wider than ``most`` is cut into key ranges, so memory is bounded at any size.
+    """
+    steps: list[tuple[list[int], int, int]] = []
+    held: list[int] = []
+    size = 0
+    for lvl, rows in enumerate(level_rows):
+        if rows > most:
+            if held:
+                steps.append((held, 0, 1 << 62))
+                held, size = [], 0
+            cuts = max(2, -(-rows // most))
+            qs = levels[lvl].agg(F.percentile_approx(_key(F.col("t"), F.col("node")), [i / cuts for i in range(1, cuts)], 10_000).alias("q")).first()["q"]
+            ends = [0, *sorted(set(int(q) + 1 for q in qs)), 1 << 62]
+            steps += [([lvl], x, y) for x, y in zip(ends, ends[1:])]
+            continue
+        if held and size + rows > most:
+            steps.append((held, 0, 1 << 62))
+            held, size = [], 0
+        held.append(lvl)
+        size += rows
+    return steps + ([(held, 0, 1 << 62)] if held else [])
+
+
+def _key(t: F.Column, node: F.Column) -> F.Column:
+    return F.shiftleft(t.cast("long"), _NODE_BITS).bitwiseOR(node.cast("long"))
+
+
+_STATE = T.StructType([T.StructField("nodes", T.ArrayType(T.LongType())), T.StructField("path", T.DoubleType())])
+
+
+def _walk(tables: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]], first: int, end: int):
+    """One step of all trees at once for a batch of records: ``nodes`` (0 = ended) and the summed ``path``.
+
+    A record in a leaf, or in a child that no training row reached, ends there.
+    """
+
+    @F.pandas_udf(_STATE)
+    def step(x: pd.Series, nodes: pd.Series, path: pd.Series) -> pd.DataFrame:
+        if not len(x):
+            return pd.DataFrame({"nodes": [], "path": pd.Series([], dtype="float64")})
+        X = np.stack([np.asarray(v, dtype=np.float64) for v in x])
+        at = np.stack([np.asarray(v, dtype=np.int64) for v in nodes])
+        total = path.to_numpy(np.float64).copy()
+        tree = np.arange(at.shape[1], dtype=np.int64) << _NODE_BITS
+        record = np.broadcast_to(np.arange(len(X))[:, None], at.shape)
+        for level, keys, feature, value, size in tables:
+            key = tree[None] | at
+            here = (at > 0) & (at >= 1 << level) & (at < 1 << level + 1) & (key >= first) & (key < end)
+            i = np.clip(np.searchsorted(keys, key), 0, max(0, len(keys) - 1))
+            known = here & (keys[i] == key) if len(keys) else np.zeros_like(here)
+            split = known & (feature[i] >= 0) if len(keys) else known
+            stop = here & ~split
+            n = np.where(known, size[i], 0) if len(keys) else np.zeros(at.shape)
+            total += np.where(stop, level + _c_factors(n), 0.0).sum(axis=1)
+            f = np.where(split, feature[i], 0) if len(keys) else np.zeros(at.shape, np.int64)
+            right = X[record, f] >= (value[i] if len(keys) else 0.0)
+            at = np.where(split, at * 2 + right, np.where(stop, 0, at))
+        return pd.DataFrame({"nodes": list(at), "path": total})
+
+    return step
+
+
+def _c_factors(n: np.ndarray) -> np.ndarray:
+    safe = np.maximum(n, 3)
+    return np.where(n <= 1, 0.0, np.where(n <= 2, 1.0, 2.0 * (np.log(safe - 1.0) + EULER) - 2.0 * (safe - 1.0) / safe))
+
+
+def _read_tables(levels: list[DataFrame], which: list[int], first: int, end: int):
+    """The node tables of a step as sorted arrays (about ``NODE_CHUNK`` rows at most)."""
+    out = []
+    for lvl in which:
+        key = _key(F.col("t"), F.col("node"))
+        rows = levels[lvl].where((key >= first) & (key < end)).select(key.alias("k"), "f", "v", "n").toPandas().sort_values("k")
+        out.append((lvl, rows["k"].to_numpy(np.int64), rows["f"].fillna(-1).to_numpy(np.int64), rows["v"].fillna(0.0).to_numpy(np.float64), rows["n"].to_numpy(np.float64)))
+    return out
+
+
 class IsolationForestModel:
     def __init__(self, levels: list[DataFrame], level_rows: list[int], depth: int, psi: float, n_trees: int,
-                 train: DataFrame, id_col: str, contamination: float):
+                 train: DataFrame | None, id_col: str, contamination: float, node_chunk: int = NODE_CHUNK):
         self.levels, self.level_rows, self.depth, self.psi, self.n_trees = levels, level_rows, depth, psi, n_trees
-        self._train, self._id, self._cont, self._threshold = train, id_col, contamination, None
+        self._train, self._id, self.contamination, self._threshold = train, id_col, contamination, None
+        self.node_chunk = node_chunk
 
     @property
     def threshold(self) -> float | None:
         """Score above which a row is flagged (the ``1 - contamination`` quantile of
         the training scores); computed on first use - it needs a full traversal."""
         if self._threshold is None:
+            if self._train is None:
+                raise ValueError("the model was stored without its threshold and has no training rows")
             scored = self.transform(self._train.select(self._id, "features"), self._id)
-            self._threshold = exact_quantile_values(scored, SCORE, [1.0 - self._cont], interpolate=True)[0]
+            self._threshold = exact_quantile_values(scored, SCORE, [1.0 - self.contamination], interpolate=True)[0]
         return self._threshold
 
-    def path_lengths(self, df: DataFrame, id_col: str) -> DataFrame:
-        """``id, path`` averaged over trees (depth reached + c(leaf size)).
-
-        One linear chain of joins, one per level; each level table is broadcast
-        when its counted size is small, so the whole traversal is then a single
-        pipelined stage followed by one aggregate.
-        """
-        x = vector_to_array(F.col("features"))
-        cur = df.select(F.col(id_col).alias("__rid"), x.alias("__x")).select(
-            "__rid", "__x", F.explode(F.sequence(F.lit(0), F.lit(self.n_trees - 1))).alias("t")
-        ).select("__rid", "__x", "t", F.lit(1).cast("long").alias("node"), F.lit(None).cast("double").alias("path"))
-        for lvl, (table, rows) in enumerate(zip(self.levels, self.level_rows)):
-            j = cur.join(broadcast_if_small(table, rows), ["t", "node"], "left")
-            # a leaf (or a node the training data never reached) ends the walk here
-            ends = F.col("path").isNull() & F.col("f").isNull()
-            path = F.when(ends, F.lit(float(lvl)) + c_factor_col(F.coalesce(F.col("n"), F.lit(0)).cast("double"))).otherwise(F.col("path"))
-            go_right = F.element_at(F.col("__x"), F.col("f") + 1) >= F.col("v")
-            node = F.when(F.col("f").isNotNull(), F.col("node") * 2 + go_right.cast("long")).otherwise(F.lit(-1).cast("long"))
-            cur = j.select("__rid", "__x", "t", node.alias("node"), path.alias("path"))
-        return cur.groupBy("__rid").agg(F.avg("path").alias("path")).withColumnRenamed("__rid", id_col)
-
     def transform(self, df: DataFrame, id_col: str = "id") -> DataFrame:
-        pl = self.path_lengths(df, id_col)
-        score = F.pow(F.lit(2.0), -F.col("path") / F.lit(c_factor(self.psi)))
-        return df.join(pl.select(id_col, score.alias(SCORE)), id_col, "left")
+        """``df`` with the score: every record walks all trees in place (its node per tree is one array), nothing is
+        exploded, joined or shuffled.  Node tables go out in steps of a bounded size."""
+        x = vector_to_array(F.col("features"))
+        start = F.struct(F.array_repeat(F.lit(1).cast("long"), self.n_trees).alias("nodes"), F.lit(0.0).alias("path"))
+        out = df.withColumn("__x", x).withColumn("__s", start)
+        for which, first, end in _node_steps(self.levels, self.level_rows, self.node_chunk):
+            step = _walk(_read_tables(self.levels, which, first, end), first, end)
+            out = out.withColumn("__s", step("__x", F.col("__s.nodes"), F.col("__s.path")))
+        path = F.col("__s.path") / F.lit(float(self.n_trees))
+        return out.select(*df.columns, F.pow(F.lit(2.0), -path / F.lit(c_factor(self.psi))).alias(SCORE))
 
 
 class IsolationForestScorer:
@@ -104,16 +174,20 @@ class IsolationForestScorer:
 
     ``max_samples`` (fraction of rows, or an int count) draws each tree's sample
     by a seeded hash (1.0 = all rows); ``max_features`` draws each tree's
-    feature subset.  A node splits on the first of ``n_candidates`` random
-    features that is not constant in the node, at a uniform point of its range.
+    feature subset.  A node splits on the first feature, in a random order of
+    its own, that varies in the node, at a uniform point of its range.
     Depth limit ``ceil(log2(sample size))``.  ``contamination`` sets the
     score threshold (that quantile of the training scores).
+
+    Layout: one row per record with its vector and the array of its node in
+    every tree.  It is exploded only on the way into a level's aggregate, which
+    is combined map-side; vectors are never shuffled or copied per tree.
     """
 
     def __init__(self, n_estimators: int = 100, max_samples: float = 1.0, contamination: float = 0.1,
-                 max_features: float = 1.0, seed: int = 42, n_candidates: int = 4):
-        self.T, self.ms, self.cont, self.mf, self.seed, self.K = (
-            n_estimators, max_samples, contamination, max_features, seed, n_candidates)
+                 max_features: float = 1.0, seed: int = 42, node_chunk: int = NODE_CHUNK):
+        self.T, self.ms, self.cont, self.mf, self.seed, self.node_chunk = (
+            n_estimators, max_samples, contamination, max_features, seed, node_chunk)
 
     def fit(self, train: DataFrame, id_col: str = "id") -> IsolationForestModel:
         normals = train.where(F.col("label") == 0) if "label" in train.columns else train
@@ -129,86 +203,99 @@ class IsolationForestScorer:
         # Per-tree feature subset of size m without a (trees x features) literal:
         # {(a_t * i + b_t) mod d : i < m} with a_t coprime to d - a seeded
         # pseudo-random subset; with max_features=1.0 every feature is used.
+        # A node runs through it from a random start by a random step coprime
+        # to m, so its candidates are all different and all come up in the end.
         coprime = [a for a in range(1, d + 1) if math.gcd(a, d) == 1] or [1]
+        steps = [a for a in range(1, m + 1) if math.gcd(a, m) == 1] or [1]
+        steps = [steps[i] for i in sorted(rng.choice(len(steps), min(64, len(steps)), replace=False))]
         a_lit = F.array(*[F.lit(int(rng.choice(coprime))) for _ in range(self.T)])
         b_lit = F.array(*[F.lit(int(rng.integers(0, d))) for _ in range(self.T)])
-        cur = base.select(
-            "__rid", "__x", F.explode(F.sequence(F.lit(0), F.lit(self.T - 1))).alias("t")
-        )
-        if frac < 1.0:
-            cur = cur.where(_uniform(self.seed + 1, F.col("__rid"), F.col("t")) < F.lit(frac))
-        cur = cur.withColumn("node", F.lit(1).cast("long"))
-
-        def cand_feature(k: int) -> F.Column:
-            idx = F.pmod(F.xxhash64(F.lit(self.seed), F.col("t"), F.col("node"), F.lit(k)), F.lit(m))
-            if m >= d:
-                return idx.cast("int")
-            a = F.element_at(a_lit, F.col("t") + 1)
-            b = F.element_at(b_lit, F.col("t") + 1)
-            return F.pmod(a * idx + b, F.lit(d)).cast("int")
+        step_lit = F.array(*[F.lit(int(a)) for a in steps])
+
+        def candidate(k: int) -> F.Column:
+            start = F.pmod(F.xxhash64(F.lit(self.seed), F.col("t"), F.col("node")), F.lit(m))
+            stride = F.element_at(step_lit, (F.pmod(F.xxhash64(F.lit(self.seed + 3), F.col("t"), F.col("node")), F.lit(len(steps))) + 1).cast("int"))
+            i = F.pmod(start + F.lit(k) * stride, F.lit(m))
+            a, b = F.element_at(a_lit, F.col("t") + 1), F.element_at(b_lit, F.col("t") + 1)
+            return F.pmod(a * i + b, F.lit(d)).cast("int")
+
+        def ranges(rows: DataFrame, tried: int, count: int) -> DataFrame:
+            """Per node: its rows and the first of ``count`` further candidates that varies, with its range."""
+            cand = rows.select("__x", "t", "node", *[candidate(tried + k).alias(f"f{k}") for k in range(count)])
+            vals = [F.element_at(F.col("__x"), F.col(f"f{k}") + 1) for k in range(count)]
+            stats = cand.groupBy("t", "node").agg(
+                F.count(F.lit(1)).alias("n"),
+                *[F.first(f"f{k}").alias(f"f{k}") for k in range(count)],
+                *[F.min(v).alias(f"lo{k}") for k, v in enumerate(vals)],
+                *[F.max(v).alias(f"hi{k}") for k, v in enumerate(vals)],
+            )
+            varies = [F.when(F.col(f"hi{k}") > F.col(f"lo{k}"), F.struct(F.col(f"f{k}").alias("f"), F.col(f"lo{k}").alias("lo"), F.col(f"hi{k}").alias("hi")))
+                      for k in range(count)]
+            return stats.select("t", "node", "n", F.coalesce(*varies).alias("pick"))
 
+        nodes = F.transform(F.sequence(F.lit(0), F.lit(self.T - 1)), lambda t: F.lit(1).cast("long"))
+        if frac < 1.0:
+            nodes = F.transform(F.sequence(F.lit(0), F.lit(self.T - 1)), lambda t: F.when(
+                F.pmod(F.xxhash64(F.lit(self.seed + 1), F.col("__rid"), t), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53)) < F.lit(frac),
+                F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")))
+        cur = base.select("__rid", "__x", nodes.alias("nodes"))
         levels: list[DataFrame] = []
         level_rows: list[int] = []
         held: DataFrame | None = None
-        stale: DataFrame | None = None
         for lvl in range(depth + 1):
-            cur = cur.select("__rid", "__x", "t", "node", *[cand_feature(k).alias(f"f{k}") for k in range(self.K)])
-            vals = [F.element_at(F.col("__x"), F.col(f"f{k}") + 1) for k in range(self.K)]
-            stats = cur.groupBy("t", "node").agg(
-                F.count(F.lit(1)).alias("n"),
-                *[F.first(f"f{k}").alias(f"f{k}") for k in range(self.K)],
-                *[F.min(v).alias(f"lo{k}") for k, v in enumerate(vals)],
-                *[F.max(v).alias(f"hi{k}") for k, v in enumerate(vals)],
-            )
-            pick_f, pick_lo, pick_hi = F.lit(None).cast("int"), F.lit(None).cast("double"), F.lit(None).cast("double")
-            for k in reversed(range(self.K)):
-                ok = F.col(f"hi{k}") > F.col(f"lo{k}")
-                pick_f = F.when(ok, F.col(f"f{k}")).otherwise(pick_f)
-                pick_lo = F.when(ok, F.col(f"lo{k}")).otherwise(pick_lo)
-                pick_hi = F.when(ok, F.col(f"hi{k}")).otherwise(pick_hi)
+            rows = cur.select("__x", F.posexplode("nodes").alias("t", "node")).where("node > 0")
+            found = cut_lineage(ranges(rows, 0, min(FIRST_TRY, m)))
+            tried, count = min(FIRST_TRY, m), FIRST_TRY
+            while tried < m and lvl < depth:
+                open_nodes = found.where("n > 1 and pick is null").select("t", "node")
+                left = open_nodes.count()
+                if not left:
+                    break
+                count = min(count * 2, MOST_TRIED, m - tried)
+                more = ranges(rows.join(broadcast_if_small(open_nodes, left), ["t", "node"], "left_semi"), tried, count)
+                more = more.select("t", "node", F.col("pick").alias("later"))
+                found = cut_lineage(found.join(more, ["t", "node"], "left").select("t", "node", "n", F.coalesce("pick", "later").alias("pick")))
+                tried += count
             u = _uniform(self.seed + 2, F.col("t"), F.col("node"))
-            splittable = (F.col("n") > 1) & F.lit(lvl < depth) & pick_f.isNotNull()
-            table = stats.select(
+            splittable = (F.col("n") > 1) & F.lit(lvl < depth) & F.col("pick").isNotNull()
+            table = cut_lineage(found.select(
                 "t", "node", "n",
-                F.when(splittable, pick_f).alias("f"),  # 0-based feature index
-                F.when(splittable, pick_lo + u * (pick_hi - pick_lo)).alias("v"),
-            )
-            table = cut_lineage(table)  # small: (tree, node) rows of this level
-            if stale is not None:  # the level before is no longer read
-                stale.unpersist()
-                stale = None
+                F.when(splittable, F.col("pick.f")).alias("f"),  # 0-based feature index
+                F.when(splittable, F.col("pick.lo") + u * (F.col("pick.hi") - F.col("pick.lo"))).alias("v"),
+            ))
             row = table.agg(F.count(F.lit(1)).alias("n"), F.count("f").alias("s")).first()
             levels.append(table)
             level_rows.append(int(row["n"]))
             if lvl == depth or int(row["s"]) == 0:
                 break
-            splits = broadcast_if_small(table.where(F.col("f").isNotNull()), int(row["s"]))
-            go_right = F.element_at(F.col("__x"), F.col("f") + 1) >= F.col("v")
-            cur = cur.join(splits, ["t", "node"], "inner").select(
-                "__rid", "__x", "t", (F.col("node") * 2 + go_right.cast("long")).alias("node")
-            )
-            if lvl % 3 == 2:
-                cur = cut_lineage(cur)  # bound the lineage of the replicated rows
+            moved = cur.withColumn("path", F.lit(0.0))
+            for _, first, end in _node_steps([table], [int(row["n"])], self.node_chunk):
+                own = [(lvl, *arrays[1:]) for arrays in _read_tables([table], [0], first, end)]
+                moved = moved.withColumn("s", _walk(own, first, end)("__x", "nodes", "path")).select("__rid", "__x", F.col("s.nodes").alias("nodes"), "path")
+            moved = moved.select("__rid", "__x", "nodes")
+            if lvl % 4 == 3:
+                cur = cut_lineage(moved)
                 if held is not None:
                     held.unpersist()
                     held = None
             else:
-                # kept for the next level's aggregate and join (recomputed from
-                # the last checkpoint only if an executor is lost)
-                stale, held = held, cur.persist()
-                cur = held
-        for df in (held, stale):
-            if df is not None:
-                df.unpersist()
+                # kept for the next level; recomputed from the last checkpoint only if an executor is lost
+                cur = moved.persist()
+                cur.count()
+                if held is not None:
+                    held.unpersist()
+                held = cur
+        if held is not None:
+            held.unpersist()
         base.unpersist()
         return IsolationForestModel(levels, level_rows, depth, psi, self.T, normals.select(id_col, "features"), id_col,
-                                    self.cont)
+                                    self.cont, self.node_chunk)
 
 
 class OneClassSVMModel:
-    def __init__(self, fmap, w: np.ndarray, rho: float, objective: list[float] | None = None):
+    def __init__(self, fmap, w: np.ndarray, rho: float, objective: list[float] | None = None, converged: bool = True):
         self.fmap, self.w, self.rho = fmap, w, rho
-        self.objective = objective or []
+        self.objective, self.converged = objective or [], converged
 
     def history(self) -> list[float]:
         """The nu-objective after each iteration."""
@@ -225,59 +312,91 @@ class OneClassSVMModel:
 class OneClassSVMScorer:
     """M7: one-class SVM (nu-formulation) on the kernel feature map.
 
-    minimise 0.5|w|^2 + 1/(nu n) sum max(0, rho - w.z_i) - rho by sub-gradient
-    descent; each step's violator sum and count are one Spark aggregate.
+    minimise 0.5|w|^2 + 1/(nu n) sum max(0, rho - w.z_i) - rho.  The hinge is
+    rounded over ``corner`` (its value changes by less than half of that), so
+    the problem is smooth and BFGS runs until the gradient is below ``tol``;
+    objective and gradient of each trial point are one Spark aggregate, and
+    only ``dim + 2`` numbers reach the driver.  ``max_iter`` is a stop for
+    ill-posed input: reaching it warns, and ``converged`` is false.
     """
 
     def __init__(self, nu: float = 0.1, kernel: str = "rbf", gamma: str | float = "scale", n_components: int = 256,
-                 degree: int = 3, max_iter: int = 60, seed: int = 42):
+                 degree: int = 3, max_iter: int = 500, seed: int = 42, tol: float = 1e-3, corner: float = 1e-2):
         self.nu, self.kernel, self.gamma, self.D, self.degree, self.iters, self.seed = (
             nu, kernel, gamma, n_components, degree, max_iter, seed)
+        self.tol, self.corner = tol, corner
 
     def fit(self, train: DataFrame) -> OneClassSVMModel:
         normals = train.where(F.col("label") == 0) if "label" in train.columns else train
         fmap = kernel_map(normals, self.kernel, self.gamma, self.D, self.degree, self.seed)
         z = fmap(normals.select("features")).select(vector_to_array(F.col("kfeat")).alias("z")).persist()
-        n = z.count()
-        dim = len(z.first()["z"]) if n else 0
-        w = np.zeros(dim)
-        rho = 0.0
-        # one row per partition: the violators' vector sum, then their count and the hinge sum
-        part_schema = T.StructType([T.StructField("s", T.ArrayType(T.DoubleType()))])
-        objective: list[float] = []
-        for it in range(1, self.iters + 1):
-            w_now, rho_now = w.copy(), rho
-
-            def partial(batches, w_now=w_now, rho_now=rho_now):
-                # one row per partition: violators' count, vector sum and hinge sum
-                k, h, acc = 0, 0.0, np.zeros(dim)
+        first = z.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("z")).alias("d")).first()
+        n, dim = int(first["n"]), int(first["d"] or 0)
+        if not n:
+            z.unpersist()
+            return OneClassSVMModel(fmap, np.zeros(dim), 0.0, [], True)
+        corner, scale = self.corner, 1.0 / (self.nu * n)
+
+        def value(point: np.ndarray) -> tuple[float, np.ndarray]:
+            """Objective and gradient at ``(w, rho)``: one job."""
+            w, rho = point[:-1], float(point[-1])
+
+            def partial(batches):
+                # one row per partition: weighted vector sum, weight sum, hinge sum
+                acc, weight, hinge = np.zeros(dim), 0.0, 0.0
                 for pdf in batches:
                     if len(pdf) == 0:
                         continue
                     Z = np.stack([np.asarray(a, dtype=np.float64) for a in pdf["z"].to_numpy()])
-                    m = Z @ w_now
-                    v = m < rho_now
-                    k += int(v.sum())
-                    acc += Z[v].sum(axis=0)
-                    h += float(np.maximum(0.0, rho_now - m).sum())
-                yield pd.DataFrame({"s": [acc.tolist() + [float(k), h]]})
-
-            parts = z.mapInPandas(partial, part_schema)
-            # element-wise sum on the executors in one job: only dim + 2 numbers
-            # reach the driver (counts stay exact as doubles below 2^53)
-            sums = parts.select(F.posexplode("s").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
+                    u = rho - Z @ w
+                    slope = np.clip(u / corner, 0.0, 1.0)
+                    acc += slope @ Z
+                    weight += float(slope.sum())
+                    hinge += float(np.where(u >= corner, u - corner / 2, np.where(u > 0, u * u / (2 * corner), 0.0)).sum())
+                yield pd.DataFrame({"s": [acc.tolist() + [weight, hinge]]})
+
+            parts = z.mapInPandas(partial, "s array<double>")
             tot = np.zeros(dim + 2)
-            for r in sums:
+            for r in parts.select(F.posexplode("s").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect():
                 tot[r["i"]] = r["x"]
-            s, k, hinge = tot[:dim], int(round(tot[dim])), float(tot[dim + 1])
-            objective.append(0.5 * float(w @ w) + hinge / (self.nu * n) - rho)
-            gw = w - s / (self.nu * n)
-            grho = k / (self.nu * n) - 1.0
-            eta = 1.0 / math.sqrt(it)
-            w = w - eta * gw
-            rho = rho - eta * grho
+            grad = np.concatenate([w - scale * tot[:dim], [scale * tot[dim] - 1.0]])
+            return 0.5 * float(w @ w) + scale * float(tot[dim + 1]) - rho, grad
+
+        point, h = np.zeros(dim + 1), np.eye(dim + 1)
+        f, g = value(point)
+        objective, converged = [f], False
+        for _ in range(self.iters):
+            if np.abs(g).max() <= self.tol:
+                converged = True
+                break
+            step = -h @ g
+            slope = float(g @ step)
+            if slope >= 0:  # curvature estimate spoilt by rounding: start over from the gradient
+                h, step, slope = np.eye(dim + 1), -g, -float(g @ g)
+            length = 1.0
+            while True:
+                trial, trial_g = value(point + length * step)
+                if trial <= f + 1e-4 * length * slope or length < 1e-8:
+                    break
+                length /= 2
+            if length < 1e-8:
+                break
+            s, y = length * step, trial_g - g
+            sy = float(s @ y)
+            if sy > 1e-12:
+                if len(objective) == 1:
+                    h *= sy / float(y @ y)
+                rho_ = 1.0 / sy
+                left = np.eye(dim + 1) - rho_ * np.outer(s, y)
+                h = left @ h @ left.T + rho_ * np.outer(s, s)
+            point, f, g = point + s, trial, trial_g
+            objective.append(f)
         z.unpersist()
-        return OneClassSVMModel(fmap, w, rho, objective)
+        if not converged:
+            import warnings
+
+            warnings.warn(f"one-class SVM stopped with a gradient of {np.abs(g).max():.2e} (tolerance {self.tol:.0e})")
+        return OneClassSVMModel(fmap, point[:-1], float(point[-1]), objective, converged)
 
 
 class ReconstructionModel:

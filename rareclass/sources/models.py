@@ -54,7 +54,7 @@ def save_model(model, path: str, spark: SparkSession | None = None) -> None:
         _write_meta(spark, path, {"kind": "kernel_svm", "map": model.fmap.spec(), "coef": model.coef, "icpt": model.icpt})
     elif isinstance(model, OneClassSVMModel):
         _write_meta(spark, path, {"kind": "one_class_svm", "map": model.fmap.spec(), "w": list(map(float, model.w)),
-                                  "rho": model.rho, "objective": model.objective})
+                                  "rho": model.rho, "objective": model.objective, "converged": model.converged})
     elif isinstance(model, ReconstructionModel):
         _write_meta(spark, path, {"kind": "recon", "mean": model.mean.tolist(), "scale": model.scale.tolist(),
                                   "P": model.P.tolist()})
@@ -65,7 +65,8 @@ def save_model(model, path: str, spark: SparkSession | None = None) -> None:
             nodes = part if nodes is None else nodes.unionByName(part)
         nodes.write.mode("overwrite").partitionBy("level").parquet(os.path.join(path, "nodes"))
         _write_meta(spark, path, {"kind": "iforest", "level_rows": model.level_rows, "depth": model.depth,
-                                  "psi": model.psi, "n_trees": model.n_trees, "threshold": model._threshold})
+                                  "psi": model.psi, "n_trees": model.n_trees, "threshold": model.threshold,
+                                  "contamination": model.contamination})
     else:
         raise TypeError(f"cannot save {type(model).__name__}")
 
@@ -81,13 +82,14 @@ def load_model(spark: SparkSession, path: str):
         svc = LinearSVCModel.load(os.path.join(path, "svc"))
         return KernelSVMModel(svc, KernelMap.from_spec(meta["map"]), meta["coef"], meta["icpt"])
     if kind == "one_class_svm":
-        return OneClassSVMModel(KernelMap.from_spec(meta["map"]), np.array(meta["w"]), meta["rho"], meta["objective"])
+        return OneClassSVMModel(KernelMap.from_spec(meta["map"]), np.array(meta["w"]), meta["rho"], meta["objective"], meta["converged"])
     if kind == "recon":
         return ReconstructionModel(np.array(meta["mean"]), np.array(meta["scale"]), np.array(meta["P"]))
     if kind == "iforest":
         nodes = spark.read.parquet(os.path.join(path, "nodes"))
         levels = [nodes.where(F.col("level") == lvl).drop("level") for lvl in range(len(meta["level_rows"]))]
-        m = IsolationForestModel(levels, meta["level_rows"], meta["depth"], meta["psi"], meta["n_trees"], None, "id", 0.1)
+        m = IsolationForestModel(levels, meta["level_rows"], meta["depth"], meta["psi"], meta["n_trees"], None, "id",
+                                 meta["contamination"])
         m._threshold = meta["threshold"]
         return m
     raise ValueError(f"unknown model kind {kind}")
