@@ -21,10 +21,12 @@ from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .order import exact_quantiles_by_column
+from ..session import cut_lineage
+from .order import broadcast_if_small, exact_quantiles_by_column, row_index
 
 MISSING = "missing"
-MAX_CATEGORIES = 100_000
+# Columns with more categories than this are indexed through a joined table instead of a literal in the plan.
+INLINE_CATEGORIES = 1_000
 
 
 def category_value(c: str) -> Column:
@@ -40,6 +42,12 @@ class FeatureModel:
     means: dict[str, float]
     scales: dict[str, float]
     categories: dict[str, list[str]] = field(default_factory=dict)
+    # columns with many categories: a table ``value, index`` (sorted order) and its number of rows
+    tables: dict[str, tuple[DataFrame, int]] = field(default_factory=dict)
+
+    def width(self, c: str) -> int:
+        """Number of fitted categories."""
+        return self.tables[c][1] if c in self.tables else len(self.categories[c])
 
     def scaled_columns(self, df: DataFrame) -> list[Column]:
         """E1+E4 per numeric column, named like the input."""
@@ -50,16 +58,27 @@ class FeatureModel:
         return out
 
     def category_index(self, c: str) -> Column:
-        """Index of the value among the sorted fitted categories; NULL when unseen."""
+        """Index of the value among the sorted fitted categories; NULL when unseen
+        (of a wide column: the index that :meth:`with_indexes` joined)."""
+        if c in self.tables:
+            return F.col(f"__at_{c}")
         cats = self.categories[c]
         m = F.create_map(*[x for i, v in enumerate(cats) for x in (F.lit(v), F.lit(i))]) if cats else None
         if m is None:
             return F.lit(None).cast("int")
         return m[category_value(c)]
 
+    def with_indexes(self, df: DataFrame) -> DataFrame:
+        """``df`` with the index of every wide column: a left join on the value with the fitted table (broadcast only
+        behind its counted size; otherwise a shuffled join, whose hot values AQE splits)."""
+        for c, (table, n) in self.tables.items():
+            small = broadcast_if_small(table.select(F.col("value").alias("__value"), F.col("index").cast("int").alias(f"__at_{c}")), n)
+            df = df.join(small, category_value(c) == F.col("__value"), "left").drop("__value")
+        return df
+
     def onehot_block(self, c: str) -> Column:
         """E3 as a dense array over the sorted fitted categories (unseen -> all zeros)."""
-        k = len(self.categories[c])
+        k = self.width(c)
         idx = self.category_index(c)
         return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce((idx == i).cast("double"), F.lit(0.0)))
 
@@ -67,7 +86,7 @@ class FeatureModel:
         """Category index as double, unseen -> ``k``, carrying nominal ML
         metadata with ``k`` values, so the encoder knows the width without a
         data pass."""
-        k = len(self.categories[c])
+        k = self.width(c)
         idx = F.coalesce(self.category_index(c).cast("double"), F.lit(float(k)))
         return idx.alias(f"__idx_{c}", metadata={"ml_attr": {"type": "nominal", "num_vals": k, "name": f"__idx_{c}"}})
 
@@ -78,7 +97,8 @@ class FeatureModel:
         carries its width as metadata, so they are sparse: a categorical with
         many values does not make every row that wide.
         """
-        cats = [c for c in self.categorical if self.categories[c]]
+        cats = [c for c in self.categorical if self.width(c)]
+        df = self.with_indexes(df)
         base = df.select(
             *keep,
             *([F.col(label).cast("double").alias("label")] if label else []),
@@ -100,13 +120,14 @@ class FeatureModel:
 
     @property
     def n_features(self) -> int:
-        return len(self.numeric) + sum(len(v) for v in self.categories.values())
+        return len(self.numeric) + sum(self.width(c) for c in self.categorical)
 
 
 class FeatureBuilder:
     """``FeatureBuilder(numeric, categorical).fit(df).transform(df, label)``."""
 
-    def __init__(self, numeric: Sequence[str], categorical: Sequence[str] = ()):
+    def __init__(self, numeric: Sequence[str], categorical: Sequence[str] = (), inline: int = INLINE_CATEGORIES):
+        self.inline = inline
         self.numeric = list(numeric)
         self.categorical = list(categorical)
 
@@ -134,18 +155,21 @@ class FeatureBuilder:
             # zero-variance column keeps scale 1 (as sklearn's StandardScaler)
             scales[c] = float(s) if s not in (None, 0.0) and s > 1e-300 else 1.0
         cats: dict[str, list[str]] = {c: [] for c in self.categorical}
+        tables: dict[str, tuple[DataFrame, int]] = {}
         if self.categorical:
             pairs = F.explode(F.array(*[
                 F.struct(F.lit(c).alias("c"), category_value(c).alias("v")) for c in self.categorical
             ]))
-            distinct = df.select(pairs.alias("p")).select("p.c", "p.v").distinct()
+            distinct = cut_lineage(df.select(pairs.alias("p")).select("p.c", "p.v").distinct())
             sizes = {r["c"]: r["n"] for r in distinct.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
-            for c, n in sizes.items():
-                if n > MAX_CATEGORIES:
-                    raise ValueError(f"{c}: {n} categories exceed {MAX_CATEGORIES}; hash or bucket it first")
-            for r in distinct.collect():  # counted bound: at most MAX_CATEGORIES per column
+            few = [c for c, n in sizes.items() if n <= self.inline]
+            for r in distinct.where(F.col("c").isin(few)).collect():  # counted: at most ``inline`` values per column
                 cats[r["c"]].append(r["v"])
             cats = {c: sorted(v) for c, v in cats.items()}
+            for c, n in sizes.items():
+                if c not in few:
+                    values = distinct.where(F.col("c") == c).select(F.col("v").alias("value"))
+                    tables[c] = cut_lineage(row_index(values, ["value"])), int(n)
         if owned:
             df.unpersist()
-        return FeatureModel(self.numeric, self.categorical, medians, means, scales, cats)
+        return FeatureModel(self.numeric, self.categorical, medians, means, scales, cats, tables)

@@ -89,6 +89,25 @@ def count_vectors(df: DataFrame, text_col: str, key: str, vocab_size: int = 100,
     return model.transform(toks).select(key, out)
 
 
+def token_label_correlation(df: DataFrame, labels: DataFrame, text_col: str, key: str, label: str,
+                            vocab_size: int = 100, min_df: float = 5) -> DataFrame:
+    """``token, corr``: Pearson correlation of each vocabulary term's count with the label, over the labelled texts.
+
+    One join of the term occurrences with the labels; documents without the term enter through the label totals, so no
+    dense (documents x terms) table is built.
+    """
+    vocab = F.broadcast(vocabulary(df, text_col, key, vocab_size, min_df).select("token"))  # at most ``vocab_size`` rows
+    known = labels.select(key, F.col(label).cast("double").alias("__y")).where("__y is not null").join(df.select(key), key, "left_semi")
+    base = known.agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("y"), F.sum(F.col("__y") * F.col("__y")).alias("yy")).first()
+    n, y, yy = float(base["n"] or 0), float(base["y"] or 0), float(base["yy"] or 0)
+    counts = token_table(df, text_col, key).join(vocab, "token").groupBy(key, "token").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    sums = counts.join(known, key).groupBy("token").agg(
+        F.sum("c").alias("x"), F.sum(F.col("c") * F.col("c")).alias("xx"), F.sum(F.col("c") * F.col("__y")).alias("xy"))
+    spread = (n * F.col("xx") - F.col("x") * F.col("x")) * F.lit(n * yy - y * y)
+    corr = F.try_divide(n * F.col("xy") - F.col("x") * F.lit(y), F.sqrt(spread))
+    return vocab.join(sums, "token", "left").select("token", corr.alias("corr"))
+
+
 def embed(df: DataFrame, text_col: str, key: str, make_predict_fn=None, batch_size: int = 128,
           dim: int = 768, num_features: int = 1 << 18, out: str = "embedding") -> DataFrame:
     """A text embedding column.

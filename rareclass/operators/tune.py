@@ -7,6 +7,7 @@ the cluster interleaves them).  Scoring and metrics stay on the executors.
 
 from __future__ import annotations
 
+import inspect
 import json
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -107,10 +108,17 @@ def draw(ranges: Mapping[str, object], rng: np.random.Generator) -> dict:
 
 
 def score_frame(model, df: DataFrame, id_col: str) -> DataFrame:
-    try:
-        return model.transform(df, id_col)  # scorers that need the row id
-    except TypeError:
-        return model.transform(df)
+    """Scores from any fitted model; scorers that need the row's id take it by name."""
+    return model.transform(df, id_col) if _takes_id(model.transform) else model.transform(df)
+
+
+def _takes_id(function) -> bool:
+    return "id_col" in inspect.signature(function).parameters
+
+
+def fit_scorer(scorer, train: DataFrame, id_col: str = "id"):
+    """``scorer.fit(train)``, with the id column for scorers that need it."""
+    return scorer.fit(train, id_col) if _takes_id(scorer.fit) else scorer.fit(train)
 
 
 def search(
@@ -130,7 +138,7 @@ def search(
 
     def run(i: int):
         p = params[i]
-        model = scorer(**p).fit(train) if not _needs_id(scorer) else scorer(**p).fit(train, id_col)
+        model = fit_scorer(scorer(**p), train, id_col)
         scored = score_frame(model, valid, id_col)
         m = curve_metrics(scored, "label", "score").first()
         return i, p, m["roc_auc"], m["pr_auc"], m["f1"]
@@ -145,15 +153,6 @@ def search(
     return trials, best[1]
 
 
-def _needs_id(scorer) -> bool:
-    import inspect
-
-    try:
-        return "id_col" in inspect.signature(scorer.fit).parameters
-    except (TypeError, ValueError):
-        return False
-
-
 def evaluate(models: Mapping[str, object], test: DataFrame, id_col: str = "id") -> DataFrame:
     """Score the test rows with every model and compute all metrics in one grouped pass."""
     parts = []

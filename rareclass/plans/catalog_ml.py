@@ -16,6 +16,7 @@ from ..operators import order as O
 from ..operators.features import FeatureBuilder
 from ..sources.io import table
 from . import products as PD
+from .training import CATEGORICAL_FEATURES, NUMERIC_FEATURES, POSITIVE_CLASS, TARGET, embedding_features, product_features, product_features_and_model
 from .catalog import _tokens_sql, _transformed, _with, documents_text, query, rnd
 
 # --------------------------------------------------------------- metrics --
@@ -152,12 +153,6 @@ def q_best_model(spark, sf_dir):
 
 # -------------------------------------------------------------- features --
 
-NUMERIC_FEATURES = ["stars", "reviews", "price", "listPrice", "boughtInLastMonth", "rating_weighted_reviews",
-                    "percent_rank", "price_log", "title_length"]
-CATEGORICAL_FEATURES = ["has_listPrice", "category_name", "isPopular"]
-TARGET = "isBestSeller"
-
-
 def _impute_scale_sql() -> str:
     cols = NUMERIC_FEATURES
     med = ", ".join(f"QUANTILE_CONT({c}, 0.5) AS {c}" for c in cols)
@@ -209,13 +204,12 @@ def q_onehot(spark, sf_dir):
     split = O.split_exact(df.select("asin"), "asin", seed=13)
     train = df.join(split.where(F.col("split") == "train"), "asin", "left_semi")
     model = FeatureBuilder([], CATEGORICAL_FEATURES).fit(train)
+    df = model.with_indexes(df)
     return df.select("asin", *[model.category_index(c).cast("int").alias(f"{c}_idx") for c in CATEGORICAL_FEATURES])
 
 
 # ------------------------------------------------------------------- kNN --
 
-POSITIVE_CLASS = 0
-
 
 def embeddings_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``vec_id, vec, y, split`` - class 0 is the rare positive class."""
@@ -259,27 +253,61 @@ def _split(df: DataFrame, *names: str) -> DataFrame:
     return df.where(F.col("split").isin(*names))
 
 
-def _fit_score(scorer, train: DataFrame, score_on: DataFrame, id_needed: bool = False) -> DataFrame:
-    from ..operators.tune import score_frame
+def _fit_score(scorer, train: DataFrame, score_on: DataFrame) -> DataFrame:
+    from ..operators.tune import fit_scorer, score_frame
 
-    model = scorer.fit(train, "id") if id_needed else scorer.fit(train)
-    return score_frame(model, score_on, "id").select("id", rnd("score"))
+    return score_frame(fit_scorer(scorer, train), score_on, "id").select("id", rnd("score"))
 
 
-@query("features")
+def _features_sql() -> str:
+    """Median, mean and scale of the training rows; numeric block, then the place of each row's one in the one-hot blocks."""
+    med = ", ".join(f"QUANTILE_CONT({c}, 0.5) AS {c}" for c in NUMERIC_FEATURES)
+    imp = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), (SELECT {c} FROM med)) AS {c}" for c in NUMERIC_FEATURES)
+    st = ", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in NUMERIC_FEATURES)
+    num = ", ".join(f"ROUND((i.{c} - m_{c}) / CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN 1 ELSE s_{c} END, 4) AS {c}" for c in NUMERIC_FEATURES)
+    cats, joins, hot, ahead = "", "", [], [str(len(NUMERIC_FEATURES))]
+    for c in CATEGORICAL_FEATURES:
+        cats += f""",
+cats_{c} AS (SELECT v, CAST(ROW_NUMBER() OVER (ORDER BY v) - 1 AS INTEGER) AS idx
+  FROM (SELECT DISTINCT COALESCE(CAST({c} AS VARCHAR), 'missing') AS v FROM train))"""
+        joins += f" LEFT JOIN cats_{c} ON COALESCE(CAST(t.{c} AS VARCHAR), 'missing') = cats_{c}.v"
+        hot.append(f"CAST(cats_{c}.idx + {' + '.join(ahead)} AS INTEGER) AS {c}_at")
+        ahead.append(f"(SELECT COUNT(*) FROM cats_{c})")
+    return _with(
+        f""",
+pos AS (SELECT asin, ROW_NUMBER() OVER (ORDER BY md5(asin || '#13'), asin) AS pos, COUNT(*) OVER () AS n FROM transformed),
+parts AS (SELECT asin, CASE WHEN pos <= FLOOR(CAST(0.7 AS DOUBLE) * n) THEN 'train'
+  WHEN pos <= FLOOR(CAST(0.85 AS DOUBLE) * n) THEN 'validation' ELSE 'test' END AS split FROM pos),
+train AS (SELECT t.* FROM transformed t JOIN parts USING (asin) WHERE split = 'train'){cats},
+med AS (SELECT {med} FROM train),
+imp AS (SELECT asin, split, {TARGET}, {imp} FROM transformed JOIN parts USING (asin)),
+st AS (SELECT {st} FROM imp WHERE split = 'train')
+SELECT t.asin AS id, i.split, CAST(i.{TARGET} AS DOUBLE) AS label, CAST({' + '.join(ahead)} AS INTEGER) AS n_features, {num}, {', '.join(hot)}
+FROM transformed t JOIN imp i USING (asin){joins}, st"""
+    )
+
+
+@query("features", _features_sql())
 def q_features(spark, sf_dir):
-    """Label + assembled feature vector per product (fitted on the training split)."""
-    from ..plans.training import product_features
+    """The assembled vector of every product (fitted on the training split): its width, the numeric
+    block, and the place of the one in each one-hot block (NULL for an unseen category)."""
     from pyspark.ml.functions import vector_to_array
 
-    f = product_features(spark, sf_dir)
-    return f.select("id", "split", "label", vector_to_array("features").alias("features"))
+    out, model = product_features_and_model(spark, sf_dir)
+    v = vector_to_array("features")
+    place, at = [], len(NUMERIC_FEATURES)
+    for c in CATEGORICAL_FEATURES:
+        block = F.slice(F.col("v"), at + 1, model.width(c))
+        found = F.array_position(block, F.lit(1.0))
+        place.append(F.when(found > 0, found + at - 1).cast("int").alias(f"{c}_at"))
+        at += model.width(c)
+    return out.select("id", "split", "label", v.alias("v")).select(
+        "id", "split", "label", F.size("v").alias("n_features"), *[F.round(F.col("v")[i], 4).alias(c) for i, c in enumerate(NUMERIC_FEATURES)], *place)
 
 
 @query("logit")
 def q_logit(spark, sf_dir):
     """M1: balanced logistic regression, validation scores."""
-    from ..plans.training import product_features
     from ..scorers import LogitScorer
 
     f = product_features(spark, sf_dir).persist()
@@ -289,7 +317,6 @@ def q_logit(spark, sf_dir):
 @query("forest")
 def q_forest(spark, sf_dir):
     """M2: balanced random forest (100 trees), validation scores."""
-    from ..plans.training import product_features
     from ..scorers import ForestScorer
 
     f = product_features(spark, sf_dir).persist()
@@ -299,7 +326,6 @@ def q_forest(spark, sf_dir):
 @query("boosted")
 def q_boosted(spark, sf_dir):
     """M3: boosted trees with the reference's default settings, validation scores."""
-    from ..plans.training import product_features
     from ..scorers import BoostedScorer
 
     f = product_features(spark, sf_dir).persist()
@@ -309,7 +335,6 @@ def q_boosted(spark, sf_dir):
 @query("svm")
 def q_svm(spark, sf_dir):
     """M4: RBF-kernel SVM (random Fourier features + Platt), validation scores."""
-    from ..plans.training import product_features
     from ..scorers import KernelSVMScorer
 
     f = product_features(spark, sf_dir).persist()
@@ -319,17 +344,15 @@ def q_svm(spark, sf_dir):
 @query("iforest")
 def q_iforest(spark, sf_dir):
     """M6: isolation forest fitted on normal training embeddings (all rows per tree), held-out scores."""
-    from ..plans.training import embedding_features
     from ..scorers import IsolationForestScorer
 
     f = embedding_features(spark, sf_dir).persist()
-    return _fit_score(IsolationForestScorer(), _split(f, "train"), _split(f, "validation", "test"), id_needed=True)
+    return _fit_score(IsolationForestScorer(), _split(f, "train"), _split(f, "validation", "test"))
 
 
 @query("ocsvm")
 def q_ocsvm(spark, sf_dir):
     """M7: one-class SVM on normal training embeddings, held-out scores."""
-    from ..plans.training import embedding_features
     from ..scorers import OneClassSVMScorer
 
     f = embedding_features(spark, sf_dir).persist()
@@ -339,7 +362,6 @@ def q_ocsvm(spark, sf_dir):
 @query("recon_error")
 def q_recon_error(spark, sf_dir):
     """PCA reconstruction error (encoding_dim 32) on held-out embeddings."""
-    from ..plans.training import embedding_features
     from ..scorers import ReconstructionScorer
 
     f = embedding_features(spark, sf_dir).persist()
@@ -350,7 +372,6 @@ def q_recon_error(spark, sf_dir):
 def q_tune(spark, sf_dir):
     """M9: 5 seeded trials (2 at a time) of logistic regression over the reference's ranges."""
     from ..operators.tune import RANGES, search
-    from ..plans.training import product_features
     from ..scorers import LogitScorer
 
     f = product_features(spark, sf_dir, stratify=True).persist()
@@ -358,16 +379,35 @@ def q_tune(spark, sf_dir):
     return trials.select("trial", "params", rnd("roc_auc"), rnd("pr_auc"), rnd("f1"))
 
 
+def _tune_query(name: str):
+    """M9 for one scorer: seeded trials (2 at a time) over its ranges on the embeddings."""
+
+    def run(spark, sf_dir):
+        from ..operators.tune import RANGES, search
+        from ..scorers import SCORERS
+
+        f = embedding_features(spark, sf_dir).persist()
+        trials, _ = search(_split(f, "train"), _split(f, "validation"), SCORERS[name], RANGES[name], n_trials=2, parallelism=2)
+        f.unpersist()
+        return trials.select("trial", "params", rnd("roc_auc"), rnd("pr_auc"), rnd("f1"))
+
+    return run
+
+
+for _name in ("forest", "boosted", "kernel_svm", "knn", "iforest", "one_class_svm", "recon_error"):
+    query(f"tune_{_name}")(_tune_query(_name))
+
+
 @query("evaluate_compare")
 def q_evaluate_compare(spark, sf_dir):
-    """Fit three scorers, evaluate on the test split, metrics table with the best-F1 flag."""
-    from ..operators.tune import compare, evaluate
-    from ..plans.training import embedding_features
-    from ..scorers import LogitScorer, ReconstructionScorer
+    """Fit all eight scorers, evaluate each on the test split, metrics table with the best-F1 flag."""
+    from ..operators.tune import compare, evaluate, fit_scorer
+    from ..scorers import SCORERS
 
     f = embedding_features(spark, sf_dir).persist()
     train, test = _split(f, "train"), _split(f, "test")
-    models = {"logit": LogitScorer().fit(train), "recon_error": ReconstructionScorer(32).fit(train)}
+    small = {"forest": {"n_estimators": 50, "max_depth": 8}, "boosted": {"num_round": 30, "eta": 0.1}, "iforest": {"n_estimators": 50}}
+    models = {name: fit_scorer(cls(**small.get(name, {})), train) for name, cls in SCORERS.items()}
     metrics, best = compare(evaluate(models, test))
     return metrics.select("model", *[rnd(c) for c in ["roc_auc", "pr_auc", "precision", "recall", "f1", "threshold"]],
                           (F.col("model") == F.lit(best)).alias("is_best"))
@@ -375,13 +415,60 @@ def q_evaluate_compare(spark, sf_dir):
 
 @query("embed")
 def q_embed(spark, sf_dir):
-    """Built-in HashingTF + IDF text embedding of every document (non-zeros per row)."""
-    from pyspark.ml.functions import vector_to_array  # noqa: F401
+    """Built-in HashingTF + IDF text embedding of every document: width, non-zeros, sum and norm of the vector."""
+    from pyspark.ml.functions import vector_to_array
+
     from ..operators.textops import embed
 
-    e = embed(documents_text(spark, sf_dir), "text", "doc_id")
-    nnz = F.udf(lambda v: int(v.numNonzeros()) if v is not None else 0, "int")  # tiny per-row helper
-    return e.select("doc_id", nnz("embedding").alias("nnz"))
+    e = embed(documents_text(spark, sf_dir), "text", "doc_id", num_features=1 << 12)
+    v = F.filter(vector_to_array("embedding"), lambda x: x != 0)
+    return e.select("doc_id", F.size(vector_to_array("embedding")).alias("width"), v.alias("v")).select(
+        "doc_id", "width", F.size("v").alias("non_zeros"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 6).alias("total"),
+        F.round(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
+
+
+@query(
+    "describe_strings",
+    """WITH c AS (SELECT COUNT(c_mktsegment) AS n, MIN(c_mktsegment) AS lo, MAX(c_mktsegment) AS hi, COUNT(c_name) AS n2, MIN(c_name) AS lo2, MAX(c_name) AS hi2 FROM customer)
+SELECT s.summary, CASE s.summary WHEN 'count' THEN CAST(n AS VARCHAR) WHEN 'min' THEN lo WHEN 'max' THEN hi END AS c_mktsegment,
+  CASE s.summary WHEN 'count' THEN CAST(n2 AS VARCHAR) WHEN 'min' THEN lo2 WHEN 'max' THEN hi2 END AS c_name
+FROM c, (VALUES ('count'), ('mean'), ('stddev'), ('min'), ('max')) s(summary)""",
+)
+def q_describe_strings(spark, sf_dir):
+    """A3: describe with string columns (values as text; no mean or deviation of text)."""
+    from ..operators.profile import describe
+
+    return describe(table(spark, sf_dir, "customer").select("c_mktsegment", "c_name"))
+
+
+@query(
+    "sql_over_views",
+    """SELECT n.n_name, COUNT(*) AS customers, ROUND(AVG(c.c_acctbal), 6) AS mean_balance FROM customer c
+JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""",
+)
+def q_sql_over_views(spark, sf_dir):
+    """The SQL path - tables registered as views, one statement over them."""
+    from ..sources.io import register_tables
+
+    register_tables(spark, sf_dir, ["customer", "nation"])
+    return spark.sql("""SELECT n.n_name, COUNT(*) AS customers, ROUND(AVG(c.c_acctbal), 6) AS mean_balance FROM customer c
+        JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""")
+
+
+@query(
+    "token_label_relation",
+    "WITH " + _tokens_sql() + """,
+tf AS (SELECT tok AS token, COUNT(*) AS count, COUNT(DISTINCT doc_id) AS docs FROM kept GROUP BY tok),
+vocab AS (SELECT token FROM tf WHERE docs >= 5 ORDER BY count DESC, token LIMIT 100),
+n AS (SELECT l.doc_id, l.toxic, v.token, (SELECT COUNT(*) FROM kept k WHERE k.doc_id = l.doc_id AND k.tok = v.token) AS c
+      FROM labels l JOIN documents d ON d.doc_id = l.doc_id, vocab v)
+SELECT token, ROUND(CORR(c, toxic), 6) AS corr FROM n GROUP BY token""",
+)
+def q_token_label_relation(spark, sf_dir):
+    """Relation of vocabulary terms with the label: correlation of each term's count with ``toxic``."""
+    from ..operators.textops import token_label_correlation
+
+    return token_label_correlation(documents_text(spark, sf_dir), table(spark, sf_dir, "labels"), "text", "doc_id", "toxic").select("token", rnd("corr"))
 
 
 @query(

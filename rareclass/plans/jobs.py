@@ -14,17 +14,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import order as O
-from ..operators.features import FeatureBuilder
-from ..operators.tune import RANGES, compare, evaluate, search
+from ..operators.tune import RANGES, compare, evaluate, fit_scorer, search
 from ..scorers import SCORERS
 from ..sources.io import read_metrics, read_table, write_metrics, write_table
 from ..sources.models import save_model, write_comparison
 from . import products as PD
-from .training import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
-
-# scorers whose fit/transform take the row id
-_ID_SCORERS = {"iforest", "knn"}
+from .training import fit_features
 
 
 def cleaning_job(raw: DataFrame, out_path: str) -> PD.CleaningReport:
@@ -42,16 +37,9 @@ def transformation_job(spark: SparkSession, cleaned_path: str, categories: DataF
 def preprocessing_job(spark: SparkSession, transformed_path: str, out_path: str, seed: int = 13,
                       fit_on: str = "train", stratify: bool = False) -> None:
     """Exact split, features fitted on the training rows, written partitioned by split."""
-    t = read_table(spark, transformed_path)
-    keyed = t.select("asin", F.col(TARGET).alias("__y")) if stratify else t.select("asin")
-    sp = O.split_exact(keyed, "asin", seed=seed, stratify="__y" if stratify else None).select("asin", "split")
-    joined = t.join(sp, "asin").persist()
-    fit_rows = joined.where(F.col("split") == "train") if fit_on == "train" else joined
-    model = FeatureBuilder(NUMERIC_FEATURES, CATEGORICAL_FEATURES).fit(fit_rows)
-    out = model.transform(joined, label=TARGET, keep=["asin", "split"]).withColumnRenamed("asin", "id")
+    out, model = fit_features(read_table(spark, transformed_path), fit_on, seed, stratify)
     write_table(out, out_path, partition_by="split")
     save_model(model, os.path.join(out_path + "_features_model"), spark)
-    joined.unpersist()
 
 
 def training_job(spark: SparkSession, split_path: str, out_dir: str, scorers: Sequence[str] = tuple(SCORERS),
@@ -69,7 +57,7 @@ def training_job(spark: SparkSession, split_path: str, out_dir: str, scorers: Se
         trials, best = search(train, valid, cls, RANGES.get(name, {}), n_trials=n_trials, parallelism=parallelism,
                               metric=metric, seed=seed)
         write_table(trials, os.path.join(out_dir, name, "trials"), fmt="json")
-        model = cls(**best).fit(train, "id") if name in _ID_SCORERS else cls(**best).fit(train)
+        model = fit_scorer(cls(**best), train)
         if name != "knn":  # the kNN "model" is its training table, already stored
             save_model(model, os.path.join(out_dir, name, "model"), spark)
         metrics = evaluate({name: model}, test)

@@ -50,10 +50,7 @@ class _Fitted:
 
     def history(self):
         """Objective per iteration when MLlib keeps it (logistic regression)."""
-        try:
-            return list(self.model.summary.objectiveHistory)
-        except Exception:  # noqa: BLE001 - models without a training summary
-            return []
+        return list(self.model.summary.objectiveHistory) if getattr(self.model, "hasSummary", False) else []
 
     def transform(self, df: DataFrame) -> DataFrame:
         x = self._prepare(df) if self._prepare else df

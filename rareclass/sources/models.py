@@ -45,7 +45,10 @@ def save_model(model, path: str, spark: SparkSession | None = None) -> None:
     """Save any fitted model of the library (or a FeatureModel) under ``path``."""
     spark = spark or SparkSession.getActiveSession()
     if isinstance(model, FeatureModel):
-        _write_meta(spark, path, {"kind": "features", **model.__dict__})
+        for i, (c, (table, _)) in enumerate(model.tables.items()):
+            table.write.mode("overwrite").parquet(os.path.join(path, f"categories-{i}"))
+        plain = {k: v for k, v in model.__dict__.items() if k != "tables"}
+        _write_meta(spark, path, {"kind": "features", **plain, "wide": [[c, n] for c, (_, n) in model.tables.items()]})
     elif isinstance(model, _Fitted):
         model.model.write().overwrite().save(os.path.join(path, "mllib"))
         _write_meta(spark, path, {"kind": "mllib", "cls": type(model.model).__name__})
@@ -75,7 +78,9 @@ def load_model(spark: SparkSession, path: str):
     meta = _read_meta(spark, path)
     kind = meta.pop("kind")
     if kind == "features":
-        return FeatureModel(**meta)
+        wide = meta.pop("wide")
+        tables = {c: (spark.read.parquet(os.path.join(path, f"categories-{i}")), n) for i, (c, n) in enumerate(wide)}
+        return FeatureModel(**meta, tables=tables)
     if kind == "mllib":
         return _Fitted(_MLLIB[meta["cls"]].load(os.path.join(path, "mllib")))
     if kind == "kernel_svm":

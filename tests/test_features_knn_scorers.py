@@ -164,3 +164,44 @@ def test_logit_learns(spark):
 
     df = _planted(spark)
     assert roc_auc(LogitScorer().fit(df).transform(df), "label", "score") > 0.95
+
+
+def test_categories_beyond_any_literal(spark):
+    """120,000 categories go through the joined index table and a sparse block; a small limit gives the same vectors."""
+    wide = spark.range(120_000).select(F.col("id"), F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("c"), (F.col("id") % 7).cast("string").alias("d"))
+    model = FeatureBuilder([], ["c", "d"]).fit(wide)
+    assert model.width("c") == 120_000 and "c" in model.tables and model.categories["d"] == [str(i) for i in range(7)]
+    probe = spark.createDataFrame([(1, "v000123", "3"), (2, "unseen", None), (3, "v119999", "6")], "id long, c string, d string")
+    rows = {r["id"]: r["features"] for r in model.transform(probe, keep=["id"]).collect()}
+    assert rows[1].size == 120_007 and rows[1].indices.tolist() == [123, 120_003]
+    assert rows[2].numNonzeros() == 0 and rows[3].indices.tolist() == [119_999, 120_006]
+    few = wide.where("id < 300")
+    a = FeatureBuilder([], ["c", "d"]).fit(few).transform(few, keep=["id"])
+    b = FeatureBuilder([], ["c", "d"], inline=5).fit(few).transform(few, keep=["id"])
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_batched_embedding_with_a_model(spark):
+    """A model handed over as a factory runs batched on the executors."""
+    from rareclass.operators.textops import embed
+
+    def make():
+        def predict(texts):
+            return np.array([[len(t), t.count("a")] for t in texts], dtype="float32")
+
+        return predict
+
+    df = spark.createDataFrame([(1, "banana"), (2, ""), (3, "xyz")], "id long, t string")
+    got = {r["id"]: list(r["embedding"]) for r in embed(df, "t", "id", make_predict_fn=make, batch_size=2).collect()}
+    assert got == {1: [6.0, 3.0], 2: [0.0, 0.0], 3: [3.0, 0.0]}
+
+
+def test_errors_of_a_scorer_are_not_hidden(spark):
+    from rareclass.operators.tune import score_frame
+
+    class Broken:
+        def transform(self, df, id_col):
+            raise TypeError("inside the scorer")
+
+    with pytest.raises(TypeError, match="inside the scorer"):
+        score_frame(Broken(), spark.range(1), "id")
