@@ -45,19 +45,20 @@ def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.drop(*cols)
 
 
+def outside_domain(col: str, domain: Sequence[str]) -> Column:
+    """True where the value is outside ``domain``; NULL stays NULL (3-valued logic)."""
+    return ~F.col(col).isin(*domain)
+
+
 def domain_violations(df: DataFrame, col: str, domain: Sequence[str]) -> DataFrame:
-    """Rows whose value is outside ``domain`` (NULL is not a violation, 3-valued logic)."""
-    c = F.col(col)
-    cond = None
-    for v in domain:
-        cond = ~(c == F.lit(v)) if cond is None else cond & ~(c == F.lit(v))
-    return df.filter(cond)
+    """Rows whose value is outside ``domain`` (NULL is not a violation)."""
+    return df.filter(outside_domain(col, domain))
 
 
 def domain_to_null(df: DataFrame, col: str, domain: Sequence[str]) -> DataFrame:
     """Values outside ``domain`` become NULL."""
     c = F.col(col)
-    return df.withColumn(col, F.when(~c.isin(*domain), F.lit(None)).otherwise(c))
+    return df.withColumn(col, F.when(outside_domain(col, domain), F.lit(None)).otherwise(c))
 
 
 def range_condition(col: str, lo: float, hi: float, inclusive: bool = True) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -212,8 +212,8 @@ def pair_sample(df: DataFrame, cols: Sequence[str], n: int = 1000, seed: int = 4
         "__h", *[f"__k_{k}" for k in keys]).limit(n).select(*cols)
 
 
-def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
+def preview(df: DataFrame, n: int = 5, order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """O2: the first ``n`` rows under a total order (``TakeOrderedAndProject``:
     each task keeps its own ``n`` rows), so the preview is deterministic."""
     keys = list(order_by) if order_by else list(df.columns)
-    return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)
+    return df.orderBy(*[F.col(k).asc_nulls_first() if isinstance(k, str) else k for k in keys]).limit(n)

@@ -134,11 +134,10 @@ def q_violation_counts(spark, sf_dir):
     from ..operators import clean as C
 
     typed = C.cast_columns(PD.products_raw(spark, sf_dir), PD.PRODUCT_TYPES)
-    lab = F.col("isBestSeller")
     return PR.counts(
         typed,
         {
-            "invalid_label": ~(lab == "True") & ~(lab == "False"),
+            "invalid_label": C.outside_domain("isBestSeller", PD.LABEL_DOMAIN),
             "invalid_stars": C.range_condition("stars", *PD.STARS_RANGE),
         },
     )
@@ -363,16 +362,17 @@ def _ws() -> str:
     return r"[\t\n\x{0B}\f\r ]"
 
 
-@query(
-    "text_clean",
-    "SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '"
-    + TX.emoji_pattern()
-    + "', '', 'g'), '"
-    + TX.special_char_pattern()
-    + "', '', 'g'), '"
-    + TX.space_run_pattern()
-    + "', ' ', 'g') AS clean FROM documents",
-)
+# the oracle's own spelling of the ranges (merged and in order), written apart from the query's pattern builders
+_TEXT_CLEAN_SQL = r"""
+SELECT doc_id, regexp_replace(
+  regexp_replace(
+    regexp_replace(text, '[\x{200D}\x{231A}\x{23CF}\x{23E9}\x{24C2}-\x{1F251}\x{2500}-\x{2BEF}\x{3030}\x{FE0F}\x{10000}-\x{10FFFF}]', '', 'g'),
+    '[^_\p{L}\p{N}\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\p{Z}!,.:;?|-]', '', 'g'),
+  '[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\p{Z}]+', ' ', 'g') AS clean
+FROM documents"""
+
+
+@query("text_clean", _TEXT_CLEAN_SQL)
 def q_text_clean(spark, sf_dir):
     """text cleaning of every document, whole texts."""
     return documents_text(spark, sf_dir).select("doc_id", TX.clean_text("text").alias("clean"))
@@ -482,5 +482,5 @@ def q_describe_products(spark, sf_dir):
 def q_preview_orders(spark, sf_dir):
     """O2: first rows under a total order (a top-10 report - the limit is the feature)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    top = o.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey")).limit(10)
+    top = PR.preview(o, 10, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
     return top.select("o_orderkey", "o_custkey", "o_orderstatus", rnd("o_totalprice"))

@@ -106,7 +106,7 @@ def clean_products(raw: DataFrame, persist: bool = True) -> tuple[DataFrame, Cle
         typed = typed.persist()
     stats = typed.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(~(F.col("isBestSeller") == "True") & ~(F.col("isBestSeller") == "False")).alias("bad_label"),
+        F.count_if(C.outside_domain("isBestSeller", LABEL_DOMAIN)).alias("bad_label"),
         F.count_if(C.range_condition("stars", *STARS_RANGE)).alias("bad_stars"),
     ).first()
     df = C.domain_to_null(typed, "isBestSeller", LABEL_DOMAIN)

@@ -43,6 +43,18 @@ def rows_of(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+# how DuckDB names the types that Spark reports; anything else must be listed to pass
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "date": "DATE"}
+
+
+def type_differences(sdf, sql: str, con) -> dict[str, tuple[str, str]]:
+    """Columns whose types differ between the query and its SQL (numbers of different width or kind included)."""
+    own = dict(sdf.dtypes)
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (t, theirs.get(c, "-")) for c, t in own.items() if TYPES.get(t, t.upper().replace("DECIMAL", "DECIMAL")) != theirs.get(c, "-").replace(", ", ",").replace(" ", "")}
+
+
 def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con) -> dict:
     t = time.time()
     sdf = fn(spark, sf_dir)
@@ -58,8 +70,9 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con) -> dict:
         res["status"] = f"COLUMNS {sorted(spd.columns)} vs {sorted(dpd.columns)}"
         return res
     a, b = rows_of(spd), rows_of(dpd)
+    types = type_differences(sdf, sql, con)
     if a == b:
-        res["status"] = "match"
+        res["status"] = f"TYPES {types}" if types else "match"
     else:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
         res["status"] = f"MISMATCH n={len(a)}/{len(b)} first={diff}"

@@ -40,3 +40,8 @@ def test_fill_median_element(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,), (None,)], "x double")
     assert [r["x"] for r in C.fill_median(df, ["x"]).collect()][-1] == 2.0
     assert math.isclose([r["x"] for r in C.fill_median(df, ["x"], interpolate=True).collect()][-1], 2.5)
+
+
+def test_drop_columns(spark):
+    df = spark.createDataFrame([(1, "a", 2.0)], "i int, s string, x double")
+    assert C.drop_columns(df, ["s", "not there"]).columns == ["i", "x"]
