@@ -19,10 +19,12 @@ LENGTH = 50
 # Bytes of an anchor; each stretch of LENGTH bytes has the anchor with the smallest hash among the LENGTH - ANCHOR + 1 in it.
 ANCHOR = 24
 # Text bytes of a pack (a longer text is a pack of its own) and of the slices in which a pack is scanned.
-PACK_BYTES = 4 << 20
+PACK_BYTES = 6 << 20
 SLICE_BYTES = 1 << 20
 # Text bytes per bucket of anchors.
 BUCKET_TEXT = 16 << 20
+# Compression of packs and blobs (zstandard).
+LEVEL = 3
 # An anchor with at least this many different surroundings is dealt out by single stretches instead.
 HOT_PIECES = 4096
 
@@ -103,7 +105,7 @@ class Pack:
 
     @staticmethod
     def pack(ids: list[int], texts: list[bytes]) -> dict:
-        body = zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
+        body = zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(texts))
         return {"pack": random.getrandbits(62), "ids": np.array(ids, np.int64).tobytes(),
                 "sizes": np.array([len(t) for t in texts], np.int64).tobytes(), "n_bytes": sum(map(len, texts)), "body": body}
 
@@ -193,7 +195,7 @@ class Pack:
         """Bytes to remove.  A piece goes where a smaller id of the pack has an equal one; the smallest id loses the
         stretches that the buckets found elsewhere with a smaller id (``shown``: place of the piece -> bits)."""
         order, first, group = self.distinct()
-        edge = np.zeros(len(self.data) + 1, np.int64)
+        edge = np.zeros(len(self.data) + 1, np.int32)
         later = self.id[order] > self.id[first][group]
         gone = order[later]
         np.add.at(edge, self.start[gone], 1)
@@ -211,11 +213,11 @@ class Pack:
                 hit = own[(own_bits >> np.uint64(j) & np.uint64(1)).astype(bool)]
                 np.add.at(edge, self.start[hit] + j, 1)
                 np.add.at(edge, self.start[hit] + j + LENGTH, -1)
-        return np.cumsum(edge[:-1]) > 0
+        return np.cumsum(edge[:-1], out=edge[:-1]) > 0
 
 
 def _blob(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(a.tobytes() for a in arrays))
 
 
 def _unblob(data: bytes, n: int, *types) -> list[np.ndarray]:
@@ -476,8 +478,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept``: every byte goes that is covered by a string of 50
     bytes which also starts in a document with a smaller id; strings are judged on the input.
 
-    1. Texts are packed (compressed, about 4 MB) and cut into pieces at anchors: equal stretches of 50 bytes have equal
-       anchors, wherever they stand.  Packs are placed by their key once; later steps send only small replies to them.
+    1. Texts are packed (compressed, about 6 MB), written once, and cut into pieces at anchors: equal stretches of 50
+       bytes have equal anchors, wherever they stand.  Packs move once, to meet the replies.
     2. Each pack reports its distinct anchors to their buckets (5 bytes each), which answer with those that two ids hold.
        Text without such an anchor holds no repeat and is never moved again.
     3. The pieces around live anchors, equal ones once per pack, meet in their bucket.  A suffix array over the strings
@@ -493,7 +495,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     spark = docs.sparkSession
     base = rename_clashes(docs, [key, text]).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     packed = base.mapInPandas(to_packs(pack_bytes), PACKS)
-    packs = cut_lineage(packed.repartition(shuffle_partitions(spark), "pack"))
+    packs = cut_lineage(packed)
     total = packs.agg(F.sum("n_bytes").alias("b")).first()["b"] or 0
     n_buckets = max(shuffle_partitions(spark), -(-total // BUCKET_TEXT))
     reported = packs.mapInPandas(anchor_rows(n_buckets), BUCKET_ROWS)
