@@ -364,7 +364,8 @@ class OneClassSVMScorer:
 
         point, h = np.zeros(dim + 1), np.eye(dim + 1)
         f, g = value(point)
-        objective, converged = [f], False
+        objective: list[float] = []
+        converged = False
         for _ in range(self.iters):
             if np.abs(g).max() <= self.tol:
                 converged = True
@@ -384,7 +385,7 @@ class OneClassSVMScorer:
             s, y = length * step, trial_g - g
             sy = float(s @ y)
             if sy > 1e-12:
-                if len(objective) == 1:
+                if not objective:  # first step: scale of the curvature
                     h *= sy / float(y @ y)
                 rho_ = 1.0 / sy
                 left = np.eye(dim + 1) - rho_ * np.outer(s, y)
