@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, drop_columns, hinted, rename_clashes, shuffle_partitions, word_count
+from .common import cut_lineage, hinted, rename_clashes, shuffle_partitions, word_count
 
 # Expected copies are fixed-point numbers with this many fraction bits, so prefix sums are exact longs.
 FRACTION_BITS = 24
@@ -98,5 +98,5 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.0, max_repeat: f
 
 def mix_digest(docs: DataFrame, weights: list[float], share: float, max_repeat: float, seed: int = 42) -> DataFrame:
     """The contract's columns, and ``copies``."""
-    plan = mix_plan(drop_columns(docs, []), weights, share, max_repeat, seed)
+    plan = mix_plan(docs, weights, share, max_repeat, seed)
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import connected_components, cut_lineage, drop_columns, rename_clashes, shuffle_partitions
+from .common import connected_components, cut_lineage, rename_clashes, shuffle_partitions
 
 # Distinct fingerprints that one task compares within one bucket; fuller buckets are divided by further masks.
 BUCKET_LIMIT = 16_384
@@ -167,9 +167,7 @@ def simhash_groups(docs: DataFrame, words_per_shingle: int = 4, radius: int = 4,
     ``component_id`` is the smallest id reachable.  Null or blank texts have fingerprint 0, linked like any other;
     repeated rows come back as often as they stand; an empty table gives no row; other columns are not read.
     """
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("long")
+    @F.pandas_udf("long")
     def print_of(texts: pd.Series) -> pd.Series:
         return pd.Series([_signed(fingerprint(t, words_per_shingle)) for t in texts], dtype="int64")
 
@@ -199,4 +197,4 @@ def drop_near_copies(docs: DataFrame, words_per_shingle: int = 4, radius: int =
     out = docs.join(keep, id_ == F.col("__keep_id"), "left_semi").unionByName(docs.where(id_.isNull()))
     if first.groupBy("doc_id").count().where("count > 1").limit(1).count():
         out = out.dropDuplicates([key])
-    return drop_columns(out, [])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, drop_columns, rename_clashes
+from .common import cut_lineage, rename_clashes
 
 # Closed word classes of the grammar in English, German, French and Spanish (insults are learned).
 THREATS = ("kill", "hurt", "destroy", "murder", "beat", "töten", "umbringen", "verletzen", "tuer", "frapper", "détruire",
@@ -99,7 +99,7 @@ def grammar() -> Transducer:
 
 def clause_matches(symbols: list) -> list[tuple]:
     """Patterns that the composed grammar finds in a clause of symbols."""
-    machine, found, state = grammar(), [], None
+    machine, found = grammar(), []
     state = machine.start
     for s in symbols:
         state, out = machine.step(state, s)
@@ -262,4 +262,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", t
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """``docs`` without the documents whose score is 0.5 or more; nothing is shuffled or joined."""
-    return drop_columns(docs, []).where(model.column(F.col(f"`{text}`")) < 0.5)
+    return docs.where(model.column(F.col(f"`{text}`")) < 0.5)

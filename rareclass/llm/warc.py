@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint_dir, cut_lineage, rename_clashes
+from .common import checkpoint_dir, cut_lineage, hinted, rename_clashes
 
 # Payloads below this many bytes are never stored as revisits.
 MIN_REVISIT_BYTES = 100
@@ -113,8 +113,6 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
         large.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
         .select(F.col("digest").alias("shared_digest"), "first_id"))
     n_files = max(1, -(-stats // file_bytes))
-    from .common import hinted
-
     marked = base.join(hinted(shared, shared.count(), 96), F.col("digest") == F.col("shared_digest"), "left").select(
         "page_id", "url", "payload", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("refers_to"))
 

@@ -1,4 +1,3 @@
-import llm_data
 from rareclass.llm import html as H
 
 
@@ -34,7 +33,7 @@ def test_broken_markup():
 
 def test_paths_are_generalised():
     page = H.Page('<body><div class="Main post-12"><p>some words here</p></div></body>')
-    assert list(H.Page.scores(page)) == ["html/body/div.main.post-#", "html/body"] or "html/body/div.main.post-#" in page.scores()
+    assert set(page.scores()) == {"html/body/div.main.post-#", "html/body"}
 
 
 def long(n):
@@ -57,4 +56,3 @@ def test_awkward_tables(spark):
     got = sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in H.extract_digest(df).collect())
     assert got == [("1", "", 0), ("2", "", 0), ("3", "x", 1), ("3", "x", 1), ("None", "y", 1)]
     assert H.extract_digest(df.limit(0)).count() == 0
-    assert llm_data.CLASHES
