@@ -7,6 +7,7 @@ import os
 import re
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -101,7 +102,8 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     """Writes one record per page (and its continuations) as gzipped archives under ``path``.
 
     Of equal payloads of at least 100 bytes the one with the smallest id is stored, the others revisit it; the election
-    is a grouped minimum by digest (combined map-side).  Spark's writer puts the two line ends between records.
+    is a grouped minimum by digest (combined map-side).  Equal rows meet in one task and are counted there: each has
+    record ids of its own.  Spark's writer puts the two line ends between records.
     """
     base = rename_clashes(pages, [key, url, html]).toDF("page_id", "url", "html")
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
@@ -117,11 +119,15 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
         "page_id", "url", "payload", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("refers_to"))
 
     def to_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter[bytes] = Counter()  # of rows of one file
         for batch in batches:
             out = []
             for page, u, data, digest, ref in zip(batch["page_id"], batch["url"], batch["payload"], batch["digest"], batch["refers_to"]):
                 page, ref = None if pd.isna(page) else int(page), None if pd.isna(ref) else int(ref)
-                out += page_records(page, u, bytes(data), digest, ref, f"{page}/{u}/{digest}/{uuid.uuid4() if page is None else ''}", segment_bytes)
+                row = f"{page}/{u}/{digest}"
+                mark = hashlib.md5(row.encode()).digest()
+                seen[mark] += 1
+                out += page_records(page, u, bytes(data), digest, ref, f"{row}/{seen[mark]}", segment_bytes)
             yield pd.DataFrame({"record": out})
 
     records = marked.repartition(n_files, F.xxhash64("page_id", "digest")).mapInPandas(to_records, "record binary")

@@ -57,6 +57,14 @@ def test_round_trip(spark, segment_bytes):
     assert {r["page_id"]: r["url"] for r in got}[101] == "u X: y"
 
 
+def test_repeated_rows_longer_than_a_segment(spark):
+    long = "".join(random.Random(8).choice("abc \n") for _ in range(40_000))
+    rows = [(1, "u", long), (1, "u", long), (1, "v", long), (2, "u", long), (None, "u", "n" + long), (None, "u", "n" + long), (None, None, "m" + long), (None, "None", "m" + long)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = W.warc_round_trip(df).collect()
+    assert sorted([tuple(r[:5]) for r in got], key=str) == brute(rows)
+
+
 def test_lost_and_changed_segments_are_errors(spark, tmp_path):
     df = spark.createDataFrame([(1, "u", "abc" * 500)], "page_id long, url string, html string")
     W.write_archives(df, str(tmp_path / "a"), segment_bytes=200)
