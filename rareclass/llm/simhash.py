@@ -167,19 +167,28 @@ def simhash_groups(docs: DataFrame, words_per_shingle: int = 4, radius: int = 4,
     ``component_id`` is the smallest id reachable.  Null or blank texts have fingerprint 0, linked like any other;
     repeated rows come back as often as they stand; an empty table gives no row; other columns are not read.
     """
+    base = rename_clashes(docs, [key, text]).toDF("doc_id", "text")
+    prints = cut_lineage(base.select("doc_id", _print_of(words_per_shingle)("text").alias("fp")))
+    label = _labels(prints, radius, bucket_limit)
+    return prints.join(label, prints["fp"] == label["label_fp"]).select("doc_id", "fp", "component_id")
+
+
+def _print_of(words_per_shingle: int):
     @F.pandas_udf("long")
     def print_of(texts: pd.Series) -> pd.Series:
         return pd.Series([_signed(fingerprint(t, words_per_shingle)) for t in texts], dtype="int64")
 
-    base = rename_clashes(docs, [key, text]).toDF("doc_id", "text")
-    prints = cut_lineage(base.select("doc_id", print_of("text").alias("fp")))
+    return print_of
+
+
+def _labels(prints: DataFrame, radius: int, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+    """``label_fp, root, component_id`` of each fingerprint; ``root`` tells components of one smallest id apart."""
     distinct = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     parts = connected_components(near_links(distinct.select("fp"), radius, bucket_limit))
     linked = distinct.join(parts, distinct["fp"] == parts["node"], "left").select(
         distinct["fp"], "first_id", F.coalesce("root", distinct["fp"]).alias("root"))
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    label = linked.join(least, "root").select(F.col("fp").alias("label_fp"), "component_id")
-    return prints.join(label, prints["fp"] == label["label_fp"]).select("doc_id", "fp", "component_id")
+    return linked.join(least, "root").select(F.col("fp").alias("label_fp"), "root", "component_id")
 
 
 def simhash_digest(docs: DataFrame, words_per_shingle: int = 4, radius: int = 4) -> DataFrame:
@@ -189,12 +198,18 @@ def simhash_digest(docs: DataFrame, words_per_shingle: int = 4, radius: int = 4)
 
 
 def drop_near_copies(docs: DataFrame, words_per_shingle: int = 4, radius: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id (rows without an id stay)."""
-    groups = cut_lineage(simhash_groups(docs, words_per_shingle, radius, key, text))
-    first = groups.where("doc_id = component_id")
-    keep = first.select(F.col("doc_id").alias("__keep_id")).distinct()
-    id_ = F.col(f"`{key}`")
-    out = docs.join(keep, id_ == F.col("__keep_id"), "left_semi").unionByName(docs.where(id_.isNull()))
-    if first.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        out = out.dropDuplicates([key])
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` with one row of each group: one with the smallest id (rows without an id stay).
+
+    Under a repeated id the row is chosen by its text (smallest fingerprint and hash), so texts of other groups stay.
+    """
+    id_, text_hash = F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))
+    base = docs.select(id_.alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    prints = cut_lineage(base.select("doc_id", _print_of(words_per_shingle)("text").alias("fp"), F.xxhash64("text").alias("text_hash")))
+    label = _labels(prints, radius)
+    first = cut_lineage(prints.join(label, prints["fp"] == label["label_fp"]).where("doc_id = component_id").select("root", "doc_id", "fp", "text_hash"))
+    keep = first.groupBy("root").agg(F.min(F.struct("doc_id", "fp", "text_hash")).alias("r")).select(
+        F.col("r.doc_id").alias("__keep_id"), F.col("r.text_hash").alias("__keep_hash"))
+    out = docs.join(keep, (id_ == F.col("__keep_id")) & (text_hash == F.col("__keep_hash")), "left_semi")
+    if first.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():
+        out = out.withColumn("__text_hash", text_hash).dropDuplicates([key, "__text_hash"]).drop("__text_hash")
+    return out.unionByName(docs.where(id_.isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -99,6 +100,16 @@ def test_one_of_each_group_stays(spark):
     assert sorted(i for i in ids if i is not None) == sorted(r["doc_id"] for r in groups) and ids.count(None) == 1
 
 
+def test_repeated_and_null_ids_lose_no_text(spark):
+    """Rows without an id all stay; two texts under one id are two documents; a near copy under another's id goes."""
+    rng = random.Random(6)
+    a, b, c, d = (" ".join(str(rng.random()) for _ in range(400)) for _ in range(4))
+    rows = [(1, a, "x"), (1, b, "x"), (1, a, "x"), (2, a, "x"), (2, c, "x"), (3, c, "x"), (None, a, "x"), (None, d, "x"), (None, d, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = Counter((r["doc_id"], r["text"]) for r in S.drop_near_copies(docs).collect())
+    assert got == Counter([(1, a), (1, b), (2, c), (None, a), (None, d), (None, d)])
+
+
 def test_long_chain_and_hub(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
