@@ -380,15 +380,14 @@ def q_tune(spark, sf_dir):
 
 
 def _tune_query(name: str):
-    """M9 for one scorer: seeded trials over its ranges on the embeddings (one for the slowest two)."""
+    """M9 for one scorer: 5 seeded trials (2 at a time) over its ranges on the embeddings."""
 
     def run(spark, sf_dir):
         from ..operators.tune import RANGES, search
         from ..scorers import SCORERS
 
         f = embedding_features(spark, sf_dir).persist()
-        trials, _ = search(_split(f, "train"), _split(f, "validation"), SCORERS[name], RANGES[name],
-                           n_trials=1 if name in ("boosted", "kernel_svm") else 2, parallelism=2)
+        trials, _ = search(_split(f, "train"), _split(f, "validation"), SCORERS[name], RANGES[name], n_trials=5, parallelism=2)
         f.unpersist()
         return trials.select("trial", "params", rnd("roc_auc"), rnd("pr_auc"), rnd("f1"))
 
