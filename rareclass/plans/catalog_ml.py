@@ -406,8 +406,7 @@ def q_evaluate_compare(spark, sf_dir):
 
     f = embedding_features(spark, sf_dir).persist()
     train, test = _split(f, "train"), _split(f, "test")
-    small = {"forest": {"n_estimators": 50, "max_depth": 8}, "boosted": {"num_round": 30, "eta": 0.1}, "iforest": {"n_estimators": 50}}
-    models = {name: fit_scorer(cls(**small.get(name, {})), train) for name, cls in SCORERS.items()}
+    models = {name: fit_scorer(cls(), train) for name, cls in SCORERS.items()}
     metrics, best = compare(evaluate(models, test))
     return metrics.select("model", *[rnd(c) for c in ["roc_auc", "pr_auc", "precision", "recall", "f1", "threshold"]],
                           (F.col("model") == F.lit(best)).alias("is_best"))
@@ -416,13 +415,11 @@ def q_evaluate_compare(spark, sf_dir):
 @query("embed")
 def q_embed(spark, sf_dir):
     """Built-in HashingTF + IDF text embedding of every document: width, non-zeros, sum and norm of the vector."""
-    from pyspark.ml.functions import vector_to_array
-
     from ..operators.textops import embed
 
-    e = embed(documents_text(spark, sf_dir), "text", "doc_id", num_features=1 << 12)
-    v = F.filter(vector_to_array("embedding"), lambda x: x != 0)
-    return e.select("doc_id", F.size(vector_to_array("embedding")).alias("width"), v.alias("v")).select(
+    e = embed(documents_text(spark, sf_dir), "text", "doc_id").withColumn("u", F.unwrap_udt("embedding"))  # sparse: no dense array is made
+    v = F.filter("u.values", lambda x: x != 0)
+    return e.select("doc_id", F.col("u.size").alias("width"), v.alias("v")).select(
         "doc_id", "width", F.size("v").alias("non_zeros"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 6).alias("total"),
         F.round(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
 
