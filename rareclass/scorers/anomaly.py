@@ -49,7 +49,7 @@ def _uniform(seed: int, *cols) -> F.Column:
     return F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
 
 
-# Rows of node tables that one step over the records carries.
+# Most rows of node tables that the driver hands to one step over the records; a wider level is joined on the executors.
 NODE_CHUNK = 500_000
 # Candidate features of a node's first try; later tries, for nodes where all were constant, take more.
 FIRST_TRY = 4
@@ -58,30 +58,17 @@ MOST_TRIED = 32
 _NODE_BITS = 44  # key of a node: tree << 44 | node
 
 
-def _node_steps(levels: list[DataFrame], level_rows: list[int], most: int) -> list[tuple[list[int], int, int]]:
-    """How the node tables are read: ``(levels, first key, end key)`` per step, each of about ``most`` rows at most.
-
-    Small levels share a step; a level wider than ``most`` is cut into key ranges, so memory is bounded at any size.
-    """
-    steps: list[tuple[list[int], int, int]] = []
-    held: list[int] = []
-    size = 0
+def _node_steps(level_rows: list[int], most: int) -> list[list[int]]:
+    """The levels of each step: small ones share a step of ``most`` node rows at most, a wider one stands alone."""
+    steps: list[list[int]] = []
+    size = most + 1
     for lvl, rows in enumerate(level_rows):
-        if rows > most:
-            if held:
-                steps.append((held, 0, 1 << 62))
-                held, size = [], 0
-            cuts = max(2, -(-rows // most))
-            qs = levels[lvl].agg(F.percentile_approx(_key(F.col("t"), F.col("node")), [i / cuts for i in range(1, cuts)], 10_000).alias("q")).first()["q"]
-            ends = [0, *sorted(set(int(q) + 1 for q in qs)), 1 << 62]
-            steps += [([lvl], x, y) for x, y in zip(ends, ends[1:])]
-            continue
-        if held and size + rows > most:
-            steps.append((held, 0, 1 << 62))
-            held, size = [], 0
-        held.append(lvl)
+        if size + rows > most:
+            steps.append([])
+            size = 0
+        steps[-1].append(lvl)
         size += rows
-    return steps + ([(held, 0, 1 << 62)] if held else [])
+    return steps
 
 
 def _key(t: F.Column, node: F.Column) -> F.Column:
@@ -91,49 +78,86 @@ def _key(t: F.Column, node: F.Column) -> F.Column:
 _STATE = T.StructType([T.StructField("nodes", T.ArrayType(T.LongType())), T.StructField("path", T.DoubleType())])
 
 
-def _walk(tables: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]], first: int, end: int):
-    """One step of all trees at once for a batch of records: ``nodes`` (0 = ended) and the summed ``path``.
+def _advance(X: np.ndarray, at: np.ndarray, total: np.ndarray, level: int, known: np.ndarray, feature: np.ndarray, value: np.ndarray, size: np.ndarray):
+    """One level of all trees at once for a batch of records: nodes (0 = ended) and summed path.
 
     A record in a leaf, or in a child that no training row reached, ends there.
     """
+    here = (at >= 1 << level) & (at < 1 << level + 1)
+    split = here & known & (feature >= 0)
+    stop = here & ~split
+    total = total + np.where(stop, level + _c_factors(np.where(known, size, 0)), 0.0).sum(axis=1)
+    right = np.take_along_axis(X, np.where(split, feature, 0), axis=1) >= value
+    return np.where(split, at * 2 + right, np.where(stop, 0, at)), total
+
+
+def _arrays(x: pd.Series, nodes: pd.Series, path: pd.Series):
+    return (np.stack([np.asarray(v, dtype=np.float64) for v in x]), np.stack([np.asarray(v, dtype=np.int64) for v in nodes]),
+            path.to_numpy(np.float64).copy())
+
+
+def _walk(tables: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]):
+    """The levels of ``tables``, whose rows are looked up by key."""
 
     @F.pandas_udf(_STATE)
     def step(x: pd.Series, nodes: pd.Series, path: pd.Series) -> pd.DataFrame:
         if not len(x):
             return pd.DataFrame({"nodes": [], "path": pd.Series([], dtype="float64")})
-        X = np.stack([np.asarray(v, dtype=np.float64) for v in x])
-        at = np.stack([np.asarray(v, dtype=np.int64) for v in nodes])
-        total = path.to_numpy(np.float64).copy()
+        X, at, total = _arrays(x, nodes, path)
         tree = np.arange(at.shape[1], dtype=np.int64) << _NODE_BITS
-        record = np.broadcast_to(np.arange(len(X))[:, None], at.shape)
         for level, keys, feature, value, size in tables:
             key = tree[None] | at
-            here = (at > 0) & (at >= 1 << level) & (at < 1 << level + 1) & (key >= first) & (key < end)
             i = np.clip(np.searchsorted(keys, key), 0, max(0, len(keys) - 1))
-            known = here & (keys[i] == key) if len(keys) else np.zeros_like(here)
-            split = known & (feature[i] >= 0) if len(keys) else known
-            stop = here & ~split
-            n = np.where(known, size[i], 0) if len(keys) else np.zeros(at.shape)
-            total += np.where(stop, level + _c_factors(n), 0.0).sum(axis=1)
-            f = np.where(split, feature[i], 0) if len(keys) else np.zeros(at.shape, np.int64)
-            right = X[record, f] >= (value[i] if len(keys) else 0.0)
-            at = np.where(split, at * 2 + right, np.where(stop, 0, at))
+            at, total = _advance(X, at, total, level, keys[i] == key, feature[i], value[i], size[i])
+        return pd.DataFrame({"nodes": list(at), "path": total})
+
+    return step
+
+
+def _walk_joined(level: int):
+    """One level whose node rows were joined to the records (``hits``: at most one for each tree)."""
+
+    @F.pandas_udf(_STATE)
+    def step(x: pd.Series, nodes: pd.Series, path: pd.Series, t: pd.Series, f: pd.Series, v: pd.Series, n: pd.Series) -> pd.DataFrame:
+        if not len(x):
+            return pd.DataFrame({"nodes": [], "path": pd.Series([], dtype="float64")})
+        X, at, total = _arrays(x, nodes, path)
+        known, feature, value, size = np.zeros(at.shape, bool), np.full(at.shape, -1), np.zeros(at.shape), np.zeros(at.shape)
+        for r, trees in enumerate(t):
+            if trees is not None and len(trees):
+                known[r, trees], feature[r, trees], value[r, trees], size[r, trees] = True, f.iloc[r], v.iloc[r], n.iloc[r]
+        at, total = _advance(X, at, total, level, known, feature, value, size)
         return pd.DataFrame({"nodes": list(at), "path": total})
 
     return step
 
 
+def _join_level(rows: DataFrame, table: DataFrame, level: int) -> DataFrame:
+    """``rows(__row, __x, __s, ...)`` one level on: (tree, node) of every record meets the node table on the executors,
+    and the node rows come back to the record as one array."""
+    at = rows.select("__row", F.posexplode("__s.nodes").alias("t", "node")).where((F.col("node") >= 1 << level) & (F.col("node") < 1 << level + 1))
+    node_rows = table.select("t", "node", F.coalesce("f", F.lit(-1)).alias("f"), F.coalesce("v", F.lit(0.0)).alias("v"), F.col("n").cast("double").alias("n"))
+    hits = at.join(node_rows, ["t", "node"]).groupBy("__row").agg(F.collect_list(F.struct("t", "f", "v", "n")).alias("__h"))
+    both = rows.join(hits.withColumnRenamed("__row", "__hit"), F.col("__row") == F.col("__hit"), "left")
+    moved = _walk_joined(level)("__x", F.col("__s.nodes"), F.col("__s.path"), *[F.col(f"__h.{c}") for c in ("t", "f", "v", "n")])
+    return cut_lineage(both.withColumn("__s", moved).select(*rows.columns))
+
+
+def _with_row(rows: DataFrame) -> DataFrame:
+    """A number of its own for every record, fixed in a checkpoint (ids may repeat)."""
+    return cut_lineage(rows.withColumn("__row", F.monotonically_increasing_id()))
+
+
 def _c_factors(n: np.ndarray) -> np.ndarray:
     safe = np.maximum(n, 3)
     return np.where(n <= 1, 0.0, np.where(n <= 2, 1.0, 2.0 * (np.log(safe - 1.0) + EULER) - 2.0 * (safe - 1.0) / safe))
 
 
-def _read_tables(levels: list[DataFrame], which: list[int], first: int, end: int):
-    """The node tables of a step as sorted arrays (about ``NODE_CHUNK`` rows at most)."""
+def _read_tables(levels: list[DataFrame], which: list[int]):
+    """The node tables of a step as sorted arrays (``NODE_CHUNK`` rows at most)."""
     out = []
     for lvl in which:
-        key = _key(F.col("t"), F.col("node"))
-        rows = levels[lvl].where((key >= first) & (key < end)).select(key.alias("k"), "f", "v", "n").toPandas().sort_values("k")
+        rows = levels[lvl].select(_key(F.col("t"), F.col("node")).alias("k"), "f", "v", "n").toPandas().sort_values("k")
         out.append((lvl, rows["k"].to_numpy(np.int64), rows["f"].fillna(-1).to_numpy(np.int64), rows["v"].fillna(0.0).to_numpy(np.float64), rows["n"].to_numpy(np.float64)))
     return out
 
@@ -157,14 +181,24 @@ class IsolationForestModel:
         return self._threshold
 
     def transform(self, df: DataFrame, id_col: str = "id") -> DataFrame:
-        """``df`` with the score: every record walks all trees in place (its node per tree is one array), nothing is
-        exploded, joined or shuffled.  Node tables go out in steps of a bounded size."""
+        """``df`` with the score: every record walks all trees in place (its node per tree is one array).
+
+        A forest of at most ``node_chunk`` node rows goes out with the plan.  Of a larger one the driver holds one step
+        at a time - each ends in a checkpoint - and no level wider than that: such a level is joined on the executors.
+        """
         x = vector_to_array(F.col("features"))
         start = F.struct(F.array_repeat(F.lit(1).cast("long"), self.n_trees).alias("nodes"), F.lit(0.0).alias("path"))
         out = df.withColumn("__x", x).withColumn("__s", start)
-        for which, first, end in _node_steps(self.levels, self.level_rows, self.node_chunk):
-            step = _walk(_read_tables(self.levels, which, first, end), first, end)
-            out = out.withColumn("__s", step("__x", F.col("__s.nodes"), F.col("__s.path")))
+        steps = _node_steps(self.level_rows, self.node_chunk)
+        if len(steps) > 1 or sum(self.level_rows) > self.node_chunk:
+            out = _with_row(out)
+        for which in steps:
+            if self.level_rows[which[0]] > self.node_chunk:
+                out = _join_level(out, self.levels[which[0]], which[0])
+                continue
+            out = out.withColumn("__s", _walk(_read_tables(self.levels, which))("__x", F.col("__s.nodes"), F.col("__s.path")))
+            if len(steps) > 1:
+                out = cut_lineage(out)
         path = F.col("__s.path") / F.lit(float(self.n_trees))
         return out.select(*df.columns, F.pow(F.lit(2.0), -path / F.lit(c_factor(self.psi))).alias(SCORE))
 
@@ -268,11 +302,20 @@ class IsolationForestScorer:
             level_rows.append(int(row["n"]))
             if lvl == depth or int(row["s"]) == 0:
                 break
-            moved = cur.withColumn("path", F.lit(0.0))
-            for _, first, end in _node_steps([table], [int(row["n"])], self.node_chunk):
-                own = [(lvl, *arrays[1:]) for arrays in _read_tables([table], [0], first, end)]
-                moved = moved.withColumn("s", _walk(own, first, end)("__x", "nodes", "path")).select("__rid", "__x", F.col("s.nodes").alias("nodes"), "path")
-            moved = moved.select("__rid", "__x", "nodes")
+            moved = cur.withColumn("__s", F.struct("nodes", F.lit(0.0).alias("path")))
+            wide = int(row["n"]) > self.node_chunk
+            if wide:
+                moved = _join_level(_with_row(moved), table, lvl)
+            else:
+                own = [(lvl, *arrays[1:]) for arrays in _read_tables([table], [0])]
+                moved = moved.withColumn("__s", _walk(own)("__x", F.col("__s.nodes"), F.col("__s.path")))
+            moved = moved.select("__rid", "__x", F.col("__s.nodes").alias("nodes"))
+            if wide:  # is in a checkpoint already
+                cur = moved
+                if held is not None:
+                    held.unpersist()
+                    held = None
+                continue
             if lvl % 4 == 3:
                 cur = cut_lineage(moved)
                 if held is not None:

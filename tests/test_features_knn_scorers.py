@@ -141,6 +141,28 @@ def test_isolation_forest_in_steps_and_reloaded(spark, tmp_path):
     assert {r["id"]: r["score"] for r in again.transform(df, "id").collect()} == a
 
 
+def test_node_tables_wider_than_a_step_stay_off_the_driver(spark, monkeypatch):
+    """Levels wider than a step are joined, whatever ids repeat; the driver reads one step at most, and scores stay equal."""
+    from rareclass.scorers import IsolationForestScorer, anomaly
+
+    df = _planted(spark, n=150).withColumn("id", F.col("id") % 40)
+    df = df.withColumn("row", F.monotonically_increasing_id()).persist()
+    whole = IsolationForestScorer(n_estimators=8, seed=3).fit(df, "row")
+    a = {r["row"]: r["score"] for r in whole.transform(df, "id").collect()}
+    read, plain = [], anomaly._read_tables
+
+    def counted(*args):
+        out = plain(*args)
+        read.append(sum(len(t[1]) for t in out))
+        return out
+
+    monkeypatch.setattr(anomaly, "_read_tables", counted)
+    parts = IsolationForestScorer(n_estimators=8, seed=3, node_chunk=100).fit(df, "row")
+    b = {r["row"]: r["score"] for r in parts.transform(df, "id").collect()}
+    assert max(parts.level_rows) > 100 and sum(read) < sum(parts.level_rows) and max(read) <= 100
+    assert set(a) == set(b) and all(math.isclose(a[i], b[i]) for i in a)
+
+
 def test_recon_and_ocsvm_find_planted_outliers(spark):
     from rareclass.operators.metrics import roc_auc
     from rareclass.scorers import OneClassSVMScorer, ReconstructionScorer
