@@ -26,6 +26,9 @@ NOISE_WORDS = frozenset(
     "login share sharing social related recommended recommendations comment comments commentlist disqus respond replies reply "
     "pagination pager search copyright legal header skip hidden".split())
 GOOD_WORDS = frozenset("article articlebody post entry content story main body text page".split())
+# Words for what is never a page's text, however long, unless a good word stands beside them; replies only if other text is left.
+NOTICE_WORDS = frozenset("cookie cookies consent gdpr notice notices alert popup modal overlay".split())
+REPLY_WORDS = frozenset("comment comments commentlist disqus respond replies reply".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # A start tag closes these open elements first, up to the scope that follows.
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
@@ -53,6 +56,7 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.tag, self.label, self.noise, self.classed = [-1], ["html"], ["html"], [False], [False]
+        self.words: list[set[str]] = [set()]
         self.blocks: list[tuple[int, str, int]] = []
         self._text: list[str] = []
         self._linked = 0
@@ -125,7 +129,7 @@ class Page:
         return stack
 
     def _element(self, name: str, rest: str, parent: int) -> int:
-        noise, classed, label = name in NOISE_TAGS, False, name
+        noise, classed, label, words = name in NOISE_TAGS, False, name, set()
         if rest:
             got = {(k or bare).lower(): unescape(a or b or c or "") for k, a, b, c, bare in _ATTR.findall(rest)}
             classes = got.get("class", "")
@@ -139,6 +143,7 @@ class Page:
         self.tag.append(name)
         self.label.append(label)
         self.noise.append(noise)
+        self.words.append(words)
         self.classed.append(classed and name not in ("html", "body", "main"))
         return len(self.tag) - 1
 
@@ -155,8 +160,8 @@ class Page:
             self._text, self._linked = [], 0
 
     def _settle(self) -> None:
-        """Spreads noise downwards.  A class word alone does not condemn what holds an article; of a page header only
-        headings inside an article stay."""
+        """Spreads noise downwards.  A class word alone does not condemn what holds an article or most of the page's plain
+        text; of a page header only headings inside an article stay."""
         holds = [False] * len(self.tag)
         for e in range(len(self.tag) - 1, 0, -1):
             if holds[e] or self.tag[e] == "main" or (self.tag[e] == "article" and not self.classed[e]):
@@ -167,23 +172,48 @@ class Page:
             p = self.parent[e]
             in_article[e] = in_article[p] or self.tag[e] in ("article", "main")
             header[e] = header[p] or self.tag[e] == "header"
-            self.noise[e] = self.noise[p] or self.noise[e] or (self.classed[e] and not holds[e])
-
-        def kept(e: int) -> bool:
-            if self.noise[e]:
-                return False
-            if not header[e]:
-                return True
-            while e and self.tag[e] in INLINE:
-                e = self.parent[e]
-            return in_article[e] and self.tag[e] in HEADINGS
+        own, blocks = self.noise, self.blocks
+        for always, share in ((NOTICE_WORDS | REPLY_WORDS, 0.5), (NOTICE_WORDS, 0.5), (NOTICE_WORDS, 0.0)):
+            self.noise = self._spread(own, holds, blocks, always, share)
+            self.blocks = [b for b in blocks if self._kept(b[0], in_article, header)]
+            if any(len(text) > linked for _, text, linked in self.blocks):
+                break
 
-        self.blocks = [b for b in self.blocks if kept(b[0])]
+    def _spread(self, own: list[bool], holds: list[bool], blocks: list[tuple[int, str, int]], always: frozenset[str], share: float) -> list[bool]:
+        """Noise with all below it.  Class words, other than ``always``, are ignored for an element that holds more than
+        ``share`` of the plain text."""
+        noise, firm = list(own), [False] * len(own)
+        for e in range(1, len(own)):
+            words = self.words[e]
+            firm[e] = self.classed[e] and not holds[e] and bool(words & always) and not words & GOOD_WORDS
+            noise[e] = noise[self.parent[e]] or own[e] or firm[e]
+        plain = [0] * len(own)
+        for e, text, linked in blocks:
+            if not noise[e]:
+                plain[e] += max(0, len(text) - linked)
+        for e in range(len(own) - 1, 0, -1):
+            plain[self.parent[e]] += plain[e]
+        for e in range(1, len(own)):
+            noise[e] = noise[self.parent[e]] or noise[e] or (self.classed[e] and not holds[e] and plain[e] <= share * plain[0])
+        return noise
+
+    def _kept(self, e: int, in_article: list[bool], header: list[bool]) -> bool:
+        if self.noise[e]:
+            return False
+        if not header[e]:
+            return True
+        while e and self.tag[e] in INLINE:
+            e = self.parent[e]
+        return in_article[e] and self.tag[e] in HEADINGS
 
     def path(self, e: int) -> str:
         """Tags and generalised classes from the root to the element."""
         if e not in self._paths:
-            self._paths[e] = self.label[e] if e == 0 else f"{self.path(self.parent[e])}/{self.label[e]}"
+            labels, at = [], e
+            while at >= 0:
+                labels.append(self.label[at])
+                at = self.parent[at]
+            self._paths[e] = "/".join(reversed(labels))
         return self._paths[e]
 
     def container(self, e: int) -> int:
@@ -216,14 +246,15 @@ class Page:
 
     def text_under(self, path: str) -> str:
         """The blocks inside all containers of that path, in page order."""
-        inside: dict[int, bool] = {}
-
-        def under(e: int) -> bool:
-            if e not in inside:
-                inside[e] = self.path(e) == path or (e > 0 and under(self.parent[e]))
-            return inside[e]
-
-        return "\n".join(t for e, t, _ in self.blocks if under(e))
+        # parents come first; ``done`` counts the characters of ``path`` that the element's own path is, -1 if it is no start of it
+        done, inside = [-1] * len(self.tag), [False] * len(self.tag)
+        for e in range(len(self.tag)):
+            p, label = self.parent[e], self.label[e] if e == 0 else f"/{self.label[e]}"
+            at = 0 if e == 0 else done[p]
+            if at >= 0 and path.startswith(label, at):
+                done[e] = at + len(label)
+            inside[e] = (e > 0 and inside[p]) or done[e] == len(path)
+        return "\n".join(t for e, t, _ in self.blocks if inside[e])
 
 
 def page_votes(source: str | None) -> list[tuple[str, float]]:

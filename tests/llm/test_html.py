@@ -31,6 +31,22 @@ def test_broken_markup():
     assert text("<article><p hidden>h</p><p style='display:none'>n</p><p>seen</p></article>") == "seen"
 
 
+def test_class_words_do_not_condemn_the_main_text():
+    body = "The text of the page, which is most of what stands on it."
+    assert text(f"<div class='content no-sidebar'><p>{body}</p></div>") == body
+    assert text(f"<div class='page-header social'><div class='post'><p>{body}</p></div><div class='related'><p>Teaser</p></div></div>"
+                "<div id='sidebar'><p>Side</p></div>") == body
+    assert text(f"<div class='no-comments'><p>{body}</p></div>") == body
+    assert text(f"<div class='widget'><p>{body}</p></div><div class='related'><p>{body[:-1]}</p></div>").startswith(body)
+    assert text(f"<div class='intro'><p>Short article text.</p></div><div id='comments'><p>{body}</p></div>") == "Short article text."
+    assert text(f"<div class='cookie-notice'><p>{body}</p></div>") == ""
+
+
+def test_thousands_of_open_elements():
+    assert text("<div>" * 5000 + "deep") == "deep"
+    assert text("<article>" + "<section><b>" * 3000 + "deep" + "</article>") == "deep"
+
+
 def test_paths_are_generalised():
     page = H.Page('<body><div class="Main post-12"><p>some words here</p></div></body>')
     assert set(page.scores()) == {"html/body/div.main.post-#", "html/body"}
