@@ -103,6 +103,22 @@ def test_shards_hold_every_row_once(spark, bucket_bytes):
     assert sorted(map(key, rows)) == sorted(map(key, again.collect()))
 
 
+def test_hot_and_null_ids_split_over_buckets(spark):
+    """A third of all rows under one id, a third without an id, in part equal rows: no bucket takes much more than its bytes."""
+    df = spark.range(6000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id")).cast("long").alias("doc_id"), F.lit(100).alias("b"),
+        F.when(F.col("id") % 2 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("text"))
+    out = sharding.shuffle_into_shards(df, 3, "b", bucket_bytes=164 * 100)
+    sizes = [len(p) for p in out.rdd.glom().collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 1000
+    rows = out.collect()
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter((r["doc_id"], r["text"]) for r in df.collect())
+    check_laws(rows, 3)
+    again = sharding.shuffle_into_shards(df.repartition(4), 3, "b", bucket_bytes=164 * 100).collect()
+    key = lambda r: (r["shard"], r["slot"], str(r["doc_id"]), r["text"])
+    assert sorted(map(key, rows)) == sorted(map(key, again))
+
+
 def test_growing_moves_rows_only_to_the_new_shard(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(1).alias("b"))
     before = {r["doc_id"]: r for r in sharding.shuffle_into_shards(df, 6, "b").collect()}
