@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html, mixing, repeats, sharding, simhash, tokens, topk, toxicity, warc
+from . import decontam, html, lexical, linedups, mixing, repeats, sharding, simhash, tokens, topk, toxicity, vectorcodes, warc
 from .common import table
 
 # The mix of the contract: sources take these weights in turn and share 150 % of all sizes; no source beyond twice.
@@ -56,9 +56,22 @@ def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.codes_digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_drop_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedups.line_digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_remove_repeats, op2_top_products, op3_mix_sources, op4_shuffle_shards, op5_toxicity, op6_decontaminate, op7_simhash, op8_extract_pages, op9_token_counts, op10_warc_round_trip,
+        op11_ranked_search, op12_vector_codes, op13_drop_repeated_lines,
     )
     return {f.__name__: f for f in found}
 
@@ -112,5 +125,66 @@ FROM f
 """
 
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+held AS (SELECT row, doc_id, len(terms) AS n, terms FROM d WHERE len(terms) > 0),
+facts AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS occurrences FROM held),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM held) GROUP BY row, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+weighed AS (SELECT item_id, term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM asked JOIN df USING (term), facts),
+scores AS (
+  SELECT item_id, doc_id, row, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // occurrences)))) AS BIGINT) AS score
+  FROM weighed JOIN tf USING (term) JOIN held USING (row), facts GROUP BY item_id, doc_id, row),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+"""
+
+
+def _op12_sql(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    """Six rounds written out: nearest entries (a), then the entries' new components (c)."""
+    near = """a{0} AS MATERIALIZED (
+  SELECT vec_id, label, p, any_value(x) AS x, min(struct_pack(d := d, e := e)) AS best FROM (
+    SELECT vec_id, label, v.p, v.x, e, list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM v JOIN c{0} c ON v.p = c.p) GROUP BY vec_id, label, p)"""
+    move = """c{1} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(m.x, c.x) AS x FROM c{0} c LEFT JOIN (
+    SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS x FROM (
+      SELECT p, best.e AS e, i, CAST(sum(y) AS DOUBLE) AS s, count(*) AS n
+      FROM (SELECT p, best, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{0}) GROUP BY p, best.e, i) GROUP BY p, e) m
+  ON c.p = m.p AND c.e = m.e)"""
+    steps = [s for r in range(rounds) for s in (near.format(r), move.format(r, r + 1))] + [near.format(rounds)]
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda y: CAST(floor(4096 * CAST(y AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+v AS MATERIALIZED (SELECT vec_id, label, CAST(p AS BIGINT) AS p, w[p * len(w) // {parts} + 1:(p + 1) * len(w) // {parts}] AS x FROM kept, range({parts}) r(p)),
+c0 AS MATERIALIZED (SELECT p, e, x FROM (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM v) WHERE e < {entries}),
+{", ".join(steps)},
+f AS (SELECT vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id, label),
+b AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM f, b
+"""
+
+
+OP13_SQL = """
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT row, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(r.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE r.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN r USING (key) GROUP BY row, doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_top_products": OP2_SQL, "op3_mix_sources": OP3_SQL, "op10_warc_round_trip": OP10_SQL}
+    return {
+        "op2_top_products": OP2_SQL, "op3_mix_sources": OP3_SQL, "op10_warc_round_trip": OP10_SQL,
+        "op11_ranked_search": OP11_SQL, "op12_vector_codes": _op12_sql(), "op13_drop_repeated_lines": OP13_SQL,
+    }
