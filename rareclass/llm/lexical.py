@@ -23,6 +23,8 @@ LEVELS = (1, 2, 3, 5, 8, 16)
 BITS, PROBES = 16, 4
 # A block of documents of one size class: bits of its slices, and documents, at most.
 BLOCK_BITS, BLOCK_DOCS = 1 << 24, 1024
+# An item's floor is the k-th exact score among the SEEDS * k documents with its highest bounds.
+SEEDS = 4
 # Bytes of item texts that one search carries; more items take more searches.
 ITEM_BYTES = 4 << 20
 
@@ -271,9 +273,9 @@ def search(documents: DataFrame, items: DataFrame, k: int = 50, index: DataFrame
            item_key: str = "item_id", item_text: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
     """``item_id, rank, doc_id, score``: each item's k highest-scoring documents with a score above 0, exact.
 
-    The k highest upper bounds of an item are scored first; the k-th of those scores is its floor.  Every document whose
-    bound reaches the floor is then scored from its text, the others are provably excluded.  Of documents with equal
-    text only the k smallest ids can rank, so no more are scored.  Equal scores stand by ascending ``doc_id``, rows
+    The documents of an item's highest upper bounds (``SEEDS * k``) are scored first; the k-th of those scores is its
+    floor.  Every document whose bound reaches the floor is then scored from its text, the others are provably excluded.
+    Of documents with equal text only the k smallest ids can rank, so no more are scored.  Equal scores stand by ascending ``doc_id``, rows
     without an id last.  Repeated documents are documents of their own.  Items go out in blocks of ``item_bytes``, each
     of which ends in a checkpoint; equal item rows are one item.  Null or empty texts hold no term; an item without a
     term, an empty table or no item give no row.  Other columns are not read.
@@ -293,7 +295,8 @@ def search(documents: DataFrame, items: DataFrame, k: int = 50, index: DataFrame
         if not names:
             continue
         best = Window.partitionBy("q").orderBy(F.col("bound").desc(), "doc_id")
-        seeds = index.mapInArrow(_highest(question, k), FOUND).withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+        highest = index.mapInArrow(_highest(question, SEEDS * k), FOUND)
+        seeds = highest.withColumn("place", F.row_number().over(best)).where(F.col("place") <= SEEDS * k)
         first = _ranked(exact_scores(docs, seeds.select("q", "doc_id").distinct(), question), k)
         floor = np.ones(len(names), np.int64)
         for r in first.where(F.col("rank") == k).select("q", "score").collect():  # a number for each item
