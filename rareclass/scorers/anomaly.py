@@ -22,6 +22,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from pyspark.sql import types as T
 
 from ..operators.order import broadcast_if_small, exact_quantile_values
 from ..session import cut_lineage
+from .lbfgs import minimise
+from .rows import Rows, array_rows, fewer_tasks, stored, summed_arrays, vector_width
 from .supervised import SCORE, kernel_map
 
 EULER = 0.5772156649015329
@@ -345,11 +348,13 @@ class OneClassSVMModel:
         return list(self.objective)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        mapped = self.fmap(df)
-        z = vector_to_array(F.col("kfeat"))
-        wl = F.array(*[F.lit(float(v)) for v in self.w])
-        margin = F.aggregate(F.zip_with(z, wl, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-        return mapped.select(*df.columns, (F.lit(self.rho) - margin).alias(SCORE))
+        w, rho = self.w, self.rho
+
+        @F.arrow_udf("double")
+        def below(column: pa.Array) -> pa.Array:
+            return pa.array(rho - Rows(column, len(w)).dot(w))
+
+        return self.fmap(df).select(*df.columns, below(stored("kfeat")).alias(SCORE))
 
 
 class OneClassSVMScorer:
@@ -357,90 +362,61 @@ class OneClassSVMScorer:
 
     minimise 0.5|w|^2 + 1/(nu n) sum max(0, rho - w.z_i) - rho.  The hinge is
     rounded over ``corner`` (its value changes by less than half of that), so
-    the problem is smooth and BFGS runs until the gradient is below ``tol``;
-    objective and gradient of each trial point are one Spark aggregate, and
-    only ``dim + 2`` numbers reach the driver.  ``max_iter`` is a stop for
+    the problem is smooth and L-BFGS runs until the gradient is below ``tol``.
+    Objective and gradient of each trial point are one Spark job: a sum per
+    task, added up component by component on the executors; ``dim + 2`` numbers
+    reach the driver, which holds a few dozen vectors of that length.  The poly
+    map has ``sketch_size`` components at any width of the features; with the
+    linear kernel sparse rows stay sparse.  ``max_iter`` is a stop for
     ill-posed input: reaching it warns, and ``converged`` is false.
     """
 
     def __init__(self, nu: float = 0.1, kernel: str = "rbf", gamma: str | float = "scale", n_components: int = 256,
-                 degree: int = 3, max_iter: int = 500, seed: int = 42, tol: float = 1e-3, corner: float = 1e-2):
+                 degree: int = 3, max_iter: int = 500, seed: int = 42, tol: float = 1e-3, corner: float = 1e-2,
+                 coef0: float = 0.0, sketch_size: int = 1024):
         self.nu, self.kernel, self.gamma, self.D, self.degree, self.iters, self.seed = (
             nu, kernel, gamma, n_components, degree, max_iter, seed)
-        self.tol, self.corner = tol, corner
+        self.tol, self.corner, self.coef0, self.sketch = tol, corner, coef0, sketch_size
 
     def fit(self, train: DataFrame) -> OneClassSVMModel:
         normals = train.where(F.col("label") == 0) if "label" in train.columns else train
-        fmap = kernel_map(normals, self.kernel, self.gamma, self.D, self.degree, self.seed)
-        z = fmap(normals.select("features")).select(vector_to_array(F.col("kfeat")).alias("z")).persist()
-        first = z.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("z")).alias("d")).first()
+        fmap = kernel_map(normals, self.kernel, self.gamma, self.D, self.degree, self.seed, self.coef0, self.sketch)
+        z = fmap(normals.select("features")).select(stored("kfeat").alias("u"), vector_width("kfeat").alias("d")).persist()
+        first = z.agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("d")).first()
         n, dim = int(first["n"]), int(first["d"] or 0)
         if not n:
             z.unpersist()
             return OneClassSVMModel(fmap, np.zeros(dim), 0.0, [], True)
-        corner, scale = self.corner, 1.0 / (self.nu * n)
+        rows_in, corner, scale = fewer_tasks(z, n, 8 * dim), self.corner, 1.0 / (self.nu * n)
+        tasks = rows_in.rdd.getNumPartitions()
 
         def value(point: np.ndarray) -> tuple[float, np.ndarray]:
             """Objective and gradient at ``(w, rho)``: one job."""
             w, rho = point[:-1], float(point[-1])
 
             def partial(batches):
-                # one row per partition: weighted vector sum, weight sum, hinge sum
-                acc, weight, hinge = np.zeros(dim), 0.0, 0.0
-                for pdf in batches:
-                    if len(pdf) == 0:
-                        continue
-                    Z = np.stack([np.asarray(a, dtype=np.float64) for a in pdf["z"].to_numpy()])
-                    u = rho - Z @ w
+                # one row per task: weighted vector sum, weight sum, hinge sum
+                acc = np.zeros(dim + 2)
+                for batch in batches:
+                    rows = Rows(batch.column(0), dim)
+                    u = rho - rows.dot(w)
                     slope = np.clip(u / corner, 0.0, 1.0)
-                    acc += slope @ Z
-                    weight += float(slope.sum())
-                    hinge += float(np.where(u >= corner, u - corner / 2, np.where(u > 0, u * u / (2 * corner), 0.0)).sum())
-                yield pd.DataFrame({"s": [acc.tolist() + [weight, hinge]]})
-
-            parts = z.mapInPandas(partial, "s array<double>")
-            tot = np.zeros(dim + 2)
-            for r in parts.select(F.posexplode("s").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect():
-                tot[r["i"]] = r["x"]
-            grad = np.concatenate([w - scale * tot[:dim], [scale * tot[dim] - 1.0]])
-            return 0.5 * float(w @ w) + scale * float(tot[dim + 1]) - rho, grad
-
-        point, h = np.zeros(dim + 1), np.eye(dim + 1)
-        f, g = value(point)
-        objective: list[float] = []
-        converged = False
-        for _ in range(self.iters):
-            if np.abs(g).max() <= self.tol:
-                converged = True
-                break
-            step = -h @ g
-            slope = float(g @ step)
-            if slope >= 0:  # curvature estimate spoilt by rounding: start over from the gradient
-                h, step, slope = np.eye(dim + 1), -g, -float(g @ g)
-            length = 1.0
-            while True:
-                trial, trial_g = value(point + length * step)
-                if trial <= f + 1e-4 * length * slope or length < 1e-8:
-                    break
-                length /= 2
-            if length < 1e-8:
-                break
-            s, y = length * step, trial_g - g
-            sy = float(s @ y)
-            if sy > 1e-12:
-                if not objective:  # first step: scale of the curvature
-                    h *= sy / float(y @ y)
-                rho_ = 1.0 / sy
-                left = np.eye(dim + 1) - rho_ * np.outer(s, y)
-                h = left @ h @ left.T + rho_ * np.outer(s, s)
-            point, f, g = point + s, trial, trial_g
-            objective.append(f)
+                    acc[:dim] += rows.weighted_sum(slope)
+                    acc[dim] += slope.sum()
+                    acc[dim + 1] += np.where(u >= corner, u - corner / 2, np.where(u > 0, u * u / (2 * corner), 0.0)).sum()
+                yield pa.RecordBatch.from_arrays([array_rows(acc[None])], names=["s"])
+
+            total = summed_arrays(rows_in.select("u").mapInArrow(partial, "s array<double>"), tasks, dim + 2)
+            gradient = np.concatenate([w - scale * total[:dim], [scale * total[dim] - 1.0]])
+            return 0.5 * float(w @ w) + scale * float(total[dim + 1]) - rho, gradient
+
+        best = minimise(value, np.zeros(dim + 1), self.tol, self.iters)
         z.unpersist()
-        if not converged:
+        if not best.converged:
             import warnings
 
-            warnings.warn(f"one-class SVM stopped with a gradient of {np.abs(g).max():.2e} (tolerance {self.tol:.0e})")
-        return OneClassSVMModel(fmap, point[:-1], float(point[-1]), objective, converged)
+            warnings.warn(f"one-class SVM stopped with a gradient of {np.abs(best.gradient).max():.2e} (tolerance {self.tol:.0e})")
+        return OneClassSVMModel(fmap, best.point[:-1], float(best.point[-1]), best.objective, best.converged)
 
 
 class ReconstructionModel:

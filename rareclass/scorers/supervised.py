@@ -13,7 +13,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 
 from ..operators.metrics import counted_class_weights
 from ..operators.order import broadcast_if_small
+from .rows import stored, vector_width
+from .sketch import TensorSketch
 
 SCORE = "score"
 
@@ -119,11 +121,11 @@ class BoostedScorer:
 
 def gamma_value(train: DataFrame, gamma: str | float, features: str = "features") -> tuple[float, int]:
     """sklearn's ``gamma='scale'`` = 1 / (d * var(X)) over all entries; ``'auto'`` = 1 / d."""
-    arr = vector_to_array(F.col(features))
+    values = stored(features)["values"]  # components that a sparse vector does not store are zero
     row = train.select(
-        F.size(arr).alias("d"),
-        F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("s"),
-        F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x).alias("ss"),
+        vector_width(features).alias("d"),
+        F.aggregate(values, F.lit(0.0), lambda a, x: a + x).alias("s"),
+        F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x).alias("ss"),
     ).agg(F.max("d").alias("d"), F.sum("s").alias("s"), F.sum("ss").alias("ss"), F.count(F.lit(1)).alias("n")).first()
     d = int(row["d"] or 1)
     if isinstance(gamma, (int, float)):
@@ -164,36 +166,40 @@ class FourierFeatures:
 
 
 class KernelMap:
-    """Feature map for M4/M7: identity (linear), random Fourier features (rbf),
-    polynomial expansion (poly).  Fully described by :meth:`spec`, so a saved
-    model rebuilds the same map (the RFF draws come from the seed)."""
+    """Feature map for M4/M7: identity (linear), random Fourier features (rbf), TensorSketch (poly).  Fully described by
+    :meth:`spec`, so a saved model rebuilds the same map (the draws come from the seed)."""
 
     def __init__(self, kernel: str, gamma: float | None = None, d: int | None = None, n_components: int = 256,
-                 degree: int = 3, seed: int = 42):
-        self.kernel, self.gamma, self.d, self.D, self.degree, self.seed = kernel, gamma, d, n_components, degree, seed
-        self._ff = FourierFeatures(d, gamma, n_components, seed) if kernel == "rbf" else None
+                 degree: int = 3, seed: int = 42, coef0: float = 0.0):
+        self.kernel, self.gamma, self.d, self.D, self.degree, self.seed, self.coef0 = kernel, gamma, d, n_components, degree, seed, coef0
+        self._map = None
+        if kernel == "rbf":
+            self._map = FourierFeatures(d, gamma, n_components, seed)
+        elif kernel == "poly":
+            self._map = TensorSketch(d, gamma, coef0, degree, n_components, seed)
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        if self.kernel == "linear":
+        if self._map is None:
             return df.withColumn("kfeat", F.col("features"))
-        if self.kernel == "poly":
-            return PolynomialExpansion(degree=self.degree, inputCol="features", outputCol="kfeat").transform(df)
-        return self._ff.transform(df, out="kfeat")
+        return self._map.transform(df, out="kfeat")
 
     def spec(self) -> dict:
         return {"kernel": self.kernel, "gamma": self.gamma, "d": self.d, "n_components": self.D,
-                "degree": self.degree, "seed": self.seed}
+                "degree": self.degree, "seed": self.seed, "coef0": self.coef0}
 
     @classmethod
     def from_spec(cls, spec: dict) -> "KernelMap":
         return cls(**spec)
 
 
-def kernel_map(train: DataFrame, kernel: str, gamma: str | float, n_components: int, degree: int, seed: int) -> KernelMap:
-    if kernel == "rbf":
-        g, d = gamma_value(train, gamma)
-        return KernelMap("rbf", g, d, n_components, degree, seed)
-    return KernelMap(kernel, None, None, n_components, degree, seed)
+def kernel_map(train: DataFrame, kernel: str, gamma: str | float, n_components: int, degree: int, seed: int, coef0: float = 0.0,
+               sketch_size: int = 1024) -> KernelMap:
+    """The map of a kernel, with gamma from the training rows.  ``n_components`` is the width for rbf, ``sketch_size``
+    that for poly."""
+    if kernel == "linear":
+        return KernelMap(kernel, None, None, n_components, degree, seed)
+    g, d = gamma_value(train, gamma)
+    return KernelMap(kernel, g, d, sketch_size if kernel == "poly" else n_components, degree, seed, coef0)
 
 
 class KernelSVMModel:
@@ -213,12 +219,12 @@ class KernelSVMScorer:
     scaling (a one-feature logistic fit on the margin) for probabilities."""
 
     def __init__(self, C: float = 1.0, kernel: str = "rbf", gamma: str | float = "scale", class_weight: str | None = "balanced",
-                 n_components: int = 256, degree: int = 3, max_iter: int = 100, seed: int = 42):
-        self.C, self.kernel, self.gamma, self.cw = C, kernel, gamma, class_weight
+                 n_components: int = 256, degree: int = 3, max_iter: int = 100, seed: int = 42, coef0: float = 0.0, sketch_size: int = 1024):
+        self.C, self.kernel, self.gamma, self.cw, self.coef0, self.sketch = C, kernel, gamma, class_weight, coef0, sketch_size
         self.D, self.degree, self.max_iter, self.seed = n_components, degree, max_iter, seed
 
     def fit(self, train: DataFrame) -> _Fitted:
-        fmap = kernel_map(train, self.kernel, self.gamma, self.D, self.degree, self.seed)
+        fmap = kernel_map(train, self.kernel, self.gamma, self.D, self.degree, self.seed, self.coef0, self.sketch)
         df, wsum = weighted(train, self.cw)
         mapped = fmap(df)
         svc = LinearSVC(featuresCol="kfeat", weightCol="weight", regParam=1.0 / (self.C * max(wsum, 1e-12)),
