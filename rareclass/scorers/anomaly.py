@@ -1,14 +1,13 @@
 """Anomaly detectors fitted on the normal class.
 
-* :class:`IsolationForestScorer` (Liu et al. 2008) built **level by level** as
-  Spark jobs: a record keeps its vector and its node in every tree; one grouped
-  aggregate per level gives each node's size and the range of a random feature
-  that varies in it, and the records move on in place.  Each tree sees its
-  whole sample (``max_samples=1.0`` = every row, as in the reference) - no node
-  or tree is ever collected into one task.
+* :class:`IsolationForestScorer` (Liu et al. 2008): large nodes are split level
+  by level as Spark aggregates (a record keeps its vector and its node in every
+  tree), small ones are finished as whole subtrees, a group of them in a task.
+  Each tree sees its whole sample (``max_samples=1.0`` = every row, as in the
+  reference) - no large node or tree is ever collected into one task.
 * :class:`OneClassSVMScorer` (Schoelkopf et al. 2001): the linear nu-objective
-  on the M4 feature map, minimised to a gradient tolerance; every evaluation is
-  one Spark aggregate.
+  on the M4 feature map, minimised to a gradient tolerance by L-BFGS; every
+  evaluation is one Spark job.
 * :class:`ReconstructionScorer`: linear autoencoder = PCA (Baldi & Hornik
   1989); score = row mean squared reconstruction error (A21).
 
@@ -18,6 +17,7 @@ Scores are "higher = more anomalous" (the reference negates
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -32,6 +32,7 @@ from ..operators.order import broadcast_if_small, exact_quantile_values
 from ..session import cut_lineage
 from .lbfgs import minimise
 from .rows import Rows, array_rows, fewer_tasks, stored, summed_arrays, vector_width
+from .subtrees import NODE_BYTES, NODES, Draws, finish_subtrees
 from .supervised import SCORE, kernel_map
 
 EULER = 0.5772156649015329
@@ -46,18 +47,13 @@ def c_factor(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + EULER) - 2.0 * (n - 1.0) / n
 
 
-def _uniform(seed: int, *cols) -> F.Column:
-    """Deterministic U[0,1) from a hash of the given columns."""
-    h = F.xxhash64(F.lit(seed), *cols)
-    return F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
-
-
 # Most rows of node tables that the driver hands to one step over the records; a wider level is joined on the executors.
 NODE_CHUNK = 500_000
 # Candidate features of a node's first try; later tries, for nodes where all were constant, take more.
 FIRST_TRY = 4
 MOST_TRIED = 32
 
+PARKED = -2
 _NODE_BITS = 44  # key of a node: tree << 44 | node
 
 
@@ -84,14 +80,16 @@ _STATE = T.StructType([T.StructField("nodes", T.ArrayType(T.LongType())), T.Stru
 def _advance(X: np.ndarray, at: np.ndarray, total: np.ndarray, level: int, known: np.ndarray, feature: np.ndarray, value: np.ndarray, size: np.ndarray):
     """One level of all trees at once for a batch of records: nodes (0 = ended) and summed path.
 
-    A record in a leaf, or in a child that no training row reached, ends there.
+    A record in a leaf, or in a child that no training row reached, ends there.  While a forest grows, feature ``PARKED``
+    marks a node whose subtree is finished apart: its records keep it, as a negative number.
     """
     here = (at >= 1 << level) & (at < 1 << level + 1)
     split = here & known & (feature >= 0)
-    stop = here & ~split
+    parked = here & known & (feature == PARKED)
+    stop = here & ~split & ~parked
     total = total + np.where(stop, level + _c_factors(np.where(known, size, 0)), 0.0).sum(axis=1)
     right = np.take_along_axis(X, np.where(split, feature, 0), axis=1) >= value
-    return np.where(split, at * 2 + right, np.where(stop, 0, at)), total
+    return np.where(split, at * 2 + right, np.where(stop, 0, np.where(parked, -at, at))), total
 
 
 def _arrays(x: pd.Series, nodes: pd.Series, path: pd.Series):
@@ -158,11 +156,13 @@ def _c_factors(n: np.ndarray) -> np.ndarray:
 
 def _read_tables(levels: list[DataFrame], which: list[int]):
     """The node tables of a step as sorted arrays (``NODE_CHUNK`` rows at most)."""
-    out = []
-    for lvl in which:
-        rows = levels[lvl].select(_key(F.col("t"), F.col("node")).alias("k"), "f", "v", "n").toPandas().sort_values("k")
-        out.append((lvl, rows["k"].to_numpy(np.int64), rows["f"].fillna(-1).to_numpy(np.int64), rows["v"].fillna(0.0).to_numpy(np.float64), rows["n"].to_numpy(np.float64)))
-    return out
+    parts = [levels[lvl].select(F.lit(lvl).alias("level"), _key(F.col("t"), F.col("node")).alias("k"), F.coalesce("f", F.lit(-1)).alias("f"),
+                                F.coalesce("v", F.lit(0.0)).alias("v"), F.col("n").cast("double").alias("n")) for lvl in which]
+    rows = functools.reduce(DataFrame.unionByName, parts).toArrow()
+    level, k, f, v, n = (rows.column(c).to_numpy() for c in ("level", "k", "f", "v", "n"))
+    by = np.lexsort((k, level))
+    cut = np.searchsorted(level[by], [*which, which[-1] + 1])
+    return [(lvl, *(c[by[a:b]] for c in (k, f.astype(np.int64), v, n))) for lvl, a, b in zip(which, cut, cut[1:])]
 
 
 class IsolationForestModel:
@@ -217,14 +217,17 @@ class IsolationForestScorer:
     score threshold (that quantile of the training scores).
 
     Layout: one row per record with its vector and the array of its node in
-    every tree.  It is exploded only on the way into a level's aggregate, which
-    is combined map-side; vectors are never shuffled or copied per tree.
+    every tree.  Levels are Spark aggregates, combined map-side, only while nodes
+    are large; a node of at most ``local_rows`` (by default 16 MB of vectors) is
+    parked, and in the end one shuffle brings the records of every parked node
+    into a task, which grows its subtree.  Both ways draw by the same hashes, so
+    the forest does not depend on where they meet.
     """
 
     def __init__(self, n_estimators: int = 100, max_samples: float = 1.0, contamination: float = 0.1,
-                 max_features: float = 1.0, seed: int = 42, node_chunk: int = NODE_CHUNK):
-        self.T, self.ms, self.cont, self.mf, self.seed, self.node_chunk = (
-            n_estimators, max_samples, contamination, max_features, seed, node_chunk)
+                 max_features: float = 1.0, seed: int = 42, node_chunk: int = NODE_CHUNK, local_rows: int | None = None):
+        self.T, self.ms, self.cont, self.mf, self.seed, self.node_chunk, self.local_rows = (
+            n_estimators, max_samples, contamination, max_features, seed, node_chunk, local_rows)
 
     def fit(self, train: DataFrame, id_col: str = "id") -> IsolationForestModel:
         normals = train.where(F.col("label") == 0) if "label" in train.columns else train
@@ -235,30 +238,13 @@ class IsolationForestScorer:
         frac = self.ms if isinstance(self.ms, float) else min(1.0, float(self.ms) / max(n, 1))
         psi = max(2.0, frac * n)
         depth = int(math.ceil(math.log2(psi)))
-        rng = np.random.default_rng(self.seed)
         m = max(1, int(self.mf * d))
-        # Per-tree feature subset of size m without a (trees x features) literal:
-        # {(a_t * i + b_t) mod d : i < m} with a_t coprime to d - a seeded
-        # pseudo-random subset; with max_features=1.0 every feature is used.
-        # A node runs through it from a random start by a random step coprime
-        # to m, so its candidates are all different and all come up in the end.
-        coprime = [a for a in range(1, d + 1) if math.gcd(a, d) == 1] or [1]
-        steps = [a for a in range(1, m + 1) if math.gcd(a, m) == 1] or [1]
-        steps = [steps[i] for i in sorted(rng.choice(len(steps), min(64, len(steps)), replace=False))]
-        a_lit = F.array(*[F.lit(int(rng.choice(coprime))) for _ in range(self.T)])
-        b_lit = F.array(*[F.lit(int(rng.integers(0, d))) for _ in range(self.T)])
-        step_lit = F.array(*[F.lit(int(a)) for a in steps])
-
-        def candidate(k: int) -> F.Column:
-            start = F.pmod(F.xxhash64(F.lit(self.seed), F.col("t"), F.col("node")), F.lit(m))
-            stride = F.element_at(step_lit, (F.pmod(F.xxhash64(F.lit(self.seed + 3), F.col("t"), F.col("node")), F.lit(len(steps))) + 1).cast("int"))
-            i = F.pmod(start + F.lit(k) * stride, F.lit(m))
-            a, b = F.element_at(a_lit, F.col("t") + 1), F.element_at(b_lit, F.col("t") + 1)
-            return F.pmod(a * i + b, F.lit(d)).cast("int")
+        draws = Draws(self.T, d, m, self.seed)
+        local = max(1, NODE_BYTES // (8 * d)) if self.local_rows is None else self.local_rows
 
         def ranges(rows: DataFrame, tried: int, count: int) -> DataFrame:
             """Per node: its rows and the first of ``count`` further candidates that varies, with its range."""
-            cand = rows.select("__x", "t", "node", *[candidate(tried + k).alias(f"f{k}") for k in range(count)])
+            cand = rows.select("__x", "t", "node", *[draws.candidate(tried + k).alias(f"f{k}") for k in range(count)])
             vals = [F.element_at(F.col("__x"), F.col(f"f{k}") + 1) for k in range(count)]
             stats = cand.groupBy("t", "node").agg(
                 F.count(F.lit(1)).alias("n"),
@@ -270,21 +256,22 @@ class IsolationForestScorer:
                       for k in range(count)]
             return stats.select("t", "node", "n", F.coalesce(*varies).alias("pick"))
 
-        nodes = F.transform(F.sequence(F.lit(0), F.lit(self.T - 1)), lambda t: F.lit(1).cast("long"))
+        # a tree whose whole sample fits a task is parked at its root
+        root = F.lit(-1 if n <= local else 1).cast("long")
+        nodes = F.transform(F.sequence(F.lit(0), F.lit(self.T - 1)), lambda t: root)
         if frac < 1.0:
             nodes = F.transform(F.sequence(F.lit(0), F.lit(self.T - 1)), lambda t: F.when(
                 F.pmod(F.xxhash64(F.lit(self.seed + 1), F.col("__rid"), t), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53)) < F.lit(frac),
-                F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")))
+                root).otherwise(F.lit(0).cast("long")))
         cur = base.select("__rid", "__x", nodes.alias("nodes"))
-        levels: list[DataFrame] = []
-        level_rows: list[int] = []
+        grown: list[DataFrame] = []  # one level each
         held: DataFrame | None = None
-        for lvl in range(depth + 1):
+        for lvl in range(depth + 1 if n > local else 0):
             rows = cur.select("__x", F.posexplode("nodes").alias("t", "node")).where("node > 0")
             found = cut_lineage(ranges(rows, 0, min(FIRST_TRY, m)))
             tried, count = min(FIRST_TRY, m), FIRST_TRY
             while tried < m and lvl < depth:
-                open_nodes = found.where("n > 1 and pick is null").select("t", "node")
+                open_nodes = found.where((F.col("n") > local) & F.col("pick").isNull()).select("t", "node")
                 left = open_nodes.count()
                 if not left:
                     break
@@ -293,17 +280,15 @@ class IsolationForestScorer:
                 more = more.select("t", "node", F.col("pick").alias("later"))
                 found = cut_lineage(found.join(more, ["t", "node"], "left").select("t", "node", "n", F.coalesce("pick", "later").alias("pick")))
                 tried += count
-            u = _uniform(self.seed + 2, F.col("t"), F.col("node"))
             splittable = (F.col("n") > 1) & F.lit(lvl < depth) & F.col("pick").isNotNull()
             table = cut_lineage(found.select(
                 "t", "node", "n",
-                F.when(splittable, F.col("pick.f")).alias("f"),  # 0-based feature index
-                F.when(splittable, F.col("pick.lo") + u * (F.col("pick.hi") - F.col("pick.lo"))).alias("v"),
+                F.when(F.col("n") <= local, F.lit(PARKED)).when(splittable, F.col("pick.f")).alias("f"),  # 0-based feature index
+                F.when(splittable, F.col("pick.lo") + draws.point() * (F.col("pick.hi") - F.col("pick.lo"))).alias("v"),
             ))
-            row = table.agg(F.count(F.lit(1)).alias("n"), F.count("f").alias("s")).first()
-            levels.append(table)
-            level_rows.append(int(row["n"]))
-            if lvl == depth or int(row["s"]) == 0:
+            row = table.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("f") >= 0).alias("s"), F.count_if(F.col("f") == PARKED).alias("p")).first()
+            grown.append(table.where(F.coalesce("f", F.lit(-1)) != PARKED).withColumn("level", F.lit(lvl)))
+            if int(row["n"]) == 0 or int(row["s"]) + int(row["p"]) == 0:
                 break
             moved = cur.withColumn("__s", F.struct("nodes", F.lit(0.0).alias("path")))
             wide = int(row["n"]) > self.node_chunk
@@ -313,28 +298,31 @@ class IsolationForestScorer:
                 own = [(lvl, *arrays[1:]) for arrays in _read_tables([table], [0])]
                 moved = moved.withColumn("__s", _walk(own)("__x", F.col("__s.nodes"), F.col("__s.path")))
             moved = moved.select("__rid", "__x", F.col("__s.nodes").alias("nodes"))
-            if wide:  # is in a checkpoint already
-                cur = moved
-                if held is not None:
-                    held.unpersist()
-                    held = None
-                continue
-            if lvl % 4 == 3:
-                cur = cut_lineage(moved)
-                if held is not None:
-                    held.unpersist()
-                    held = None
+            before = held
+            if wide or lvl % 4 == 3:
+                cur, held = (moved if wide else cut_lineage(moved)), None
             else:
                 # kept for the next level; recomputed from the last checkpoint only if an executor is lost
-                cur = moved.persist()
+                cur = held = moved.persist()
                 cur.count()
-                if held is not None:
-                    held.unpersist()
-                held = cur
+            if before is not None:
+                before.unpersist()
+            if int(row["s"]) == 0:
+                break
+        waiting = cur.select("__x", F.posexplode("nodes").alias("t", "node")).where("node < 0")
+        pending = int(cur.agg(F.sum(F.size(F.filter("nodes", lambda x: x < 0)))).first()[0] or 0)
+        if pending:
+            parked = waiting.select(F.col("__x").alias("x"), "t", (-F.col("node")).alias("node"))
+            grown.append(finish_subtrees(parked, pending, d, draws, depth))
         if held is not None:
             held.unpersist()
         base.unpersist()
-        return IsolationForestModel(levels, level_rows, depth, psi, self.T, normals.select(id_col, "features"), id_col,
+        columns = [F.col("t").cast("int").alias("t"), "node", F.col("n").cast("long").alias("n"), F.col("f").cast("int").alias("f"), "v", "level"]
+        grown = grown or [base.sparkSession.createDataFrame([], NODES)]
+        every = functools.reduce(DataFrame.unionByName, [g.select(*columns) for g in grown])
+        counted = {r["level"]: int(r["n"]) for r in every.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
+        levels = [every.where(F.col("level") == lvl).drop("level") for lvl in range(len(counted))]
+        return IsolationForestModel(levels, [counted[lvl] for lvl in range(len(counted))], depth, psi, self.T, normals.select(id_col, "features"), id_col,
                                     self.cont, self.node_chunk)
 
 
