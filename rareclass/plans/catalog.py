@@ -304,8 +304,8 @@ def q_exact_median(spark, sf_dir):
     """A5: exact median element (``approxQuantile(c, [.5], 0)``) of each numeric lineitem column."""
     li = table(spark, sf_dir, "lineitem")
     vals = [O.exact_quantile_values(li, c, [0.5])[0] for c in _LI_NUM]
-    # one-row result built from the scalars (each a distributed selection over lineitem)
-    return li.limit(1).select(*[F.round(F.lit(v).cast("double"), 6).alias(c) for v, c in zip(vals, _LI_NUM)])
+    # one-row result built from the scalars (each a distributed selection over lineitem; NULL where there is no value)
+    return spark.range(1).select(*[F.round(F.lit(v).cast("double"), 6).alias(c) for v, c in zip(vals, _LI_NUM)])
 
 
 # ------------------------------------------------------------------ order --

@@ -559,3 +559,66 @@ def q_knn_vote_l1_distance(spark, sf_dir):
     res = knn_vote(e.where(F.col("split") == "train"), e.where(F.col("split") != "train"), k=7, id_col="vec_id",
                    vec_col="vec", label_col="y", weights="distance", p=1)
     return res.select("vec_id", rnd("score"))
+
+
+# ------------------------------------------------- how sure the metrics are --
+
+REPLICATES = 100
+
+
+def _bootstrap_sql() -> str:
+    """Rows times replicates, weights from the same digests; curve metrics by plain window sums."""
+    from ..operators.uncertainty import POISSON_CUTS
+
+    weight = " + ".join(f"(u >= {c})::INT" for c in POISSON_CUTS)
+    return "WITH " + _SCORED_SQL + f""",
+h AS (SELECT y, sc, r, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '#42#' || CAST(r // 4 AS VARCHAR)), CAST(8 * (r % 4) + 1 AS INT), 8) AS BIGINT) AS u
+      FROM d, range({REPLICATES}) t(r)),
+g AS (SELECT r, sc, SUM(w * y) AS p, SUM(w * (1 - y)) AS q FROM (SELECT r, sc, y, {weight} AS w FROM h) GROUP BY r, sc),
+c AS (SELECT *, SUM(p) OVER o AS tp, SUM(q) OVER o AS fp, SUM(p) OVER (PARTITION BY r) AS pp, SUM(q) OVER (PARTITION BY r) AS nn FROM g
+      WINDOW o AS (PARTITION BY r ORDER BY sc DESC)),
+m AS (SELECT r, SUM(q * (tp - p / 2.0)) / (MAX(pp) * MAX(nn)) AS roc_auc,
+        SUM(CASE WHEN p > 0 THEN CAST(p AS DOUBLE) / pp * (CAST(tp AS DOUBLE) / (tp + fp)
+          + CASE WHEN tp - p + fp - q = 0 THEN 1.0 ELSE CAST(tp - p AS DOUBLE) / (tp - p + fp - q) END) / 2 ELSE 0 END) AS pr_auc FROM c GROUP BY r),
+l AS (SELECT 'roc_auc' AS metric, roc_auc AS v FROM m UNION ALL SELECT 'pr_auc', pr_auc FROM m)
+SELECT metric, ROUND(AVG(v), 6) AS mean, ROUND(STDDEV_SAMP(v), 6) AS std_error, ROUND(QUANTILE_CONT(v, 0.025), 6) AS lower,
+  ROUND(QUANTILE_CONT(v, 0.975), 6) AS upper, COUNT(v) AS replicates FROM l GROUP BY metric"""
+
+
+@query("bootstrap_bounds", _bootstrap_sql())
+def q_bootstrap_bounds(spark, sf_dir):
+    """Poisson bootstrap (100 replicates) of ROC-AUC and PR-AUC: mean, standard error, 95 % bounds."""
+    from ..operators.uncertainty import bootstrap_bounds
+
+    b = bootstrap_bounds(_scored_docs(spark, sf_dir), "toxic", "score", ["doc_id"], REPLICATES)
+    return b.select("metric", *[rnd(c) for c in ["mean", "std_error", "lower", "upper"]], "replicates")
+
+
+def _delong_sql() -> str:
+    """Components by comparing every positive with every negative."""
+    from ..operators.uncertainty import ERF_A, ERF_P
+
+    series = "0.0"
+    for a in reversed(ERF_A):
+        series = f"(({series}) + ({a}::DOUBLE)) * t"
+    return "WITH " + _SCORED_SQL + f""",
+e AS (SELECT doc_id, y, sc AS a, CAST(quality AS DOUBLE) AS b FROM d WHERE sc IS NOT NULL AND quality IS NOT NULL),
+pairs AS (SELECT p.doc_id AS i, n.doc_id AS j, CASE WHEN p.a > n.a THEN 1.0::DOUBLE WHEN p.a = n.a THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS a,
+            CASE WHEN p.b > n.b THEN 1.0::DOUBLE WHEN p.b = n.b THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS b
+          FROM e p JOIN e n ON p.y = 1 AND n.y <> 1),
+v10 AS (SELECT i, AVG(a) AS a, AVG(b) AS b FROM pairs GROUP BY i), v01 AS (SELECT j, AVG(a) AS a, AVG(b) AS b FROM pairs GROUP BY j),
+s AS (SELECT (SELECT AVG(a) FROM v10) AS auc_a, (SELECT AVG(b) FROM v10) AS auc_b,
+        (SELECT VAR_SAMP(a - b) / COUNT(*) FROM v10) + (SELECT VAR_SAMP(a - b) / COUNT(*) FROM v01) AS variance),
+z AS (SELECT *, auc_a - auc_b AS difference, (auc_a - auc_b) / sqrt(variance) AS z FROM s),
+t AS (SELECT *, abs(z) / sqrt(2.0::DOUBLE) AS x, 1.0::DOUBLE / (1.0::DOUBLE + {ERF_P}::DOUBLE * abs(z) / sqrt(2.0::DOUBLE)) AS t FROM z)
+SELECT ROUND(auc_a, 6) AS auc_a, ROUND(auc_b, 6) AS auc_b, ROUND(difference, 6) AS difference, ROUND(variance, 6) AS variance,
+  ROUND(z, 6) AS z, ROUND({series} * exp(-x * x), 6) AS p_value FROM t"""
+
+
+@query("delong_test", _delong_sql())
+def q_delong_test(spark, sf_dir):
+    """Paired test of two models' ROC-AUCs on the same documents: length against the quality label, for the toxic label."""
+    from ..operators.uncertainty import delong_test
+
+    return delong_test(_scored_docs(spark, sf_dir), "toxic", "score", "quality").select(
+        *[rnd(c) for c in ["auc_a", "auc_b", "difference", "variance", "z", "p_value"]])
