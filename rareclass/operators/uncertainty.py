@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .order import broadcast_if_small, prefix_sum
+from .order import broadcast_if_small, prefix_sum, range_boundaries, with_range_bucket
 
 # A row's weight in a replicate is the number of these that its 32-bit hash reaches: the distribution function of a
 # Poisson(1) variable at 0, 1, ..., 12, times 2^32.
 POISSON_CUTS = [int(2 ** 32 * math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1))) for k in range(13)]
 
+# Distinct scores that a task holds before it passes them on, and bytes of weights of a range bucket on average.
+TASK_SCORES = 20_000
+BUCKET_BYTES = 64 << 20
+
 # The error function by Abramowitz and Stegun 7.1.26 (off by 1.5e-7 at most).
 ERF_P = 0.3275911
 ERF_A = [0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429]
@@ -38,41 +44,105 @@ def poisson_weights(key: Sequence[str], replicates: int, seed: int = 42) -> Colu
     return F.slice(F.flatten(F.transform(blocks, four)), 1, replicates)
 
 
+def _collapsed(score: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct scores, ascending (NaN last), and their summed rows of weights."""
+    by = np.argsort(score, kind="stable")
+    score = score[by]
+    start = np.flatnonzero(np.r_[True, (score[1:] != score[:-1]) & ~(np.isnan(score[1:]) & np.isnan(score[:-1]))])
+    return score[start], np.add.reduceat(p[by], start, axis=0), np.add.reduceat(q[by], start, axis=0)
+
+
+def _lists(matrix: np.ndarray) -> pa.Array:
+    n, width = matrix.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(np.ascontiguousarray(matrix).ravel()))
+
+
+def _matrix(column, width: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _score_weights(replicates: int):
+    """Per task: ``score, p, q``, the weights of a score's positives and negatives in every replicate."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(found):
+            return pa.RecordBatch.from_arrays([pa.array(found[0]), _lists(found[1]), _lists(found[2])], names=["score", "p", "q"])
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            w, y = _matrix(batch.column("w"), replicates).astype(np.int64), batch.column("y").to_numpy(zero_copy_only=False)[:, None]
+            own = (batch.column("score").to_numpy(zero_copy_only=False), w * y, w * (1 - y))
+            held = _collapsed(*(own if held is None else [np.concatenate(x) for x in zip(held, own)]))
+            if len(held[0]) > TASK_SCORES:
+                yield batch_of(held)
+                held = None
+        if held is not None:
+            yield batch_of(held)
+
+    return run
+
+
+def _curve_sums(replicates: int, ahead: dict[int, np.ndarray], totals: np.ndarray):
+    """A bucket's share of every replicate's ROC-AUC and PR-AUC; ``ahead`` holds the weights of all higher scores."""
+
+    def run(table: pa.Table) -> pa.Table:
+        _, p, q = _collapsed(table.column("score").to_numpy(), _matrix(table.column("p"), replicates), _matrix(table.column("q"), replicates))
+        p, q = p[::-1], q[::-1]
+        start = ahead[table.column("__bucket")[0].as_py()]
+        tp, fp = start[0] + np.cumsum(p, axis=0), start[1] + np.cumsum(q, axis=0)
+        before, seen = tp - p + fp - q, np.maximum(tp + fp, 1)
+        precision = np.where(before > 0, (tp - p) / np.maximum(before, 1), 1.0) + tp / seen
+        with np.errstate(invalid="ignore", divide="ignore"):
+            roc = (q * (tp - p / 2)).sum(axis=0) / (totals[0].astype(float) * totals[1])
+            pr = (p * precision / 2).sum(axis=0) / totals[0]
+        return pa.table({"roc": _lists(roc[None]), "pr": _lists(pr[None])})
+
+    return run
+
+
 def bootstrap_replicates(df: DataFrame, label: str, score: str, key: Sequence[str], replicates: int = 100, seed: int = 42,
                          positive=1) -> DataFrame:
     """``replicate, roc_auc, pr_auc``: the exact curve metrics of every replicate (A18, A19 with weighted rows).
 
-    Rows are not copied: one aggregate by distinct score sums the weights of all replicates (combined map-side), and one
-    distributed prefix sum runs over all of them.  Rows without a score take no part; a replicate that misses a class has
-    no ROC-AUC, without positives no PR-AUC.  The frame is one row per replicate.
+    Rows are not copied: a row carries its weights as one array, and each task sums them by distinct score (a score of
+    many rows is a few sums).  Scores meet in range buckets of a bounded size, whose totals give each bucket the weights
+    of all higher scores; a bucket returns two numbers a replicate, and buckets x replicates numbers reach the driver.
+    Rows without a score take no part; a replicate that misses a class has no ROC-AUC, without positives no PR-AUC.
     """
     if replicates < 1:
         raise ValueError("at least one replicate")
-    y = (F.col(label) == F.lit(positive)).cast("long")
+    y = (F.col(label) == F.lit(positive)).cast("int")
     rows = df.where(F.col(score).isNotNull()).select(F.col(score).cast("double").alias("score"), F.coalesce(y, F.lit(0)).alias("y"),
                                                      poisson_weights(key, replicates, seed).alias("w"))
-    weight = [F.col("w")[r] for r in range(replicates)]
-    counts = cut_lineage(rows.groupBy("score").agg(
-        *[F.sum(w * F.col("y")).alias(f"p{r}") for r, w in enumerate(weight)], *[F.sum(w * (1 - F.col("y"))).alias(f"q{r}") for r, w in enumerate(weight)]))
-    grand: dict = {}
-    cum = prefix_sum(counts, [F.col("score").desc()], F.col("score"), [f"{c}{r}" for c in "pq" for r in range(replicates)], descending=True, grand=grand)
-    aggregates = []
-    for r in range(replicates):
-        p, q, tp, fp = (F.col(c.format(r)) for c in ("p{}", "q{}", "p{}_cum", "q{}_cum"))
-        n_pos, n_neg = (F.lit(float(grand.get(f"{c}{r}") or 0)) for c in "pq")
-        before = F.when(tp - p + fp - q == 0, F.lit(1.0)).otherwise(F.try_divide(tp - p, tp - p + fp - q))
-        aggregates += [F.try_divide(F.sum(q * (tp - p / 2)), n_pos * n_neg).alias(f"roc{r}"),
-                       F.try_divide(F.sum(p * (F.try_divide(tp, tp + fp) + before) / 2), n_pos).alias(f"pr{r}")]
-    found = cum.agg(*aggregates)
-    return found.select(F.explode(F.array(*[F.struct(F.lit(r).alias("replicate"), F.col(f"roc{r}").alias("roc_auc"), F.col(f"pr{r}").alias("pr_auc"))
-                                            for r in range(replicates)])).alias("x")).select("x.*")
+    counts = cut_lineage(rows.mapInArrow(_score_weights(replicates), "score double, p array<long>, q array<long>"))
+    n = counts.count()
+    bounds = range_boundaries(counts, F.col("score"), max(1, -(-n * replicates * 16 // BUCKET_BYTES)))
+    bucketed = with_range_bucket(counts, F.col("score"), bounds, descending=True)
+
+    def total(table: pa.Table) -> pa.Table:
+        sums = [_lists(_matrix(table.column(c), replicates).sum(axis=0)[None]) for c in "pq"]
+        return pa.table({"b": table.column("__bucket")[:1].cast(pa.int32()), "p": sums[0], "q": sums[1]})
+
+    found = bucketed.groupBy("__bucket").applyInArrow(total, "b int, p array<long>, q array<long>").collect()
+    ahead, totals = {}, np.zeros((2, replicates), np.int64)
+    for r in sorted(found, key=lambda r: r["b"]):
+        ahead[r["b"]] = totals.copy()
+        totals += np.array([r["p"], r["q"]])
+    sums = np.zeros((2, replicates))
+    for r in bucketed.groupBy("__bucket").applyInArrow(_curve_sums(replicates, ahead, totals), "roc array<double>, pr array<double>").collect():
+        sums += np.nan_to_num(np.array([r["roc"], r["pr"]]))
+    values = [(r, float(sums[0, r]) if totals[:, r].all() else None, float(sums[1, r]) if totals[0, r] else None) for r in range(replicates)]
+    return df.sparkSession.createDataFrame(values, "replicate int, roc_auc double, pr_auc double")
 
 
 def bootstrap_bounds(df: DataFrame, label: str, score: str, key: Sequence[str], replicates: int = 100, seed: int = 42, level: float = 0.95,
                      positive=1) -> DataFrame:
     """``metric, mean, std_error, lower, upper, replicates``: percentile bounds of ROC-AUC and PR-AUC over the replicates
     in which they exist (interpolated quantiles)."""
-    found = cut_lineage(bootstrap_replicates(df, label, score, key, replicates, seed, positive))
+    found = bootstrap_replicates(df, label, score, key, replicates, seed, positive)
     long = found.unpivot(["replicate"], ["roc_auc", "pr_auc"], "metric", "value")
     tail = (1 - level) / 2
     return long.groupBy("metric").agg(
