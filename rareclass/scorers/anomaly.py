@@ -9,7 +9,7 @@
   on the M4 feature map, minimised to a gradient tolerance by L-BFGS; every
   evaluation is one Spark job.
 * :class:`ReconstructionScorer`: linear autoencoder = PCA (Baldi & Hornik
-  1989); score = row mean squared reconstruction error (A21).
+  1989), by randomised subspace iteration; score = row mean squared reconstruction error (A21).
 
 Scores are "higher = more anomalous" (the reference negates
 ``decision_function``; the offset does not change any ranking metric).
@@ -23,7 +23,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from ..operators.order import broadcast_if_small, exact_quantile_values
 from ..session import cut_lineage
 from .lbfgs import minimise
+from .principal import principal_axes
 from .rows import Rows, array_rows, fewer_tasks, stored, summed_arrays, vector_width
 from .subtrees import NODE_BYTES, NODES, Draws, finish_subtrees
 from .supervised import SCORE, kernel_map
@@ -412,22 +413,26 @@ class ReconstructionModel:
         self.mean, self.scale, self.P = mean, scale, P
 
     def transform(self, df: DataFrame) -> DataFrame:
-        mean, scale, P = self.mean, self.scale, self.P
+        """``df`` with the score.  The axes are orthonormal, so a row's error is its square sum less that of its place on
+        them; both follow from the stored components."""
+        mean, width, shift = self.mean, len(self.mean), self.mean / self.scale
+        axes, centre, base = self.P / self.scale[:, None], shift @ self.P, float(shift @ shift)
+        inverse = 1.0 / self.scale ** 2
 
-        @F.pandas_udf(T.DoubleType())
-        def recon_error(v: pd.Series) -> pd.Series:
-            if len(v) == 0:
-                return pd.Series([], dtype="float64")
-            X = (np.stack([np.asarray(a, dtype=np.float64) for a in v.to_numpy()]) - mean) / scale
-            Xh = (X @ P) @ P.T
-            return pd.Series(((X - Xh) ** 2).mean(axis=1))
+        @F.arrow_udf("double")
+        def recon_error(column: pa.Array) -> pa.Array:
+            rows = Rows(column, width)
+            place = rows.dot(axes) - centre
+            square = rows.row_sums(lambda i, a: (a * a - 2 * a * mean[i]) * inverse[i]) + base
+            return pa.array(np.maximum(0.0, square - (place * place).sum(axis=1)) / width)
 
-        return df.withColumn(SCORE, recon_error(vector_to_array(F.col("features"))))
+        return df.withColumn(SCORE, recon_error(stored("features")))
 
 
 class ReconstructionScorer:
-    """M8: scale on the normal rows (population std), PCA(k = encoding_dim),
-    score = mean squared reconstruction error per row (A21)."""
+    """M8: scale on the normal rows (population std), the ``encoding_dim`` first principal axes, score = mean squared
+    reconstruction error per row (A21).  Fitting and scoring read the stored components of sparse rows only, and no
+    matrix of width x width is made, see :func:`principal_axes`."""
 
     def __init__(self, encoding_dim: int = 32):
         self.k = encoding_dim
@@ -436,30 +441,11 @@ class ReconstructionScorer:
         normals = train.where(F.col("label") == 0) if "label" in train.columns else train
         from pyspark.ml.stat import Summarizer
 
-        arr = vector_to_array(F.col("features"))
         row = normals.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("features")).alias("s")).first()["s"]
-        mean = row["mean"].toArray()
-        n = float(row["count"] or 1)
-        var_pop = row["variance"].toArray() * ((n - 1.0) / n if n > 1 else 0.0)  # population variance
-        d = len(mean)
-        scale = np.array([math.sqrt(v) if v > 1e-300 else 1.0 for v in var_pop])
-        ml = F.array(*[F.lit(float(v)) for v in mean])
-        sl = F.array(*[F.lit(float(v)) for v in scale])
-        scaled = normals.select(
-            array_to_vector(F.zip_with(F.zip_with(arr, ml, lambda a, b: a - b), sl, lambda a, b: a / b)).alias("x")
-        )
-        k = min(self.k, d)
-        # Principal axes of the standardised rows = eigenvectors of their
-        # correlation matrix: one distributed pass builds the d x d matrix
-        # (bounded by the feature count); a symmetric eigen-solver is robust to
-        # the rank deficiency one-hot blocks bring.  Constant columns have no
-        # correlation and get 0 off the diagonal.
-        from pyspark.ml.stat import Correlation
-
-        C = Correlation.corr(scaled, "x", "pearson").first()[0].toArray()
-        varies = np.isfinite(np.diag(C))  # constant columns: NaN correlation, zero variance
-        C = np.where(np.isfinite(C), C, 0.0)
-        np.fill_diagonal(C, np.where(varies, 1.0, 0.0))
-        vals, vecs = np.linalg.eigh((C + C.T) / 2.0)
-        P = vecs[:, np.argsort(vals)[::-1][:k]]  # d x k
-        return ReconstructionModel(mean, scale, P)
+        mean, n = row["mean"].toArray(), int(row["count"] or 1)
+        variance = row["variance"].toArray() * ((n - 1.0) / n if n > 1 else 0.0)  # population variance
+        scale = np.where(variance > 1e-300, np.sqrt(np.maximum(variance, 0.0)), 1.0)
+        kept = fewer_tasks(normals.select(stored("features").alias("u")).persist(), n, 8 * len(mean))
+        axes, _ = principal_axes(kept, kept.rdd.getNumPartitions(), n, mean, scale, min(self.k, len(mean)))
+        kept.unpersist()
+        return ReconstructionModel(mean, scale, axes)

@@ -62,11 +62,11 @@ class Rows:
         np.add.at(out, self.index, self.value[:, None] * weights[self.row])
         return out
 
-    def square_sums(self) -> np.ndarray:
-        """Each row's sum of squares."""
+    def row_sums(self, of) -> np.ndarray:
+        """Each row's sum of ``of(index, value)`` over its stored components; ``of`` must be 0 where the value is."""
         if self.X is not None:
-            return (self.X * self.X).sum(axis=1)
-        return np.bincount(self.row, weights=self.value * self.value, minlength=self.n)
+            return of(np.arange(self.width)[None], self.X).sum(axis=1)
+        return np.bincount(self.row, weights=of(self.index, self.value), minlength=self.n)
 
 
 # Numbers of partial sums that the driver adds up itself, and bytes of rows that a task should have at least.

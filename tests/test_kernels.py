@@ -47,7 +47,7 @@ def test_rows_of_any_kind(spark, sparse):
     w, W, s = np.arange(30.0), np.arange(90.0).reshape(30, 3), np.linspace(-1, 1, 50)
     assert np.allclose(rows.dot(w), X @ w) and np.allclose(rows.dot(W), X @ W)
     assert np.allclose(rows.weighted_sum(s), s @ X) and np.allclose(rows.weighted_sum(np.stack([s, 2 * s], 1)), X.T @ np.stack([s, 2 * s], 1))
-    assert np.allclose(rows.square_sums(), (X * X).sum(axis=1))
+    assert np.allclose(rows.row_sums(lambda i, a: a * a * i), (X * X) @ np.arange(30))
     df = frame(spark, X, sparse=sparse)
     assert {r["w"] for r in df.select(vector_width("features").alias("w")).collect()} == {30}
     assert gamma_value(df, "scale")[0] == pytest.approx(1 / (30 * X.var())) and gamma_value(df, "auto") == (1 / 30, 30)
