@@ -376,20 +376,22 @@ def q_tune(spark, sf_dir):
 
     f = product_features(spark, sf_dir, stratify=True).persist()
     trials, _ = search(_split(f, "train"), _split(f, "validation"), LogitScorer, RANGES["logit"], n_trials=5, parallelism=2)
-    return trials.select("trial", "params", rnd("roc_auc"), rnd("pr_auc"), rnd("f1"))
+    f.unpersist()
+    return trials.select("trial", "params", rnd("roc_auc"), rnd("pr_auc"), rnd("f1"), "is_best")
 
 
 def _tune_query(name: str):
     """M9 for one scorer: 5 seeded trials (2 at a time) over its ranges on the embeddings."""
 
     def run(spark, sf_dir):
-        from ..operators.tune import RANGES, search
+        from ..operators.tune import OBJECTIVES, RANGES, search
         from ..scorers import SCORERS
 
         f = embedding_features(spark, sf_dir).persist()
-        trials, _ = search(_split(f, "train"), _split(f, "validation"), SCORERS[name], RANGES[name], n_trials=5, parallelism=2)
+        trials, _ = search(_split(f, "train"), _split(f, "validation"), SCORERS[name], RANGES[name], n_trials=5, parallelism=2,
+                           metric=OBJECTIVES[name])
         f.unpersist()
-        return trials.select("trial", "params", rnd("roc_auc"), rnd("pr_auc"), rnd("f1"))
+        return trials.select("trial", "params", rnd("roc_auc"), rnd("pr_auc"), rnd("f1"), "is_best")
 
     return run
 
@@ -622,3 +624,15 @@ def q_delong_test(spark, sf_dir):
 
     return delong_test(_scored_docs(spark, sf_dir), "toxic", "score", "quality").select(
         *[rnd(c) for c in ["auc_a", "auc_b", "difference", "variance", "z", "p_value"]])
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf_dir):
+    """Importance of every embedding component for the reconstruction error's ROC-AUC on the held-out rows."""
+    from ..operators.importance import permutation_importance
+    from ..scorers import ReconstructionScorer
+
+    f = embedding_features(spark, sf_dir)
+    model = ReconstructionScorer(32).fit(_split(f, "train"))
+    found = permutation_importance(model, _split(f, "validation", "test").select("id", "label", "features"))
+    return found.select("feature", *[rnd(c) for c in ["baseline", "permuted", "importance"]])

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.tune import RANGES, compare, evaluate, fit_scorer, search
+from ..operators.tune import OBJECTIVES, RANGES, compare, evaluate, fit_scorer, search
 from ..scorers import SCORERS
 from ..sources.io import read_metrics, read_table, write_metrics, write_table
 from ..sources.models import save_model, write_comparison
@@ -43,9 +43,9 @@ def preprocessing_job(spark: SparkSession, transformed_path: str, out_path: str,
 
 
 def training_job(spark: SparkSession, split_path: str, out_dir: str, scorers: Sequence[str] = tuple(SCORERS),
-                 n_trials: int = 5, parallelism: int = 2, metric: str = "pr_auc", seed: int = 42) -> dict[str, str]:
-    """Per scorer: seeded search on train/validation (M9), refit with the best
-    draw, save (S11), evaluate on test (M10), write its metrics (S6).
+                 n_trials: int = 5, parallelism: int = 2, metric: str | None = None, seed: int = 42) -> dict[str, str]:
+    """Per scorer: seeded search on train/validation (M9) for ``metric`` (by
+    default the tuner's own objective), refit with the best draw, save (S11), evaluate on test (M10), write its metrics (S6).
     Returns ``{scorer: metrics path}``."""
     data = read_table(spark, split_path)
     train = data.where(F.col("split") == "train").persist()
@@ -55,7 +55,7 @@ def training_job(spark: SparkSession, split_path: str, out_dir: str, scorers: Se
     for name in scorers:
         cls = SCORERS[name]
         trials, best = search(train, valid, cls, RANGES.get(name, {}), n_trials=n_trials, parallelism=parallelism,
-                              metric=metric, seed=seed)
+                              metric=metric or OBJECTIVES.get(name, "roc_auc"), seed=seed)
         write_table(trials, os.path.join(out_dir, name, "trials"), fmt="json")
         model = fit_scorer(cls(**best), train)
         if name != "knn":  # the kNN "model" is its training table, already stored

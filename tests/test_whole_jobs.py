@@ -25,13 +25,13 @@ def no_data(monkeypatch):
 
 @pytest.mark.parametrize("name", ["forest", "boosted", "kernel_svm", "knn", "iforest", "one_class_svm", "recon_error"])
 def test_every_tuner_runs_five_trials(monkeypatch, no_data, name):
-    def search(train, validation, scorer, ranges, n_trials=5, parallelism=2):
-        raise Stop(scorer, n_trials, parallelism)
+    def search(train, validation, scorer, ranges, n_trials=5, parallelism=2, metric=None):
+        raise Stop(scorer, n_trials, parallelism, metric)
 
     monkeypatch.setattr(tune, "search", search)
     with pytest.raises(Stop) as got:
         C._tune_query(name)(None, None)
-    assert got.value.args == (SCORERS[name], 5, 2)
+    assert got.value.args == (SCORERS[name], 5, 2, "pr_auc" if name == "boosted" else "roc_auc")
 
 
 def test_compared_models_have_the_default_settings(monkeypatch, no_data):
