@@ -51,7 +51,7 @@ def shuffle_into_shards(df: DataFrame, n_shards: int, bytes_col: str, key: str =
     bucket fits in memory.  Pass 2 holds one bucket at a time, puts it in a fixed order, permutes it (``shuffle`` is a Fisher-Yates walk, seeded) and numbers it after the
     buckets before it.  The number of partitions is set by the buckets, so a lost task gives the same order again.
 
-    Bytes may be null (count 0).  A null key is a key like any other.  Repeated rows are dealt as rows.  Existing
+    Columns that hold maps go by the hash of their JSON instead of their values.  Bytes may be null (count 0).  A null key is a key like any other.  Repeated rows are dealt as rows.  Existing
     columns named ``shard``, ``slot`` or ``grown_shard`` are replaced.  An empty table gives an empty result.
     """
     df = drop_columns(df, ["shard", "slot", "grown_shard"])
@@ -60,9 +60,11 @@ def shuffle_into_shards(df: DataFrame, n_shards: int, bytes_col: str, key: str =
     shard = shard_of(id_, n_shards, seed)
     totals = {r["s"]: r["b"] for r in df.select(shard.alias("s"), (size + 64).alias("b")).groupBy("s").agg(F.sum("b").alias("b")).collect()}
     per_shard = [max(1, -(-totals.get(s, 0) // bucket_bytes)) for s in range(n_shards)]
-    rows = _numbered(df.select(F.struct(*cols).alias("row"), id_.alias("id"), F.xxhash64(*cols).alias("hash"), (size + 64).alias("size")), bucket_bytes // 16)
+    loose = [f.name for f in df.schema if "map<" in f.dataType.simpleString()]  # neither hashed nor ordered by Spark
+    hashed = [F.to_json(F.struct(c)) if name in loose else c for name, c in zip(df.columns, cols)]
+    rows = _numbered(df.select(F.struct(*cols).alias("row"), id_.alias("id"), F.xxhash64(*hashed).alias("hash"), (size + 64).alias("size")), bucket_bytes // 16)
     placed = rows.select(
-        "row", "id", shard_of(F.col("id"), n_shards, seed).alias("shard"), shard_of(F.col("id"), n_shards + 1, seed).alias("grown_shard"),
+        "row", "id", "hash", "copy", shard_of(F.col("id"), n_shards, seed).alias("shard"), shard_of(F.col("id"), n_shards + 1, seed).alias("grown_shard"),
         F.xxhash64("id", "hash", "copy", F.lit(seed + 1)).alias("place"),
     ).withColumn("bucket", F.pmod("place", F.element_at(F.array(*[F.lit(n) for n in per_shard]), F.col("shard") + 1)).cast("int")).drop("place")
     n_buckets = sum(per_shard)
@@ -71,9 +73,17 @@ def shuffle_into_shards(df: DataFrame, n_shards: int, bytes_col: str, key: str =
         F.col("shard").alias("s"), F.col("bucket").alias("b"),
         F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"),
     ))
+    if loose:
+        def order(a, b):
+            left, right = (F.struct(x["id"], x["hash"], x["copy"]) for x in (a, b))
+            return F.when(left < right, -1).when(left > right, 1).otherwise(0)
+
+        fixed = F.array_sort(F.collect_list(F.struct("id", "grown_shard", "row", "hash", "copy")), order)
+    else:
+        fixed = F.sort_array(F.collect_list(F.struct("id", "grown_shard", "row")))
     buckets = (
         placed.repartition(n_buckets, "shard", "bucket")
-        .groupBy("shard", "bucket").agg(F.sort_array(F.collect_list(F.struct("id", "grown_shard", "row"))).alias("rows"))
+        .groupBy("shard", "bucket").agg(fixed.alias("rows"))
         .sortWithinPartitions("shard", "bucket")
         .select("shard", "bucket", F.shuffle("rows", seed).alias("rows"))
         .select("shard", "bucket", F.posexplode("rows").alias("at", "rec"))

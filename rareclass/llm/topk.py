@@ -21,12 +21,13 @@ BLOCK_ROWS = 8192
 
 
 def integer_vectors(table: DataFrame, scale: float = 256.0, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``vec_id, v``: components floor(scale * x).  Rows without an id, and vectors that are null, empty or hold null or
-    non-finite components, take no part; of rows with one id the smallest vector does."""
+    """``vec_id, v, row``: components floor(scale * x) and a number of each row's own, written once.  Rows without an id,
+    and vectors that are null, empty or hold null or non-finite components, take no part."""
     base = rename_clashes(table, [key, vector]).toDF("vec_id", "x").withColumn("x", F.col("x").cast("array<double>"))
     fine = F.forall("x", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     ints = F.transform("x", lambda e: F.floor(F.lit(float(scale)) * e).cast("long"))
-    return base.where(F.col("vec_id").isNotNull() & (F.size("x") > 0) & fine).groupBy("vec_id").agg(F.min(ints).alias("v"))
+    kept = base.where(F.col("vec_id").isNotNull() & (F.size("x") > 0) & fine)
+    return cut_lineage(kept.select("vec_id", ints.alias("v"), F.monotonically_increasing_id().alias("row")))
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -67,7 +68,7 @@ class Lifted:
 
 
 class Best:
-    """The k best ``(score, id)`` of a query so far, ties to the smaller id."""
+    """The k best ``(score, id)`` of a query so far, ties to the smaller id; an id may stand for several rows."""
 
     def __init__(self, k: int):
         self.k, self.scores, self.ids = k, np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -95,9 +96,9 @@ def _products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return rows @ query
 
 
-def search_block(best: Best, query_id: int, query: np.ndarray, to_pivots: np.ndarray, rows: np.ndarray, ids: np.ndarray,
-                 table: np.ndarray, radius2: float) -> int:
-    """Adds a block to a query's best; returns how many candidates were evaluated.
+def search_block(best: Best, query_row: int, query: np.ndarray, to_pivots: np.ndarray, rows: np.ndarray, ids: np.ndarray,
+                 numbers: np.ndarray, table: np.ndarray, radius2: float) -> int:
+    """Adds a block to a query's best, but for the query's own row; returns how many candidates were evaluated.
 
     The largest difference of the distances to a pivot bounds the distance from below, and with it the inner product
     from above.  Candidates are evaluated in order of that bound, a growing number at a time; once the bound falls
@@ -107,7 +108,7 @@ def search_block(best: Best, query_id: int, query: np.ndarray, to_pivots: np.nda
     low = np.abs(table - to_pivots).max(axis=1)
     slack = 1e-3 + 1e-9 * (q2 + radius2)  # rounding of the distances; scores are whole numbers
     bound = (q2 + radius2 - low * low) / 2 + slack
-    left = np.flatnonzero((bound >= best.floor()) & (ids != query_id))
+    left = np.flatnonzero((bound >= best.floor()) & (numbers != query_row))
     step, done = 256, 0
     while len(left):
         if len(left) > 2 * step:
@@ -122,22 +123,22 @@ def search_block(best: Best, query_id: int, query: np.ndarray, to_pivots: np.nda
     return done
 
 
-def _searcher(query_ids: np.ndarray, queries: np.ndarray, space: Lifted, dim: int, k: int):
+def _searcher(query_rows: np.ndarray, queries: np.ndarray, space: Lifted, dim: int, k: int):
     q = queries.astype(np.float64)
     q_dist = space.distances(np.hstack([q, np.zeros((len(q), 1))]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = [Best(k) for _ in query_ids]
+        best = [Best(k) for _ in query_rows]
         for batch in batches:
             for at in range(0, len(batch), BLOCK_ROWS):
                 part = batch.iloc[at:at + BLOCK_ROWS]
                 rows = _matrix(part["v"].tolist(), dim)
                 table = np.array(part["d"].tolist(), np.float64).reshape(len(rows), -1)
-                ids = part["vec_id"].to_numpy(np.int64)
-                for b, i, vector, dist in zip(best, query_ids.tolist(), queries, q_dist):
-                    search_block(b, i, vector, dist, rows, ids, table, space.radius2)
-        found = [(i, v, s) for b, i in zip(best, query_ids.tolist()) for v, s in zip(b.ids.tolist(), b.scores.tolist())]
-        yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"], dtype="int64")
+                ids, numbers = part["vec_id"].to_numpy(np.int64), part["row"].to_numpy(np.int64)
+                for b, i, vector, dist in zip(best, query_rows.tolist(), queries, q_dist):
+                    search_block(b, i, vector, dist, rows, ids, numbers, table, space.radius2)
+        found = [(i, v, s) for b, i in zip(best, query_rows.tolist()) for v, s in zip(b.ids.tolist(), b.scores.tolist())]
+        yield pd.DataFrame(found, columns=["query_row", "vec_id", "score"], dtype="int64")
 
     return run
 
@@ -149,34 +150,39 @@ def top_products(table: DataFrame, is_query: Column, k: int = 5, scale: float =
     ``is_query`` is a condition on ``vec_id``.  A pivot table - each row's distances to the pivots, in the space where
     the nearest neighbour is the largest product - is written once.  Queries go out in chunks of at most ``query_bytes``;
     in each pass every task scans its share of the table for all queries of the chunk and returns k rows a query, which
-    one grouped ranking merges.  Vectors that null, NaN or infinite components spoil take no part; shorter vectors count
-    as filled up with zeros; of rows with one id the smallest vector stands; ties go to the smaller id; with fewer than
-    k other rows all are returned; an empty table or no query gives no row; other columns are not read.
+    one grouped ranking merges into a checkpoint, so the driver and the plan hold one chunk at a time.  Vectors that null,
+    NaN or infinite components spoil take no part; shorter vectors count as filled up with zeros.  Rows that share an id
+    are queries and candidates of their own: each has its k rows under that ``query_id``, and only the very row that asks
+    is left out.  Ties go to the smaller id; with fewer than k other rows all are returned; an empty table or no query
+    gives no row; other columns are not read.
     """
     spark = table.sparkSession
-    vectors = cut_lineage(integer_vectors(table, scale, key, vector))
+    vectors = integer_vectors(table, scale, key, vector)
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     facts = vectors.agg(F.max(F.size("v")).alias("dim"), F.max(norm).alias("r2")).first()
-    result = "query_id long, vec_id long, score long"
-    found = spark.createDataFrame([], result)
-    if facts["dim"]:
-        dim = int(facts["dim"])
-        picked = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()
-        space = Lifted(float(facts["r2"]), choose_pivots(_matrix([r["v"] for r in picked], dim), pivots))
-
-        @F.pandas_udf("array<double>")
-        def to_pivots(v: pd.Series) -> pd.Series:
-            return pd.Series(list(space.distances(space.lift(_matrix(v.tolist(), dim).astype(np.float64)))))
-
-        pivot_table = cut_lineage(vectors.select("vec_id", "v", to_pivots("v").alias("d")).repartition(shuffle_partitions(spark), "vec_id"))
-        asking = vectors.where(is_query)
-        n = asking.count()
-        passes = max(1, -(-n * (dim + pivots) * 8 // query_bytes)) if n else 0
-        for p in range(passes):
-            chunk = asking.where(F.pmod(F.xxhash64("vec_id"), F.lit(passes)) == p).collect()
-            ids = np.array([r["vec_id"] for r in chunk], np.int64)
-            if len(ids):
-                search = _searcher(ids, _matrix([r["v"] for r in chunk], dim), space, dim, k)
-                found = found.unionByName(pivot_table.mapInPandas(search, result))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    result = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    if not facts["dim"]:
+        return result
+    dim = int(facts["dim"])
+    picked = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "row").limit(PIVOT_SAMPLE).collect()
+    space = Lifted(float(facts["r2"]), choose_pivots(_matrix([r["v"] for r in picked], dim), pivots))
+
+    @F.pandas_udf("array<double>")
+    def to_pivots(v: pd.Series) -> pd.Series:
+        return pd.Series(list(space.distances(space.lift(_matrix(v.tolist(), dim).astype(np.float64)))))
+
+    pivot_table = cut_lineage(vectors.select("vec_id", "v", "row", to_pivots("v").alias("d")).repartition(shuffle_partitions(spark), "row"))
+    asking = vectors.where(is_query)
+    n = asking.count()
+    passes = -(-n * (dim + pivots) * 8 // query_bytes)
+    place = F.row_number().over(Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id"))
+    for p in range(passes):
+        chunk = asking.where(F.pmod(F.xxhash64("row"), F.lit(passes)) == p).collect()
+        if not chunk:
+            continue
+        rows = np.array([r["row"] for r in chunk], np.int64)
+        search = _searcher(rows, _matrix([r["v"] for r in chunk], dim), space, dim, k)
+        ranked = pivot_table.mapInPandas(search, "query_row long, vec_id long, score long").withColumn("rank", place).where(F.col("rank") <= k)
+        named = spark.createDataFrame([(r["row"], r["vec_id"]) for r in chunk], "query_row long, query_id long")
+        result = result.unionByName(cut_lineage(ranked.join(F.broadcast(named), "query_row").select("query_id", "rank", "vec_id", "score")))
+    return result

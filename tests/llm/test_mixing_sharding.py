@@ -151,3 +151,17 @@ def test_digest_and_written_shards(spark, tmp_path):
     sharding.write_shards(out, str(tmp_path / "s"))
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == out.count() and back.select("shard").distinct().count() == 3
+
+
+def test_map_columns(spark):
+    """Maps can be neither hashed nor ordered; rows that hold them are still dealt, alike in every run."""
+    docs = llm_data.docs(spark, seed=6).select("doc_id", "text", F.octet_length("text").alias("bytes")).withColumn(
+        "tags", F.when(F.col("doc_id") % 3 != 0, F.create_map(F.lit("k"), F.col("text"), F.lit("n"), F.col("doc_id").cast("string"))))
+    docs = docs.withColumn("deep", F.array(F.struct(F.col("tags").alias("t"))))
+    for bucket_bytes in (sharding.BUCKET_BYTES, 200):
+        rows = sharding.shuffle_into_shards(docs, 5, "bytes", bucket_bytes=bucket_bytes).collect()
+        again = sharding.shuffle_into_shards(docs.repartition(5), 5, "bytes", bucket_bytes=bucket_bytes).collect()
+        key = lambda r: (r["shard"], r["slot"], str(r["doc_id"]), str(r["text"]), str(r["tags"]))
+        assert sorted(map(key, rows)) == sorted(map(key, again))
+        assert Counter((r["doc_id"], r["text"], str(r["tags"])) for r in rows) == Counter((r["doc_id"], r["text"], str(r["tags"])) for r in docs.collect())
+        check_laws(rows, 5)

@@ -11,16 +11,11 @@ SCHEMA = "vec_id long, embedding array<double>, score string"
 
 
 def brute(rows, k=5, scale=256):
-    ok = {}
-    for i, v, *_ in rows:
-        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        u = [math.floor(scale * x) for x in v]
-        ok[i] = min(ok.get(i, u), u)
+    ok = [(i, [math.floor(scale * x) for x in v]) for i, v, *_ in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in ok:
+    for at, (q, u) in enumerate(ok):
         if q % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(ok[q], ok[c])), c) for c in ok if c != q)[:k]
+            scores = sorted((-sum(a * b for a, b in zip(u, w)), c) for j, (c, w) in enumerate(ok) if j != at)[:k]
             out += [(q, r, c, -s) for r, (s, c) in enumerate(scores, 1)]
     return sorted(out)
 
@@ -30,7 +25,7 @@ def vectors(n, dim, seed=1):
     rows = [(i, [rng.gauss(0, 0.3) for _ in range(dim)], "x") for i in range(n)]
     rows += [(n + i, rows[0][1], "x") for i in range(40)]  # many ties
     rows += [(1000, None, "x"), (1001, [], "x"), (1050, [None] * dim, "x"), (1100, [float("nan")] * dim, "x"), (1150, [float("inf")] + [0.0] * (dim - 1), "x"),
-             (None, [1.0] * dim, "x"), (1200, [0.5] * (dim // 2), "x"), (1250, [0.0] * dim, "x"), rows[50], (7, [-9.0] * dim, "x")]
+             (None, [1.0] * dim, "x"), (1200, [0.5] * (dim // 2), "x"), (1250, [0.0] * dim, "x"), rows[50], rows[50], (100, [2.0] * dim, "x"), (7, [-9.0] * dim, "x")]
     return rows
 
 
@@ -60,7 +55,7 @@ def test_bounds_spare_candidates_and_lose_none():
     for q in range(20):
         best = K.Best(5)
         own = np.hstack([rows[q].astype(float), [0.0]])[None]
-        done = K.search_block(best, q, rows[q], space.distances(own)[0], rows, np.arange(4000), table, radius2)
+        done = K.search_block(best, q, rows[q], space.distances(own)[0], rows, np.arange(4000), np.arange(4000), table, radius2)
         scores = rows @ rows[q]
         scores[q] = -10 ** 15
         want = np.lexsort((np.arange(4000), -scores))[:5]
