@@ -33,7 +33,7 @@ from ..session import cut_lineage
 from .lbfgs import minimise
 from .principal import principal_axes
 from .rows import Rows, array_rows, fewer_tasks, stored, summed_arrays, vector_width
-from .subtrees import NODE_BYTES, NODES, Draws, finish_subtrees
+from .subtrees import NODE_BYTES, NODES, Draws, finish_subtrees, grow_trees
 from .supervised import SCORE, kernel_map
 
 EULER = 0.5772156649015329
@@ -312,7 +312,9 @@ class IsolationForestScorer:
                 break
         waiting = cur.select("__x", F.posexplode("nodes").alias("t", "node")).where("node < 0")
         pending = int(cur.agg(F.sum(F.size(F.filter("nodes", lambda x: x < 0)))).first()[0] or 0)
-        if pending:
+        if n <= local and n:
+            grown.append(grow_trees(cur.select(F.col("__x").alias("x"), "nodes"), self.T, d, draws, depth))
+        elif pending:
             parked = waiting.select(F.col("__x").alias("x"), "t", (-F.col("node")).alias("node"))
             grown.append(finish_subtrees(parked, pending, d, draws, depth))
         if held is not None:

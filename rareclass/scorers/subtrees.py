@@ -122,21 +122,43 @@ def grow(X: np.ndarray, at: np.ndarray, tree: np.ndarray, node: np.ndarray, draw
 NODES = "t int, node long, n long, f int, v double, level int"
 
 
+def _node_rows(X: np.ndarray, at: np.ndarray, tree: np.ndarray, node: np.ndarray, draws: Draws, depth: int) -> pa.Table:
+    levels = grow(X, at, tree, node, draws, depth)
+    t, k, n, f, v = (np.concatenate(c) for c in zip(*levels)) if levels else (np.zeros(0, np.int64),) * 5
+    level, leaf = np.frexp(k.astype(np.float64))[1] - 1, f < 0
+    return pa.table({"t": pa.array(t, pa.int32()), "node": pa.array(k, pa.int64()), "n": pa.array(n, pa.int64()), "f": pa.array(f, pa.int32(), mask=leaf),
+                     "v": pa.array(v, pa.float64(), mask=leaf), "level": pa.array(level, pa.int32())})
+
+
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def grow_trees(records: DataFrame, trees: int, d: int, draws: Draws, depth: int) -> DataFrame:
+    """Node rows of all trees of ``records(x, nodes)``, which fit a task: tasks take a share of the trees each, and a record
+    goes to a task once for all of its trees."""
+    share = -(-trees // min(trees, max(1, records.sparkSession.sparkContext.defaultParallelism)))
+    starts = list(range(0, trees, share))
+
+    def run(table: pa.Table) -> pa.Table:
+        X = _matrix(table.column("x"), d)
+        nodes = _matrix(table.column("own"), len(table.column("own")[0]))
+        at, tree = np.nonzero(nodes)  # 0: not in the tree's sample
+        return _node_rows(X, at, tree + starts[table.column("g")[0].as_py()], np.ones(len(at), np.int64), draws, depth)
+
+    dealt = records.select("x", F.posexplode(F.array(*[F.slice("nodes", s + 1, share) for s in starts])).alias("g", "own"))
+    return cut_lineage(dealt.groupBy("g").applyInArrow(run, NODES))
+
+
 def finish_subtrees(parked: DataFrame, rows: int, d: int, draws: Draws, depth: int, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Node rows of all subtrees below the nodes of ``parked(t, node, x)``: one shuffle brings the rows of a group of
     nodes into a task, which grows them to the end.  Groups hold ``task_bytes`` on average, by a hash of the node."""
     groups = max(1, -(-rows * d * 8 // task_bytes), min(rows // 4096, int(parked.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
     def run(table: pa.Table) -> pa.Table:
-        X = table.column("x").combine_chunks()
-        X = X.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+        X = _matrix(table.column("x"), d)
         tree, node = (table.column(c).to_numpy().astype(np.int64) for c in ("t", "node"))
-        levels = grow(X, np.arange(len(X)), tree, node, draws, depth)
-        t, k, n, f, v = (np.concatenate(c) for c in zip(*levels))
-        level = np.frexp(k.astype(np.float64))[1] - 1
-        leaf = f < 0
-        return pa.table({"t": pa.array(t, pa.int32()), "node": pa.array(k), "n": pa.array(n), "f": pa.array(f, pa.int32(), mask=leaf),
-                         "v": pa.array(v, mask=leaf), "level": pa.array(level, pa.int32())})
+        return _node_rows(X, np.arange(len(X)), tree, node, draws, depth)
 
     grouped = parked.withColumn("g", F.pmod(F.xxhash64("t", "node"), F.lit(groups))).groupBy("g")
     return cut_lineage(grouped.applyInArrow(run, NODES))
