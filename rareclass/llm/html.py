@@ -24,18 +24,25 @@ NOISE_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside widget widgets rail footer foot masthead topbar "
     "toolbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup "
     "login share sharing social related recommended recommendations comment comments commentlist disqus respond replies reply "
-    "pagination pager search copyright legal header skip hidden".split())
+    "pagination pager search copyright legal header skip hidden teasers".split())
 GOOD_WORDS = frozenset("article articlebody post entry content story main body text page".split())
 # Words for what is never a page's text, however long, unless a good word stands beside them; replies only if other text is left.
 NOTICE_WORDS = frozenset("cookie cookies consent gdpr notice notices alert popup modal overlay".split())
 REPLY_WORDS = frozenset("comment comments commentlist disqus respond replies reply".split())
+# Inside an article a class counts as noise only if these words, and good ones, are all that stands beside the noise word.
+BOX_WORDS = frozenset(
+    "area bar block box button buttons container inner item items link links list module outer panel posts results section slot "
+    "unit wrap wrapper".split())
+# What an article's own header says about the article, other than its text.
+BYLINE_WORDS = frozenset("author authors byline category categories date dateline meta metadata tag tags time timestamp".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # A start tag closes these open elements first, up to the scope that follows.
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
           "td": ("td th", "tr table"), "th": ("td th", "tr table")}
 
-# Winning paths that a host keeps in order of votes; a page that has none of them uses its own best container.
-PATHS_PER_HOST = 8
+# A path wins on a host if it has this share of the host's votes (so 256 paths at most); a page that has no winning path uses its
+# own best container.
+VOTE_SHARE = 1 / 256
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
@@ -57,6 +64,7 @@ class Page:
     def __init__(self, source: str):
         self.parent, self.tag, self.label, self.noise, self.classed = [-1], ["html"], ["html"], [False], [False]
         self.words: list[set[str]] = [set()]
+        self.in_article, self.header = [False], [False]
         self.blocks: list[tuple[int, str, int]] = []
         self._text: list[str] = []
         self._linked = 0
@@ -130,6 +138,7 @@ class Page:
 
     def _element(self, name: str, rest: str, parent: int) -> int:
         noise, classed, label, words = name in NOISE_TAGS, False, name, set()
+        within, header = self.in_article[parent], name == "header"
         if rest:
             got = {(k or bare).lower(): unescape(a or b or c or "") for k, a, b, c, bare in _ATTR.findall(rest)}
             classes = got.get("class", "")
@@ -137,6 +146,12 @@ class Page:
                 label += "." + _DIGITS.sub("#", ".".join(classes.lower().split()))
             words = {w.lower() for w in _CLASS_WORD.findall(f"{classes} {got.get('id', '')}")}
             classed = bool(words & NOISE_WORDS)
+            if within and classed:
+                names = [{w.lower() for w in _CLASS_WORD.findall(c)} for c in (*classes.split(), got.get("id", ""))]
+                known = NOISE_WORDS | BOX_WORDS | GOOD_WORDS
+                telling = [n & NOISE_WORDS for n in names if n <= known and n & NOISE_WORDS]
+                classed = any(n != {"header"} for n in telling)
+                header = header or (bool(telling) and not classed)
             noise = noise or got.get("role", "").lower() in NOISE_ROLES or "hidden" in got or got.get("aria-hidden") == "true" \
                 or bool(_HIDDEN.search(got.get("style", "")))
         self.parent.append(parent)
@@ -145,6 +160,8 @@ class Page:
         self.noise.append(noise)
         self.words.append(words)
         self.classed.append(classed and name not in ("html", "body", "main"))
+        self.in_article.append(within or name in ("article", "main"))
+        self.header.append(self.header[parent] or header)
         return len(self.tag) - 1
 
     def _add(self, text: str, links: int) -> None:
@@ -161,21 +178,15 @@ class Page:
 
     def _settle(self) -> None:
         """Spreads noise downwards.  A class word alone does not condemn what holds an article or most of the page's plain
-        text; of a page header only headings inside an article stay."""
+        text; of a header only headings and paragraphs inside an article stay."""
         holds = [False] * len(self.tag)
         for e in range(len(self.tag) - 1, 0, -1):
             if holds[e] or self.tag[e] == "main" or (self.tag[e] == "article" and not self.classed[e]):
                 holds[self.parent[e]] = True
-        in_article = [False] * len(self.tag)
-        header = [False] * len(self.tag)
-        for e in range(1, len(self.tag)):
-            p = self.parent[e]
-            in_article[e] = in_article[p] or self.tag[e] in ("article", "main")
-            header[e] = header[p] or self.tag[e] == "header"
         own, blocks = self.noise, self.blocks
         for always, share in ((NOTICE_WORDS | REPLY_WORDS, 0.5), (NOTICE_WORDS, 0.5), (NOTICE_WORDS, 0.0)):
             self.noise = self._spread(own, holds, blocks, always, share)
-            self.blocks = [b for b in blocks if self._kept(b[0], in_article, header)]
+            self.blocks = [b for b in blocks if self._kept(b[0])]
             if any(len(text) > linked for _, text, linked in self.blocks):
                 break
 
@@ -197,14 +208,20 @@ class Page:
             noise[e] = noise[self.parent[e]] or noise[e] or (self.classed[e] and not holds[e] and plain[e] <= share * plain[0])
         return noise
 
-    def _kept(self, e: int, in_article: list[bool], header: list[bool]) -> bool:
+    def _kept(self, e: int) -> bool:
         if self.noise[e]:
             return False
-        if not header[e]:
+        if not self.header[e]:
             return True
         while e and self.tag[e] in INLINE:
             e = self.parent[e]
-        return in_article[e] and self.tag[e] in HEADINGS
+        if not self.in_article[e] or not (self.tag[e] in HEADINGS or self.tag[e] in ("p", "blockquote")):
+            return False
+        while self.header[e]:
+            if self.words[e] & BYLINE_WORDS:
+                return False
+            e = self.parent[e]
+        return True
 
     def path(self, e: int) -> str:
         """Tags and generalised classes from the root to the element."""
@@ -245,16 +262,63 @@ class Page:
         return {p: s for p, s in out.items() if s > 0}
 
     def text_under(self, path: str) -> str:
-        """The blocks inside all containers of that path, in page order."""
+        """The blocks inside all containers of that path, and what belongs to them, in page order.
+
+        Text beside the containers belongs to them unless a class word marks it or most of it is links.  It is looked for
+        in the whole page, for an article in the main element around it, and not at all if a class word marks the
+        container.  An article without a first heading takes those outside any article.  A body that is a container itself
+        gives its blocks by the same rule.
+        """
         # parents come first; ``done`` counts the characters of ``path`` that the element's own path is, -1 if it is no start of it
-        done, inside = [-1] * len(self.tag), [False] * len(self.tag)
-        for e in range(len(self.tag)):
+        n = len(self.tag)
+        done, inside = [-1] * n, [False] * n
+        for e in range(n):
             p, label = self.parent[e], self.label[e] if e == 0 else f"/{self.label[e]}"
             at = 0 if e == 0 else done[p]
             if at >= 0 and path.startswith(label, at):
                 done[e] = at + len(label)
-            inside[e] = (e > 0 and inside[p]) or done[e] == len(path)
-        return "\n".join(t for e, t, _ in self.blocks if inside[e])
+            inside[e] = (e > 0 and inside[p]) or (done[e] == len(path) and self.tag[e] not in ("html", "body"))
+        chosen = [e for e in range(n) if done[e] == len(path) and not self.noise[e]]
+        if all(self.classed[e] for e in chosen):
+            return "\n".join(t for e, t, _ in self.blocks if inside[e])
+        article = any(self.in_article[e] for e in chosen)
+        around = [False] * n  # holds a container
+        for e in chosen:
+            while e >= 0 and not around[e]:
+                around[e], e = True, self.parent[e]
+        main, marked, side = [False] * n, [False] * n, list(range(n))
+        for e in range(1, n):
+            p = self.parent[e]
+            main[e] = main[p] or (self.tag[e] == "main" and around[e])
+            if not around[e]:
+                marked[e] = marked[p] or self.classed[e]
+                side[e] = e if around[p] else side[p]
+        size: dict[int, list[int]] = {}
+        for e, text, linked in self.blocks:
+            if not around[e]:
+                both = size.setdefault(side[e], [0, 0])
+                both[0] += len(text)
+                both[1] += min(linked, len(text))
+        titled = any(inside[e] and "h1" in self._line(e) for e, _, _ in self.blocks)
+
+        def belongs(e: int, text: str, linked: int) -> bool:
+            if inside[e]:
+                return True
+            if marked[e] or (article and not main[e] and (titled or self.in_article[e] or "h1" not in self._line(e))):
+                return False
+            line = self._line(e)[-1]
+            chars, links = (len(text), linked) if around[e] else size[side[e]]
+            return 2 * links < chars or (e != 0 and line in ("p", "blockquote", *HEADINGS) and around[self.parent[side[e]]] and self.tag[side[e]] == line)
+
+        return "\n".join(t for e, t, linked in self.blocks if belongs(e, t, linked))
+
+    def _line(self, e: int) -> list[str]:
+        """The tags from inline markup up to the block's own element."""
+        tags = [self.tag[e]]
+        while e and self.tag[e] in INLINE:
+            e = self.parent[e]
+            tags.append(self.tag[e])
+        return tags
 
 
 def page_votes(source: str | None) -> list[tuple[str, float]]:
@@ -299,9 +363,11 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html
 
     ballots = base.select(host.alias("host"), F.explode(votes("html")).alias("v")).select("host", "v.*")
     counted = ballots.groupBy("host", "path").agg(F.round(F.sum("share"), 6).alias("votes"))
+    totals = counted.groupBy("host").agg(F.sum("votes").alias("host_votes")).withColumnRenamed("host", "all_of")
+    elected = counted.join(totals, F.col("host") == F.col("all_of")).where(F.col("votes") >= F.col("host_votes") * VOTE_SHARE)
     place = F.row_number().over(Window.partitionBy("host").orderBy(F.col("votes").desc(), "path"))
     winners = cut_lineage(
-        counted.withColumn("place", place).where(F.col("place") <= PATHS_PER_HOST)
+        elected.withColumn("place", place)
         .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "path", "votes"))).alias("w"))
         .select(F.col("host").alias("won_host"), F.col("w.path").alias("paths"), F.col("w.votes").alias("path_votes"))
     )
