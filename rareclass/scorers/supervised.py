@@ -1,4 +1,4 @@
-"""Supervised rare-class scorers (M1-M4) on MLlib - fit and scoring run on executors.
+"""Supervised rare-class scorers (M1-M4), on MLlib but for the boosted trees - fit and scoring run on executors.
 
 Common contract: ``Scorer(**params).fit(train)`` -> model with
 ``transform(df) -> df + score`` (higher = more likely positive).  Input frames
@@ -12,7 +12,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..operators.metrics import counted_class_weights
 from ..operators.order import broadcast_if_small
+from .boosting import BoostedModel, fit_boosted
 from .rows import stored, vector_width
 from .sketch import TensorSketch
 
@@ -101,22 +102,16 @@ class ForestScorer:
 
 
 class BoostedScorer:
-    """M3: gradient-boosted trees; positives weighted by ``scale_pos_weight``;
-    ``min_child_weight`` approximated by ``minWeightFractionPerNode``."""
+    """M3: second-order boosted trees (:mod:`boosting`); positives weigh ``scale_pos_weight``, a child's Hessians add up to
+    ``min_child_weight`` at least.  Every row and component takes part, so there is no draw: ``seed`` changes nothing."""
 
     def __init__(self, eta: float = 0.01, min_child_weight: float = 5, max_depth: int = 5, num_round: int = 250,
-                 scale_pos_weight: float = 10, seed: int = 42):
-        self.eta, self.mcw, self.depth, self.rounds, self.spw, self.seed = (
-            eta, min_child_weight, max_depth, num_round, scale_pos_weight, seed)
+                 scale_pos_weight: float = 10, seed: int = 42, reg_lambda: float = 1.0, max_bins: int = 256):
+        self.eta, self.mcw, self.depth, self.rounds, self.spw, self.seed, self.reg_lambda, self.max_bins = (
+            eta, min_child_weight, max_depth, num_round, scale_pos_weight, seed, reg_lambda, max_bins)
 
-    def fit(self, train: DataFrame) -> _Fitted:
-        df = train.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(self.spw))).otherwise(F.lit(1.0)))
-        wsum = df.agg(F.sum("weight").alias("w")).first()["w"] or 1.0
-        gbt = GBTClassifier(
-            stepSize=self.eta, maxDepth=self.depth, maxIter=self.rounds, weightCol="weight", seed=self.seed,
-            minWeightFractionPerNode=min(0.49, float(self.mcw) / float(wsum)),
-        )
-        return _Fitted(gbt.fit(df), positive_probability)
+    def fit(self, train: DataFrame) -> BoostedModel:
+        return fit_boosted(train, self.eta, self.mcw, self.depth, self.rounds, self.spw, self.reg_lambda, self.max_bins)
 
 
 def gamma_value(train: DataFrame, gamma: str | float, features: str = "features") -> tuple[float, int]:

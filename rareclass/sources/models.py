@@ -12,7 +12,6 @@ import os
 
 import numpy as np
 from pyspark.ml.classification import (
-    GBTClassificationModel,
     LinearSVCModel,
     LogisticRegressionModel,
     RandomForestClassificationModel,
@@ -22,12 +21,12 @@ from pyspark.sql import functions as F
 
 from ..operators.features import FeatureModel
 from ..scorers.anomaly import IsolationForestModel, OneClassSVMModel, ReconstructionModel
+from ..scorers.boosting import BoostedModel
 from ..scorers.supervised import KernelMap, KernelSVMModel, _Fitted
 
 _MLLIB = {
     "LogisticRegressionModel": LogisticRegressionModel,
     "RandomForestClassificationModel": RandomForestClassificationModel,
-    "GBTClassificationModel": GBTClassificationModel,
 }
 
 
@@ -52,6 +51,9 @@ def save_model(model, path: str, spark: SparkSession | None = None) -> None:
     elif isinstance(model, _Fitted):
         model.model.write().overwrite().save(os.path.join(path, "mllib"))
         _write_meta(spark, path, {"kind": "mllib", "cls": type(model.model).__name__})
+    elif isinstance(model, BoostedModel):
+        model.frame(spark).write.mode("overwrite").parquet(os.path.join(path, "trees"))
+        _write_meta(spark, path, {"kind": "boosted"})
     elif isinstance(model, KernelSVMModel):
         model.svc.write().overwrite().save(os.path.join(path, "svc"))
         _write_meta(spark, path, {"kind": "kernel_svm", "map": model.fmap.spec(), "coef": model.coef, "icpt": model.icpt})
@@ -83,6 +85,8 @@ def load_model(spark: SparkSession, path: str):
         return FeatureModel(**meta, tables=tables)
     if kind == "mllib":
         return _Fitted(_MLLIB[meta["cls"]].load(os.path.join(path, "mllib")))
+    if kind == "boosted":
+        return BoostedModel.from_frame(spark.read.parquet(os.path.join(path, "trees")))
     if kind == "kernel_svm":
         svc = LinearSVCModel.load(os.path.join(path, "svc"))
         return KernelSVMModel(svc, KernelMap.from_spec(meta["map"]), meta["coef"], meta["icpt"])
