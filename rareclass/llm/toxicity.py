@@ -25,8 +25,9 @@ REPORTED = ("said", "says", "called", "quoted", "wrote", "allegedly", "reported"
 
 # Most labelled documents that fit the lexicon and the weights (a hash-ordered sample beyond it).
 FIT_ROWS = 20_000
-# Words after a negation that it reaches.
+# Words after a negation that it reaches, and words between a target and what aims at it, at most.
 NEGATION_REACH = 3
+TARGET_REACH = 8
 
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
 _WORD = re.compile(r"\w+(?:'\w+)?")
@@ -36,31 +37,52 @@ _AT = {p: i for i, p in enumerate(PATTERNS)}
 
 
 class Transducer:
-    """A deterministic letter transducer: ``(state, symbol) -> (state, symbol)``; missing arcs copy the symbol."""
+    """A deterministic weighted transducer: ``(state, symbol) -> (state, symbol, weight)``; missing arcs copy the symbol and
+    weigh nothing.  Weights add up along a path."""
 
     def __init__(self, start, arcs: dict):
-        self.start, self.arcs = start, arcs
+        self.start, self.arcs = start, {k: arc if len(arc) == 3 else (*arc, 0.0) for k, arc in arcs.items()}
+
+    def weighted_step(self, state, symbol):
+        return self.arcs.get((state, symbol), (state, symbol, 0.0))
 
     def step(self, state, symbol):
-        return self.arcs.get((state, symbol), (state, symbol))
+        return self.weighted_step(state, symbol)[:2]
 
 
 class Composed(Transducer):
-    """The second transducer reads what the first writes; arcs of the product are made when first met."""
+    """The second transducer reads what the first writes; arcs of the product are made when first met, at most one for each
+    state and known symbol."""
 
     def __init__(self, first: Transducer, second: Transducer):
         super().__init__((first.start, second.start), {})
         self.first, self.second = first, second
 
-    def step(self, state, symbol):
+    def weighted_step(self, state, symbol):
         arc = self.arcs.get((state, symbol))
         if arc is None:
-            a, middle = self.first.step(state[0], symbol)
-            b, out = self.second.step(state[1], middle)
-            arc = self.arcs[state, symbol] = ((a, b), out)
+            a, middle, x = self.first.weighted_step(state[0], symbol)
+            b, out, y = self.second.weighted_step(state[1], middle)
+            arc = self.arcs[state, symbol] = ((a, b), out, x + y)
         return arc
 
 
+def insult(words: tuple[tuple[str, float], ...]) -> Transducer:
+    """Reads a learned insult as I, with its weight."""
+    return Transducer(0, {(0, w): (0, "I", x) for w, x in words})
+
+
+def threat() -> Transducer:
+    """Reads a form of a threatening verb as T."""
+    return Transducer(0, {(0, w): (0, "T", 1.0) for w in threat_forms()})
+
+
+def threat_forms() -> tuple[str, ...]:
+    """The listed verbs, English ones also with their regular endings."""
+    english = THREATS[:THREATS.index("töten")]
+    return THREATS + tuple(w + end for w in english for end in ("s", "ed", "ing"))
+
+
 def negation(reach: int = NEGATION_REACH) -> Transducer:
     """After N, the insult or threat within ``reach`` words is marked negated."""
     arcs = {}
@@ -82,73 +104,83 @@ def reported() -> Transducer:
     return Transducer(0, arcs)
 
 
-def target() -> Transducer:
-    """A clause that names a target before the match aims it (a target after it is seen by the clause's second walk)."""
-    arcs = {(0, "Y"): (1, "o"), (1, "Y"): (1, "o")}
-    for s in "IT":
-        for n in (0, 1):
-            for r in (0, 1):
-                arcs[1, (s, 0, n, r)] = (1, (s, 1, n, r))
+def target(reach: int = TARGET_REACH) -> Transducer:
+    """A target aims the matches within ``reach`` symbols after it.  A second walk, from the clause's end, does the same for
+    targets after a match."""
+    arcs = {}
+    for left in range(reach + 1):
+        arcs[left, "Y"] = (reach, "Y")
+        arcs[left, "o"] = (max(0, left - 1), "o")
+        for s in "IT":
+            for t in (0, 1):
+                for n in (0, 1):
+                    for r in (0, 1):
+                        arcs[left, (s, t, n, r)] = (max(0, left - 1), (s, int(t or left > 0), n, r))
     return Transducer(0, arcs)
 
 
 @lru_cache(maxsize=4)
-def grammar() -> Transducer:
-    return Composed(Composed(negation(), reported()), target())
+def grammar(insults: tuple[tuple[str, float], ...] = ()) -> tuple[Transducer, Transducer]:
+    """The five transducers composed, for the walk through a clause, and the one for the walk back."""
+    machine = insult(insults)
+    for following in (threat(), negation(), reported(), target()):
+        machine = Composed(machine, following)
+    return machine, target()
+
+
+def clause_paths(symbols: list, insults: tuple[tuple[str, float], ...] = ()) -> list[tuple[tuple, float]]:
+    """``(pattern, weight)`` of the matches that the composed grammar finds in a clause, in order.  Symbols are words of the
+    lexicon, class marks, and ``o`` for any other word."""
+    machine, back = grammar(insults)
+    line, state = [], machine.start
+    for s in symbols:
+        state, out, x = machine.weighted_step(state, s)
+        line.append((out, x))
+    found, state = [], back.start
+    for out, x in reversed(line):
+        state, out = back.step(state, out)
+        if isinstance(out, tuple):
+            found.append((out, x))
+    return found[::-1]
 
 
 def clause_matches(symbols: list) -> list[tuple]:
-    """Patterns that the composed grammar finds in a clause of symbols."""
-    machine, found = grammar(), []
-    state = machine.start
-    for s in symbols:
-        state, out = machine.step(state, s)
-        if isinstance(out, tuple):
-            found.append(out)
-    if "Y" in symbols:  # a target anywhere in the clause aims its matches
-        found = [(k, 1, n, r) for k, _, n, r in found]
-    return found
+    """The patterns alone."""
+    return [pattern for pattern, _ in clause_paths(symbols)]
 
 
 @lru_cache(maxsize=4)
 def _lexicon(insults: tuple[tuple[str, float], ...]):
-    classes = {w: ("T", 1.0) for w in THREATS}
-    classes |= {w: ("Y", 0.0) for w in TARGETS} | {w: ("N", 0.0) for w in NEGATIONS} | {w: ("R", 0.0) for w in REPORTED}
-    classes |= {w: ("I", x) for w, x in insults}
+    """The symbol of every known word, and a finder of those that can match."""
+    symbols = {w: w for w in threat_forms()}
+    symbols |= {w: "Y" for w in TARGETS} | {w: "N" for w in NEGATIONS} | {w: "R" for w in REPORTED}
+    symbols |= {w: w for w, _ in insults}
     finder = ahocorasick.Automaton()
-    for w, (c, _) in classes.items():
-        if c in "IT":
+    for w, s in symbols.items():
+        if s == w:
             finder.add_word(w, w)
     finder.make_automaton()
-    return classes, finder
+    return symbols, finder
 
 
 def features(text: str | None, insults: tuple[tuple[str, float], ...]) -> np.ndarray:
-    """Weight of the matched clauses by pattern (log scale), over the whole text.
+    """Weight of the matched clauses by pattern (log scale), over the whole text, in time linear in its length.
 
     Aho-Corasick finds insults and threats as whole words; the clause around each is read by the composed grammar; a
-    match weighs what its word does.
+    match weighs what its path does.
     """
-    classes, finder = _lexicon(insults)
+    known, finder = _lexicon(insults)
     low, total = (text or "").lower(), np.zeros(len(PATTERNS))
-    done = -1
+    done = 0
     for end, word in finder.iter(low):
         at = end - len(word) + 1
         if at < done or (at and (low[at - 1].isalnum() or low[at - 1] == "_")) or (end + 1 < len(low) and (low[end + 1].isalnum() or low[end + 1] == "_")):
             continue
-        head = 0
-        for mark in ".!?;:\n":
-            head = max(head, low.rfind(mark, 0, at) + 1)
+        head = max(low.rfind(mark, done, at) + 1 for mark in ".!?;:\n")
         tail = m.start() if (m := _CLAUSE_END.search(low, end + 1)) else len(low)
+        symbols = [known.get(t, "o") for t in _WORD.findall(low, max(head, done), tail)]
         done = tail
-        tokens = _WORD.findall(low, head, tail)
-        symbols, weights = [], []
-        for t in tokens:
-            c, x = classes.get(t, ("o", 0.0))
-            symbols.append(c)
-            if c in "IT":
-                weights.append(x)
-        for pattern, x in zip(clause_matches(symbols), weights):
+        for pattern, x in clause_paths(symbols, insults):
             total[_AT[pattern]] += x
     return np.log1p(total)
 
@@ -157,7 +189,8 @@ def learn_insults(train: DataFrame, min_docs: int = 4, margin: float = 8.0) -> t
     """Words that mark label 1, with weights from 0 to 1 (capped log odds), from ``train(text, label)``.
 
     Spark counts, per word, the texts of either label that hold it; a word counts as an insult if its likelihood ratio
-    beats what the best of as many words would reach by chance, by ``margin``.  Equal texts count once.
+    beats what the best of as many words would reach by chance, by ``margin``; nothing else bounds their number.  Equal
+    texts count once.
     """
     texts = train.groupBy(F.xxhash64("text").alias("h"), "label").agg(F.first("text").alias("text"))
     base = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -173,7 +206,7 @@ def learn_insults(train: DataFrame, min_docs: int = 4, margin: float = 8.0) -> t
     ratio = 2 * (plogp(t, n * p) + plogp(c, n * (1 - p)))
     odds = F.log((t + 0.5) / (n1 + 1.0)) - F.log((c + 0.5) / (n0 + 1.0))
     kept = counts.where((t >= min_docs) & (odds > 2.0) & (ratio > 2 * math.log(max(2, vocabulary)) + margin))
-    best = kept.select("w", F.least(F.lit(1.0), odds / 5).alias("x")).orderBy(ratio.desc(), "w").limit(5_000)  # size of the model
+    best = kept.select("w", F.least(F.lit(1.0), odds / 5).alias("x"))
     return tuple(sorted((r["w"], round(r["x"], 6)) for r in best.collect()))
 
 
@@ -224,10 +257,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
     At most about ``fit_rows`` of them (all if fewer; else those with the smallest hash of the id), whole texts.  Only
     the pattern weights of these rows - 16 numbers a row - reach the driver.  Rows with a null id, text or label teach
-    nothing.  With no label of either kind, every text gets the share of label 1.
+    nothing; an id with several labels has the more frequent one (label 1 if equal).  With no label of either kind, every text gets the share of label 1.
     """
     names = labels.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
-    names = names.where("doc_id is not null and label is not null").where(~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
+    names = names.where("doc_id is not null and label is not null").where(~held_out(F.col("doc_id")))
+    names = names.groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
     n = names.count()
     if n > fit_rows:
         names = names.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * fit_rows / n))

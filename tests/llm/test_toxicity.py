@@ -46,6 +46,51 @@ def test_composition_equals_one_after_the_other():
         assert T.clause_matches(symbols) == want
 
 
+def paths_by_hand(tokens, insults):
+    """The patterns and weights of a clause, read off its words without any machine."""
+    out, kinds = [], []
+    for t in tokens:
+        kinds.append("I" if t in insults else "T" if t in T.threat_forms() else "Y" if t in T.TARGETS else "N" if t in T.NEGATIONS
+                     else "R" if t in T.REPORTED else "o")
+    for i, k in enumerate(kinds):
+        if k in "IT":
+            aimed = "Y" in kinds[max(0, i - T.TARGET_REACH):i + T.TARGET_REACH + 1]
+            out.append(((k, int(aimed), int("N" in kinds[max(0, i - T.NEGATION_REACH):i]), int("R" in kinds[:i])), insults.get(tokens[i], 1.0)))
+    return out
+
+
+def test_paths_against_plain_reading():
+    rng = random.Random(2)
+    words = ["moron", "scum", "kill", "murdering", "you", "never", "said", "tree", "house"]
+    known = T._lexicon(INSULTS)[0]
+    for _ in range(500):
+        tokens = [rng.choice(words + ["and"] * 12) for _ in range(rng.randint(0, 30))]
+        assert T.clause_paths([known.get(t, "o") for t in tokens], INSULTS) == paths_by_hand(tokens, dict(INSULTS))
+
+
+def test_every_transducer_has_an_effect():
+    assert pattern("he will be killing you") == {("T", 1, 0, 0): 1.0} and pattern("kill time") == {("T", 0, 0, 0): 1.0}
+    far = "you " + "walk " * T.TARGET_REACH + "past a moron"
+    assert pattern(far) == {("I", 0, 0, 0): 1.0} and pattern("you " + "walk " * (T.TARGET_REACH - 1) + "moron") == {("I", 1, 0, 0): 1.0}
+    assert pattern("a moron " + "walks " * T.TARGET_REACH + "past you") == {("I", 0, 0, 0): 1.0}
+
+
+def test_long_texts_take_linear_time():
+    text = "a moron walks by, " * 200_000  # one clause
+    assert pattern(text) == {("I", 0, 0, 0): 200_000.0}
+    assert pattern("word " * 400_000 + "moron. " * 100_000) == {("I", 0, 0, 0): 100_000.0}
+
+
+def test_conflicting_labels(spark):
+    docs, labels = labelled(spark)
+    known = labels.where("toxic is not null")
+    model = T.fit_toxicity(docs, labels)
+    # every label three times, and once the other way round
+    mixed = known.union(known).union(known).union(known.selectExpr("doc_id", "1 - toxic"))
+    again = T.fit_toxicity(docs, mixed)
+    assert again.insults == model.insults and again.weights == model.weights
+
+
 def labelled(spark, n=600):
     rng = random.Random(3)
     rows, labels = [], []
