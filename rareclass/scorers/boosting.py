@@ -109,11 +109,12 @@ class Batch:
         self.row = np.repeat(np.arange(len(y)), counts)
         self.of = bins.feature[cells]
         self.weight = np.where(y == 1, positive_weight, 1.0)
+        self._tree, self._at, self._slopes = None, None, None
 
     def walk(self, tree: Tree) -> np.ndarray:
-        """The node of every row."""
+        """The node of every row; from where it stood if the same tree has grown."""
         feature, cell, missing_left, left = (np.array(a) for a in (tree.feature, tree.cell, tree.missing_left, tree.left))
-        at = np.zeros(len(self.y), np.int64)
+        at = self._at if self._tree is tree else np.zeros(len(self.y), np.int64)
         while (go := feature[at] >= 0).any():
             f = feature[at]
             mine = self.bins.zero[f]
@@ -121,26 +122,34 @@ class Batch:
             mine[self.row[hit]] = self.cells[hit]
             lefts = np.where(mine == self.bins.missing[f], missing_left[at], mine <= cell[at])
             at = np.where(go, left[at] + ~lefts, at)
+        self._tree, self._at = tree, at
         return at
 
     def add(self, tree: Tree) -> None:
-        self.margin = self.margin + np.array(tree.value)[self.walk(tree)]
+        self.margin, self._slopes = self.margin + np.array(tree.value)[self.walk(tree)], None
+
+    def slopes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Gradient, Hessian, and the loss with the weight summed over the rows."""
+        if self._slopes is None:
+            p = 1 / (1 + np.exp(-self.margin))
+            loss = np.logaddexp(0.0, np.where(self.y == 1, -self.margin, self.margin))
+            self._slopes = (self.weight * (p - self.y), self.weight * np.maximum(p * (1 - p), 1e-16),
+                            np.array([(self.weight * loss).sum(), self.weight.sum()]))
+        return self._slopes
 
     def sums(self, tree: Tree, nodes: list[int]) -> np.ndarray:
         """Gradient and Hessian by (node, cell), by node, and the loss with the weight, in one array."""
-        p = 1 / (1 + np.exp(-self.margin))
-        g, h = self.weight * (p - self.y), self.weight * np.maximum(p * (1 - p), 1e-16)
+        g, h, loss = self.slopes()
         place = np.full(len(tree.left), -1)
         place[nodes] = np.arange(len(nodes))
         slot = place[self.walk(tree)]
         used = slot >= 0
-        there = used[self.row]
-        key, c = slot[self.row[there]] * self.bins.cells + self.cells[there], len(nodes) * self.bins.cells
-        loss = np.logaddexp(0.0, np.where(self.y == 1, -self.margin, self.margin))
+        row, cells = (self.row, self.cells) if used.all() else (self.row[there := used[self.row]], self.cells[there])
+        key, c = slot[row] * self.bins.cells + cells, len(nodes) * self.bins.cells
         return np.concatenate([
-            np.bincount(key, g[self.row[there]], c), np.bincount(key, h[self.row[there]], c),
+            np.bincount(key, g[row], c), np.bincount(key, h[row], c),
             np.bincount(slot[used], g[used], len(nodes)), np.bincount(slot[used], h[used], len(nodes)),
-            [(self.weight * loss).sum(), self.weight.sum()]])
+            loss])
 
 
 def best_splits(bins: Bins, sums: np.ndarray, nodes: int, reg_lambda: float, min_child_weight: float) -> list[tuple]:
@@ -153,7 +162,7 @@ def best_splits(bins: Bins, sums: np.ndarray, nodes: int, reg_lambda: float, min
     hist = np.stack([sums[:c].reshape(nodes, -1), sums[c:2 * c].reshape(nodes, -1)])
     total = sums[2 * c:2 * c + 2 * nodes].reshape(2, nodes)
     hist[:, :, bins.zero] += total[:, :, None] - np.add.reduceat(hist, bins.start[:-1], axis=2)  # rows that store no cell hold zero
-    gone = hist[:, :, bins.missing][:, :, bins.feature]
+    missing = hist[:, :, bins.missing]
     run = np.cumsum(hist, axis=2)
     run -= (run - hist)[:, :, bins.start[:-1]][:, :, bins.feature]
     is_missing = np.zeros(bins.cells, bool)
@@ -170,8 +179,14 @@ def best_splits(bins: Bins, sums: np.ndarray, nodes: int, reg_lambda: float, min
         return np.where(fits & ~is_missing & np.isfinite(gain), gain, -np.inf)
 
     # behind the last bin only missing values stand: a split there needs some
-    to_right, to_left = gains(run), np.where(last, -np.inf, gains(run + gone))
-    to_right = np.where(last & (gone[1] <= 0), -np.inf, to_right)
+    to_right = gains(run)
+    if missing.any():
+        gone = missing[:, :, bins.feature]
+        to_left = np.where(last, -np.inf, gains(run + gone))
+        to_right = np.where(last & (gone[1] <= 0), -np.inf, to_right)
+    else:
+        gone = np.zeros((2, nodes, 1))
+        to_left = to_right = np.where(last, -np.inf, to_right)
     best = np.maximum(to_right, to_left)
     out = []
     for k in range(nodes):
