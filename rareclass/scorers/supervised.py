@@ -1,4 +1,4 @@
-"""Supervised rare-class scorers (M1-M4), on MLlib but for the boosted trees - fit and scoring run on executors.
+"""Supervised rare-class scorers (M1-M4), on MLlib but for the trees - fit and scoring run on executors.
 
 Common contract: ``Scorer(**params).fit(train)`` -> model with
 ``transform(df) -> df + score`` (higher = more likely positive).  Input frames
@@ -12,7 +12,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from ..operators.metrics import counted_class_weights
 from ..operators.order import broadcast_if_small
 from .boosting import BoostedModel, fit_boosted
+from .forest import ForestModel, fit_forest
 from .rows import stored, vector_width
 from .sketch import TensorSketch
 
@@ -83,22 +84,17 @@ class LogitScorer:
 
 
 class ForestScorer:
-    """M2: random forest.  ``max_depth=None`` maps to Spark's maximum (30);
-    ``min_samples_split`` has no exact equal and is approximated by
-    ``minInstancesPerNode = max(leaf, ceil(split / 2))``."""
+    """M2: random forest (:mod:`forest`).  ``max_depth=None`` grows until leaves are pure; a node of fewer than
+    ``min_samples_split`` rows is a leaf; ``class_weight`` is ``balanced`` (over the table), ``balanced_subsample`` (over each
+    tree's sample) or None."""
 
     def __init__(self, n_estimators: int = 100, max_depth: int | None = None, min_samples_split: int = 2,
-                 min_samples_leaf: int = 1, class_weight: str | None = "balanced", seed: int = 42):
-        self.n, self.depth, self.split, self.leaf, self.cw, self.seed = (
-            n_estimators, max_depth, min_samples_split, min_samples_leaf, class_weight, seed)
+                 min_samples_leaf: int = 1, class_weight: str | None = "balanced", seed: int = 42, max_bins: int = 256):
+        self.n, self.depth, self.split, self.leaf, self.cw, self.seed, self.max_bins = (
+            n_estimators, max_depth, min_samples_split, min_samples_leaf, class_weight, seed, max_bins)
 
-    def fit(self, train: DataFrame) -> _Fitted:
-        df, _ = weighted(train, self.cw)
-        rf = RandomForestClassifier(
-            numTrees=self.n, maxDepth=min(30, self.depth) if self.depth else 30,
-            minInstancesPerNode=max(self.leaf, math.ceil(self.split / 2)), weightCol="weight", seed=self.seed,
-        )
-        return _Fitted(rf.fit(df), positive_probability)
+    def fit(self, train: DataFrame) -> ForestModel:
+        return fit_forest(train, self.n, self.depth, self.split, self.leaf, self.cw, self.seed, self.max_bins)
 
 
 class BoostedScorer:

@@ -14,7 +14,6 @@ import numpy as np
 from pyspark.ml.classification import (
     LinearSVCModel,
     LogisticRegressionModel,
-    RandomForestClassificationModel,
 )
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +21,11 @@ from pyspark.sql import functions as F
 from ..operators.features import FeatureModel
 from ..scorers.anomaly import IsolationForestModel, OneClassSVMModel, ReconstructionModel
 from ..scorers.boosting import BoostedModel
+from ..scorers.forest import ForestModel
 from ..scorers.supervised import KernelMap, KernelSVMModel, _Fitted
 
 _MLLIB = {
     "LogisticRegressionModel": LogisticRegressionModel,
-    "RandomForestClassificationModel": RandomForestClassificationModel,
 }
 
 
@@ -54,6 +53,9 @@ def save_model(model, path: str, spark: SparkSession | None = None) -> None:
     elif isinstance(model, BoostedModel):
         model.frame(spark).write.mode("overwrite").parquet(os.path.join(path, "trees"))
         _write_meta(spark, path, {"kind": "boosted"})
+    elif isinstance(model, ForestModel):
+        model.frame(spark).write.mode("overwrite").parquet(os.path.join(path, "trees"))
+        _write_meta(spark, path, {"kind": "forest"})
     elif isinstance(model, KernelSVMModel):
         model.svc.write().overwrite().save(os.path.join(path, "svc"))
         _write_meta(spark, path, {"kind": "kernel_svm", "map": model.fmap.spec(), "coef": model.coef, "icpt": model.icpt})
@@ -87,6 +89,8 @@ def load_model(spark: SparkSession, path: str):
         return _Fitted(_MLLIB[meta["cls"]].load(os.path.join(path, "mllib")))
     if kind == "boosted":
         return BoostedModel.from_frame(spark.read.parquet(os.path.join(path, "trees")))
+    if kind == "forest":
+        return ForestModel.from_frame(spark.read.parquet(os.path.join(path, "trees")))
     if kind == "kernel_svm":
         svc = LinearSVCModel.load(os.path.join(path, "svc"))
         return KernelSVMModel(svc, KernelMap.from_spec(meta["map"]), meta["coef"], meta["icpt"])
