@@ -16,6 +16,8 @@ from .common import cut_lineage, rename_clashes
 WINDOW = 13
 # ... of which at least this share agree.
 SIMILARITY = 0.8
+# An item of fewer words is no passage: it overlaps only a document of exactly these words.
+PASSAGE_WORDS = 5
 # A 1 compares the word at that place, a 0 ignores it. One of the two hits any 13 words with 2 replaced at most.
 MASKS = ("11101011", "11001111")
 # Benchmark text handled in one pass; a larger benchmark takes several passes over the documents.
@@ -44,8 +46,12 @@ class SeedIndex:
         self.items = [(i, w) for i, t in items if (w := words_of(t))]
         self.ids = {w: n for n, w in enumerate(sorted({w for _, ws in self.items for w in ws}))}
         self.coded = [np.array([self.ids[w] for w in ws], np.int64) for _, ws in self.items]
+        self.short: dict[tuple[str, ...], list[int]] = {}
         tables: dict[str, list[tuple[np.ndarray, int]]] = {}
         for n, code in enumerate(self.coded):
+            if len(code) < PASSAGE_WORDS:
+                self.short.setdefault(tuple(self.items[n][1]), []).append(n)
+                continue
             for mask in masks_for(len(code)):
                 tables.setdefault(mask, []).append((self._seeds(code, mask)[0], n))
         self.tables = {}
@@ -121,6 +127,10 @@ class SeedIndex:
                 old = best.get((doc, n))
                 if old is None or (found[0], -found[2]) > (old[0], -old[2]):
                     best[doc, n] = found
+        for doc, words in enumerate(split):
+            if len(words) < PASSAGE_WORDS:
+                for n in self.short.get(tuple(words), ()):
+                    best[doc, n] = len(words), len(words), 0
         out: list[list[dict]] = [[] for _ in texts]
         for (doc, n), (matched, window, start) in sorted(best.items()):
             out[doc].append({"item_id": self.items[n][0], "start": start, "window": window, "matched": matched})
@@ -147,6 +157,16 @@ def benchmark_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "t
         yield sorted((r["item_id"], r["text"]) for r in rows.collect())
 
 
+def short_items(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """``item_id, words`` of the items that are too short to be looked for inside a document."""
+    @F.pandas_udf("int")
+    def words(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(words_of(t)) for t in texts], dtype="int32")
+
+    base = rename_clashes(benchmark, [item, text]).toDF("item_id", "text").where("item_id is not null")
+    return base.select("item_id", words("text").alias("words")).where((F.col("words") > 0) & (F.col("words") < PASSAGE_WORDS))
+
+
 def overlap_columns(benchmark: DataFrame, text: Column, block_bytes: int = BLOCK_BYTES) -> list[Column]:
     """For each block of the benchmark, a column with the overlaps of ``text``."""
     return [_hits_udf(items)(text) for items in benchmark_blocks(benchmark, block_bytes=block_bytes) if items]
@@ -159,8 +179,8 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
     Fixed masks ignore chosen word places; seeds of the documents meet equal seeds of the items in a hash lookup (the
     items, at most ``block_bytes`` of them at a time, are at every task), which gives an item and how it lies on the
     text.  The words are then compared place by place, and the best stretch of 13 words (whole shorter items) counts as
-    an overlap if 80 % agree: replaced words, cut passages and changed case or punctuation do not hide it.  Clean
-    documents give no row.  Null and empty texts and items overlap nothing; items that repeat under different ids each
+    an overlap if 80 % agree: replaced words, cut passages and changed case or punctuation do not hide it.  An item of
+    fewer than five words overlaps only documents of exactly its words; :func:`short_items` lists them.  Clean documents give no row.  Null and empty texts and items overlap nothing; items that repeat under different ids each
     count; repeated documents give repeated rows; an empty table on either side gives no row; other columns are not read.
     """
     base = rename_clashes(docs, [key, text]).toDF("doc_id", "text")

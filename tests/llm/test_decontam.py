@@ -21,7 +21,9 @@ def brute(texts, items):
         words = D.words_of(text)
         for item, body in items:
             own = D.words_of(body)
-            if not own:
+            if len(own) < D.PASSAGE_WORDS:
+                if own and own == words:
+                    out.append((t, item, len(own)))
                 continue
             best, window = 0, min(D.WINDOW, len(own))
             for shift in range(-len(own), len(words)):
@@ -39,7 +41,8 @@ def passage(rng, n):
 def test_overlaps_against_brute_force():
     rng = random.Random(5)
     items = [(i, " ".join(passage(rng, n))) for i, n in enumerate([30, 13, 12, 9, 6, 4, 40, 1])] + [(20, ""), (21, "...")]
-    texts = ["", None, "a b c"]
+    items += [(22, "the"), (23, "The!"), (24, "four words of it")]
+    texts = ["", None, "a b c", "the", "of the people", "Four words, of it.", "four words of it all"]
     for i, body in items[:7]:
         w = body.split()
         for changed in range(0, 5):
@@ -68,3 +71,11 @@ def test_documents_and_blocks(spark):
     assert D.benchmark_overlaps(docs, bench.limit(0)).count() == 0
     assert D.drop_contaminated(docs, bench.limit(0)).count() == docs.count()
     assert D.benchmark_overlaps(llm_data.empty(spark), bench).count() == 0
+
+
+def test_a_short_item_is_not_looked_for_inside_documents(spark):
+    docs = spark.createDataFrame([(1, "the words of the people"), (2, "The."), (3, "it is so"), (4, "of the people by the people")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "the"), (2, "is so"), (3, "of the people by the"), (4, None), (5, "")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in D.benchmark_overlaps(docs, bench).collect()) == [(2, 1), (4, 3)]
+    assert sorted(r["doc_id"] for r in D.drop_contaminated(docs, bench).collect()) == [1, 3]
+    assert {r["item_id"]: r["words"] for r in D.short_items(bench).collect()} == {1: 1, 2: 2}
