@@ -329,7 +329,7 @@ def fit_forest(train: DataFrame, n_estimators: int, max_depth: int | None, min_s
             mine = range(key[0].as_py(), n_estimators, shares)
             return finished((Growing(t, _seed(seed, t)), 0, _sample(b, t, bins)) for t in mine)
 
-        spread = rows.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+        spread = rows.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))).repartitionByRange(shares, "share")  # few bytes, much work: a task a share
         parts = cut_lineage(spread.groupBy("share").applyInArrow(share, PART))
         tops = [_part(t, -1, bins) for t in trees]
     else:
@@ -366,7 +366,8 @@ def fit_forest(train: DataFrame, n_estimators: int, max_depth: int | None, min_s
             return finished(iter([(Growing(t, node_seed, depth, w), node, sample)]))
 
         moved = rows.mapInArrow(sent, "tree int, node int, y tinyint, drawn long, distinct long, cells array<int>")
-        parts = cut_lineage(moved.groupBy("tree", "node").applyInArrow(subtree, PART))
+        tasks = max(shuffle_partitions(spark), int(counted["n"] * row_bytes * n_estimators // (8 * max(task_bytes, 1 << 20))))
+        parts = cut_lineage(moved.repartition(tasks, "tree", "node").groupBy("tree", "node").applyInArrow(subtree, PART))
     return ForestModel(tops, parts, _sizes(parts), n_estimators)
 
 
