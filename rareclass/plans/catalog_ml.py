@@ -332,6 +332,21 @@ def q_boosted(spark, sf_dir):
     return _fit_score(BoostedScorer(), _split(f, "train"), _split(f, "validation"))
 
 
+@query("tree_attribution")
+def q_tree_attribution(spark, sf_dir):
+    """Which features speak for the rare class: exact Shapley values of the forest for every validation row, the training split
+    as background; a row per product and feature that its trees ask for, with the score that they add up to."""
+    from ..scorers import ForestScorer
+    from ..scorers.attribution import tree_attribution
+
+    f = product_features(spark, sf_dir).persist()
+    train = _split(f, "train")
+    model = ForestScorer().fit(train)
+    out = tree_attribution(model, model.transform(_split(f, "validation")), train)
+    return out.select("id", "score", "base", F.explode("attribution").alias("e")).select(
+        "id", rnd("score"), rnd("base"), "e.feature", rnd(F.col("e.value"), "attribution"))
+
+
 @query("svm")
 def q_svm(spark, sf_dir):
     """M4: RBF-kernel SVM (random Fourier features + Platt), validation scores."""

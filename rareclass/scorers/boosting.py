@@ -332,6 +332,17 @@ def _row(i: int, tree: Tree | None, loss: float, bins: Bins) -> dict:
             "value": tree.value, "loss": float(loss)}
 
 
+def leaves(tree: tuple, x: np.ndarray) -> np.ndarray:
+    """The leaf of every row of ``x``."""
+    place, inner, threshold, missing_left, left, _ = tree
+    at = np.zeros(len(x), np.int64)
+    while (go := inner[at]).any():
+        v = x[np.arange(len(x)), place[at]]
+        lefts = np.where(np.isnan(v), missing_left[at], v < threshold[at])
+        at = np.where(go, left[at] + ~lefts, at)
+    return at
+
+
 class BoostedModel:
     """Trees with thresholds on the components' own scale: a value below the threshold goes left."""
 
@@ -352,12 +363,14 @@ class BoostedModel:
         rows = sorted((r.asDict() for r in table.collect()), key=lambda r: r["tree"])
         return cls([r for r in rows if r["feature"] is not None], [r["loss"] for r in rows if r["loss"] is not None])
 
-    def margins(self, rows: Rows) -> np.ndarray:
+    def used(self) -> np.ndarray:
+        """The components that the trees ask for; the first one if they ask for none."""
         used = np.unique(np.concatenate([[0]] + [np.array(t["feature"]) for t in self.trees]))
-        used = used[used >= 0]
-        trees = [(np.searchsorted(used, t["feature"]) * (np.array(t["feature"]) >= 0), np.array(t["feature"]) >= 0, np.array(t["threshold"]),
-                  np.array(t["missing_left"], bool), np.array(t["left"]), np.array(t["value"])) for t in self.trees]
-        out, step = np.zeros(rows.n), max(1, MATRIX_NUMBERS // len(used))
+        return used[used >= 0]
+
+    def blocks(self, rows: Rows, used: np.ndarray, numbers: int = MATRIX_NUMBERS) -> Iterator[tuple[int, int, np.ndarray]]:
+        """The used components of some rows at a time, as ``first row, end, matrix``."""
+        step = max(1, numbers // len(used))
         if rows.X is None:
             row, index, value = rows.triples()
             kept = np.isin(index, used)
@@ -369,13 +382,19 @@ class BoostedModel:
             else:
                 x, here = np.zeros((b - a, len(used))), (row >= a) & (row < b)
                 x[row[here] - a, index[here]] = value[here]
-            for place, inner, threshold, missing_left, left, leaf in trees:
-                at = np.zeros(b - a, np.int64)
-                while (go := inner[at]).any():
-                    v = x[np.arange(b - a), place[at]]
-                    lefts = np.where(np.isnan(v), missing_left[at], v < threshold[at])
-                    at = np.where(go, left[at] + ~lefts, at)
-                out[a:b] += leaf[at]
+            yield a, b, x
+
+    def arrays(self, used: np.ndarray) -> list[tuple]:
+        """Per tree: place among the used components, inner node, threshold, missing left, left child, value."""
+        return [(np.searchsorted(used, t["feature"]) * (np.array(t["feature"]) >= 0), np.array(t["feature"]) >= 0, np.array(t["threshold"]),
+                 np.array(t["missing_left"], bool), np.array(t["left"]), np.array(t["value"])) for t in self.trees]
+
+    def margins(self, rows: Rows) -> np.ndarray:
+        used = self.used()
+        trees, out = self.arrays(used), np.zeros(rows.n)
+        for a, b, x in self.blocks(rows, used):
+            for tree in trees:
+                out[a:b] += tree[-1][leaves(tree, x)]
         return out
 
     def transform(self, df: DataFrame) -> DataFrame:
