@@ -161,3 +161,27 @@ def test_awkward_tables(spark, tmp_path):
     assert BoostedScorer(0.3, 1, 3, 4).fit(gaps).trees
     one_class = BoostedScorer(0.3, 1, 3, 4).fit(frame(spark, rows, [0] * 40))
     assert max(scores(one_class, df)) < 0.5
+
+
+def test_rows_are_walked_by_a_table_or_by_their_cells(spark, monkeypatch):
+    rows, labels = small()
+    df = frame(spark, rows, labels)
+    scorer = BoostedScorer(0.3, 1, 4, 5, 5.0)
+    found = []
+    for share in (10**9, 0):
+        monkeypatch.setattr(boosting, "TABLE_SHARE", share)
+        found.append(scorer.fit(df).trees)
+    assert found[0] == found[1]
+
+
+def test_large_histograms_are_added_up_in_slices(spark, monkeypatch):
+    from rareclass.scorers import rows as R
+
+    parts = spark.range(0, 6, 1, 3).selectExpr("transform(sequence(0, 9), i -> id * 100.5 + i) as s")
+    want = sum(np.arange(10) + i * 100.5 for i in range(6))
+    assert np.allclose(R.summed_arrays(parts, 3, 10), want)
+    monkeypatch.setattr(R, "COLLECT_NUMBERS", 0)
+    for numbers in (4, 10, 64):  # a row of the shuffle is a slice, not a number
+        monkeypatch.setattr(R, "SLICE_NUMBERS", numbers)
+        assert np.allclose(R.summed_arrays(parts, 3, 10), want)
+    assert (R.summed_arrays(parts.where("false"), 3, 10) == 0).all()
