@@ -50,7 +50,7 @@ def curve_table(df: DataFrame, label: str, score: str, by: str | Sequence[str] |
         totals = broadcast_if_small(totals, totals.count())
         return join_null_safe(cum, totals, parts)
     # class totals come with the prefix sums' bucket totals (no extra job)
-    return cum.withColumn("n_pos", F.lit(int(grand.get("p") or 0))).withColumn("n_neg", F.lit(int(grand.get("q") or 0)))
+    return cum.withColumn("n_pos", F.lit(int(grand.get("p") or 0)).cast("long")).withColumn("n_neg", F.lit(int(grand.get("q") or 0)).cast("long"))
 
 
 def _points(ct: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def curve_metrics(df: DataFrame, label: str, score: str, by: str | Sequence[str]
     P, N = F.first("n_pos"), F.first("n_neg")
     best = F.max(F.struct(F.col("f1"), F.col("score"), F.col("precision"), F.col("recall")))
     agg = pts.groupBy(*parts).agg(
-        F.try_divide(F.sum(F.col("q") * (F.col("tp") - F.col("p") / 2)), P * N).alias("roc_auc"),
+        F.try_divide(F.sum(F.col("q") * (F.col("tp") - F.col("p") / 2)), P.cast("double") * N).alias("roc_auc"),
         F.sum(F.try_divide(F.col("p"), F.col("n_pos")) * (F.col("precision") + F.col("prev_precision")) / 2).alias("pr_auc"),
         best.alias("__best"),
         P.alias("positives"),

@@ -68,3 +68,13 @@ def test_class_weights(spark):
     df = spark.createDataFrame([(0,)] * 9 + [(1,)], "y int")
     w = {r["y"]: r["weight"] for r in M.class_weights(df, "y").collect()}
     assert math.isclose(w[0], 10 / (2 * 9)) and math.isclose(w[1], 5.0)
+
+
+def test_many_pairs_of_classes_do_not_overflow(spark):
+    from rareclass.operators.metrics import curve_metrics
+
+    # 60,000 x 60,000 pairs are more than an int holds
+    df = spark.range(0, 120_000, 1, 4).selectExpr("cast(id % 2 as int) as label", "cast(id % 1000 as double) as score", "'a' as model")
+    for by in (None, "model"):
+        m = curve_metrics(df, "label", "score", by=by).first()
+        assert m["positives"] == m["negatives"] == 60_000 and abs(m["roc_auc"] - 0.501) < 1e-9
