@@ -173,3 +173,22 @@ def test_drawn_parameters_fit_on_64_features(spark, name, scorer):
     for p in drawn:
         scores = [r["score"] for r in scorer(**p, max_iter=60 if name == "one_class_svm" else 15).fit(df).transform(df).select("score").collect()]
         assert len(scores) == 120 and np.isfinite(scores).all()
+
+
+def test_iterations_over_little_data_are_short_jobs(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from rareclass.scorers import KernelSVMScorer, LogitScorer
+
+    df = spark.range(0, 400, 1, 24).select(
+        "id", (F.col("id") % 5 == 0).cast("double").alias("label"),
+        array_to_vector(F.array(F.sin("id"), F.cos(F.col("id") * 3), F.col("id") % 7.0)).alias("features"))
+    tracker = spark.sparkContext.statusTracker()
+    for name, scorer in (("logit", LogitScorer()), ("svm", KernelSVMScorer(kernel="linear"))):
+        spark.sparkContext.setJobGroup(f"short-{name}", "")
+        scorer.fit(df)
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(f"short-{name}") for s in tracker.getJobInfo(j).stageIds]
+        tasks = [s.numTasks for s in stages if s and s.name.startswith("treeAggregate")]
+        spark.sparkContext.setJobGroup("rest", "")
+        assert len(tasks) > 5 and set(tasks) == {1}
