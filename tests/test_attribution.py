@@ -125,4 +125,4 @@ def test_rows_are_grouped_by_the_components_they_keep_to():
     started = time.process_time()
     for _ in range(100):
         _kept(keeps)
-    assert time.process_time() - started < 0.5  # sorting rows of bytes took twenty times as long
+    assert time.process_time() - started < 0.06  # by a sort 0.136 s, by a table 0.009 s
