@@ -23,15 +23,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# Queries (their vectors' bytes) that one pass carries, and the cells of one distance matrix.
+# Queries (their vectors' bytes) that one pass carries, the cells of one distance matrix, and the training rows' bytes of a task.
 QUERY_BYTES = 8 << 20
 MATRIX_CELLS = 1 << 20
+TRAIN_BYTES = 32 << 20
+# Rows of one distance matrix, and its cells in single precision: two such matrices stay in a core's cache.
+ROW_TILE = 4096
+SINGLE_CELLS = 1 << 16
+# A sum of d absolute differences in single precision is off by (d + 8) of these at most, times the two vectors' sums of
+# absolute components; vectors whose sum is larger than the limit are compared in double precision.
+SINGLE_ERROR = 2.0 ** -23
+SINGLE_LIMIT = 1e30
 
 
 def _as_double_array(col: str):
@@ -45,11 +53,11 @@ def _stack(rows, dim: int) -> np.ndarray:
     return out
 
 
-def pair_terms(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
-    """sum |a_i - b_i|^p of paired rows, summed in dimension order (no root: same order, cheaper)."""
-    total = np.zeros(len(a))
-    for i in range(a.shape[1]):
-        d = a[:, i] - b[:, i]
+def pair_terms(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, p: float) -> np.ndarray:
+    """sum |a_i - b_j|^p of paired rows, summed in dimension order (no root: same order, cheaper)."""
+    total = np.zeros(len(i))
+    for f in range(a.shape[1]):
+        d = a[i, f] - b[j, f]
         total = total + (d * d if p == 2 else np.abs(d) if p == 1 else np.abs(d) ** p)
     return total
 
@@ -57,7 +65,11 @@ def pair_terms(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
 def distance_matrix(queries: np.ndarray, rows: np.ndarray, p: float) -> np.ndarray:
     """``queries x rows`` Minkowski sums, up to rounding; memory is one or two matrices of that shape."""
     if p == 2:
-        return (queries * queries).sum(axis=1)[:, None] + (rows * rows).sum(axis=1)[None] - 2 * (queries @ rows.T)
+        near = queries @ rows.T
+        near *= -2
+        near += (queries * queries).sum(axis=1)[:, None]
+        near += (rows * rows).sum(axis=1)[None]
+        return near
     total = np.zeros((len(queries), len(rows)))
     for i in range(queries.shape[1]):
         d = np.abs(queries[:, i][:, None] - rows[:, i][None])
@@ -65,41 +77,114 @@ def distance_matrix(queries: np.ndarray, rows: np.ndarray, p: float) -> np.ndarr
     return total
 
 
+def single_distances(queries: np.ndarray, rows: np.ndarray, near: np.ndarray, term: np.ndarray) -> np.ndarray:
+    """``queries x rows`` sums of absolute differences in single precision, into ``near``; both sides are given by component."""
+    near[:] = 0
+    for q, r in zip(queries, rows):
+        np.subtract(q[:, None], r[None], out=term)
+        np.abs(term, out=term)
+        np.add(near, term, out=near)
+    return near
+
+
 class NearestRows:
     """Per query, the ``k`` nearest rows seen so far: ``query, dp, id, label`` sorted by query, distance and id."""
 
     def __init__(self, queries: np.ndarray, k: int, p: float):
         self.queries, self.k, self.p = queries, k, p
-        self.query, self.dp = np.zeros(0, np.int64), np.zeros(0)
-        self.id, self.label = np.zeros(0, object), np.zeros(0)
-        self.reach = np.full(len(queries), np.inf)
+        n = len(queries)
+        self.count, self.reach = np.zeros(n, np.int64), np.full(n, np.inf)
+        self._dp, self._label, self._id = np.zeros((n, k)), np.zeros((n, k)), None
+        self.size = (queries * queries if p == 2 else np.abs(queries)).sum(axis=1)
+        self.single = None  # the queries' components one after another, in single precision
+        if p == 1 and np.fmax.reduce(self.size, initial=0.0) < SINGLE_LIMIT:
+            self.single = np.ascontiguousarray(queries.T, np.float32)
+
+    def _flat(self, of: np.ndarray) -> np.ndarray:
+        return of[np.arange(self.k)[None] < self.count[:, None]]
+
+    query = property(lambda self: np.repeat(np.arange(len(self.queries)), self.count))
+    dp = property(lambda self: self._flat(self._dp))
+    label = property(lambda self: self._flat(self._label))
+    id = property(lambda self: np.zeros(0, object) if self._id is None else self._flat(self._id))
 
     def add(self, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> None:
-        step = max(1, MATRIX_CELLS // max(1, len(rows)))
+        for at in range(0, len(rows), ROW_TILE):
+            self._add_tile(rows[at:at + ROW_TILE], ids[at:at + ROW_TILE], labels[at:at + ROW_TILE])
+
+    def _add_tile(self, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> None:
+        d = rows.shape[1]
+        size = np.fmax.reduce((rows * rows if self.p == 2 else np.abs(rows)).sum(axis=1), initial=0.0)  # without vectors that hold NaN
+        single = self.single is not None and size < SINGLE_LIMIT
+        cells = SINGLE_CELLS if single else MATRIX_CELLS // 4
+        step = max(1, cells // max(1, len(rows)))
+        if single:
+            columns = np.ascontiguousarray(rows.T, np.float32)
+            near, term = np.empty((2, min(step, len(self.queries)), len(rows)), np.float32)
+        hits = []
         for at in range(0, len(self.queries), step):
             part = self.queries[at:at + step]
-            near = distance_matrix(part, rows, self.p)
+            if single:
+                found = single_distances(self.single[:, at:at + step], columns, near[:len(part)], term[:len(part)])
+                error = (d + 8) * SINGLE_ERROR * (self.size[at:at + step] + size)
+            else:
+                found, error = distance_matrix(part, rows, self.p), 0.0
             reach = self.reach[at:at + step]
-            if len(rows) >= self.k:
-                reach = np.minimum(reach, np.partition(near, self.k - 1, axis=1)[:, self.k - 1])
-            # the slack covers the rounding of the matrix form
-            slack = 1e-9 * (np.abs(reach, where=np.isfinite(reach), out=np.zeros_like(reach)) + (part * part).sum(axis=1) + (rows * rows).sum(axis=1).max(initial=0.0)) + 1e-12
-            q, r = np.nonzero(near <= (reach + slack)[:, None])
-            if len(q):
-                self._merge(q + at, pair_terms(part[q], rows[r], self.p), ids[r], labels[r])
+            if len(rows) >= self.k and not np.isfinite(reach).all():
+                reach = np.minimum(reach, np.partition(found, self.k - 1, axis=1)[:, self.k - 1])
+            # the slack covers the rounding of the matrix form, of the distance and of the reach
+            slack = 1e-9 * (np.abs(reach, where=np.isfinite(reach), out=np.zeros_like(reach)) + self.size[at:at + step] + size) + 1e-12 + 2 * error
+            limit = reach + slack
+            if single:
+                limit = np.nextafter(limit.astype(np.float32), np.float32(np.inf))
+            flat = np.flatnonzero(found <= limit[:, None])
+            if len(flat):
+                q, r = np.divmod(flat, len(rows))
+                hits.append((q + at, r))
+        if hits:
+            q, r = (np.concatenate(c) for c in zip(*hits))
+            for at in range(0, len(q), MATRIX_CELLS):
+                here = slice(at, at + MATRIX_CELLS)
+                self._merge(q[here], pair_terms(self.queries, q[here], rows, r[here], self.p), ids[r[here]], labels[r[here]])
 
     def _merge(self, query, dp, ids, labels) -> None:
-        query, dp = np.concatenate([self.query, query]), np.concatenate([self.dp, dp])
-        ids, labels = np.concatenate([self.id, ids]), np.concatenate([self.label, labels])
-        place = np.unique(ids, return_inverse=True)[1]  # ids of any kind, in order
+        """Puts new rows between those that their queries have."""
+        if self._id is None:
+            self._id = np.zeros(self._dp.shape, ids.dtype)
+        elif self._id.dtype != ids.dtype:
+            self._id, ids = self._id.astype(object), ids.astype(object)
+        held = np.unique(query)
+        have = np.arange(self.k)[None] < self.count[held][:, None]
+        query = np.concatenate([np.repeat(held, self.count[held]), query])
+        dp, labels = np.concatenate([self._dp[held][have], dp]), np.concatenate([self._label[held][have], labels])
+        ids = np.concatenate([self._id[held][have], ids])
+        place = np.unique(ids, return_inverse=True)[1] if ids.dtype == object else ids  # ids of any kind, in order
         by = np.lexsort((place, dp, query))
         query, dp, ids, labels = query[by], dp[by], ids[by], labels[by]
-        first = np.searchsorted(query, query, "left")
-        keep = np.arange(len(query)) - first < self.k
-        self.query, self.dp, self.id, self.label = query[keep], dp[keep], ids[keep], labels[keep]
-        full = np.flatnonzero(np.bincount(self.query, minlength=len(self.queries)) == self.k)
-        last = np.searchsorted(self.query, full, "right") - 1
-        self.reach[full] = self.dp[last]
+        rank = np.arange(len(query)) - np.searchsorted(query, query, "left")
+        keep = rank < self.k
+        query, rank = query[keep], rank[keep]
+        self._dp[query, rank], self._id[query, rank], self._label[query, rank] = dp[keep], ids[keep], labels[keep]
+        self.count[held] = np.bincount(query, minlength=len(self.queries))[held]
+        full = held[self.count[held] == self.k]
+        self.reach[full] = self._dp[full, self.k - 1]
+
+
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """Vectors as a matrix; a null vector, and a null component, is NaN."""
+    flat = column.flatten()
+    if not column.null_count and not flat.null_count and (column.value_lengths().to_numpy() == dim).all():
+        return flat.to_numpy().reshape(-1, dim)
+    return _stack(column.to_pylist(), dim)
+
+
+def _ids(column: pa.Array) -> np.ndarray:
+    """Ids as numbers where they are, else as objects."""
+    if pa.types.is_integer(column.type) and not column.null_count:
+        return column.to_numpy()
+    out = np.empty(len(column), object)
+    out[:] = column.to_pylist()
+    return out
 
 
 def knn_vote(
@@ -131,23 +216,31 @@ def knn_vote(
     schema = f"qid {kinds[0]}, tid {kinds[1]}, ty double, dp double"
     block = max(1, min(MATRIX_CELLS // 64, (8 << 20) // (dim * 8)))
 
-    def searcher(ids: list, vectors: np.ndarray):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best = NearestRows(vectors, kk, p)
+    def searcher(ids: pa.Array, vectors: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best, kind = NearestRows(vectors, kk, p), None
             for batch in batches:
+                kind = batch.column("tid").type
                 for at in range(0, len(batch), block):
-                    part = batch.iloc[at:at + block]
-                    best.add(_stack(part["tv"].tolist(), dim), part["tid"].to_numpy(object), part["ty"].to_numpy(float))
-            yield pd.DataFrame({"qid": [ids[i] for i in best.query.tolist()], "tid": best.id.tolist(), "ty": best.label, "dp": best.dp})
+                    part = batch.slice(at, block)
+                    labels = part.column("ty").to_numpy(zero_copy_only=False).astype(float)
+                    best.add(_matrix(part.column("tv"), dim), _ids(part.column("tid")), labels)
+            if kind is not None:
+                found = [ids.take(pa.array(best.query)), pa.array(best.id, kind, from_pandas=True), pa.array(best.label, from_pandas=True), pa.array(best.dp)]
+                yield pa.RecordBatch.from_arrays(found, ["qid", "tid", "ty", "dp"])
 
         return run
 
     passes = max(1, -(-n_queries * dim * 8 // query_bytes))
+    # a task returns k rows a query: no more tasks than the training rows' bytes, or the cores, ask for
+    tasks = max(-(-n_train * dim * 8 // TRAIN_BYTES), min(-(-2 * tr.sparkSession.sparkContext.defaultParallelism // passes), -(-n_train // ROW_TILE)))
+    rows = tr.coalesce(tasks) if tr.rdd.getNumPartitions() >= tasks else tr.repartition(tasks)
     found = None
     for i in range(passes):
-        chunk = qs.where(F.pmod(F.xxhash64("qid"), F.lit(passes)) == i).collect()  # about query_bytes
-        if chunk:
-            here = tr.mapInPandas(searcher([r["qid"] for r in chunk], _stack([r["qv"] for r in chunk], dim)), schema)
+        chunk = qs.where(F.pmod(F.xxhash64("qid"), F.lit(passes)) == i).toArrow().combine_chunks()  # about query_bytes
+        if len(chunk):
+            vectors = np.vstack([_matrix(c, dim) for c in chunk.column("qv").chunks])
+            here = rows.mapInArrow(searcher(pa.concat_arrays(chunk.column("qid").chunks), vectors), schema)
             found = here if found is None else found.unionByName(here)
     w = Window.partitionBy("qid").orderBy("dp", "tid")
     top = found.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= kk)
