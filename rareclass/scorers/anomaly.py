@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.order import broadcast_if_small, exact_quantile_values
+from ..operators.order import exact_quantile_values
 from ..session import cut_lineage
 from .lbfgs import minimise
 from .principal import principal_axes
 from .rows import Rows, array_rows, fewer_tasks, stored, summed_arrays, vector_width
-from .subtrees import NODE_BYTES, NODES, Draws, finish_subtrees, grow_trees
+from .subtrees import NODE_BYTES, NODES, Draws, finish_subtrees, grow_tops, grow_trees
 from .supervised import SCORE, kernel_map
 
 EULER = 0.5772156649015329
@@ -50,11 +50,9 @@ def c_factor(n: float) -> float:
 
 # Most rows of node tables that the driver hands to one step over the records; a wider level is joined on the executors.
 NODE_CHUNK = 500_000
-# Candidate features of a node's first try; later tries, for nodes where all were constant, take more.
-FIRST_TRY = 4
-MOST_TRIED = 32
+# Nodes (a record has one in every tree) that a task moves at a time.
+WALK_CELLS = 1 << 18
 
-PARKED = -2
 _NODE_BITS = 44  # key of a node: tree << 44 | node
 
 
@@ -81,16 +79,14 @@ _STATE = T.StructType([T.StructField("nodes", T.ArrayType(T.LongType())), T.Stru
 def _advance(X: np.ndarray, at: np.ndarray, total: np.ndarray, level: int, known: np.ndarray, feature: np.ndarray, value: np.ndarray, size: np.ndarray):
     """One level of all trees at once for a batch of records: nodes (0 = ended) and summed path.
 
-    A record in a leaf, or in a child that no training row reached, ends there.  While a forest grows, feature ``PARKED``
-    marks a node whose subtree is finished apart: its records keep it, as a negative number.
+    A record in a leaf, or in a child that no training row reached, ends there.
     """
     here = (at >= 1 << level) & (at < 1 << level + 1)
     split = here & known & (feature >= 0)
-    parked = here & known & (feature == PARKED)
-    stop = here & ~split & ~parked
+    stop = here & ~split
     total = total + np.where(stop, level + _c_factors(np.where(known, size, 0)), 0.0).sum(axis=1)
     right = np.take_along_axis(X, np.where(split, feature, 0), axis=1) >= value
-    return np.where(split, at * 2 + right, np.where(stop, 0, np.where(parked, -at, at))), total
+    return np.where(split, at * 2 + right, np.where(stop, 0, at)), total
 
 
 def _arrays(x: pd.Series, nodes: pd.Series, path: pd.Series):
@@ -98,6 +94,12 @@ def _arrays(x: pd.Series, nodes: pd.Series, path: pd.Series):
             path.to_numpy(np.float64).copy())
 
 
+def _slices(x: pd.Series, nodes: pd.Series):
+    """A batch in slices of ``WALK_CELLS`` nodes and components."""
+    step = max(1, WALK_CELLS // max(1, len(x.iloc[0]), len(nodes.iloc[0])))
+    return (slice(i, min(i + step, len(x))) for i in range(0, len(x), step))
+
+
 def _walk(tables: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]):
     """The levels of ``tables``, whose rows are looked up by key."""
 
@@ -105,13 +107,17 @@ def _walk(tables: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray
     def step(x: pd.Series, nodes: pd.Series, path: pd.Series) -> pd.DataFrame:
         if not len(x):
             return pd.DataFrame({"nodes": [], "path": pd.Series([], dtype="float64")})
-        X, at, total = _arrays(x, nodes, path)
-        tree = np.arange(at.shape[1], dtype=np.int64) << _NODE_BITS
-        for level, keys, feature, value, size in tables:
-            key = tree[None] | at
-            i = np.clip(np.searchsorted(keys, key), 0, max(0, len(keys) - 1))
-            at, total = _advance(X, at, total, level, keys[i] == key, feature[i], value[i], size[i])
-        return pd.DataFrame({"nodes": list(at), "path": total})
+        ends, paths = [], []
+        for part in _slices(x, nodes):
+            X, at, total = _arrays(x.iloc[part], nodes.iloc[part], path.iloc[part])
+            tree = np.arange(at.shape[1], dtype=np.int64) << _NODE_BITS
+            for level, keys, feature, value, size in tables:
+                key = tree[None] | at
+                i = np.clip(np.searchsorted(keys, key), 0, max(0, len(keys) - 1))
+                at, total = _advance(X, at, total, level, keys[i] == key, feature[i], value[i], size[i])
+            ends += list(at)
+            paths.append(total)
+        return pd.DataFrame({"nodes": ends, "path": np.concatenate(paths)})
 
     return step
 
@@ -123,13 +129,18 @@ def _walk_joined(level: int):
     def step(x: pd.Series, nodes: pd.Series, path: pd.Series, t: pd.Series, f: pd.Series, v: pd.Series, n: pd.Series) -> pd.DataFrame:
         if not len(x):
             return pd.DataFrame({"nodes": [], "path": pd.Series([], dtype="float64")})
-        X, at, total = _arrays(x, nodes, path)
-        known, feature, value, size = np.zeros(at.shape, bool), np.full(at.shape, -1), np.zeros(at.shape), np.zeros(at.shape)
-        for r, trees in enumerate(t):
-            if trees is not None and len(trees):
-                known[r, trees], feature[r, trees], value[r, trees], size[r, trees] = True, f.iloc[r], v.iloc[r], n.iloc[r]
-        at, total = _advance(X, at, total, level, known, feature, value, size)
-        return pd.DataFrame({"nodes": list(at), "path": total})
+        ends, paths = [], []
+        for part in _slices(x, nodes):
+            X, at, total = _arrays(x.iloc[part], nodes.iloc[part], path.iloc[part])
+            known, feature, value, size = np.zeros(at.shape, bool), np.full(at.shape, -1), np.zeros(at.shape), np.zeros(at.shape)
+            for r, trees in enumerate(t.iloc[part]):
+                if trees is not None and len(trees):
+                    i = part.start + r
+                    known[r, trees], feature[r, trees], value[r, trees], size[r, trees] = True, f.iloc[i], v.iloc[i], n.iloc[i]
+            at, total = _advance(X, at, total, level, known, feature, value, size)
+            ends += list(at)
+            paths.append(total)
+        return pd.DataFrame({"nodes": ends, "path": np.concatenate(paths)})
 
     return step
 
@@ -218,8 +229,8 @@ class IsolationForestScorer:
     score threshold (that quantile of the training scores).
 
     Layout: one row per record with its vector and the array of its node in
-    every tree.  Levels are Spark aggregates, combined map-side, only while nodes
-    are large; a node of at most ``local_rows`` (by default 16 MB of vectors) is
+    every tree.  A level is one Spark aggregate of the nodes' ranges, combined in
+    each task, only while nodes are large; a node of at most ``local_rows`` (by default 16 MB of vectors) is
     parked, and in the end one shuffle brings the records of every parked node
     into a task, which grows its subtree.  Both ways draw by the same hashes, so
     the forest does not depend on where they meet.
@@ -243,20 +254,6 @@ class IsolationForestScorer:
         draws = Draws(self.T, d, m, self.seed)
         local = max(1, NODE_BYTES // (8 * d)) if self.local_rows is None else self.local_rows
 
-        def ranges(rows: DataFrame, tried: int, count: int) -> DataFrame:
-            """Per node: its rows and the first of ``count`` further candidates that varies, with its range."""
-            cand = rows.select("__x", "t", "node", *[draws.candidate(tried + k).alias(f"f{k}") for k in range(count)])
-            vals = [F.element_at(F.col("__x"), F.col(f"f{k}") + 1) for k in range(count)]
-            stats = cand.groupBy("t", "node").agg(
-                F.count(F.lit(1)).alias("n"),
-                *[F.first(f"f{k}").alias(f"f{k}") for k in range(count)],
-                *[F.min(v).alias(f"lo{k}") for k, v in enumerate(vals)],
-                *[F.max(v).alias(f"hi{k}") for k, v in enumerate(vals)],
-            )
-            varies = [F.when(F.col(f"hi{k}") > F.col(f"lo{k}"), F.struct(F.col(f"f{k}").alias("f"), F.col(f"lo{k}").alias("lo"), F.col(f"hi{k}").alias("hi")))
-                      for k in range(count)]
-            return stats.select("t", "node", "n", F.coalesce(*varies).alias("pick"))
-
         # a tree whose whole sample fits a task is parked at its root
         root = F.lit(-1 if n <= local else 1).cast("long")
         nodes = F.transform(F.sequence(F.lit(0), F.lit(self.T - 1)), lambda t: root)
@@ -264,61 +261,19 @@ class IsolationForestScorer:
             nodes = F.transform(F.sequence(F.lit(0), F.lit(self.T - 1)), lambda t: F.when(
                 F.pmod(F.xxhash64(F.lit(self.seed + 1), F.col("__rid"), t), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53)) < F.lit(frac),
                 root).otherwise(F.lit(0).cast("long")))
-        cur = base.select("__rid", "__x", nodes.alias("nodes"))
-        grown: list[DataFrame] = []  # one level each
-        held: DataFrame | None = None
-        for lvl in range(depth + 1 if n > local else 0):
-            rows = cur.select("__x", F.posexplode("nodes").alias("t", "node")).where("node > 0")
-            found = cut_lineage(ranges(rows, 0, min(FIRST_TRY, m)))
-            tried, count = min(FIRST_TRY, m), FIRST_TRY
-            while tried < m and lvl < depth:
-                open_nodes = found.where((F.col("n") > local) & F.col("pick").isNull()).select("t", "node")
-                left = open_nodes.count()
-                if not left:
-                    break
-                count = min(count * 2, MOST_TRIED, m - tried)
-                more = ranges(rows.join(broadcast_if_small(open_nodes, left), ["t", "node"], "left_semi"), tried, count)
-                more = more.select("t", "node", F.col("pick").alias("later"))
-                found = cut_lineage(found.join(more, ["t", "node"], "left").select("t", "node", "n", F.coalesce("pick", "later").alias("pick")))
-                tried += count
-            splittable = (F.col("n") > 1) & F.lit(lvl < depth) & F.col("pick").isNotNull()
-            table = cut_lineage(found.select(
-                "t", "node", "n",
-                F.when(F.col("n") <= local, F.lit(PARKED)).when(splittable, F.col("pick.f")).alias("f"),  # 0-based feature index
-                F.when(splittable, F.col("pick.lo") + draws.point() * (F.col("pick.hi") - F.col("pick.lo"))).alias("v"),
-            ))
-            row = table.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("f") >= 0).alias("s"), F.count_if(F.col("f") == PARKED).alias("p")).first()
-            grown.append(table.where(F.coalesce("f", F.lit(-1)) != PARKED).withColumn("level", F.lit(lvl)))
-            if int(row["n"]) == 0 or int(row["s"]) + int(row["p"]) == 0:
-                break
-            moved = cur.withColumn("__s", F.struct("nodes", F.lit(0.0).alias("path")))
-            wide = int(row["n"]) > self.node_chunk
-            if wide:
-                moved = _join_level(_with_row(moved), table, lvl)
-            else:
-                own = [(lvl, *arrays[1:]) for arrays in _read_tables([table], [0])]
-                moved = moved.withColumn("__s", _walk(own)("__x", F.col("__s.nodes"), F.col("__s.path")))
-            moved = moved.select("__rid", "__x", F.col("__s.nodes").alias("nodes"))
-            before = held
-            if wide or lvl % 4 == 3:
-                cur, held = (moved if wide else cut_lineage(moved)), None
-            else:
-                # kept for the next level; recomputed from the last checkpoint only if an executor is lost
-                cur = held = moved.persist()
-                cur.count()
-            if before is not None:
-                before.unpersist()
-            if int(row["s"]) == 0:
-                break
-        waiting = cur.select("__x", F.posexplode("nodes").alias("t", "node")).where("node < 0")
-        pending = int(cur.agg(F.sum(F.size(F.filter("nodes", lambda x: x < 0)))).first()[0] or 0)
-        if n <= local and n:
+        cur = base.select("__x", nodes.alias("nodes"))
+        grown: list[DataFrame] = []
+        if n > local:
+            cur = cur.persist()
+            top = grow_tops(cur, self.T, draws, depth, local)
+            grown.append(top.frame(base.sparkSession))
+            pending = top.pending
+            if pending:
+                waiting = cur.select("__x", F.posexplode(top.parked()("__x", "nodes")).alias("t", "node")).where("node > 0")
+                grown.append(finish_subtrees(waiting.select(F.col("__x").alias("x"), "t", "node"), pending, d, draws, depth))
+            cur.unpersist()
+        elif n:
             grown.append(grow_trees(cur.select(F.col("__x").alias("x"), "nodes"), self.T, d, draws, depth))
-        elif pending:
-            parked = waiting.select(F.col("__x").alias("x"), "t", (-F.col("node")).alias("node"))
-            grown.append(finish_subtrees(parked, pending, d, draws, depth))
-        if held is not None:
-            held.unpersist()
         base.unpersist()
         columns = [F.col("t").cast("int").alias("t"), "node", F.col("n").cast("long").alias("n"), F.col("f").cast("int").alias("f"), "v", "level"]
         grown = grown or [base.sparkSession.createDataFrame([], NODES)]

@@ -14,7 +14,12 @@ from ..session import cut_lineage
 
 # Bytes of rows that one node grown in a task may have, and that a task takes for all its nodes.
 NODE_BYTES = 16 << 20
-TASK_BYTES = 64 << 20
+TASK_BYTES = 32 << 20
+# Candidate features of a large node's first try; later tries, for nodes where all were constant, take more.
+FIRST_TRY = 4
+MOST_TRIED = 32
+# Nodes (a record has one in every tree) that a task looks at together.
+TOP_CELLS = 1 << 19
 
 # The primes of the 64-bit xxHash.
 P1, P2, P3, P4, P5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
@@ -130,6 +135,143 @@ def _node_rows(X: np.ndarray, at: np.ndarray, tree: np.ndarray, node: np.ndarray
                      "v": pa.array(v, pa.float64(), mask=leaf), "level": pa.array(level, pa.int32())})
 
 
+class Tops:
+    """The upper parts of all trees: the nodes that are split by jobs.  Children of node ``i`` are ``left[i]`` and the one
+    after it; ``f`` is the feature, or one of the three marks."""
+
+    LEAF, PARKED, OPEN = -1, -2, -3
+
+    def __init__(self, trees: int):
+        self.t, self.node = np.arange(trees), np.ones(trees, np.int64)
+        self.n, self.f, self.v, self.left = np.zeros(trees, np.int64), np.full(trees, self.OPEN), np.zeros(trees), np.zeros(trees, np.int64)
+
+    def open(self) -> np.ndarray:
+        return np.flatnonzero(self.f == self.OPEN)
+
+    @property
+    def pending(self) -> int:
+        return int(self.n[self.f == self.PARKED].sum())
+
+    def split(self, at: np.ndarray, feature: np.ndarray, value: np.ndarray) -> None:
+        self.f[at], self.v[at], self.left[at] = feature, value, len(self.f) + 2 * np.arange(len(at))
+        children = np.repeat(self.node[at] * 2, 2)
+        children[1::2] += 1
+        more = len(children)
+        self.t, self.node = np.r_[self.t, np.repeat(self.t[at], 2)], np.r_[self.node, children]
+        self.n, self.f = np.r_[self.n, np.zeros(more, np.int64)], np.r_[self.f, np.full(more, self.OPEN)]
+        self.v, self.left = np.r_[self.v, np.zeros(more)], np.r_[self.left, np.zeros(more, np.int64)]
+
+    def walk(self, X: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Where each record stands in each tree (``records x trees``, flat); -1: not in the tree's sample."""
+        at = np.where(nodes != 0, np.arange(nodes.shape[1])[None], -1).ravel()
+        go = np.flatnonzero(at >= 0)
+        go = go[self.f[at[go]] >= 0]
+        while len(go):
+            here = at[go]
+            here = self.left[here] + (X[go // nodes.shape[1], self.f[here]] >= self.v[here])
+            at[go] = here
+            go = go[self.f[here] >= 0]
+        return at
+
+    def parts(self, x: pa.Array, nodes: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """A batch as matrices of vectors and of places, some records at a time."""
+        if len(x):
+            trees = len(nodes[0])
+            X, own = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1), nodes.flatten().to_numpy(zero_copy_only=False).reshape(-1, trees)
+            step = max(1, TOP_CELLS // trees)
+            for i in range(0, len(X), step):
+                yield X[i:i + step], self.walk(X[i:i + step], own[i:i + step]).reshape(-1, trees)
+
+    def parked(self):
+        """Per record its parked node in every tree, 0 where it stands in none."""
+        node = np.where(self.f == self.PARKED, self.node, 0)
+
+        @F.arrow_udf("array<long>")
+        def waiting(x: pa.Array, nodes: pa.Array) -> pa.Array:
+            found = [np.where(at >= 0, node[at], 0) for _, at in self.parts(x, nodes)]
+            flat = np.concatenate([f.ravel() for f in found]) if found else np.zeros(0, np.int64)
+            trees = len(flat) // max(1, len(x))
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * trees, pa.int32()), pa.array(flat))
+
+        return waiting
+
+    def frame(self, spark) -> DataFrame:
+        """Node rows of the split nodes and the leaves."""
+        kept = np.flatnonzero((self.f >= self.LEAF) & (self.n > 0))
+        f = self.f[kept]
+        level = np.frexp(self.node[kept].astype(np.float64))[1] - 1
+        table = pa.table({"t": pa.array(self.t[kept], pa.int32()), "node": pa.array(self.node[kept], pa.int64()), "n": pa.array(self.n[kept], pa.int64()),
+                          "f": pa.array(f, pa.int32(), mask=f < 0), "v": pa.array(self.v[kept], pa.float64(), mask=f < 0), "level": pa.array(level, pa.int32())})
+        return spark.createDataFrame(table, NODES)
+
+
+def _ranges(records: DataFrame, tops: Tops, asked: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the nodes ``asked``, and the smallest and largest value of their candidates (``features``: nodes x candidates): one job."""
+    m, count = features.shape
+    place = np.full(len(tops.f) + 1, -1)  # the last one: not in the sample
+    place[asked] = np.arange(m)
+
+    def partial(arrow):
+        n, low, high = np.zeros(m, np.int64), np.full((m, count), np.inf), np.full((m, count), -np.inf)
+        for b in arrow:
+            for X, at in tops.parts(b.column(0), b.column(1)):
+                g = place[at.ravel()]
+                hit = np.flatnonzero(g >= 0)
+                if not len(hit):
+                    continue
+                hit = hit[np.argsort(g[hit], kind="stable")]
+                g, row = g[hit], hit // at.shape[1]
+                start = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+                which = g[start]
+                n[which] += np.diff(np.r_[start, len(g)])
+                for k in range(count):
+                    values = X[row, features[g, k]]
+                    low[which, k] = np.minimum(low[which, k], np.minimum.reduceat(values, start))
+                    high[which, k] = np.maximum(high[which, k], np.maximum.reduceat(values, start))
+        seen = np.flatnonzero(n)
+        columns = [pa.array(seen, pa.int32()), pa.array(n[seen]), *[pa.array(low[seen, k]) for k in range(count)], *[pa.array(high[seen, k]) for k in range(count)]]
+        yield pa.RecordBatch.from_arrays(columns, ["g", "n", *[f"lo{k}" for k in range(count)], *[f"hi{k}" for k in range(count)]])
+
+    schema = "g int, n long" + "".join(f", {c}{k} double" for c in ("lo", "hi") for k in range(count))
+    found = records.mapInArrow(partial, schema).groupBy("g").agg(
+        F.sum("n").alias("n"), *[F.min(f"lo{k}").alias(f"lo{k}") for k in range(count)], *[F.max(f"hi{k}").alias(f"hi{k}") for k in range(count)]).toArrow()
+    n, low, high = np.zeros(m, np.int64), np.zeros((m, count)), np.zeros((m, count))
+    g = found.column("g").to_numpy()
+    n[g] = found.column("n").to_numpy()
+    for k in range(count):
+        low[g, k], high[g, k] = found.column(f"lo{k}").to_numpy(), found.column(f"hi{k}").to_numpy()
+    return n, low, high
+
+
+def grow_tops(records: DataFrame, trees: int, draws: Draws, depth: int, local: int) -> Tops:
+    """Splits the nodes of more than ``local`` rows of ``records(x, nodes)``, a level a job; smaller ones are parked."""
+    tops = Tops(trees)
+    for level in range(depth + 1):
+        nodes = tops.open()
+        if not len(nodes):
+            break
+        left, tried, count = nodes, 0, min(FIRST_TRY, draws.m)
+        while len(left):
+            features = np.stack([draws.candidates(tried + k, tops.t[left], tops.node[left]) for k in range(count)], axis=1)
+            n, low, high = _ranges(records, tops, left, features)
+            if not tried:
+                tops.n[left] = n
+                tops.f[left] = np.where((n > 0) & (n <= local), tops.PARKED, tops.LEAF)
+            varies = high > low
+            hit = np.flatnonzero((tops.n[left] > local) & (level < depth) & varies.any(axis=1))
+            at, k = left[hit], np.argmax(varies[hit], axis=1)
+            lo, hi = low[hit, k], high[hit, k]
+            chosen = (at, features[hit, k], lo + draws.points(tops.t[at], tops.node[at]) * (hi - lo))
+            again = (tops.n[left] > local) & (level < depth) & ~varies.any(axis=1)
+            left = left[again]
+            tried += count
+            count = min(count * 2, MOST_TRIED, draws.m - tried)
+            tops.split(*chosen)
+            if count <= 0:
+                break
+    return tops
+
+
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 

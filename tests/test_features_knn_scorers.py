@@ -249,3 +249,26 @@ def test_errors_of_a_scorer_are_not_hidden(spark):
 
     with pytest.raises(TypeError, match="inside the scorer"):
         score_frame(Broken(), spark.range(1), "id")
+
+
+def test_isolation_forest_takes_one_job_a_level(spark):
+    """Large nodes are ranged by one aggregate a level, and records walk in slices of a bounded size."""
+    import pandas as pd
+    from pyspark.ml.functions import array_to_vector
+    from rareclass.scorers import IsolationForestScorer, anomaly
+
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in rng.normal(size=6)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, v array<double>").select("id", F.lit(0.0).alias("label"), array_to_vector("v").alias("features")).repartition(3)
+    sc = spark.sparkContext
+    sc.setJobGroup("levels", "fit by levels")
+    try:
+        model = IsolationForestScorer(8, local_rows=1).fit(df)
+        jobs = len(sc.statusTracker().getJobIdsForGroup("levels"))
+    finally:
+        sc.setJobGroup("rest", "rest")
+    assert model.depth == 10 and jobs <= 4 * (model.depth + 1)
+    whole = {r["id"]: r["score"] for r in IsolationForestScorer(8).fit(df).transform(df).collect()}
+    assert {r["id"]: r["score"] for r in model.transform(df).collect()} == pytest.approx(whole)
+    parts = list(anomaly._slices(pd.Series([np.zeros(64)] * 10_000), pd.Series([np.zeros(300)] * 10_000)))
+    assert parts[-1].stop == 10_000 and max(p.stop - p.start for p in parts) * 300 <= anomaly.WALK_CELLS
