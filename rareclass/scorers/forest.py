@@ -134,6 +134,14 @@ class Sample(Batch):
         super().__init__(y, drawn, counts, cells, bins, 1.0)
         self.counts, self.drawn, self.distinct = counts, drawn, distinct
 
+    @classmethod
+    def drawn_of(cls, batch: Batch, kept: np.ndarray, drawn: np.ndarray, distinct: np.ndarray) -> "Sample":
+        """Some rows of a batch with a table of all their cells, which is all that walking and adding up ask for."""
+        out = cls.__new__(cls)
+        out.y, out.drawn, out.distinct, out.bins, out.table = batch.y[kept], drawn[kept], distinct[kept], batch.bins, batch.table[kept]
+        out._tree, out._at = None, None
+        return out
+
     def only(self, kept: np.ndarray) -> "Sample":
         out = Sample(self.y[kept], self.drawn[kept], self.distinct[kept], self.counts[kept], self.cells[kept[self.row]], self.bins)
         out._tree, out._at = self._tree, self._at[kept]
@@ -144,19 +152,42 @@ class Sample(Batch):
         tree, lo, hi = parts[0][0], parts[0][3], parts[-1][4] + 1
         place = np.full(len(tree.left), -1)
         place[[p[1] for p in parts]] = np.arange(len(parts))
+        slot = place[self.walk(tree)]
+        there = np.flatnonzero(slot >= 0)
+        key, row = self._tabled(parts, slot, there) if self.table is not None else self._listed(parts, slot)
+        key -= lo
+        total = np.array([p[4] for p in parts])[slot[there]] - lo
+        for k, w in enumerate((self.drawn * (self.y == 0), self.drawn * (self.y == 1), self.distinct)):
+            out[k, lo:hi] += np.bincount(key, w[row], hi - lo)
+            out[k, lo:hi] += np.bincount(total, w[there], hi - lo)
+
+    def _listed(self, parts: list[tuple], slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and rows of the listed cells that the nodes ask for."""
         shift = np.full((len(parts), self.bins.width), -(1 << 60))
         for k, (_, _, features, at, _) in enumerate(parts):
             sizes = self.bins.bins[features] + 1
             shift[k, features] = at + np.cumsum(sizes) - sizes - self.bins.start[features]
-        slot = place[self.walk(tree)]
         used = np.flatnonzero(slot[self.row] >= 0)
         key = shift[slot[self.row[used]], self.of[used]] + self.cells[used]
         inside = key >= 0
-        key, row = key[inside] - lo, self.row[used[inside]]
-        there = slot >= 0
-        total = np.array([p[4] for p in parts])[slot[there]] - lo
-        for k, w in enumerate((self.drawn * (self.y == 0), self.drawn * (self.y == 1), self.distinct)):
-            out[k, lo:hi] += np.bincount(key, w[row], hi - lo) + np.bincount(total, w[there], hi - lo)
+        return key[inside], self.row[used[inside]]
+
+    def _tabled(self, parts: list[tuple], slot: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same by the table, which holds zero's cells too: only the components that a row's node asks for are read."""
+        most = max(len(p[2]) for p in parts)
+        asked, shift = np.zeros((len(parts), most), np.int64), np.zeros((len(parts), most), np.int64)
+        number = np.array([len(p[2]) for p in parts])
+        for k, (_, _, features, at, _) in enumerate(parts):
+            sizes = self.bins.bins[features] + 1
+            asked[k, :len(features)] = features
+            shift[k, :len(features)] = at + np.cumsum(sizes) - sizes - self.bins.start[features]
+        keys, rows = [], []
+        for j in range(most):
+            row = there if number.min() > j else there[number[slot[there]] > j]
+            node = slot[row]
+            keys.append(self.table[row, asked[node, j]] + shift[node, j])
+            rows.append(row)
+        return np.concatenate(keys), np.concatenate(rows)
 
 
 def best_split(bins: Bins, hist: np.ndarray, total: np.ndarray, features: np.ndarray, weights: np.ndarray, least: int, first_only: bool):
@@ -170,7 +201,12 @@ def best_split(bins: Bins, hist: np.ndarray, total: np.ndarray, features: np.nda
     varied = np.add.reduceat((hist[2] > 0).astype(np.int64), start) > 1
     if not varied.any():
         return None, True
-    behind = start + sizes - 1
+    # a cut behind an empty cell is the cut before it: cells with rows, each component's first and its last two are enough
+    first, behind = start, start + sizes - 1
+    filled = hist[2] > 0
+    filled[first] = filled[behind] = filled[behind - 1] = True
+    cells = np.flatnonzero(filled)
+    hist, of, start, behind = hist[:, cells], of[cells], np.searchsorted(cells, first), np.searchsorted(cells, behind)
     run = np.cumsum(hist, axis=1)
     run -= (run - hist)[:, start][:, of]
     gone = hist[:, behind][:, of]
@@ -186,14 +222,15 @@ def best_split(bins: Bins, hist: np.ndarray, total: np.ndarray, features: np.nda
             l, r = left[:2] * weights[:, None], right[:2] * weights[:, None]
             return np.where(fits, (l ** 2).sum(axis=0) / l.sum(axis=0) + (r ** 2).sum(axis=0) / r.sum(axis=0), -np.inf)
 
-    right, left = purity(run, allowed), purity(run + gone, allowed & ~last & (gone[2] > 0))
+    right = purity(run, allowed)
+    left = purity(run + gone, allowed & ~last & (gone[2] > 0)) if gone[2].any() else np.full(len(of), -np.inf)
     best = np.maximum(right, left)
     at = int(np.argmax(best))
     if best[at] == -np.inf:
         return None, False
     f = int(features[of[at]])
     missing_left = bool(left[at] > right[at])
-    return (f, int(bins.start[f] + at - start[of[at]]), missing_left, run[:, at] + (gone[:, at] if missing_left else 0)), False
+    return (f, int(bins.start[f] + cells[at] - first[of[at]]), missing_left, run[:, at] + (gone[:, at] if missing_left else 0)), False
 
 
 def grow(source, bins: Bins, trees: list[Growing], rule: Rule, park: float = 0) -> list[tuple[Growing, int]]:
@@ -201,6 +238,7 @@ def grow(source, bins: Bins, trees: list[Growing], rule: Rule, park: float = 0)
     drawn rows, which stay leaves for now."""
     level, parked = [(t, 0, 0) for t in trees], []
     while level:
+        source.focus(level)
         wanted, following, size = [], [], 0
         for n, (tree, node, attempt) in enumerate(level):
             features = rule.tried(tree.seed[node], attempt)
@@ -241,6 +279,21 @@ class Local:
     def __init__(self, sample: Sample):
         self.sample = sample
 
+    def focus(self, level: list[tuple[Growing, int, int]]) -> None:
+        """Drops the rows of closed nodes once they are half of all."""
+        tree, s = level[0][0], self.sample
+        at = s.walk(tree)
+        is_open = np.zeros(len(tree.left), bool)
+        is_open[[w[1] for w in level]] = True
+        kept = is_open[at]
+        if 2 * np.count_nonzero(kept) > len(kept):
+            return
+        if s.table is None:
+            self.sample = s.only(kept)
+        else:
+            self.sample = Sample.drawn_of(s, kept, s.drawn, s.distinct)
+            self.sample._tree, self.sample._at = tree, at[kept]
+
     def sums(self, layout: Layout) -> np.ndarray:
         out = np.zeros((3, layout.size))
         for parts in layout.by_tree.values():
@@ -254,14 +307,23 @@ class Cluster:
     def __init__(self, rows: DataFrame, bins: Bins):
         self.rows, self.bins, self.tasks = rows, bins, rows.rdd.getNumPartitions()
 
+    def focus(self, level: list[tuple[Growing, int, int]]) -> None:
+        pass
+
     def sums(self, layout: Layout) -> np.ndarray:
         bins, size, groups = self.bins, layout.size, list(layout.by_tree.values())
 
         def partial(arrow):
             total = np.zeros((3, size))
             for b in arrow:
+                whole = Batch(b.column("y").to_numpy(), np.zeros(len(b)), b.column("cells").value_lengths().to_numpy(), b.column("cells").flatten().to_numpy(), bins, 1.0)
                 for parts in groups:
-                    _sample(b, parts[0][0].index, bins).add_sums(total, parts)
+                    tree = parts[0][0].index
+                    if whole.table is None:
+                        _sample(b, tree, bins).add_sums(total, parts)
+                        continue
+                    drawn, distinct = draws(b.column("h").to_numpy(), b.column("copies").to_numpy(), _seed(tree))
+                    Sample.drawn_of(whole, drawn > 0, drawn, distinct).add_sums(total, parts)
             yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["s"])
 
         return summed_arrays(self.rows.mapInArrow(partial, "s array<double>"), self.tasks, 3 * size).reshape(3, size)

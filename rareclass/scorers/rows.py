@@ -115,7 +115,9 @@ def _packed(arrow):
 
 
 def _slice_sum(key, table):
-    total = np.sum([np.frombuffer(x) for x in table.column("s").to_pylist()], axis=0)
+    total = 0.0
+    for x in table.column("s"):
+        total = total + np.frombuffer(x.as_buffer())
     return pa.table({"i": pa.array([key[0].as_py()], pa.int32()), "s": pa.array([total.tobytes()], pa.binary())})
 
 

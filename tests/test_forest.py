@@ -181,3 +181,34 @@ def test_wide_sparse_rows_find_the_column_that_varies(spark):
     df = spark.createDataFrame([(i, float(i % 4 == 0), v) for i, v in enumerate(vectors)], SCHEMA)
     found = scores(ForestScorer(5, seed=4).fit(df), df)
     assert all(abs(s - (i % 4 == 0)) < 1e-9 for i, s in found.items())
+
+
+def test_closed_nodes_are_walked_and_added_no_more():
+    """Rows of pure nodes leave a subtree's sample, and a table of cells gives the sums that the listed cells give."""
+    rng = np.random.default_rng(3)
+    n, width = 4000, 6
+    X = rng.integers(0, 20, (n, width)).astype(float)
+    y = ((X[:, 0] > 16) & (rng.random(n) < 0.3)).astype(np.int8)
+    bins = forest.Bins([np.arange(20.0)] * width)
+    cells = bins.cell(np.tile(np.arange(width), n), X.ravel()).reshape(n, width)
+    stored = cells != bins.zero
+    sample = forest.Sample(y, np.ones(n, np.int64), np.ones(n, np.int64), stored.sum(axis=1), cells[stored], bins)
+    rule, tree = forest.Rule(width, None, 2, 1, (1.0, 1.0)), forest.Growing(0, 11)
+    source, sizes = forest.Local(sample), []
+    add = forest.Sample.add_sums
+
+    def counted(self, out, parts):
+        sizes.append(len(self.y))
+        listed = np.zeros_like(out)
+        add(self, out, parts)
+        if hasattr(self, "row"):  # the listed cells, without zero's
+            table, self.table = self.table, None
+            add(self, listed, parts)
+            self.table = table
+            some = listed > 0
+            assert (out[some] == listed[some]).all()
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(forest.Sample, "add_sums", counted)
+        forest.grow(source, bins, [tree], rule)
+    assert len(sizes) > 8 and sizes[0] == n and sizes[-1] < n // 8 and sum(sizes) < n * len(sizes) / 2
