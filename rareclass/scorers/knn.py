@@ -233,7 +233,7 @@ def knn_vote(
 
     passes = max(1, -(-n_queries * dim * 8 // query_bytes))
     # a task returns k rows a query: no more tasks than the training rows' bytes, or the cores, ask for
-    tasks = max(-(-n_train * dim * 8 // TRAIN_BYTES), min(-(-2 * tr.sparkSession.sparkContext.defaultParallelism // passes), -(-n_train // ROW_TILE)))
+    tasks = max(2, -(-n_train * dim * 8 // TRAIN_BYTES), min(-(-2 * tr.sparkSession.sparkContext.defaultParallelism // passes), -(-n_train // ROW_TILE)))
     rows = tr.coalesce(tasks) if tr.rdd.getNumPartitions() >= tasks else tr.repartition(tasks)
     found = None
     for i in range(passes):
