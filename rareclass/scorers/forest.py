@@ -131,7 +131,7 @@ class Sample(Batch):
     """The rows of a batch that a tree draws: label, times drawn, copies drawn, cells."""
 
     def __init__(self, y: np.ndarray, drawn: np.ndarray, distinct: np.ndarray, counts: np.ndarray, cells: np.ndarray, bins: Bins):
-        super().__init__(y, drawn, counts, cells, bins, 1.0)
+        super().__init__(y, counts, cells, bins)
         self.counts, self.drawn, self.distinct = counts, drawn, distinct
 
     @classmethod
@@ -316,7 +316,7 @@ class Cluster:
         def partial(arrow):
             total = np.zeros((3, size))
             for b in arrow:
-                whole = Batch(b.column("y").to_numpy(), np.zeros(len(b)), b.column("cells").value_lengths().to_numpy(), b.column("cells").flatten().to_numpy(), bins, 1.0)
+                whole = Batch(b.column("y").to_numpy(), b.column("cells").value_lengths().to_numpy(), b.column("cells").flatten().to_numpy(), bins)
                 for parts in groups:
                     tree = parts[0][0].index
                     if whole.table is None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,6 +104,16 @@ def summed_arrays(parts: DataFrame, tasks: int, size: int, column: str = "s") ->
     return total
 
 
+def summed_slices(parts: RDD, tasks: int, size: int) -> np.ndarray:
+    """:func:`summed_arrays` for an RDD of arrays, one for each of its ``tasks``."""
+    if tasks * size <= COLLECT_NUMBERS:
+        return sum(parts.collect(), np.zeros(size))
+    numbers, total = SLICE_NUMBERS, np.zeros(size)
+    for at, x in parts.flatMap(lambda x: [(i, x[i:i + numbers]) for i in range(0, len(x), numbers)]).reduceByKey(lambda a, b: a + b).collect():
+        total[at:at + numbers] += x
+    return total
+
+
 def _arrays(arrow):
     for b in arrow:
         for k in range(len(b)):

@@ -185,3 +185,62 @@ def test_large_histograms_are_added_up_in_slices(spark, monkeypatch):
         monkeypatch.setattr(R, "SLICE_NUMBERS", numbers)
         assert np.allclose(R.summed_arrays(parts, 3, 10), want)
     assert (R.summed_arrays(parts.where("false"), 3, 10) == 0).all()
+
+
+def wide(n=240, seed=7):
+    """Rows of which some components are rarely stored."""
+    rng = random.Random(seed)
+    rows = [[rng.gauss(0, 1), float(rng.randint(1, 9)), *[rng.choice([0.0] * 5 + [1.0, NAN, -2.0]) for _ in range(4)]] for _ in range(n)]
+    return rows, [int((r[0] > 0) != (r[2] == 1.0) or rng.random() < 0.1) for r in rows]
+
+
+def test_some_tasks_bytes_are_boosted_in_one_task(spark, monkeypatch):
+    rows, labels = wide()
+    df = frame(spark, rows, labels)
+    scorer = BoostedScorer(0.3, 1, 4, 5, 5.0)
+    want = scorer.fit(df)
+    monkeypatch.setattr(boosting, "TASK_BYTES", 2000)  # of some 9,000
+
+    def jobs(*_):
+        raise AssertionError("a job for every level")
+
+    monkeypatch.setattr(boosting, "Cluster", jobs)
+    assert scorer.fit(df).trees == want.trees
+
+
+def test_trees_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    rows, labels = wide()
+    df = frame(spark, rows, labels)
+    scorer = BoostedScorer(0.3, 1, 5, 7, 5.0)
+    want, losses = plain_boosting(rows, labels, 7, 5, 0.3, 1.0, 1, 5.0)
+    one = scorer.fit(df)
+    assert np.allclose(scores(one, df), want, atol=1e-8) and np.allclose(one.history(), losses, atol=1e-8)
+    monkeypatch.setattr(boosting, "TASK_BYTES", -1)
+    monkeypatch.setattr(boosting, "ROUNDS_A_WRITE", 4)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 30)
+    spread = scorer.fit(df)
+    # to the last bit, although siblings are differences of sums from other parts of the rows
+    assert [t["threshold"] for t in spread.trees] == [t["threshold"] for t in one.trees]
+    assert [t["value"] for t in spread.trees] == [t["value"] for t in one.trees]
+
+
+def test_only_smaller_children_are_read(monkeypatch):
+    rng = np.random.default_rng(2)
+    x, bins = rng.integers(0, 16, (4, 4000)), boosting.Bins([np.arange(16.0)] * 4)
+    y = ((x[0] > 7) ^ (x[1] > 3)).astype(float)
+    packed = boosting.Packed(y, np.zeros(4000), list(x.astype(np.uint8)), np.zeros(0, np.int32), np.zeros(0, np.int32))
+    block = boosting.Block(packed, bins, 1.0, 2.0 ** -40)
+    read = []
+
+    class Source:
+        add = block.add
+
+        def sums(self, tree, nodes):
+            read.append(sum(len(block.below(tree)[k]) for k in nodes))
+            return block.sums(tree, nodes)
+
+    trees = [t for t, _ in boosting.boost(Source(), bins, 1, 4, 0.3, 1.0, 1)]
+    assert read[0] == 4000 and len(read) > 3 and max(read[1:-1]) <= 2000 and len(trees[0].left) == 7
+    monkeypatch.setattr(boosting, "KEPT", 0)
+    again = boosting.Block(packed, bins, 1.0, 2.0 ** -40)
+    assert [t and t.value for t, _ in boosting.boost(boosting.Whole(again), bins, 1, 4, 0.3, 1.0, 1)] == [t and t.value for t in trees]
