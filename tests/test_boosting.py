@@ -197,15 +197,15 @@ def wide(n=240, seed=7):
 def test_some_tasks_bytes_are_boosted_in_one_task(spark, monkeypatch):
     rows, labels = wide()
     df = frame(spark, rows, labels)
-    scorer = BoostedScorer(0.3, 1, 4, 5, 5.0)
-    want = scorer.fit(df)
-    monkeypatch.setattr(boosting, "TASK_BYTES", 2000)  # of some 9,000
+    scorer = BoostedScorer(0.3, 1, 5, 7, 5.0)
+    want, _ = plain_boosting(rows, labels, 7, 5, 0.3, 1.0, 1, 5.0)
+    monkeypatch.setattr(boosting, "TASK_BYTES", 2000)  # of some 7,000
 
     def jobs(*_):
         raise AssertionError("a job for every level")
 
     monkeypatch.setattr(boosting, "Cluster", jobs)
-    assert np.allclose(scores(scorer.fit(df), df), scores(want, df), atol=1e-8)
+    assert np.allclose(scores(scorer.fit(df), df), want, atol=1e-8)
 
 
 def test_trees_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
